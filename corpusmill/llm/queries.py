@@ -19,8 +19,22 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).drop("n_bytes")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import hits
+
+    return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import stored_digests
+
+    return stored_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_transport_stream": op2_transport_stream,
     "op8_bpe_codec": op8_bpe_codec,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {}
