@@ -31,9 +31,25 @@ def op2_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlfilter import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op9_addressable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .dac import stored_digests
+
+    return stored_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_transport_stream": op2_transport_stream,
+    "op6_url_filter": op6_url_filter,
     "op8_bpe_codec": op8_bpe_codec,
+    "op9_addressable_ids": op9_addressable_ids,
     "op10_decontaminate": op10_decontaminate,
 }
 
