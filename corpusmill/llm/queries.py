@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import linedup
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -45,12 +47,21 @@ def op9_addressable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linedup import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_transport_stream": op2_transport_stream,
+    "op5_line_spread": op5_line_spread,
     "op6_url_filter": op6_url_filter,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_addressable_ids": op9_addressable_ids,
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_line_spread": linedup.ORACLE_SQL,
+}
