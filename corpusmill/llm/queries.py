@@ -53,8 +53,15 @@ def op5_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_transport_stream": op2_transport_stream,
+    "op4_chosen_path": op4_chosen_path,
     "op5_line_spread": op5_line_spread,
     "op6_url_filter": op6_url_filter,
     "op8_bpe_codec": op8_bpe_codec,
