@@ -59,7 +59,14 @@ def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 85)
 
 
+def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_contextual_pii": op1_contextual_pii,
     "op2_transport_stream": op2_transport_stream,
     "op4_chosen_path": op4_chosen_path,
     "op5_line_spread": op5_line_spread,
