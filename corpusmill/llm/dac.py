@@ -33,7 +33,7 @@ RANK_BLOCK = 512
 #: Ids after which a segment is closed at the next end of a document.
 SEGMENT = 1 << 20
 #: Encoded words that a worker keeps; beyond it the table starts anew.
-MEMORY = 400_000
+MEMORY = 700_000
 #: The id that ends each document.
 END_ID = 1
 
@@ -150,8 +150,18 @@ class Segment:
         return out
 
 
+def _parts(word: str) -> tuple[str, str]:
+    """A word as (core, mark) that are encoded apart: a last stop or comma after a letter or digit is a
+    pre-token of its own, and the normaliser lower-cases ASCII as ``str.lower`` does."""
+    mark = ""
+    if word[-1] in ".," and word[-2:-1].lower()[-1:].isalnum():
+        word, mark = word[:-1], word[-1]
+    return word.lower() if word.isascii() and "<|" not in word else word, mark
+
+
 class WordEncoder:
-    """A tokenizer whose pre-tokenisation drops white space, applied to each different word once."""
+    """A tokenizer whose pre-tokenisation drops white space and separates marks from letters and digits,
+    applied to each different word once."""
 
     def __init__(self, path: str):
         import os
@@ -160,20 +170,46 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        #: Whether a token ends a word; if none is marked so, words are encoded one by one.
+        self.ending = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ending[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {"": b""}
+
+    def learn(self, cores: list[str]) -> None:
+        """Encode cores: those of letters alone many in a call, told apart by the tokens that end a word."""
+        alone = [c for c in cores if not c.isalpha()]
+        letters = [c for c in cores if c.isalpha()]
+        for at in range(0, len(letters), 2_000):
+            part = letters[at : at + 2_000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ending[ids]) + 1) * 4
+            if len(ends) != len(part):  # a letter that lower-cases to more than letters
+                alone += part
+                continue
+            data, start = ids.tobytes(), 0
+            for core, end in zip(part, ends.tolist()):
+                self.cores[core] = data[start:end]
+                start = end
+        for at in range(0, len(alone), 10_000):
+            part = alone[at : at + 10_000]
+            for core, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.cores[core] = struct.pack(f"<{len(found.ids)}I", *found.ids)
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as without special tokens. Spaces and newlines only separate."""
         if len(self.known) >= MEMORY:
             self.known = {"": b""}
+        if len(self.cores) >= MEMORY:
+            self.cores = {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
+        known, cores = self.known, self.cores
         missing = [w for w in set().union(*split) if w not in known]
-        for at in range(0, len(missing), 10_000):
-            part = missing[at : at + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                ids = found.ids
-                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        parts = [_parts(w) for w in missing]
+        self.learn([c for c in {c for pair in parts for c in pair} if c not in cores])
+        for word, (core, mark) in zip(missing, parts):
+            known[word] = cores[core] + cores[mark] if mark else cores[core]
         for words in split:
             yield np.frombuffer(b"".join([known[w] for w in words]), "<u4")
 
