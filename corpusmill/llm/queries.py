@@ -65,9 +65,16 @@ def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def op3_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_transport_stream": op2_transport_stream,
+    "op3_cotrained_quality": op3_cotrained_quality,
     "op4_chosen_path": op4_chosen_path,
     "op5_line_spread": op5_line_spread,
     "op6_url_filter": op6_url_filter,
