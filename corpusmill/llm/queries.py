@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linedup
+from . import linedup, lmscore
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,12 @@ def op3_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lmscore import rounded
+
+    return rounded(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_transport_stream": op2_transport_stream,
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chosen_path": op4_chosen_path,
     "op5_line_spread": op5_line_spread,
     "op6_url_filter": op6_url_filter,
+    "op7_stupid_backoff": op7_stupid_backoff,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_addressable_ids": op9_addressable_ids,
     "op10_decontaminate": op10_decontaminate,
@@ -85,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_line_spread": linedup.ORACLE_SQL,
+    "op7_stupid_backoff": lmscore.ORACLE_SQL,
 }
