@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parents[1]))
-os.environ["PYTHONPATH"] = f"{Path(__file__).parents[1]}:{os.environ.get('PYTHONPATH', '')}"
+os.environ["PYTHONPATH"] = f"{Path(__file__).parents[1]}:{Path(__file__).parent}:{os.environ.get('PYTHONPATH', '')}"
 
 
 @pytest.fixture(scope="session")
