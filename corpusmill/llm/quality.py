@@ -29,8 +29,11 @@ from .shared import SPACED, Words, slices
 MOST_LABELLED, MOST_POOL = 20_000, 10_000
 #: Rounds of exchange, pseudo-labels of each class that a view gives in a round, and its least confidence.
 ROUNDS, PER_ROUND, CONFIDENT = 4, 400, 0.95
-#: Share of labelled documents held out for calibration, bins of a text feature, and L2 penalty.
-HELD_OUT, BINS, PENALTY = 0.3, 8, 1.0
+#: Share of labelled documents held out for calibration, and L2 penalty.
+HELD_OUT, PENALTY = 0.3, 1.0
+#: Quantiles of a text feature between its bins: finer in the tails, where odd documents are.
+QUANTILES = (0.01, 0.03, 0.08, 0.2, 0.4, 0.6, 0.8, 0.92, 0.97, 0.99)
+BINS = len(QUANTILES) + 1
 #: Score (probability of good quality) from which on a document is kept.
 KEEP = 0.5
 
@@ -158,7 +161,7 @@ def cotrain(features: np.ndarray, slots: np.ndarray, label: np.ndarray, order: n
     train = labelled & ~held
     if any(len(set(label[part].tolist())) < 2 for part in (train, held)):
         return None
-    edges = np.quantile(features[train], np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
+    edges = np.quantile(features[train], QUANTILES, axis=0).T
     views = [_hot_text(features, edges), _hot_meta(slots)]
     pool = np.flatnonzero(~labelled)
     taught: list[dict[int, int]] = [{}, {}]  # pseudo-labels that each view learns from
