@@ -237,3 +237,17 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     rows = every.select("doc", "n", "k1", "k2").join(known, ["k1", "k2", "n"], "left")
     own = F.when(F.col("doc").isNull(), F.lit(None)).otherwise(F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc")))
     return rows.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), own.cast("long").alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(True)).alias("kept"))
+
+
+#: ``near_duplicates`` at 85 percent for DuckDB, by all pairs that share a shingle.
+ORACLE_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + {SHINGLE - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.c, d.doc_id) AS component_id, coalesce(m.c, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, min(other) AS c FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id
+"""

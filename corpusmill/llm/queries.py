@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linedup, lmscore
+from . import decontam, linedup, lmscore, neardup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_chosen_path": neardup.ORACLE_SQL,
     "op5_line_spread": linedup.ORACLE_SQL,
     "op7_stupid_backoff": lmscore.ORACLE_SQL,
+    "op10_decontaminate": decontam.ORACLE_SQL,
 }

@@ -5,7 +5,7 @@ from corpusmill.llm import linedup
 from corpusmill.llm.queries import table
 
 sys.path.insert(0, str(Path(__file__).parent))
-from oracle import compare
+from llm_oracle import compare
 
 SF = "/root/testdata/sf0.001"
 
