@@ -4,11 +4,11 @@ Documents are sets of hashed word shingles. Equal sets fall into classes by a se
 the join runs over one representative of each class. Independent trees branch the
 representatives by selected minwise tokens: a tree's root has one branch for each value of its
 own minwise token, and a node that is too large for exhaustive comparison branches again on two
-further tokens chosen by the node. Small nodes are compared exhaustively on 512-bit sketches (a
-bit each of 512 minwise hashes), candidates are confirmed on full shingle sets.
+further tokens chosen by the node. Small nodes are compared exhaustively on 1024-bit sketches (a
+bit each of 1024 minwise hashes), candidates are confirmed on full shingle sets.
 
 A group of thousands of near copies stays together in every node, so all its pairs must not be
-listed. A first round links each member to one pivot at most; the confirmed links
+listed. A first round compares each member with at most PIVOTS pivots of its node; the confirmed links
 are contracted to components, and the exhaustive comparison then only concerns pairs of members
 of different components.
 """
@@ -33,14 +33,16 @@ TREES = 8
 #: Minwise tokens for branching below the roots.
 BRANCHES = 24
 #: Sketch bits, in words of 64.
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
 LANES = 64 * SKETCH_WORDS
 #: Comparisons up to which a node is compared exhaustively, and levels below the roots before all nodes are.
-LEAF, DEPTH = 1 << 18, 8
+LEAF, DEPTH = 1 << 24, 8
 #: Standard deviations that a sketch may fall short of the threshold.
 SLACK = 4.5
+#: Pivots of a node in the first round.
+PIVOTS = 64
 #: Members from which on a node's comparisons are dealt out over SALTS tasks.
-WIDE, SALTS = 1_024, 16
+WIDE, SALTS = 1 << 12, 16
 
 _BITS = [f"b{i}" for i in range(SKETCH_WORDS)]
 _random = np.random.default_rng(77)
@@ -117,16 +119,16 @@ def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return sets.join(wanted.select("rep"), "rep", "left_semi").select("rep", "shingles").dropDuplicates(["rep"])
 
 
-def most_distance(percent: int) -> int:
+def most_distance(percent: int, slack: float = SLACK) -> int:
     """Sketch bits in which a pair at the threshold may differ."""
     p = (1 - percent / 100) / 2
-    return math.ceil(LANES * p + SLACK * math.sqrt(LANES * p * (1 - p)))
+    return math.ceil(LANES * p + slack * math.sqrt(LANES * p * (1 - p)))
 
 
-def _alike(a: str, b: str, percent: int) -> Column:
+def _alike(a: str, b: str, percent: int, slack: float = SLACK) -> Column:
     """Whether sketches and set sizes (structs ``a`` and ``b``) allow the threshold."""
     distance = _distance(a, b)
-    return (distance <= most_distance(percent)) & (F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent)
+    return (distance <= most_distance(percent, slack)) & (F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent)
 
 
 def _distance(a: str, b: str) -> Column:
@@ -172,9 +174,9 @@ def _crowded(nodes: DataFrame) -> DataFrame:
     return nodes.join(several, "node")
 
 
-def _point(df: DataFrame, key: str, reps: DataFrame, name: str) -> DataFrame:
-    """Add the sketch and set size of the representative in column ``key``."""
-    return df.join(reps.select(F.col("rep").alias(key), F.struct("n", *_BITS).alias(name)), key)
+def _point(df: DataFrame, key: str, reps: DataFrame, name: str, *more: str) -> DataFrame:
+    """Add the sketch and set size (and ``more`` columns) of the representative in column ``key``."""
+    return df.join(reps.select(F.col("rep").alias(key), F.struct("n", *_BITS, *more).alias(name)), key)
 
 
 def similar_pairs(documents: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -182,12 +184,12 @@ def similar_pairs(documents: DataFrame, reps: DataFrame, percent: int) -> DataFr
     roots = reps.select("rep", F.posexplode("roots").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "rep")
     nodes = staged(_crowded(roots), "nodes")
 
-    # first round: the nearest of the pivots of one's nodes
-    pivots = nodes.groupBy("node").agg(F.min_by("rep", F.xxhash64("rep", "node")).alias("b"))
-    near = nodes.join(pivots, "node").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    near = _point(_point(near, "a", reps, "x"), "b", reps, "y").filter(_alike("x", "y", percent))
-    near = near.select("a", "b", _distance("x", "y").alias("d")).groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
-    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # first round: pairs with the pivots of one's nodes that look linked
+    slot = F.pmod(F.xxhash64("node", "rep"), F.lit(PIVOTS))
+    pivots = nodes.groupBy("node", slot.alias("slot")).agg(F.min("rep").alias("b")).select("node", "b")
+    near = _point(nodes.select("node", "rep"), "rep", reps, "x").join(_point(pivots, "b", reps, "y"), "node").filter((F.col("rep") != F.col("b")) & _alike("x", "y", percent, 0.0))
+    near = near.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
+    near = staged(near, "near-pivots")
     links = confirm(near, documents, reps, percent, "pivot")
     joined = staged(components(links), "pivot-components")
 
@@ -199,12 +201,15 @@ def similar_pairs(documents: DataFrame, reps: DataFrame, percent: int) -> DataFr
         mixed = shares.groupBy("node").agg(F.sum("share").alias("size"), F.max("share").alias("most"), F.max_by("component", F.struct("share", "component")).alias("major"), F.count("*").alias("kinds")).filter("kinds > 1")
         rows = staged(rows.join(mixed.drop("kinds"), "node"), "mixed-nodes")
         leaf = F.lit(True) if level == DEPTH else ((F.col("size") - F.col("most")) * F.col("size") <= LEAF) | (F.col("most") * 2 >= F.col("size")) & F.lit(level >= 2)
-        members = _point(rows.filter(leaf), "rep", reps, "y")
+        members = rows.filter(leaf)
+        leaves = members.groupBy("rep").agg(F.collect_list("node").alias("leaves"))  # at most TREES * 2 ** level
+        members = _point(members, "rep", reps.join(leaves, "rep"), "y", "leaves")
         salts = F.when(F.col("size") > WIDE, SALTS).otherwise(1)
         minor = members.filter("component <> major").select("node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
         dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), salts).cast("int"))
         once = (F.col("component") == F.col("major")) | (F.col("a") < F.col("rep"))
-        pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent))
+        first = F.col("node") == F.array_min(F.array_intersect("x.leaves", "y.leaves"))  # each pair in one of its common nodes
+        pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent) & first)
         found.append(staged(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct(), "candidates"))
         if level == DEPTH:
             break
