@@ -6,7 +6,8 @@ counts of all blocks and joins the totals back to the blocks that asked; a block
 the n-grams of each document and sums the scores. An n-gram travels once for each block that
 has it, so frequent ones are no heavier than rare ones, and neither blocks nor buckets grow with
 the corpus: their number does. Keys and counts travel as packed arrays, one row for each block,
-bucket and order.
+bucket and order: sorted keys as differences, and all numbers byte plane by byte plane, so that the
+leading zeros compress away.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .shared import SPACED, Words, mix, slices, staged, text_of
 
 #: Longest n-gram, backoff factor, and count from which on an n-gram of two or more words is in the table.
 ORDER, ALPHA, LEAST = 2, 0.4, 2
+#: The same for the trigram query: the count of every n-gram is used.
+LONG_ORDER, LONG_LEAST = 3, 1
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 8 << 20
 
@@ -51,6 +54,15 @@ def _parts(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return bucket[cuts[:-1]].astype(np.int64), cuts
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones, and so on."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
 _ASKED = "bucket long, block long, n int, keys binary, counts binary"
 _TOLD = "block long, bucket long, n int, totals binary"
 
@@ -77,16 +89,16 @@ def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least:
         for n, own in enumerate(grams):
             keys, counts = np.unique(own[own > 0], return_counts=True)
             bucket, cuts = _parts(keys, blocks)
-            out += [(int(q), block, n, keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()) for q, a, b in zip(bucket, cuts[:-1], cuts[1:])]
+            out += [(int(q), block, n, _packed(np.diff(keys[a:b], prepend=np.uint64(0))), _packed(counts[a:b].astype("<u4"))) for q, a, b in zip(bucket, cuts[:-1], cuts[1:])]
         return pa.table({"bucket": pa.array([o[0] for o in out], pa.int64()), "block": pa.array([o[1] for o in out], pa.int64()), "n": pa.array([o[2] for o in out], pa.int32()), "keys": pa.array([o[3] for o in out], pa.binary()), "counts": pa.array([o[4] for o in out], pa.binary())})
 
     def tell(table: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
+        asked = [np.cumsum(_unpacked(k, "<u8"), dtype=np.uint64) for k in table.column("keys").to_pylist()]
+        counts = np.concatenate([_unpacked(c, "<u4") for c in table.column("counts").to_pylist()])
         _, place = np.unique(np.concatenate(asked), return_inverse=True)
         totals = np.bincount(place, counts)[place].astype("<u8")  # sums of counts are exact up to 2**53
         ends = np.cumsum([len(k) for k in asked])
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "n": table.column("n"), "totals": pa.array([totals[e - len(k) : e].tobytes() for k, e in zip(asked, ends)], pa.binary())})
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "n": table.column("n"), "totals": pa.array([_packed(totals[e - len(k) : e]) for k, e in zip(asked, ends)], pa.binary())})
 
     def add(docs: pa.Table, told: pa.Table) -> pa.Table:
         texts = docs.column("text").to_pylist()
@@ -96,7 +108,7 @@ def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least:
         for n, own in enumerate(grams):
             keys, where = np.unique(own[own > 0], return_inverse=True)
             bucket, _ = _parts(keys, blocks)
-            totals = np.concatenate([np.frombuffer(answers[n, int(q)], "<u8") for q in bucket]) if len(keys) else np.empty(0)
+            totals = np.concatenate([_unpacked(answers[n, int(q)], "<u8") for q in bucket]) if len(keys) else np.empty(0)
             found = np.zeros(len(own))
             found[own > 0] = totals[where]
             counts.append(found)
@@ -125,9 +137,9 @@ def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least:
     return parts.select("doc_id", "n_words", "n_backoff", (F.col("part") - F.col("n_backoff") * math.log(words)).alias("log_score"))
 
 
-def rounded(documents: DataFrame) -> DataFrame:
+def rounded(documents: DataFrame, order: int = ORDER, least: int = LEAST) -> DataFrame:
     """``score`` with log_score to four decimals, as SQL can reproduce it."""
-    return score(documents).withColumn("log_score", F.round(F.col("log_score") + 1e-9, 4))
+    return score(documents, order, least=least).withColumn("log_score", F.round(F.col("log_score") + 1e-9, 4))
 
 
 #: Order 2 for DuckDB.
@@ -143,3 +155,22 @@ g AS (SELECT r, count(*) AS n_words, count(*) FILTER (hit IS NOT TRUE) AS n_back
 SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff, round(coalesce(log_score, 0) + 1e-9, 4) AS log_score
 FROM d LEFT JOIN g USING (r)
 """
+
+#: Order LONG_ORDER = 3 for DuckDB.
+LONG_ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT r, generate_subscripts(words, 1) AS i, unnest(words) AS w FROM d),
+p AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS v, lag(w, 2) OVER (PARTITION BY r ORDER BY i) AS u FROM w),
+c1 AS (SELECT w, count(*) AS c FROM p GROUP BY w),
+c2 AS (SELECT v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY v, w),
+c3 AS (SELECT u, v, w, count(*) AS c FROM p WHERE u IS NOT NULL GROUP BY u, v, w),
+s AS (SELECT r, coalesce(c3.c, 0) >= {LONG_LEAST} OR coalesce(c2.c, 0) >= {LONG_LEAST} AS hit,
+             CASE WHEN c3.c >= {LONG_LEAST} THEN ln(c3.c) - ln(e.c)
+                  WHEN c2.c >= {LONG_LEAST} THEN ln(c2.c) - ln(b.c) + CASE WHEN p.u IS NULL THEN 0 ELSE ln({ALPHA}) END
+                  ELSE ln(a.c) - ln((SELECT count(*) FROM p)) + (CASE WHEN p.u IS NULL THEN 0 ELSE 1 END + CASE WHEN p.v IS NULL THEN 0 ELSE 1 END) * ln({ALPHA}) END AS value
+      FROM p JOIN c1 a ON p.w = a.w LEFT JOIN c1 b ON p.v = b.w LEFT JOIN c2 ON p.v = c2.v AND p.w = c2.w
+           LEFT JOIN c2 e ON p.u = e.v AND p.v = e.w LEFT JOIN c3 ON p.u = c3.u AND p.v = c3.v AND p.w = c3.w),
+g AS (SELECT r, count(*) AS n_words, count(*) FILTER (hit IS NOT TRUE) AS n_backoff, sum(value) AS log_score FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff, round(coalesce(log_score, 0) + 1e-9, 4) AS log_score
+FROM d LEFT JOIN g USING (r)
+"""

@@ -52,3 +52,14 @@ def test_matches_brute_force(spark, order, size):
 def test_empty_table(spark):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
     assert lmscore.score(df.limit(0)).count() == 0
+
+
+def test_registered_trigram_query_matches_sql_and_brute_force(spark):
+    """Every trigram counts, those that occur once too."""
+    import __spark_entry__
+
+    name = "op7_trigram_backoff"
+    got = compare(__spark_entry__.queries()[name](spark, SF), __spark_entry__.oracle_sql()[name], SF)
+    rows = table(spark, SF, "documents").select("doc_id", "text").collect()
+    want = {r.doc_id: w for r, w in zip(rows, brute([r.text for r in rows], 3, least=1))}
+    assert len(got) == len(rows) and all(g[2:] == want[g[0]][1::-1] and abs(g[1] - want[g[0]][2]) < 1e-3 for g in got)
