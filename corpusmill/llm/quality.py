@@ -2,19 +2,22 @@
 
 Two classifiers look at different views of a document: its text content (character classes, word and
 repetition statistics) and its page metadata (language, source, length, line layout). Each is a
-logistic regression on binned features. Over several rounds each labels the unlabelled documents
-of which it is most confident, for the other one to learn from. Both are then calibrated on
+logistic regression on binned features. Over several rounds each labels all unlabelled documents
+of which it is confident, for the other one to learn from. Both are then calibrated on
 labelled documents held out from training, and their calibrated log-odds are combined into the
 score of every document.
 
-The fit uses bounded samples, chosen by hash of doc_id: at most MOST_LABELLED labelled and MOST_POOL
-unlabelled documents. Scoring reads every whole text.
+The labelled sample is bounded: at most MOST_LABELLED documents, chosen by hash of doc_id. All
+unlabelled documents take part in every round: their binned features are written once, 25 bytes
+a document, and a step of the regression sums gradients and Hessians of fixed width over them.
+Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import SPACED, Words, slices
+from .shared import SPACED, Words, slices, staged
 
-#: Labelled and unlabelled documents that a fit takes at most.
-MOST_LABELLED, MOST_POOL = 20_000, 10_000
-#: Rounds of exchange, pseudo-labels of each class that a view gives in a round, and its least confidence.
-ROUNDS, PER_ROUND, CONFIDENT = 4, 400, 0.95
+#: Labelled documents that a fit takes at most.
+MOST_LABELLED = 20_000
+#: Rounds of exchange, and the confidence from which on a view labels a document for the other one.
+ROUNDS, CONFIDENT = 4, 0.95
+#: Largest change of a weight in a step of a round.
+LONGEST = 1.0
+#: Unlabelled documents in a task of a round, about, and in a step of it.
+TASK_ROWS, STEP_ROWS = 32_768, 8_192
 #: Share of labelled documents held out for calibration, and L2 penalty.
 HELD_OUT, PENALTY = 0.3, 1.0
 #: Quantiles of a text feature between its bins: finer in the tails, where odd documents are.
@@ -151,8 +158,48 @@ def _hot_meta(slots: np.ndarray) -> np.ndarray:
     return out
 
 
-def cotrain(features: np.ndarray, slots: np.ndarray, label: np.ndarray, order: np.ndarray) -> Model | None:
-    """Fit on rows with labels 1 and 0; rows labelled -1 are the unlabelled pool. ``order`` (a hash) deals rows to the held-out part.
+#: Weights of both views, the teachers' weights and their scales -> for each view and class the number of documents, gradient and Hessian.
+Sums = Callable[[list, list, list], list]
+_WIDTHS = [TEXT_FEATURES * BINS + 1, sum(_META) + 1]
+
+
+def _codes(features: np.ndarray, slots: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """One byte for the bin of each text feature and one for each metadata slot."""
+    bins = [np.searchsorted(e, features[:, k], side="right") for k, e in enumerate(edges)]
+    return np.hstack([np.stack(bins, 1), slots]).astype(np.uint8)
+
+
+def _hot_codes(codes: np.ndarray) -> list[np.ndarray]:
+    text = np.zeros((len(codes), TEXT_FEATURES * BINS))
+    text[np.arange(len(codes))[:, None], codes[:, :TEXT_FEATURES] + np.arange(TEXT_FEATURES) * BINS] = 1
+    return [text, _hot_meta(codes[:, TEXT_FEATURES:])]
+
+
+def _taught(codes: np.ndarray, weights: list, teachers: list, scales: list) -> np.ndarray:
+    """For each view and class (0, 1) the number of documents that the other view is sure of, their gradient and Hessian, in one array."""
+    out = [np.zeros((2, w + 2, w)) for w in _WIDTHS]
+    for a in range(0, len(codes), STEP_ROWS):
+        views = _hot_codes(codes[a : a + STEP_ROWS])
+        for k in (0, 1):
+            z = _apply(views[1 - k], teachers[1 - k]) * scales[1 - k][0] + scales[1 - k][1]
+            sure = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            for y, rows in ((0, 1 - sure >= CONFIDENT), (1, sure >= CONFIDENT)):
+                x = np.hstack([views[k][rows], np.ones((int(rows.sum()), 1))])
+                p = 1 / (1 + np.exp(-np.clip(x @ weights[k], -30, 30)))
+                out[k][y, 0, 0] += len(x)
+                out[k][y, 1] += x.T @ (y - p)
+                out[k][y, 2:] += x.T @ (x * (p * (1 - p))[:, None])
+    return np.concatenate([o.ravel() for o in out])
+
+
+def _split(sums: np.ndarray) -> list[np.ndarray]:
+    first = 2 * _WIDTHS[0] * (_WIDTHS[0] + 2)
+    return [sums[:first].reshape(2, -1, _WIDTHS[0]), sums[first:].reshape(2, -1, _WIDTHS[1])]
+
+
+def cotrain(features: np.ndarray, slots: np.ndarray, label: np.ndarray, order: np.ndarray, pool: Callable[[np.ndarray], Sums | None] | None = None) -> Model | None:
+    """Fit on rows with labels 1 and 0. ``order`` (a hash) deals them to the held-out part. ``pool`` makes of the bin
+    edges the sums over the unlabelled documents; without it these are the rows labelled -1.
 
     None without rows of both classes in the training and in the held-out part.
     """
@@ -163,25 +210,33 @@ def cotrain(features: np.ndarray, slots: np.ndarray, label: np.ndarray, order: n
         return None
     edges = np.quantile(features[train], QUANTILES, axis=0).T
     views = [_hot_text(features, edges), _hot_meta(slots)]
-    pool = np.flatnonzero(~labelled)
-    taught: list[dict[int, int]] = [{}, {}]  # pseudo-labels that each view learns from
-    base = np.flatnonzero(train)
-    weights: list[np.ndarray] = []
-    for turn in range(ROUNDS + 1):
-        weights = []
-        for view, own in zip(views, taught):
-            rows = np.concatenate([base, np.array(sorted(own), np.int64)])
-            y = np.concatenate([label[base], np.array([own[i] for i in sorted(own)], label.dtype)]).astype(float)
-            weights.append(_logistic(view[rows], y, np.ones(len(rows))))
-        if turn == ROUNDS or not len(pool):
-            break
-        for k in (0, 1):
-            z = _apply(views[k][pool], weights[k])
-            scale = _logistic(_apply(views[k][held], weights[k])[:, None], label[held].astype(float), np.ones(held.sum()), 1e-3)
-            p = 1 / (1 + np.exp(-np.clip(z * scale[0] + scale[1], -30, 30)))
-            for y, sure in ((1, p), (0, 1 - p)):
-                best = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] >= CONFIDENT and int(pool[i]) not in taught[1 - k]][:PER_ROUND]
-                taught[1 - k].update({int(pool[i]): y for i in best})
+    if pool:
+        sums = pool(edges)
+    else:
+        codes = _codes(features[~labelled], slots[~labelled], edges)
+        sums = (lambda *state: _split(_taught(codes, *state))) if len(codes) else None
+    y = label[train].astype(float)
+    weights = [_logistic(v[train], y, np.ones(len(y))) for v in views]
+    known = [np.hstack([v[train], np.ones((len(y), 1))]) for v in views]
+    for _ in range(ROUNDS if sums else 0):
+        teachers = [w.copy() for w in weights]
+        scales = [_logistic(_apply(v[held], w)[:, None], label[held].astype(float), np.ones(held.sum()), 1e-3) for v, w in zip(views, teachers)]
+        for _ in range(25):
+            most = 0.0
+            for k, taught in enumerate(sums(weights, teachers, scales)):
+                x, w = known[k], weights[k]
+                # the taught documents of a class weigh as much as its labelled ones together, however many they are
+                taught = sum(t[1:] * min(1.0, (y == c).sum() / max(1.0, t[0, 0])) for c, t in enumerate(taught))
+                ridge = np.full(len(w), PENALTY)
+                ridge[-1] = 1e-6
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                h = x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + taught[1:] + np.diag(ridge)
+                step = np.linalg.solve(h, x.T @ (y - p) + taught[0] - ridge * w)
+                step *= min(1.0, LONGEST / max(LONGEST, np.abs(step).max()))  # a full one can overshoot for good where most rows are certain
+                weights[k] = w + step
+                most = max(most, np.abs(step).max())
+            if most < 1e-3:  # the next step would be of the order of its square
+                break
     y = label[held].astype(float)
     scales = [_logistic(_apply(v[held], w)[:, None], y, np.ones(len(y)), 1e-3) for v, w in zip(views, weights)]
     odds = np.stack([_apply(_apply(v[held], w)[:, None], s) for v, w, s in zip(views, weights, scales)], 1)
@@ -198,16 +253,14 @@ def _view_columns(documents: DataFrame) -> list:
 
 
 def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Model | None:
-    """The model learnt from ``labels`` (doc_id, 0 or 1 in column ``target``) and a pool of other documents.
+    """The model learnt from ``labels`` (doc_id, 0 or 1 in column ``target``) and all documents without one.
 
     Rows with null ids or labels don't count; a document with labels of both kinds equally often is not labelled.
     """
     votes = labels.filter(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1)).groupBy("doc_id").agg(F.avg(target).alias("vote")).filter("vote <> 0.5")
     rank = F.xxhash64("doc_id", F.lit("cotrain"))
     known = votes.select("doc_id", (F.col("vote") > 0.5).cast("int").alias("own_label")).orderBy(rank, "doc_id").limit(MOST_LABELLED)
-    ids = documents.select("doc_id").filter("doc_id is not null")
-    pool = ids.join(votes, "doc_id", "left_anti").orderBy(rank, "doc_id").limit(MOST_POOL).select("doc_id", F.lit(-1).alias("own_label"))
-    chosen = known.unionByName(pool).select(F.col("doc_id").alias("chosen_id"), "own_label", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("own_order"))
+    chosen = known.select(F.col("doc_id").alias("chosen_id"), "own_label", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("own_order"))
     picked = documents.join(F.broadcast(chosen), documents["doc_id"] == chosen["chosen_id"]).select("chosen_id", "own_label", "own_order", *_view_columns(documents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +276,56 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Mod
     if not len(rows):
         return None
     rows = rows.sort_values(["ordering", "doc_id"], kind="stable")
-    return cotrain(np.stack(rows.text), np.stack(rows.meta), rows.label.to_numpy(), rows.ordering.to_numpy())
+    return cotrain(np.stack(rows.text), np.stack(rows.meta), rows.label.to_numpy(), rows.ordering.to_numpy(), lambda edges: _pool(documents, votes, edges))
+
+
+def _pool(documents: DataFrame, votes: DataFrame, edges: np.ndarray) -> Sums | None:
+    """The sums over all documents that have no vote. None where there are none."""
+    spark = documents.sparkSession
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            rest = [batch.column(k).to_pylist() for k in (2, 3, 4)]
+            for a, b in slices(texts):
+                codes = _codes(text_features(texts[a:b]), meta_features(texts[a:b], *[r[a:b] for r in rest]), edges)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([c.tobytes() for c in codes], pa.binary())], ["doc_id", "codes"])
+
+    coded = staged(documents.select("doc_id", *_view_columns(documents)).mapInArrow(encode, T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("codes", T.BinaryType())])), "quality-codes")
+    free = coded.filter("doc_id is not null").join(votes.select("doc_id"), "doc_id", "left_anti").select("codes")
+    pool = staged(free.unionByName(coded.filter("doc_id is null").select("codes")), "quality-pool")
+    tasks = math.ceil(pool.count() / TASK_ROWS)
+    if not tasks:
+        return None
+    pool = pool.coalesce(tasks)
+
+    def sums(weights: list, teachers: list, scales: list) -> list[np.ndarray]:
+        state = spark.sparkContext.broadcast((weights, teachers, scales))
+
+        def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0.0
+            for batch in batches:
+                codes = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, TEXT_FEATURES + len(_META))
+                total = total + _taught(codes, *state.value)
+            if np.ndim(total):
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0.0
+            for batch in batches:
+                for part in batch.column(0):
+                    total = total + np.frombuffer(part.as_buffer())
+            if np.ndim(total):
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        parts = pool.mapInArrow(one, "sums binary")
+        if tasks > 16:  # a second level, so that the driver gets the square root of the number of tasks
+            parts = parts.repartition(math.isqrt(tasks)).mapInArrow(add, "sums binary")
+        out = sum(np.frombuffer(r.sums) for r in parts.collect())
+        state.destroy()
+        return _split(out)
+
+    return sums
 
 
 def with_scores(documents: DataFrame, model: Model | None) -> DataFrame:

@@ -51,3 +51,18 @@ def test_edges(spark):
     assert {11, 13, 15} <= set(ids) and not {12, 14, 16} & set(ids)
     scored = quality.score_documents(every, labels)
     assert scored.count() == every.count() and scored.filter("score is null or isnan(score)").count() == 0
+
+
+def test_every_unlabelled_document_takes_part(spark):
+    """A source that only the last of 11,000 documents by hash have is learnt from the text view's labels."""
+    from pyspark.sql import functions as F
+
+    n = 11_000
+    by_hash = [r.id for r in spark.range(n).orderBy(F.xxhash64("id", F.lit("cotrain"))).collect()]
+    rare = {i for i in by_hash[-200:] if i % 2 and i >= 300}
+    rows = [(i, "$$$ ### " * (18 + i % 7) if i % 2 else "The cat sat on the mat, and then it went away. " * (3 + i % 3), "en", "rare" if i in rare else f"s{i % 3}", 10) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(300)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    slot = quality.meta_features([""], ["en"], ["rare"], [10])[0, 1]
+    assert len(rare) > 50 and model.meta[slot] < -0.2  # 0 where none of them takes part
