@@ -30,17 +30,18 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near duplicates; one row of equal ids.
+    """One document, that of the smallest doc_id, of each group of near duplicates; one row of equal ids and texts.
 
-    Rows with a null doc_id and documents without words stay.
+    Rows with a null doc_id and documents without words stay. Rows that share a doc_id but not the text are
+    judged apart, each by its own text.
     """
-    found = staged(neardup.near_duplicates(docs, NEAR_PERCENT), "pipeline-near")
-    gone = found.filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    found = staged(neardup.judged_rows(docs, NEAR_PERCENT), "pipeline-near")
+    gone = found.filter("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    left = docs.join(gone, (docs["doc_id"] == gone["gone_id"]) & (neardup.text_key(docs) == gone["gone_key"]), "left_anti")
+    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id", "text_key").count().filter("count > 1")
     if repeated.isEmpty():
         return left
-    return left.filter("doc_id is null").unionByName(left.filter("doc_id is not null").dropDuplicates(["doc_id"]))
+    return left.filter("doc_id is null").unionByName(left.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

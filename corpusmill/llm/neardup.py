@@ -80,15 +80,20 @@ def sketch(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tokens.view(np.int64), bits.view(np.int64)
 
 
-_FEATURES = "doc long, n long, k1 long, k2 long, roots array<long>, paths array<long>, " + ", ".join(f"{b} long" for b in _BITS)
+_FEATURES = "doc long, text_key long, n long, k1 long, k2 long, roots array<long>, paths array<long>, " + ", ".join(f"{b} long" for b in _BITS)
+
+
+def text_key(documents: DataFrame) -> Column:
+    """Hash of the text; null counts as empty."""
+    return F.xxhash64(text_of(documents))
 
 
 def features(documents: DataFrame) -> DataFrame:
-    """doc, n (set size), k1, k2 (set hash), roots, paths (minwise tokens), b0.. (sketch) of each row."""
+    """doc, text_key (hash of the text), n (set size), k1, k2 (set hash), roots, paths (minwise tokens), b0.. (sketch) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
                 sizes, keys, tokens, bits = [], [], np.zeros((b - a, TREES + BRANCHES), np.int64), np.zeros((b - a, SKETCH_WORDS), np.int64)
                 for i, own in enumerate(shingle_sets(texts[a:b])):
@@ -97,9 +102,9 @@ def features(documents: DataFrame) -> DataFrame:
                     if len(own):
                         tokens[i], bits[i] = sketch(own)
                 listed = [pa.FixedSizeListArray.from_arrays(np.ascontiguousarray(x).ravel(), x.shape[1]).cast(pa.list_(pa.int64())) for x in (tokens[:, :TREES], tokens[:, TREES:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), *listed, *(pa.array(bits[:, k]) for k in range(SKETCH_WORDS))], ["doc", "n", "k1", "k2", "roots", "paths", *_BITS])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), *listed, *(pa.array(bits[:, k]) for k in range(SKETCH_WORDS))], ["doc", "text_key", "n", "k1", "k2", "roots", "paths", *_BITS])
 
-    return documents.select(documents["doc_id"].cast("long").alias("doc"), text_of(documents).alias("text")).mapInArrow(run, _FEATURES)
+    return documents.select(documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"), text_of(documents).alias("text")).mapInArrow(run, _FEATURES)
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -230,6 +235,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     rows with a null doc_id (their component is null; they are kept). Rows with equal sets are linked; rows
     that share a doc_id give a row each, whose component is that of their own text. Further columns are not read. An empty table gives no rows.
     """
+    return judged_rows(documents, percent).drop("text_key")
+
+
+def judged_rows(documents: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` with ``text_key``, which tells rows of one doc_id and different texts apart."""
     every = staged(features(documents), "features")
     whole = every.filter("n > 0 and doc is not null")
     same = [F.first(c).alias(c) for c in ("roots", "paths", *_BITS)]  # equal sets, equal values
@@ -239,9 +249,9 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     known = reps.select("k1", "k2", "n", "doc", "rep").join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = known.groupBy("component").agg(F.min("doc").alias("smallest"))
     known = known.join(least, "component").select("k1", "k2", "n", "smallest")
-    rows = every.select("doc", "n", "k1", "k2").join(known, ["k1", "k2", "n"], "left")
+    rows = every.select("doc", "text_key", "n", "k1", "k2").join(known, ["k1", "k2", "n"], "left")
     own = F.when(F.col("doc").isNull(), F.lit(None)).otherwise(F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc")))
-    return rows.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), own.cast("long").alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(True)).alias("kept"))
+    return rows.select(F.col("doc").alias("doc_id"), "text_key", F.col("n").alias("n_shingles"), own.cast("long").alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(True)).alias("kept"))
 
 
 #: ``near_duplicates`` at 85 percent for DuckDB, by all pairs that share a shingle.

@@ -91,3 +91,10 @@ def test_stages_on_odd_rows_keep_the_columns(spark):
         last = corpus_pipeline.encode_stage(spark, out, SF).collect()
         ids = [r.doc_id for r in last]
         assert ids == [] if empty else {1, 3, 4, None} <= set(ids) and 2 not in ids and ids.count(1) == 1
+
+
+def test_rows_of_one_id_and_different_texts_are_judged_apart(spark):
+    copy, own, other = "one two three four five six seven", "eight nine ten eleven twelve thirteen", "red green blue white black grey"
+    rows = [(1, copy), (5, copy), (5, own), (7, other), (7, own + " fourteen fifteen " + other[::-1]), (7, other)]
+    out = corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(map(tuple, out.collect())) == sorted([rows[0], *rows[2:5]])
