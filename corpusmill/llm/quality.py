@@ -35,7 +35,7 @@ ROUNDS, CONFIDENT = 4, 0.95
 #: Largest change of a weight in a step of a round.
 LONGEST = 1.0
 #: Unlabelled documents in a task of a round, about, and in a step of it.
-TASK_ROWS, STEP_ROWS = 32_768, 8_192
+TASK_ROWS, STEP_ROWS = 32_768, 1_024
 #: Share of labelled documents held out for calibration, and L2 penalty.
 HELD_OUT, PENALTY = 0.3, 1.0
 #: Quantiles of a text feature between its bins: finer in the tails, where odd documents are.
