@@ -1,16 +1,16 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
-Documents are sets of hashed word shingles. Equal sets fall into classes by a set hash;
-the join runs over one representative of each class. Independent trees branch the
+Documents are sets of hashed word shingles. Equal sets fall into classes by a 128-bit set hash and their
+size; the join runs over one representative of each class. Independent trees branch the
 representatives by selected minwise tokens: a tree's root has one branch for each value of its
-own minwise token, and a node that is too large for exhaustive comparison branches again on two
-further tokens chosen by the node. Small nodes are compared exhaustively on 1024-bit sketches (a
-bit each of 1024 minwise hashes), candidates are confirmed on full shingle sets.
+own minwise token. A node whose members could need more than LEAF comparisons branches again on two
+further tokens that the node chooses; smaller nodes are compared exhaustively, on 1024-bit
+sketches (a bit each of 1024 minwise hashes), and what these cannot dismiss is confirmed on full sets.
 
 A group of thousands of near copies stays together in every node, so all its pairs must not be
-listed. A first round compares each member with at most PIVOTS pivots of its node; the confirmed links
-are contracted to components, and the exhaustive comparison then only concerns pairs of members
-of different components.
+listed. Before the recursion, each large node compares its members with one pivot a round; confirmed
+links are contracted to components, and later comparisons only concern members of different
+components. Rounds go on for the nodes that gain links by them.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACED, Words, mix, slices, staged, text_of
+from .shared import SPACED, Scratch, Words, mix, slices, text_of
 
 #: Words in a shingle.
 SHINGLE = 5
@@ -35,19 +35,19 @@ BRANCHES = 24
 #: Sketch bits, in words of 64.
 SKETCH_WORDS = 16
 LANES = 64 * SKETCH_WORDS
-#: Comparisons up to which a node is compared exhaustively, and levels below the roots before all nodes are.
-LEAF, DEPTH = 1 << 24, 8
+#: Comparisons up to which a node is compared exhaustively, and levels below the roots at most.
+LEAF, DEPTH = 1 << 13, 8
+#: Comparisons that a task makes in a node that is compared although it is larger.
+TASK = 1 << 22
+#: Rounds of pivots at most.
+ROUNDS = 8
 #: Standard deviations that a sketch may fall short of the threshold.
 SLACK = 4.5
-#: Pivots of a node in the first round.
-PIVOTS = 64
-#: Members from which on a node's comparisons are dealt out over SALTS tasks.
-WIDE, SALTS = 1 << 12, 16
 
 _BITS = [f"b{i}" for i in range(SKETCH_WORDS)]
 _random = np.random.default_rng(77)
-_TOKENS = _random.integers(0, 2**63, TREES + BRANCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LANES = (_random.integers(0, 2**31, LANES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_ROOTS = _random.integers(0, 2**63, TREES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LANES = (_random.integers(0, 2**31, LANES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[None, :]
 
 
 def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
@@ -69,18 +69,21 @@ def set_key(own: np.ndarray) -> tuple[int, int]:
     return int(mix(own).sum(dtype=np.uint64).astype(np.int64)), int(mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
 
 
+def roots(own: np.ndarray) -> np.ndarray:
+    """The minwise token of each tree, of a set that isn't empty."""
+    return np.array([(own * a).min() for a in _ROOTS]).view(np.int64)
+
+
 def sketch(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Minwise tokens (TREES + BRANCHES) and the sketch (SKETCH_WORDS) of a set that isn't empty."""
+    """Minwise tokens for branching (BRANCHES) and the sketch (SKETCH_WORDS) of a set that isn't empty."""
     least = np.full(LANES, 0xFFFFFFFF, np.uint32)
     low = (own >> np.uint64(32)).astype(np.uint32)
-    for i in range(0, len(low), 256):
-        np.minimum(least, (_LANES * low[None, i : i + 256]).min(axis=1), out=least)
-    tokens = np.concatenate([(own * a).min(keepdims=True) for a in _TOKENS])
+    room = np.empty((min(64, len(low)), LANES), np.uint32)
+    for i in range(0, len(low), 64):
+        part = low[i : i + 64, None]
+        np.minimum(least, np.minimum.reduce(np.multiply(part, _LANES, out=room[: len(part)]), axis=0), out=least)
     bits = np.packbits((least * np.uint32(0x9E3779B1) >> np.uint32(31)).astype(np.uint8))
-    return tokens.view(np.int64), bits.view(np.int64)
-
-
-_FEATURES = "doc long, text_key long, n long, k1 long, k2 long, roots array<long>, paths array<long>, " + ", ".join(f"{b} long" for b in _BITS)
+    return least[:BRANCHES].view(np.int32), bits.view(np.int64)
 
 
 def text_key(documents: DataFrame) -> Column:
@@ -88,40 +91,48 @@ def text_key(documents: DataFrame) -> Column:
     return F.xxhash64(text_of(documents))
 
 
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    """Arrays of different lengths as one Arrow list array, without Python objects for their elements."""
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), kind))
+
+
 def features(documents: DataFrame) -> DataFrame:
-    """doc, text_key (hash of the text), n (set size), k1, k2 (set hash), roots, paths (minwise tokens), b0.. (sketch) of each row."""
+    """doc, text_key (hash of the text), n (set size), k1, k2 (set hash), roots (minwise tokens) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
-                sizes, keys, tokens, bits = [], [], np.zeros((b - a, TREES + BRANCHES), np.int64), np.zeros((b - a, SKETCH_WORDS), np.int64)
-                for i, own in enumerate(shingle_sets(texts[a:b])):
-                    sizes.append(len(own))
-                    keys.append(set_key(own))
-                    if len(own):
-                        tokens[i], bits[i] = sketch(own)
-                listed = [pa.FixedSizeListArray.from_arrays(np.ascontiguousarray(x).ravel(), x.shape[1]).cast(pa.list_(pa.int64())) for x in (tokens[:, :TREES], tokens[:, TREES:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), *listed, *(pa.array(bits[:, k]) for k in range(SKETCH_WORDS))], ["doc", "text_key", "n", "k1", "k2", "roots", "paths", *_BITS])
+                sets = list(shingle_sets(texts[a:b]))
+                keys = [set_key(own) for own in sets]
+                tokens = _lists([roots(own) if len(own) else np.empty(0, np.int64) for own in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([len(own) for own in sets], pa.int64()), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), tokens], ["doc", "text_key", "n", "k1", "k2", "roots"])
 
-    return documents.select(documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"), text_of(documents).alias("text")).mapInArrow(run, _FEATURES)
+    rows = documents.select(documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"), text_of(documents).alias("text"))
+    return rows.mapInArrow(run, "doc long, text_key long, n long, k1 long, k2 long, roots array<long>")
 
 
-def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, shingles of the representatives in ``wanted`` (rep, doc)."""
+def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, n, shingles, paths (minwise tokens), b0.. (sketch) of the representatives in ``wanted`` (rep, doc, text_key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            reps, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            # rows of one id and text stand side by side: one of them is enough
+            first = [k for k, rep in enumerate(reps) if rep != (reps[k - 1] if k else before)]
+            before = reps[-1] if reps else before
+            reps, texts = [reps[k] for k in first], [texts[k] for k in first]
             for a, b in slices(texts):
                 sets = list(shingle_sets(texts[a:b]))
-                keys = [set_key(own) for own in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc", "k1", "k2", "shingles"])
+                found = [sketch(own) for own in sets]
+                bits = np.stack([x for _, x in found])
+                yield pa.RecordBatch.from_arrays([pa.array(reps[a:b], pa.int64()), pa.array([len(own) for own in sets], pa.int64()), _lists([own.view(np.int64) for own in sets], pa.int64()), _lists([x for x, _ in found], pa.int32()), *(pa.array(bits[:, k]) for k in range(SKETCH_WORDS))], ["rep", "n", "shingles", "paths", *_BITS])
 
-    rows = documents.select(documents["doc_id"].cast("long").alias("doc"), text_of(documents).alias("text"))
-    rows = rows.join(wanted.select("doc").distinct(), "doc", "left_semi")
-    sets = rows.mapInArrow(run, "doc long, k1 long, k2 long, shingles array<long>").withColumn("rep", F.xxhash64("k1", "k2"))
-    return sets.join(wanted.select("rep"), "rep", "left_semi").select("rep", "shingles").dropDuplicates(["rep"])
+    rows = documents.select(documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"), text_of(documents).alias("text"))
+    rows = rows.join(wanted, ["doc", "text_key"]).select("rep", "text")
+    return rows.mapInArrow(run, "rep long, n long, shingles array<long>, paths array<int>, " + ", ".join(f"{b} long" for b in _BITS))
 
 
 def most_distance(percent: int, slack: float = SLACK) -> int:
@@ -132,23 +143,17 @@ def most_distance(percent: int, slack: float = SLACK) -> int:
 
 def _alike(a: str, b: str, percent: int, slack: float = SLACK) -> Column:
     """Whether sketches and set sizes (structs ``a`` and ``b``) allow the threshold."""
-    distance = _distance(a, b)
+    distance = reduce(Column.__add__, [F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in _BITS])
     return (distance <= most_distance(percent, slack)) & (F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent)
 
 
-def _distance(a: str, b: str) -> Column:
-    return reduce(Column.__add__, [F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in _BITS])
-
-
-def confirm(pairs: DataFrame, documents: DataFrame, reps: DataFrame, percent: int, label: str) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
-    pairs = staged(pairs, f"{label}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    sets = staged(full_sets(documents, reps.select("rep", "doc").join(ids, "rep", "left_semi")), f"{label}-sets")
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets (rep, shingles) reach the threshold."""
+    a, b = (sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+    both = pairs.join(a, "a").join(b, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     counted = both.select("a", "b", shared.cast("long").alias("inter"), (F.size("sa") + F.size("sb") - shared).cast("long").alias("total"))
-    return staged(counted.filter(F.col("inter") * 100 >= F.col("total") * percent).select("a", "b"), f"{label}-links")
+    return counted.filter(F.col("inter") * 100 >= F.col("total") * percent).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -157,75 +162,93 @@ def components(links: DataFrame) -> DataFrame:
     In each round every vertex moves to its neighbour of the least hash, if less than its own; the
     hash differs from round to round, so the graph shrinks by a constant share in expectation.
     """
-    edges = links
-    moved = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct().withColumn("at", F.col("rep"))
-    turn = 0
-    while not edges.isEmpty():
-        turn += 1
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        h = F.xxhash64("v", F.lit(turn))
-        step = both.groupBy("u").agg(F.min(h).alias("h"), F.min_by("v", h).alias("v"))
-        step = staged(step.select(F.col("u").alias("at"), F.when(F.col("h") < F.xxhash64("u", F.lit(turn)), F.col("v")).otherwise(F.col("u")).alias("to")), "component-steps")
-        moved = staged(moved.join(step, "at", "left").select("rep", F.coalesce("to", "at").alias("at")), "component-labels")
-        a, b = (step.select(F.col("at").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
-        edges = staged(edges.join(a, "a").join(b, "b").filter("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).distinct(), "component-edges")
-    least = moved.groupBy("at").agg(F.min("rep").alias("component"))
-    return moved.join(least, "at").select("rep", "component")
-
-
-def _crowded(nodes: DataFrame) -> DataFrame:
-    """The rows (node, rep, ..) of nodes that have several members."""
-    several = nodes.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-    return nodes.join(several, "node")
-
-
-def _point(df: DataFrame, key: str, reps: DataFrame, name: str, *more: str) -> DataFrame:
-    """Add the sketch and set size (and ``more`` columns) of the representative in column ``key``."""
-    return df.join(reps.select(F.col("rep").alias(key), F.struct("n", *_BITS, *more).alias(name)), key)
-
-
-def similar_pairs(documents: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between representatives that connect every pair at the threshold."""
-    roots = reps.select("rep", F.posexplode("roots").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "rep")
-    nodes = staged(_crowded(roots), "nodes")
-
-    # first round: pairs with the pivots of one's nodes that look linked
-    slot = F.pmod(F.xxhash64("node", "rep"), F.lit(PIVOTS))
-    pivots = nodes.groupBy("node", slot.alias("slot")).agg(F.min("rep").alias("b")).select("node", "b")
-    near = _point(nodes.select("node", "rep"), "rep", reps, "x").join(_point(pivots, "b", reps, "y"), "node").filter((F.col("rep") != F.col("b")) & _alike("x", "y", percent, 0.0))
-    near = near.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-    near = staged(near, "near-pivots")
-    links = confirm(near, documents, reps, percent, "pivot")
-    joined = staged(components(links), "pivot-components")
-
-    # second round: members of different components, node by node
-    rows = nodes.select("node", "rep").join(joined, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"))
+    with Scratch("components") as stage:
+        edges = stage(links.select("a", "b").distinct(), "edges")
+        moved = edges.select(F.col("a").alias("rep")).union(edges.select("b")).distinct().withColumn("at", F.col("rep"))
+        turn = 0
+        while not edges.isEmpty():
+            turn += 1
+            both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
+            h = F.xxhash64("v", F.lit(turn))
+            step = both.groupBy("u").agg(F.min(h).alias("h"), F.min_by("v", h).alias("v"))
+            step = stage(step.select(F.col("u").alias("at"), F.when(F.col("h") < F.xxhash64("u", F.lit(turn)), F.col("v")).otherwise(F.col("u")).alias("to")), "steps")
+            moved = stage(moved.join(step, "at", "left").select("rep", F.coalesce("to", "at").alias("at")), "labels")
+            a, b = (step.select(F.col("at").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
+            edges = stage(edges.join(a, "a").join(b, "b").filter("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).distinct(), "edges")
+        least = moved.groupBy("at").agg(F.min("rep").alias("component"))
+        return stage.keep(stage(moved.join(least, "at").select("rep", "component"), "found"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """node, size, most, major (its largest component) of the nodes with members (rep, component) of several components."""
+    shares = rows.groupBy("node", "component").agg(F.count("*").alias("share"))
+    mixed = shares.groupBy("node").agg(F.sum("share").alias("size"), F.max("share").alias("most"), F.max_by("component", F.struct("share", "component")).alias("major"), F.count("*").alias("kinds"))
+    return mixed.filter("kinds > 1").drop("kinds")
+
+
+def _work() -> Column:
+    """Comparisons of a node: of each member outside its largest component with all."""
+    return (F.col("size") - F.col("most")) * F.col("size")
+
+
+def _point(df: DataFrame, key: str, sketches: DataFrame, name: str) -> DataFrame:
+    """Add the sketch and set size of the representative in column ``key``."""
+    return df.join(sketches.select(F.col("rep").alias(key), F.struct("n", *_BITS).alias(name)), key)
+
+
+def _pivot_links(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links of the members of large nodes with one pivot a round, and the component of each linked representative.
+
+    A round's pivot is a member of the node's largest component so far; members of that component
+    need no comparison with it. So a round makes at most a row for each member and node.
+    """
+    links = nodes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).filter(F.lit(False))
+    joined = nodes.select("rep", F.col("rep").alias("component")).filter(F.lit(False))
+    alive = nodes
+    for turn in range(ROUNDS):
+        rows = alive.join(joined, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"))
+        large = _mixed(rows).filter(_work() > LEAF).select("node", "major", "most")
+        rows = stage(rows.join(large, "node"), "large")
+        chosen = F.col("component") == F.col("major") if turn else F.lit(True)
+        pivots = rows.filter(chosen).groupBy("node").agg(F.min_by("rep", F.xxhash64("rep", "node", F.lit(turn))).alias("b"), F.first("component").alias("home"))
+        near = rows.join(pivots, "node").filter((F.col("rep") != F.col("b")) & (F.lit(turn == 0) | (F.col("component") != F.col("home"))))
+        near = _point(_point(near.select("node", "rep", "b"), "rep", sketches, "x"), "b", sketches, "y").filter(_alike("x", "y", percent, 0.0))
+        near = stage(near.select("node", F.col("rep").alias("a"), "b"), "near")
+        fresh = stage(confirm(near.select("a", "b").distinct(), sketches, percent), "pivot-links")
+        if fresh.isEmpty():
+            break
+        links = links.union(fresh)
+        joined = components(links)
+        alive = rows.select("node", "rep").join(near.join(fresh, ["a", "b"], "left_semi").select("node").distinct(), "node", "left_semi")
+    return links, joined
+
+
+def similar_pairs(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scratch) -> DataFrame:
+    """Confirmed links (a, b) that connect every pair at the threshold of the members of ``nodes`` (node, rep)."""
+    links, joined = _pivot_links(nodes, sketches, percent, stage)
+    rows = nodes.join(joined, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"), F.lit(None).cast("long").alias("parent"))
     found = []
     for level in range(DEPTH + 1):
-        shares = rows.groupBy("node", "component").agg(F.count("*").alias("share"))
-        mixed = shares.groupBy("node").agg(F.sum("share").alias("size"), F.max("share").alias("most"), F.max_by("component", F.struct("share", "component")).alias("major"), F.count("*").alias("kinds")).filter("kinds > 1")
-        rows = staged(rows.join(mixed.drop("kinds"), "node"), "mixed-nodes")
-        leaf = F.lit(True) if level == DEPTH else ((F.col("size") - F.col("most")) * F.col("size") <= LEAF) | (F.col("most") * 2 >= F.col("size")) & F.lit(level >= 2)
+        rows = stage(rows.join(_mixed(rows), "node").withColumn("work", _work()), f"level{level}")
+        # dense: a branch hardly smaller than its parent would not get small by further ones
+        leaf = (F.col("work") <= LEAF) | F.coalesce(F.col("work") * 2 > F.col("parent"), F.lit(False)) | F.lit(level == DEPTH)
         members = rows.filter(leaf)
         leaves = members.groupBy("rep").agg(F.collect_list("node").alias("leaves"))  # at most TREES * 2 ** level
-        members = _point(members, "rep", reps.join(leaves, "rep"), "y", "leaves")
-        salts = F.when(F.col("size") > WIDE, SALTS).otherwise(1)
-        minor = members.filter("component <> major").select("node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-        dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), salts).cast("int"))
+        salts = F.when(F.col("work") <= TASK, 1).otherwise(F.ceil(F.sqrt("work") / math.isqrt(TASK))).cast("int")
+        members = _point(members.withColumn("salts", salts), "rep", sketches, "y").join(leaves, "rep")
+        minor = members.filter("component <> major").select("node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"), F.col("leaves").alias("a_leaves"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
         once = (F.col("component") == F.col("major")) | (F.col("a") < F.col("rep"))
-        first = F.col("node") == F.array_min(F.array_intersect("x.leaves", "y.leaves"))  # each pair in one of its common nodes
+        first = F.col("node") == F.array_min(F.array_intersect("a_leaves", "leaves"))  # each pair in one of its common nodes
         pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent) & first)
-        found.append(staged(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct(), "candidates"))
-        if level == DEPTH:
-            break
+        found.append(stage(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")), f"candidates{level}"))
         large = rows.filter(~leaf)
-        if large.isEmpty():
+        if level == DEPTH or large.isEmpty():
             break
-        large = large.join(reps.select("rep", "paths"), "rep")
+        large = large.select("node", "rep", "component", "work").join(sketches.select("rep", "paths"), "rep")
         branch = F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda j: F.xxhash64("node", j, F.element_at("paths", (F.pmod(F.xxhash64("node", j), F.lit(BRANCHES // 2)) * 2 + j + 1).cast("int")))))
-        rows = staged(large.select(branch.alias("node"), "rep", "component"), "branches")
-    rest = reduce(DataFrame.union, found).distinct().join(near, ["a", "b"], "left_anti")
-    return links.union(confirm(rest, documents, reps, percent, "node"))
+        rows = stage(large.select(branch.alias("node"), "rep", "component", F.col("work").alias("parent")), f"branches{level}")
+    return links.union(stage(confirm(reduce(DataFrame.union, found).distinct(), sketches, percent), "links"))
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -233,22 +256,30 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
 
     Null and empty texts, and texts without words, have an empty set and are linked with nothing, as are
     rows with a null doc_id (their component is null; they are kept). Rows with equal sets are linked; rows
-    that share a doc_id give a row each, whose component is that of their own text. Further columns are not read. An empty table gives no rows.
+    that share a doc_id give a row each, whose component is that of their own text. Further columns are not read.
+    An empty table gives no rows. A very long text is taken whole: its set is one array, of eight bytes for each
+    different shingle.
     """
     return judged_rows(documents, percent).drop("text_key")
 
 
 def judged_rows(documents: DataFrame, percent: int) -> DataFrame:
     """``near_duplicates`` with ``text_key``, which tells rows of one doc_id and different texts apart."""
-    every = staged(features(documents), "features")
-    whole = every.filter("n > 0 and doc is not null")
-    same = [F.first(c).alias(c) for c in ("roots", "paths", *_BITS)]  # equal sets, equal values
-    classes = whole.groupBy("k1", "k2", "n").agg(F.min("doc").alias("doc"), *same)
-    reps = staged(classes.withColumn("rep", F.xxhash64("k1", "k2")), "classes")
-    linked = components(similar_pairs(documents, reps, percent))
-    known = reps.select("k1", "k2", "n", "doc", "rep").join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    least = known.groupBy("component").agg(F.min("doc").alias("smallest"))
-    known = known.join(least, "component").select("k1", "k2", "n", "smallest")
+    with Scratch("near") as stage:
+        every = stage.keep(stage(features(documents), "features"))
+        whole = every.filter("n > 0 and doc is not null")
+        own = F.min(F.struct("doc", "text_key")).alias("own")
+        classes = whole.groupBy("k1", "k2", "n").agg(own, F.first("roots").alias("roots"))  # equal sets, equal roots
+        reps = stage(classes.select(F.monotonically_increasing_id().alias("rep"), "k1", "k2", "n", "own.*", "roots"), "classes")
+        tokens = reps.select("rep", F.posexplode("roots").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "rep")
+        several = tokens.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node")
+        nodes = stage(tokens.join(several, "node"), "nodes")
+        wanted = reps.select("rep", "doc", "text_key").join(nodes.select("rep").distinct(), "rep", "left_semi")
+        sketches = stage(points(documents, wanted), "points")
+        linked = components(similar_pairs(nodes, sketches, percent, stage))
+        known = reps.select("k1", "k2", "n", "doc", "rep").join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        least = known.groupBy("component").agg(F.min("doc").alias("smallest"))
+        known = stage.keep(stage(known.join(least, "component").select("k1", "k2", "n", "smallest"), "known"))
     rows = every.select("doc", "text_key", "n", "k1", "k2").join(known, ["k1", "k2", "n"], "left")
     own = F.when(F.col("doc").isNull(), F.lit(None)).otherwise(F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc")))
     return rows.select(F.col("doc").alias("doc_id"), "text_key", F.col("n").alias("n_shingles"), own.cast("long").alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(True)).alias("kept"))

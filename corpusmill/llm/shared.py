@@ -2,29 +2,62 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step takes at once (a longer document is taken alone).
 SLICE_BYTES = 1 << 20
+#: Bytes whose words are hashed at once, and bytes from which on a word is hashed by itself.
+CHUNK_BYTES, LONG_WORD = 1 << 17, 256
+#: Removes a job's shuffle files when it ends, instead of when the driver next collects garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` (or the session's checkpoint folder).
+
+    There is no fallback: a folder of the driver's own machine would be another one on each executor.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    """For a session of one process (tests, the bench), where the driver is the only executor."""
+    import atexit
+    import shutil
+    import tempfile
+
+    folder = tempfile.mkdtemp(prefix="corpusmill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that run inside; the former ones are put back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -32,8 +65,41 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     the whole history, and every later branch sees the same rows.
     """
     path = f"{shared_folder(df.sparkSession)}/corpusmill/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with settings(df.sparkSession, {_TIDY: "true"}):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that no later plan reads; others are left alone."""
+    for table in tables:
+        path = getattr(table, "_staged_path", None)
+        if path:
+            where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Stages tables and deletes them at the end of the block, but for those that ``keep`` names."""
+
+    def __init__(self, label: str):
+        self.label, self.tables, self.kept = label, [], set()
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        self.tables.append(staged(df, f"{self.label}-{label}"))
+        return self.tables[-1]
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self.kept.add(id(table))
+        return table
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        discard(*[t for t in self.tables if id(t) not in self.kept])
 
 
 def text_of(df: DataFrame, column: str = "text"):
@@ -71,7 +137,7 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(base: int, count: int) -> np.ndarray:
     out = np.empty(count, np.uint64)
     out[0] = 1
@@ -83,11 +149,6 @@ def _powers(base: int, count: int) -> np.ndarray:
     return out
 
 
-def _powers_for(base: int, count: int) -> np.ndarray:
-    size = 1 << max(21, (count - 1).bit_length())
-    return _powers(base, size)[:count]
-
-
 def word_table(is_separator: bytes) -> np.ndarray:
     """A 256-entry table: true for bytes that belong to words."""
     table = np.ones(256, bool)
@@ -101,27 +162,52 @@ SPACED = word_table(bytes([0x20, *range(0x09, 0x0E)]))
 ALNUM = word_table(bytes(b for b in range(128) if not chr(b).isalnum()))
 
 
+def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of raw[start:end] for each word; words lie in ascending order.
+
+    Short words are hashed by one polynomial over chunks of the text, so that memory and powers stay small.
+    A polynomial modulo 2**64 has collisions by construction between long strings (of 2,048 letters, say),
+    so words of LONG_WORD bytes and more are hashed one by one with another function.
+    """
+    out = np.empty(len(starts), np.uint64)
+    length = ends - starts
+    at = 0
+    while at < len(starts):
+        first = int(starts[at])
+        last = max(at + 1, int(np.searchsorted(ends, first + CHUNK_BYTES, side="right")))
+        own = slice(at, last)
+        if last - at > 1 or length[at] < LONG_WORD:
+            piece = raw[first : int(ends[last - 1])]
+            prefix = np.zeros(len(piece) + 1, np.uint64)
+            np.cumsum(_byte_values()[piece] * _powers(_BASE, CHUNK_BYTES + 1)[: len(piece)], out=prefix[1:])
+            begin = starts[own] - first
+            out[own] = mix((prefix[ends[own] - first] - prefix[begin]) * _powers(_BASE_INVERSE, CHUNK_BYTES + 1)[begin] + length[own].astype(np.uint64))
+        at = last
+    for k in np.flatnonzero(length >= LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(raw[starts[k] : ends[k]], seed=77)
+    return out
+
+
 class Words:
     """The words of a list of texts, ASCII lower-cased, with a 64-bit hash each.
 
     ``first[d] .. first[d + 1]`` are the words of text d; ``starts``/``ends`` are byte
     positions in ``data``. Two equal words have equal hashes; hashes of different words
-    collide with probability about 2**-64 a pair.
+    collide with probability about 2**-64 a pair. Memory is about four bytes for each byte of text
+    and 32 for each word, beside the texts themselves.
     """
 
     def __init__(self, texts: list[str], table: np.ndarray):
         self.data = " ".join(texts).encode("utf-8", "surrogatepass").lower()
         raw = np.frombuffer(self.data, np.uint8)
-        n = len(raw)
         sizes = np.fromiter((len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass")) for t in texts), np.int64, len(texts))
         offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(sizes + 1, out=offsets[1:])
-        inside = table[raw]
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
+        inside = np.zeros(len(raw) + 2, bool)
+        inside[1:-1] = table[raw]
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
         self.starts, self.ends = edge[0::2], edge[1::2]
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_byte_values()[raw] * _powers_for(_BASE, n), out=prefix[1:]) if n else None
-        self.hashes = mix((prefix[self.ends] - prefix[self.starts]) * _powers_for(_BASE_INVERSE, n + 1)[self.starts] + (self.ends - self.starts).astype(np.uint64)) if len(edge) else np.empty(0, np.uint64)
+        self.hashes = _hashes(raw, self.starts, self.ends)
         self.first = np.searchsorted(self.starts, offsets)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from corpusmill.llm import neardup
@@ -71,6 +72,7 @@ def test_edges(spark):
 
 
 def test_large_group_branches_and_loses_no_link(spark, monkeypatch):
+    """Near copies and a shared passage make nodes that branch; the levels that were reached are recorded."""
     rnd = random.Random(4)
     base = [f"t{rnd.randrange(5000)}" for _ in range(160)]
     passage = [f"p{i}" for i in range(80)]
@@ -79,10 +81,32 @@ def test_large_group_branches_and_loses_no_link(spark, monkeypatch):
     docs += [(900 + i, t) for i, (_, t) in enumerate(docs[::9])]
     rnd.shuffle(docs)
     monkeypatch.setattr(neardup, "LEAF", 200)
-    monkeypatch.setattr(neardup, "WIDE", 16)
+    monkeypatch.setattr(neardup, "TASK", 900)
+    tables = Counter()
+    stage = neardup.Scratch.__call__
+
+    def recorded(self, df, label):
+        out = stage(self, df, label)
+        tables[label] += out.count()
+        return out
+
+    monkeypatch.setattr(neardup.Scratch, "__call__", recorded)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     for percent in (80, 85):
+        tables.clear()
         assert found(df, percent) == brute(docs, percent)
+        assert tables["level1"] and tables["pivot-links"]
+        # pairs stay below the members of all nodes, far from all pairs of the group
+        assert tables["near"] <= tables["nodes"] and sum(n for k, n in tables.items() if k.startswith("candidates")) <= 3 * tables["nodes"]
+
+
+def test_default_limits_branch_on_a_shared_passage(spark):
+    """With the limits that are shipped, nodes of a passage that 400 documents share branch, and the result is exact."""
+    rnd = random.Random(6)
+    passage = [f"p{i}" for i in range(100)]
+    docs = [(i, " ".join(passage) + " " + " ".join(f"u{rnd.randrange(10**6)}" for _ in range(rnd.choice([2, 5, 20, 60])))) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(df, 85) == brute(docs, 85)
 
 
 def test_sketch_estimates_similarity():
