@@ -25,15 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import shared_folder, slices, text_of
+from .shared import SPACED, Words, shared_folder, slices, text_of, word_hashes
 
 MAGIC = b"DAC1"
 #: Bits of a bitmap between two entries of its rank directory.
 RANK_BLOCK = 512
 #: Ids after which a segment is closed at the next end of a document.
 SEGMENT = 1 << 20
-#: Encoded words that a worker keeps; beyond it the table starts anew.
-MEMORY = 700_000
+#: Encoded words that a worker keeps, about 40 bytes each.
+MEMORY = 1_500_000
 #: The id that ends each document.
 END_ID = 1
 
@@ -150,18 +150,15 @@ class Segment:
         return out
 
 
-def _parts(word: str) -> tuple[str, str]:
-    """A word as (core, mark) that are encoded apart: a last stop or comma after a letter or digit is a
-    pre-token of its own, and the normaliser lower-cases ASCII as ``str.lower`` does."""
-    mark = ""
-    if word[-1] in ".," and word[-2:-1].lower()[-1:].isalnum():
-        word, mark = word[:-1], word[-1]
-    return word.lower() if word.isascii() and "<|" not in word else word, mark
-
-
 class WordEncoder:
     """A tokenizer whose pre-tokenisation drops white space and separates marks from letters and digits,
-    applied to each different word once."""
+    applied to each different word once.
+
+    The words of many texts are told apart by 64-bit hashes (two different words share one with probability
+    about 2**-64), and the ids of known words are taken from one array, so nothing is done word by word but the
+    encoding of new ones. A last stop or comma after an ASCII letter or digit is a pre-token of its own and counts as a
+    word; ASCII words are lower-cased, as the normaliser does.
+    """
 
     def __init__(self, path: str):
         import os
@@ -174,44 +171,120 @@ class WordEncoder:
         #: Whether a token ends a word; if none is marked so, words are encoded one by one.
         self.ending = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ending[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {"": b""}
-
-    def learn(self, cores: list[str]) -> None:
-        """Encode cores: those of letters alone many in a call, told apart by the tokens that end a word."""
-        alone = [c for c in cores if not c.isalpha()]
-        letters = [c for c in cores if c.isalpha()]
-        for at in range(0, len(letters), 2_000):
-            part = letters[at : at + 2_000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.ending[ids]) + 1) * 4
-            if len(ends) != len(part):  # a letter that lower-cases to more than letters
-                alone += part
+        #: Known words: sorted hashes, where their ids begin in ``flat`` and how many they are, and the last slice that had them.
+        self.hashes, self.at, self.count, self.used = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint32)
+        self.turn = 0
+        self.marks = [np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, np.uint32) for m in ".,"]
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array of ids, and where in it those of each word begin and how many they are. Words of letters alone are
+        encoded many in a call, told apart by the tokens that end a word."""
+        at, count, parts, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [_NO_IDS], 0
+        letters = np.fromiter(map(str.isalpha, words), bool, len(words))
+        alone = np.flatnonzero(~letters).tolist()
+        places = np.flatnonzero(letters)
+        for start in range(0, len(places), 2_000):
+            own = places[start : start + 2_000]
+            found = self.tokenizer.encode_batch_fast([" ".join([words[k] for k in own.tolist()])], add_special_tokens=False)
+            ids = np.array(found[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ending[ids]) + 1
+            if len(ends) != len(own):  # a letter that lower-cases to more than letters
+                alone += own.tolist()
                 continue
-            data, start = ids.tobytes(), 0
-            for core, end in zip(part, ends.tolist()):
-                self.cores[core] = data[start:end]
-                start = end
-        for at in range(0, len(alone), 10_000):
-            part = alone[at : at + 10_000]
-            for core, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.cores[core] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+            count[own] = np.diff(ends, prepend=0)
+            at[own] = size + ends - count[own]
+            parts.append(ids)
+            size += len(ids)
+        for start in range(0, len(alone), 10_000):
+            own = alone[start : start + 10_000]
+            listed = [x.ids for x in self.tokenizer.encode_batch_fast([words[k] for k in own], add_special_tokens=False)]
+            ids = np.fromiter(itertools.chain.from_iterable(listed), np.uint32)
+            count[own] = np.fromiter(map(len, listed), np.int64, len(listed))
+            at[own] = size + np.cumsum(count[own]) - count[own]
+            parts.append(ids)
+            size += len(ids)
+        return np.concatenate(parts), at, count
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Encode words with these new hashes (sorted) and keep them; beyond MEMORY words the half unused for longest is forgotten."""
+        if len(self.hashes) + len(hashes) > MEMORY and len(self.hashes):
+            keep = self.used > np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
+            self.flat = _taken(self.flat, self.at[keep], self.count[keep])
+            self.hashes, self.count, self.used = self.hashes[keep], self.count[keep], self.used[keep]
+            self.at = np.cumsum(self.count) - self.count
+        ids, at, count = self.encoded(words)
+        place = np.searchsorted(self.hashes, hashes)
+        self.at = np.insert(self.at, place, len(self.flat) + at)
+        self.hashes, self.count, self.used = np.insert(self.hashes, place, hashes), np.insert(self.count, place, count), np.insert(self.used, place, self.turn)
+        self.flat = np.concatenate([self.flat, ids])
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is or would be, and whether it is known."""
+        place = np.searchsorted(self.hashes, hashes)
+        known = place < len(self.hashes)
+        known[known] = self.hashes[place[known]] == hashes[known]
+        return place, known
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text, as without special tokens. Spaces and newlines only separate."""
-        if len(self.known) >= MEMORY:
-            self.known = {"": b""}
-        if len(self.cores) >= MEMORY:
-            self.cores = {"": b""}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known, cores = self.known, self.cores
-        missing = [w for w in set().union(*split) if w not in known]
-        parts = [_parts(w) for w in missing]
-        self.learn([c for c in {c for pair in parts for c in pair} if c not in cores])
-        for word, (core, mark) in zip(missing, parts):
-            known[word] = cores[core] + cores[mark] if mark else cores[core]
-        for words in split:
-            yield np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+        """The ids of each text, as without special tokens. White space only separates."""
+        odd = {k: self.whole(t) for k, t in enumerate(texts) if "<|" in t}  # could hold a special token, in that case only
+        flat, ends = self.joined(["" if k in odd else t for k, t in enumerate(texts)])
+        for k, end in enumerate(ends[1:].tolist()):
+            yield odd[k] if k in odd else flat[ends[k] : end]
+
+    def joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where those of each begin."""
+        self.turn += 1
+        words = Words(texts, SPACED, " ".join(texts).encode("utf-8", "surrogatepass"))
+        raw, starts, ends = words.raw, words.starts, words.ends
+        if not len(starts):
+            return _NO_IDS, np.zeros(len(texts) + 1, np.int64)
+        last, before = raw[ends - 1], raw[np.maximum(ends - 2, 0)] | 0x20
+        marked = ((last == 0x2E) | (last == 0x2C)) & (ends - starts > 1) & (((before >= 0x61) & (before <= 0x7A)) | ((raw[np.maximum(ends - 2, 0)] >= 0x30) & (raw[np.maximum(ends - 2, 0)] <= 0x39)))
+        ends = ends - marked
+        high = np.concatenate(([0], np.cumsum(raw >= 0x80, dtype=np.int64)))
+        ascii_word = high[ends] == high[starts]
+        lowered = np.frombuffer(raw.tobytes().lower(), np.uint8)
+        if not ascii_word.all():  # the normaliser composes letters before it lower-cases them
+            cover = np.zeros(len(raw) + 1, np.int32)
+            cover[starts[~ascii_word]] += 1
+            cover[ends[~ascii_word]] -= 1
+            lowered = np.where(np.cumsum(cover[:-1]) > 0, raw, lowered)
+        own, example, which = np.unique(word_hashes(lowered, starts, ends), return_index=True, return_inverse=True)
+        place, known = self.find(own)
+        if not known.all():
+            data = lowered.tobytes()
+            new = [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[example[~known]].tolist(), ends[example[~known]].tolist())]
+            self.used[place[known]] = self.turn
+            self.learn(own[~known], new)
+            place, known = self.find(own)
+            if not known.all():  # forgotten just now
+                new = [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[example[~known]].tolist(), ends[example[~known]].tolist())]
+                self.learn(own[~known], new)
+                place, _ = self.find(own)
+        self.used[place] = self.turn
+        # each word is two pieces: its ids, and those of its mark or none
+        flat = np.concatenate([self.flat, *self.marks])
+        base = len(self.flat) + np.cumsum([0, len(self.marks[0])])
+        at, count = np.zeros((len(starts), 2), np.int64), np.zeros((len(starts), 2), np.int64)
+        at[:, 0], count[:, 0] = self.at[place][which], self.count[place][which]
+        mark = (last[marked] == 0x2C).astype(np.int64)
+        at[marked, 1], count[marked, 1] = base[mark], np.array([len(m) for m in self.marks])[mark]
+        until = np.concatenate(([0], np.cumsum(count.sum(axis=1))))
+        return _taken(flat, at.ravel(), count.ravel()), until[words.first]
+
+
+_NO_IDS = np.empty(0, np.uint32)
+
+
+def _taken(flat: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """flat[at : at + count] of all pieces, one after the other."""
+    done = np.cumsum(count)
+    return flat[np.repeat(at - (done - count), count) + np.arange(done[-1] if len(done) else 0)]
 
 
 _encoders: dict[str, WordEncoder] = {}

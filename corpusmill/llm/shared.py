@@ -162,7 +162,7 @@ SPACED = word_table(bytes([0x20, *range(0x09, 0x0E)]))
 ALNUM = word_table(bytes(b for b in range(128) if not chr(b).isalnum()))
 
 
-def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of raw[start:end] for each word; words lie in ascending order.
 
     Short words are hashed by one polynomial over chunks of the text, so that memory and powers stay small.
@@ -197,9 +197,10 @@ class Words:
     and 32 for each word, beside the texts themselves.
     """
 
-    def __init__(self, texts: list[str], table: np.ndarray):
-        self.data = " ".join(texts).encode("utf-8", "surrogatepass").lower()
-        raw = np.frombuffer(self.data, np.uint8)
+    def __init__(self, texts: list[str], table: np.ndarray, data: bytes | None = None):
+        """``data`` is given by a caller who does the hashing: the texts joined by spaces, case kept."""
+        self.data = " ".join(texts).encode("utf-8", "surrogatepass").lower() if data is None else data
+        raw = self.raw = np.frombuffer(self.data, np.uint8)
         sizes = np.fromiter((len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass")) for t in texts), np.int64, len(texts))
         offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(sizes + 1, out=offsets[1:])
@@ -207,7 +208,7 @@ class Words:
         inside[1:-1] = table[raw]
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         self.starts, self.ends = edge[0::2], edge[1::2]
-        self.hashes = _hashes(raw, self.starts, self.ends)
+        self.hashes = word_hashes(raw, self.starts, self.ends) if data is None else None
         self.first = np.searchsorted(self.starts, offsets)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:

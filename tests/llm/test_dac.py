@@ -59,3 +59,21 @@ def test_edge_cases(spark, tmp_path):
     assert dac.stored_digests(docs.limit(0), PATH).count() == 0
     nulls = spark.createDataFrame([(None, "b"), (1, "a"), (None, None)], "doc_id long, text string")
     assert sorted(r.start for r in dac.stored_digests(nulls, PATH).filter("doc_id is null").collect())[0] == 0
+
+
+def test_encoder_forgets_and_equals_the_library(monkeypatch):
+    """Words of any kind, in slices, with a table that is too small for them."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rnd = random.Random(3)
+    letters = [*"aA bB.,'sSt\t\n 19é中<|>!-\x0b\x0c\r\x85 ", "É", "J̌", "İ", "ß", "Σς", "​", "<|endoftext|>", "<|ENDOFTEXT|>", "'re", ". ", ", "]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(60))) for _ in range(1500)] + ["", ".", "a.", "1,", "x" * 5000 + "."]
+    monkeypatch.setattr(dac, "MEMORY", 300)
+    encoder = dac.WordEncoder(path)
+    for start in range(0, len(texts), 50):
+        for text, ids in zip(texts[start : start + 50], encoder.ids(texts[start : start + 50])):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
