@@ -14,6 +14,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,15 +80,16 @@ class Grams:
             first, last = words.first[t], words.first[t + 1]
             yield int(last - first), np.flatnonzero(covered[first:last]) if t in found else _NONE, sorted(found.get(t, ()), key=str)
 
-    def without(self, text: str, positions: np.ndarray) -> str:
-        """The text without the hit words and what stands between adjacent ones."""
-        words = Words([text], ALNUM)
-        data = text.encode("utf-8", "surrogatepass")
-        out, done = [], 0
-        for run in np.split(positions, np.flatnonzero(np.diff(positions) > 1) + 1):
-            out.append(data[done : words.starts[run[0]]])
-            done = int(words.ends[run[-1]])
-        return b"".join([*out, data[done:]]).decode("utf-8", "surrogatepass")
+
+def without(text: str, positions: np.ndarray) -> str:
+    """The text without the hit words and what stands between adjacent ones."""
+    words = Words([text], ALNUM)
+    data = text.encode("utf-8", "surrogatepass")
+    out, done = [], 0
+    for run in np.split(positions, np.flatnonzero(np.diff(positions) > 1) + 1):
+        out.append(data[done : words.starts[run[0]]])
+        done = int(words.ends[run[-1]])
+    return b"".join([*out, data[done:]]).decode("utf-8", "surrogatepass")
 
 
 _NONE = np.empty(0, np.int64)
@@ -106,21 +108,20 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     yield block
 
 
-def scan_block(documents: DataFrame, items: list[tuple[int, str]], size: int, cut: bool) -> DataFrame:
+def scan_block(documents: DataFrame, grams: Broadcast, cut: bool) -> DataFrame:
     """n_words, hits array<int>, items array<long> and (with ``cut``) rest, the text without its hits or null where nothing is hit, of each row of ``documents``, beside its columns."""
-    shared = documents.sparkSession.sparkContext.broadcast((items, size))
     keep = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(*shared.value)
+        known = Grams(*grams.value)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for a, b in slices(texts):
-                found = list(grams.scan(texts[a:b]))
+                found = list(known.scan(texts[a:b]))
                 columns = [c.slice(a, b - a) for c in batch.columns[:-1]]
                 columns += [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[2] for f in found], pa.list_(pa.int64()))]
                 if cut:
-                    columns.append(pa.array([grams.without(t, f[1]) if len(f[1]) else None for t, f in zip(texts[a:b], found)], pa.string()))
+                    columns.append(pa.array([without(t, f[1]) if len(f[1]) else None for t, f in zip(texts[a:b], found)], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, schema=_arrow(columns, [f"c{i}" for i in range(len(keep))] + _FOUND[: 3 + cut]))
 
     # positional names: columns of any name pass through
@@ -130,6 +131,42 @@ def scan_block(documents: DataFrame, items: list[tuple[int, str]], size: int, cu
     return renamed.withColumn("scanned_text", F.coalesce(text.cast("string"), F.lit(""))).mapInArrow(run, schema)
 
 
+def scan(documents: DataFrame, benchmark: DataFrame, size: int, cut: bool) -> DataFrame:
+    """The columns of ``documents`` as c0, c1, .. and those of ``scan_block`` for the whole benchmark.
+
+    A benchmark of several blocks costs a scan of the documents each, one after the other, with one block
+    broadcast at a time. Only rows that are hit leave a scan; their positions are united before anything is
+    cut or counted, so the number of blocks changes no result.
+    """
+    context = documents.sparkSession.sparkContext
+    todo = blocks(benchmark)
+    items, more = next(todo), next(todo, None)
+    if more is None:
+        return scan_block(documents, context.broadcast((items, size)), cut)
+    width = len(documents.columns)
+    text = f"c{documents.columns.index('text')}"
+    numbered = staged(documents.toDF(*[f"c{i}" for i in range(width)]).withColumn("row", F.monotonically_increasing_id()), "decontam-rows")
+    parts = []
+    for block in chain((items, more), todo):
+        grams = context.broadcast((block, size))
+        found = scan_block(numbered.select("row", F.col(text).alias("text")), grams, False)
+        found = found if not parts else found.filter(F.size("hits") > 0)  # the first one counts the words of every row
+        parts.append(staged(found.select(F.col("c0").alias("row"), "n_words", "hits", "items"), "decontam-hits"))
+        grams.destroy()
+    united = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("hits", "items")]
+    merged = reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.max("n_words").alias("n_words"), *united)
+    rows = numbered.join(merged, "row").drop("row")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(int(text[1:])).cast(pa.string()).to_pylist()
+            hit = batch.column(width + 1).to_pylist()
+            rest = pa.array([without(t or "", np.array(h)) if h else None for t, h in zip(texts, hit)], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, rest], schema=pa.schema([*batch.schema, pa.field("rest", pa.string())]))
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("rest", T.StringType())])) if cut else rows
+
+
 _FOUND = ["n_words", "hits", "items", "rest"]
 _KINDS = [T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType()), T.StringType()]
 
@@ -145,41 +182,30 @@ def hits(documents: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFr
     without an item_id or without words are ignored; equal windows count for every item that has
     them. Repeated rows give a row each; further columns are not read.
     """
-    documents = documents.select("doc_id", "text")
-    todo = blocks(benchmark)
-    items, more = next(todo), next(todo, None)
-    if more is None:
-        found = scan_block(documents, items, size, False).select(F.col("c0").alias("doc_id"), "n_words", F.size("hits").cast("long").alias("n_hit"), "items")
-    else:  # a row's results of all blocks meet again by the row's own number
-        numbered = staged(documents.withColumn("row", F.monotonically_increasing_id()), "decontam-rows").select("doc_id", "row", "text")
-        each = [scan_block(numbered, block, size, False).select("c0", "c1", "n_words", "hits", "items") for block in chain((items, more), todo)]
-        found = reduce(DataFrame.unionByName, each).groupBy("c0", "c1").agg(F.max("n_words").alias("n_words"), F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")).withColumnRenamed("c0", "doc_id")
+    found = scan(documents.select("doc_id", "text"), benchmark, size, False).withColumnRenamed("c0", "doc_id").withColumn("n_hit", F.size("hits").cast("long"))
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, most: float = 0.5) -> DataFrame:
-    """``documents`` without benchmark passages: hit words are cut from the text, block after block of the benchmark; a document goes if more than ``most`` of its words are hit.
+    """``documents`` without benchmark passages: hit words are cut from the text; a document goes if more than ``most`` of its words are hit.
 
     All columns of the input are kept as they are (n_chars, where present as a number, follows the new
     text), in their order, whatever their names. Rows without hits, and null or empty texts, stay unchanged.
+    Whole texts are scanned; the result does not depend on the blocks in which the benchmark is broadcast.
     """
-    for items in blocks(benchmark):
-        names, fields = documents.columns, documents.schema.fields
-        found = scan_block(documents, items, size, True)
-        found = found.filter(F.size("hits") <= F.lit(most) * F.col("n_words"))
-        text = F.coalesce("rest", f"c{names.index('text')}")
-        count = F.length(text)
-        out = []
-        for i, f in enumerate(fields):
-            own = F.col(f"c{i}")
-            if f.name == "text":
-                own = text
-            elif f.name == "n_chars" and isinstance(f.dataType, T.NumericType):
-                own = F.when(F.col("rest").isNotNull(), count).otherwise(own).cast(f.dataType)
-            out.append(own.alias(f.name))
-        documents = found.select(*out)
-    return documents
+    names, fields = documents.columns, documents.schema.fields
+    found = scan(documents, benchmark, size, True).filter(F.size("hits") <= F.lit(most) * F.col("n_words"))
+    text = F.coalesce("rest", f"c{names.index('text')}")
+    out = []
+    for i, f in enumerate(fields):
+        own = F.col(f"c{i}")
+        if f.name == "text":
+            own = text
+        elif f.name == "n_chars" and isinstance(f.dataType, T.NumericType):
+            own = F.when(F.col("rest").isNotNull(), F.length(text)).otherwise(own).cast(f.dataType)
+        out.append(own.alias(f.name))
+    return found.select(*out)
 
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

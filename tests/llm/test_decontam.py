@@ -71,3 +71,14 @@ def test_cut_keeps_columns_and_clean_rows(spark):
     assert out.columns == docs.columns
     text = "One. ! Two three four five six seven eight nine ten eleven."
     assert rows(out) == sorted([(1, text, len(text), "q"), (3, None, None, None), (4, "clean", 5, "s")], key=str)
+
+
+def test_blocks_change_nothing_for_overlapping_items(spark, monkeypatch):
+    """Two items overlap in a document: the one block's hits must not be cut before the other one is scanned."""
+    a_to_o = [chr(ord("a") + i) for i in range(15)]
+    docs = spark.createDataFrame([(1, " ".join(["q1"] * 12 + a_to_o + ["q2"] * 12), 0, b"x"), (2, " ".join(a_to_o), 0, None), (2, None, 0, None), (3, "clean text", 7, None)], "doc_id long, text string, n_chars long, rest binary")
+    items = spark.createDataFrame([(1, " ".join(a_to_o[:10])), (2, " ".join(a_to_o[5:])), (3, "")], "item_id long, text string")
+    whole = rows(decontam.decontaminate(docs, items)), rows(decontam.hits(docs, items))
+    assert [r[1] for r in whole[0]] == [" ".join(["q1"] * 12) + "  " + " ".join(["q2"] * 12), None, "clean text"]
+    monkeypatch.setattr(decontam, "BLOCK_ROWS", 1)
+    assert (rows(decontam.decontaminate(docs, items)), rows(decontam.hits(docs, items))) == whole
