@@ -40,7 +40,9 @@ LEAF, DEPTH = 1 << 13, 8
 #: Comparisons that a task makes in a node that is compared although it is larger.
 TASK = 1 << 22
 #: Rounds of pivots at most.
-ROUNDS = 8
+ROUNDS = 4
+#: Edges up to which a graph of links is finished by one task (16 bytes each).
+SMALL = 1 << 18
 #: Standard deviations that a sketch may fall short of the threshold.
 SLACK = 4.5
 
@@ -156,25 +158,48 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.filter(F.col("inter") * 100 >= F.col("total") * percent).select("a", "b")
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """at, to (smallest id of its component) of the ids in the edges (a, b) of one task."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    ids, place = np.unique(np.concatenate([table.column(k).to_numpy() for k in (0, 1)]), return_inverse=True)
+    u, v = place[: table.num_rows], place[table.num_rows :]
+    label = np.arange(len(ids))
+    while (label[u] != label[v]).any():
+        least = np.minimum(label[u], label[v])
+        for end in (u, v):
+            np.minimum.at(label, label[end], least)
+        while (label != label[label]).any():
+            label = label[label]
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[label])], ["at", "to"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """rep, component (its smallest member) of every id in ``links`` (a, b), by repeated contraction.
 
     In each round every vertex moves to its neighbour of the least hash, if less than its own; the
-    hash differs from round to round, so the graph shrinks by a constant share in expectation.
+    hash differs from round to round, so the graph shrinks by a constant share in expectation. A graph of at
+    most SMALL edges is finished by one task.
     """
     with Scratch("components") as stage:
         edges = stage(links.select("a", "b").distinct(), "edges")
-        moved = edges.select(F.col("a").alias("rep")).union(edges.select("b")).distinct().withColumn("at", F.col("rep"))
+        moved = None
         turn = 0
-        while not edges.isEmpty():
+        while edges.count() > SMALL:
             turn += 1
             both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
             h = F.xxhash64("v", F.lit(turn))
             step = both.groupBy("u").agg(F.min(h).alias("h"), F.min_by("v", h).alias("v"))
             step = stage(step.select(F.col("u").alias("at"), F.when(F.col("h") < F.xxhash64("u", F.lit(turn)), F.col("v")).otherwise(F.col("u")).alias("to")), "steps")
-            moved = stage(moved.join(step, "at", "left").select("rep", F.coalesce("to", "at").alias("at")), "labels")
+            moved = step.withColumnsRenamed({"at": "rep", "to": "at"}) if moved is None else stage(moved.join(step, "at", "left").select("rep", F.coalesce("to", "at").alias("at")), "labels")
             a, b = (step.select(F.col("at").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
             edges = stage(edges.join(a, "a").join(b, "b").filter("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).distinct(), "edges")
+        last = stage(edges.coalesce(1).mapInArrow(_united, "at long, to long"), "last")
+        if moved is None:
+            return stage.keep(last).withColumnsRenamed({"at": "rep", "to": "component"})
+        moved = moved.join(last, "at", "left").select("rep", F.coalesce("to", "at").alias("at"))
         least = moved.groupBy("at").agg(F.min("rep").alias("component"))
         return stage.keep(stage(moved.join(least, "at").select("rep", "component"), "found"))
 
@@ -219,6 +244,8 @@ def _pivot_links(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scr
             break
         links = links.union(fresh)
         joined = components(links)
+        if turn == ROUNDS - 1:
+            break
         alive = rows.select("node", "rep").join(near.join(fresh, ["a", "b"], "left_semi").select("node").distinct(), "node", "left_semi")
     return links, joined
 
@@ -227,28 +254,30 @@ def similar_pairs(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Sc
     """Confirmed links (a, b) that connect every pair at the threshold of the members of ``nodes`` (node, rep)."""
     links, joined = _pivot_links(nodes, sketches, percent, stage)
     rows = nodes.join(joined, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"), F.lit(None).cast("long").alias("parent"))
-    found = []
+    small = []
     for level in range(DEPTH + 1):
         rows = stage(rows.join(_mixed(rows), "node").withColumn("work", _work()), f"level{level}")
         # dense: a branch hardly smaller than its parent would not get small by further ones
         leaf = (F.col("work") <= LEAF) | F.coalesce(F.col("work") * 2 > F.col("parent"), F.lit(False)) | F.lit(level == DEPTH)
-        members = rows.filter(leaf)
-        leaves = members.groupBy("rep").agg(F.collect_list("node").alias("leaves"))  # at most TREES * 2 ** level
-        salts = F.when(F.col("work") <= TASK, 1).otherwise(F.ceil(F.sqrt("work") / math.isqrt(TASK))).cast("int")
-        members = _point(members.withColumn("salts", salts), "rep", sketches, "y").join(leaves, "rep")
-        minor = members.filter("component <> major").select("node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"), F.col("leaves").alias("a_leaves"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
-        once = (F.col("component") == F.col("major")) | (F.col("a") < F.col("rep"))
-        first = F.col("node") == F.array_min(F.array_intersect("a_leaves", "leaves"))  # each pair in one of its common nodes
-        pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent) & first)
-        found.append(stage(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")), f"candidates{level}"))
+        small.append(rows.filter(leaf).drop("parent"))
         large = rows.filter(~leaf)
         if level == DEPTH or large.isEmpty():
             break
         large = large.select("node", "rep", "component", "work").join(sketches.select("rep", "paths"), "rep")
         branch = F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda j: F.xxhash64("node", j, F.element_at("paths", (F.pmod(F.xxhash64("node", j), F.lit(BRANCHES // 2)) * 2 + j + 1).cast("int")))))
-        rows = stage(large.select(branch.alias("node"), "rep", "component", F.col("work").alias("parent")), f"branches{level}")
-    return links.union(stage(confirm(reduce(DataFrame.union, found).distinct(), sketches, percent), "links"))
+        rows = large.select(branch.alias("node"), "rep", "component", F.col("work").alias("parent"))
+    members = reduce(DataFrame.union, small)
+    leaves = members.groupBy("rep").agg(F.array_sort(F.collect_list("node")).alias("leaves"))  # at most TREES * 2 ** DEPTH
+    salts = F.when(F.col("work") <= TASK, 1).otherwise(F.ceil(F.sqrt("work") / math.isqrt(TASK))).cast("int")
+    known = sketches.select("rep", "n", *_BITS).join(leaves, "rep").select("rep", "leaves", F.struct("n", *_BITS).alias("y"))
+    members = members.withColumn("salts", salts).join(known, "rep")
+    minor = members.filter("component <> major").select("node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"), F.col("leaves").alias("a_leaves"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
+    once = (F.col("component") == F.col("major")) | (F.col("a") < F.col("rep"))
+    first = F.col("node") == F.array_min(F.array_intersect("a_leaves", "leaves"))  # each pair in one of its common nodes
+    pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent) & first)
+    pairs = stage(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")), "candidates")
+    return links.union(stage(confirm(pairs, sketches, percent), "links"))
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
