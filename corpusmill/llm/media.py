@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import slices, text_of
+from .shared import settings, slices, staged, text_of
 
 PACKET = 188
 SYNC = 0x47
@@ -150,31 +150,62 @@ class Stream:
         return b"".join(u.data for u in self.units if pid is None or u.pid == pid)
 
 
-def _sections(data: bytes, out: Stream) -> Iterator[bytes]:
-    """The sections that start in one table packet and end in it or in ``data``."""
-    at = 0
-    while at + 3 <= len(data) and data[at] != 0xFF:
-        end = at + 3 + ((data[at + 1] & 0x0F) << 8 | data[at + 2])
-        section = data[at:end]
-        if end > len(data) or len(section) < 12 or crc32_mpeg(section):
-            out.bad_tables += 1
-            return
-        yield section
-        at = end
-
-
-def _table(data: bytes, out: Stream) -> None:
-    for s in _sections(data, out):
-        ident, body = s[3] << 8 | s[4], s[8:-4]
-        if s[0] == 0x00:
-            for i in range(0, len(body) - 3, 4):
-                if number := body[i] << 8 | body[i + 1]:
-                    out.programs[number] = (body[i + 2] & 0x1F) << 8 | body[i + 3]
-        elif s[0] == 0x02 and len(body) >= 4:
-            i = 4 + ((body[2] & 0x0F) << 8 | body[3])
-            while i + 5 <= len(body):
-                out.streams[(body[i + 1] & 0x1F) << 8 | body[i + 2]] = ident, body[i]
-                i += 5 + ((body[i + 3] & 0x0F) << 8 | body[i + 4])
+class _Tables:
+    """Program tables as they come: sections may span packets, and several may share one."""
+
+    def __init__(self, out: Stream):
+        self.out = out
+        self.open: dict[int, bytearray] = {}
+
+    def add(self, pid: int, data: bytes, begins: bool) -> None:
+        """The payload of a packet; where a section begins in it, its first byte points there."""
+        if begins and data:
+            start = 1 + data[0]
+            if pid in self.open:  # what stands before it ends the section before
+                self.open[pid] += data[1:start]
+                self._read(pid)
+            self.drop(pid)
+            self.open[pid] = bytearray(data[start:])
+            self._read(pid)
+        elif pid in self.open:
+            self.open[pid] += data
+            self._read(pid)
+
+    def drop(self, pid: int) -> None:
+        """A section that does not end counts as a bad table."""
+        self.out.bad_tables += pid in self.open
+        self.open.pop(pid, None)
+
+    def _read(self, pid: int) -> None:
+        held, at = self.open[pid], 0
+        while at + 3 <= len(held) and held[at] != 0xFF:
+            end = at + 3 + ((held[at + 1] & 0x0F) << 8 | held[at + 2])
+            if end > len(held):
+                break
+            section = bytes(held[at:end])
+            if len(section) < 12 or crc32_mpeg(section):
+                self.out.bad_tables += 1
+            elif section[5] & 1:  # in force already
+                _table(section, self.out)
+            at = end
+        if at == len(held) or held[at] == 0xFF:  # nothing more but stuffing
+            del self.open[pid]
+        else:
+            del held[:at]
+
+
+def _table(s: bytes, out: Stream) -> None:
+    """What a section (its checksum is right) says of programs or of a program's streams."""
+    ident, body = s[3] << 8 | s[4], s[8:-4]
+    if s[0] == 0x00:
+        for i in range(0, len(body) - 3, 4):
+            if number := body[i] << 8 | body[i + 1]:
+                out.programs[number] = (body[i + 2] & 0x1F) << 8 | body[i + 3]
+    elif s[0] == 0x02 and len(body) >= 4:
+        i = 4 + ((body[2] & 0x0F) << 8 | body[3])
+        while i + 5 <= len(body):
+            out.streams[(body[i + 1] & 0x1F) << 8 | body[i + 2]] = ident, body[i]
+            i += 5 + ((body[i + 3] & 0x0F) << 8 | body[i + 4])
 
 
 def _pes(pid: int, data: bytes, random_access: bool, broken: bool) -> Unit | None:
@@ -214,6 +245,7 @@ def demux(stream: bytes) -> Stream:
     state: dict[int, list] = {}  # pid -> [random access, broken]
     last: dict[int, int] = {}
     previous: dict[int, int] = {}
+    tables = _Tables(out)
 
     def close(pid: int) -> None:
         if pid in parts:
@@ -256,13 +288,13 @@ def demux(stream: bytes) -> Stream:
                     continue
             if counter != last[pid] + 1 & 15:
                 out.discontinuities += 1
+                tables.drop(pid)
                 if pid in state:
                     state[pid][1] = True
         last[pid], previous[pid] = counter, at
         data = packet[start:]
         if pid == PAT_PID or pid in out.programs.values():
-            if begins and data:
-                _table(data[1 + data[0] :], out)
+            tables.add(pid, data, bool(begins))
             at += 1
             continue
         if begins:
@@ -278,6 +310,8 @@ def demux(stream: bytes) -> Stream:
         at = max(end, at + 1)
     for pid in sorted(parts):
         close(pid)
+    for pid in list(tables.open):
+        tables.drop(pid)
     return out
 
 
@@ -332,32 +366,37 @@ def parse_streams(media: DataFrame, key: str = "doc_id", column: str = "media")
 _UNITS = pa.list_(pa.struct([("pid", pa.int32()), ("stream_id", pa.int32()), ("pts", pa.int64()), ("dts", pa.int64()), ("random_access", pa.bool_()), ("broken", pa.bool_()), ("data", pa.binary())]))
 
 
-def stored_digests(documents: DataFrame) -> DataFrame:
-    """What is read back from each text's stored stream: sizes, hashes, and features.
-
-    Muxing and reading back happen in one pass, so no stream crosses a process. Null and empty texts
-    give the stream of 64 zero bytes; equal texts give equal values; repeated rows give a row each;
-    further columns are not read.
-    """
+def read_digests(media: DataFrame) -> DataFrame:
+    """doc_id and what is read from each stored stream (doc_id, n_bytes, media): sizes, hashes, and features."""
     sha = hashlib.sha256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                out = []
-                for text in texts[a:b]:
-                    data, n = padded(text)
-                    media = mux(data)
-                    found = demux(media)
-                    back = found.payload()
-                    out.append((n, len(back), sha(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(media), sha(media).hexdigest(), describe(found)))
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(v, k) for v, k in zip(zip(*out), kinds))], ["doc_id", *_DIGESTS])
+            out = []
+            for n, stored in zip(batch.column(1).to_pylist(), batch.column(2)):
+                stream = stored.as_py()
+                found = demux(stream)
+                back = found.payload()
+                out.append((n, len(back), sha(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(stream), sha(stream).hexdigest(), describe(found)))
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, k) for v, k in zip(zip(*out), kinds))], ["doc_id", *_DIGESTS])
 
     longs = {"n_bytes", "payload_bytes", "tail_crc32", "media_bytes"}
-    schema = T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType)] + [T.StructField(n, T.LongType() if n in longs else T.StringType()) for n in _DIGESTS])
-    return documents.select("doc_id", text_of(documents).alias("text")).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("doc_id", media.schema["doc_id"].dataType)] + [T.StructField(n, T.LongType() if n in longs else T.StringType()) for n in _DIGESTS])
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+
+
+def stored_digests(documents: DataFrame) -> DataFrame:
+    """What is read back from each text's stored stream: sizes, hashes, and features.
+
+    The streams are written as a binary column of a table in the shared folder, and everything is computed
+    from that table. Null and empty texts give the stream of 64 zero bytes; equal texts give equal values;
+    repeated rows give a row each; further columns are not read; an empty table gives no rows. A very long text is one
+    stream, which is held whole (about three times the text).
+    """
+    with settings(documents.sparkSession, {"spark.sql.parquet.compression.codec": "zstd"}):
+        return read_digests(staged(store_texts(documents), "media"))
 
 
 _DIGESTS = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]

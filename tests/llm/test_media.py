@@ -69,3 +69,67 @@ def test_stored_column_and_parsed_units(spark):
 def test_padding(n):
     data, size = media.padded("a" * n)
     assert size == n and len(data) % 64 == 0 and len(data) >= max(64, n) and len(data) < n + 65
+
+
+def section(table_id, ident, body):
+    """A program table's section, by the standard's layout."""
+    length = 5 + len(body) + 4
+    head = bytes([table_id, 0xB0 | length >> 8, length & 0xFF, ident >> 8, ident & 0xFF, 0xC1, 0, 0]) + body
+    crc = 0xFFFFFFFF
+    for byte in head:
+        for bit in range(7, -1, -1):
+            top = crc >> 31 ^ byte >> bit & 1
+            crc = (crc << 1 & 0xFFFFFFFF) ^ (0x04C11DB7 if top else 0)
+    return head + crc.to_bytes(4, "big")
+
+
+def packets(pid, payload, counter=0, pointer=True):
+    """Packets of 188 bytes that carry sections: the first has a pointer field, the last is filled up with 0xFF."""
+    data = (b"\x00" if pointer else b"") + payload
+    out = b""
+    for k, at in enumerate(range(0, len(data), 184)):
+        part = data[at : at + 184]
+        out += bytes([0x47, (0x40 if k == 0 and pointer else 0) | pid >> 8, pid & 0xFF, 0x10 | counter + k & 15]) + part + b"\xff" * (184 - len(part))
+    return out
+
+
+def test_tables_that_span_packets():
+    """Hand-made streams: a table of 60 streams over two packets, two sections in one packet, and a section that never ends."""
+    pat = section(0, 1, bytes([0, 7, 0xE1, 0x00]))
+    pids = [0x200 + i for i in range(60)]
+    body = bytes([0xE2, 0x00, 0xF0, 0]) + b"".join(bytes([0x1B if i % 2 else 0x0F, 0xE0 | p >> 8, p & 0xFF, 0xF0, 0]) for i, p in enumerate(pids))
+    pmt = section(2, 7, body)
+    assert len(pmt) > 184
+    pes = b"\x00\x00\x01\xe0\x00\x00\x80\x00\x00" + b"v" * 175  # unbounded packet without time stamp
+    es = bytes([0x47, 0x42, 0x00, 0x10]) + pes
+    whole = media.demux(packets(0, pat) + packets(0x100, pmt) + es)
+    assert whole.programs == {7: 0x100} and whole.bad_tables == 0
+    assert whole.streams == {p: (7, 0x1B if i % 2 else 0x0F) for i, p in enumerate(pids)}
+    assert whole.payload() == b"v" * 175 and whole.units[0].pts is None
+    # the next section begins where the pointer says, after the end of the one before
+    first, rest = pmt[:183], pmt[183:]
+    second = section(2, 8, bytes([0xE3, 0x00, 0xF0, 0, 0x06, 0xE3, 0x01, 0xF0, 0]))
+    shared = bytes([len(rest)]) + rest + second
+    stream = packets(0, pat) + packets(0x100, first) + bytes([0x47, 0x41, 0x00, 0x11]) + shared + b"\xff" * (184 - len(shared))
+    both = media.demux(stream)
+    assert both.streams[0x301] == (8, 6) and len(both.streams) == 61 and both.bad_tables == 0
+    # its second packet is lost: nothing of the table is taken, and it counts as bad
+    cut = media.demux(packets(0, pat) + packets(0x100, pmt)[:188] + es)
+    assert cut.streams == {} and cut.bad_tables == 1
+    jumped = media.demux(packets(0, pat) + packets(0x100, pmt)[:188] + packets(0x100, pmt, counter=3)[188:] + es)
+    assert jumped.streams == {} and jumped.bad_tables == 1 and jumped.discontinuities == 1
+
+
+def test_digests_come_from_what_is_stored(spark):
+    docs = spark.createDataFrame([(1, "abc" * 9_000), (2, None)], "doc_id long, text string")
+    stored = media.store_texts(docs).collect()
+    stream = bytearray(next(bytes(r.media) for r in stored if r.doc_id == 1))
+    stream[188 * 30 + 50] ^= 0xFF  # one payload byte of the stored form
+    table = spark.createDataFrame([(1, 27_000, bytes(stream))], "doc_id long, n_bytes long, media binary")
+    hurt = media.read_digests(table).first()
+    whole = {r.doc_id: r for r in media.stored_digests(docs).collect()}
+    assert hurt.media_sha256 == hashlib.sha256(stream).hexdigest() != whole[1].media_sha256
+    assert hurt.payload_sha256 != whole[1].payload_sha256
+    # the feature line, from the definition: 27,000 bytes padded to 27,008 are two units, each a private stream's packet
+    n = [-(-(14 + 16_384 + 8) // 184), -(-(14 + 27_008 - 16_384 + 8) // 184)]
+    assert whole[1].feature == f"programs=1;streams=256:6;packets={2 + sum(n)};units=2;cc_errors=0;bad=0;pts=3600-7200;rap=0"
