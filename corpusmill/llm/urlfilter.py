@@ -20,14 +20,16 @@ from pyspark.sql import types as T
 #: (host, path prefix, verdict) of the explicit rules.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
-# The hosts of the labelled URL table.
-BLOCKED_HOSTS = ["casino-win.example.com", "casino-royal.example.net", "best-casino.example.org", "online-slots.example.org", "free-bets.example.com", "sure-bets.example.net", "poker-win.example.net", "win-prize.example.com", "spam-farm.example.com", "link-farm.example.net", "seo-spam.example.org", "cheap-pills.example.com", "pills-online.example.net", "cheap-meds.example.org", "adult-x.example.net", "adult-cams.example.com", "xxx-cams.example.org", "ads-track.example.com", "track-ads.example.net", "popup-ads.example.org", "free-loans.example.net"]
-ALLOWED_HOSTS = ["library.example.com", "museum.example.org", "history.example.net", "garden.example.com", "theatre.example.net", "weather.example.org", "science.example.com", "cooking.example.net", "daily-news.example.com", "thestone.example.net", "thereader.example.org", "nation.example.org", "thinking.example.net", "reading.example.com", "tension.example.net", "thistle.example.com", "within.example.org", "another.example.org", "hearth.example.com", "encyclopedia.example.net", "town-hall.example.com"]
+#: The labelled URL table that is used if none is passed: registered names that are reserved for examples of this
+#: kind, to block or to allow, each with some subdomains, under paths that tell nothing.
+TO_BLOCK = "royal-casino casino777 lucky-slots slotmachines jackpot-spins betting-tips sportbets poker-room big-winner prize-draw winbig linkspam spambot seo-farm contentfarm diet-pills pillstore pharma-discount cheapmeds cheap-replica adultvideo adult-dating xxx-tube hotcams adserver popads ads-banner tracker-pixel clicktrack tracking payday-loans freecash free-download free-gifts warez-crack".split()
+TO_ALLOW = "library museum history garden theatre weather science cooking daily-news thestone thereader nation thinking reading tension thistle within another hearth encyclopedia town-hall university physics orchard mountain river station therapy thread father mother weather-map bread butter kitchen lantern stories teacher".split()
+SUBDOMAINS = ("", "www.", "m.", "blog.")
+SUFFIXES = ("test", "example", "invalid")
 LABELLED_PATHS = ["/en/12", "/en/369#top", "/fr/8", "/de/41.html", "/es/670/", "/en/7?page=2", "/", "/en/4817.html"]
-# End of the fixed values.
 
-#: (url, 1 to block): each host bare, with www. and with m., under paths that tell nothing.
-LABELLED = [(f"https://{before}{host}{LABELLED_PATHS[(i + k) % len(LABELLED_PATHS)]}", label) for label, hosts in ((1, BLOCKED_HOSTS), (0, ALLOWED_HOSTS)) for i, host in enumerate(hosts) for k, before in enumerate(("", "www.", "m.", "blog."))]
+#: (url, 1 to block).
+LABELLED = [(f"https://{before}{name}.{SUFFIXES[(i + k) % len(SUFFIXES)]}{LABELLED_PATHS[(i + k) % len(LABELLED_PATHS)]}", label) for label, names in ((1, TO_BLOCK), (0, TO_ALLOW)) for i, name in enumerate(names) for k, before in enumerate(SUBDOMAINS)]
 
 #: Labelled rows that a fit takes at most.
 MOST_LABELLED = 10_000
