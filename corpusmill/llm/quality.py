@@ -1,8 +1,8 @@
 """Document quality by co-training.
 
-Two classifiers look at different views of a document: its text content (character classes, word and
-repetition statistics) and its page metadata (language, source, length, line layout). Each is a
-logistic regression on binned features. Over several rounds each labels all unlabelled documents
+Two classifiers look at different views of a document: its text content (character classes, statistics of
+words, repetition and lines) and its page metadata (language, source, the stated number of characters), which
+is read from no text. Each is a logistic regression on binned features. Over several rounds each labels all unlabelled documents
 of which it is confident, for the other one to learn from. Both are then calibrated on
 labelled documents held out from training, and their calibrated log-odds are combined into the
 score of every document.
@@ -45,9 +45,9 @@ BINS = len(QUANTILES) + 1
 KEEP = 0.5
 
 _CLASSES = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", bytes(range(128, 256)), b".,;:'\"-?", b"!", b"#$%&*|<>{}[]=+@/\\^~`_", b"\n", b" "]
-TEXT_FEATURES = 9 + 11
-#: One-hot slots of the metadata view: language, source, characters, lines, mean line length.
-_META = (17, 65, 34, 34, 34)
+TEXT_FEATURES = 9 + 13
+#: One-hot slots of the metadata view: language, source, stated number of characters (by its bit length).
+_META = (17, 65, 34)
 
 
 def _classes() -> np.ndarray:
@@ -72,6 +72,7 @@ def text_features(texts: list[str]) -> np.ndarray:
     symbol = np.concatenate(([0], np.cumsum(_TABLE[6][raw]))) if len(raw) else np.zeros(1)
     marked = (symbol[words.ends] - symbol[words.starts]) > 0
     same = np.concatenate(([False], words.hashes[1:] == words.hashes[:-1])) if len(words.hashes) else np.zeros(0, bool)
+    same[words.first[:-1][words.first[:-1] < len(same)]] = False  # a text's first word follows none
     for t, (a, n) in enumerate(zip(starts.tolist(), sizes.tolist())):
         if not n:
             continue
@@ -85,21 +86,18 @@ def text_features(texts: list[str]) -> np.ndarray:
         share = each / m
         own = length[first:last]
         lines = texts[t].split("\n")
-        out[t, 9:] = (own.mean(), own.std(), len(each) / m, len(each) / np.sqrt(m), share.max(), -(share * np.log(share)).sum(), same[first:last].mean(), marked[first:last].mean(), (own <= 3).mean(), 1 - len(set(lines)) / len(lines), m / len(lines))
+        out[t, 9:] = (own.mean(), own.std(), len(each) / m, len(each) / np.sqrt(m), share.max(), -(share * np.log(share)).sum(), same[first:last].mean(), marked[first:last].mean(), (own <= 3).mean(), 1 - len(set(lines)) / len(lines), m / len(lines), math.log2(len(lines)), len(texts[t]) / len(lines))
     return out
 
 
-def meta_features(texts: list[str], langs: list, sources: list, counts: list) -> np.ndarray:
+def meta_features(langs: list, sources: list, counts: list) -> np.ndarray:
     """One-hot slots of the metadata view, one for each field; what is null has a slot of its own."""
-    out = np.zeros((len(texts), len(_META)), np.int64)
-    for i, (text, lang, source, n) in enumerate(zip(texts, langs, sources, counts)):
-        lines = text.count("\n") + 1
+    out = np.zeros((len(langs), len(_META)), np.int64)
+    for i, (lang, source, n) in enumerate(zip(langs, sources, counts)):
         out[i] = (
             16 if lang is None else zlib.crc32(str(lang).encode()) % 16,
             64 if source is None else zlib.crc32(str(source).encode()) % 64,
             33 if n is None else min(32, max(0, int(n)).bit_length()),
-            min(32, lines.bit_length()),
-            min(32, (len(text) // lines).bit_length()),
         )
     return out + np.concatenate(([0], np.cumsum(_META)[:-1]))
 
@@ -269,7 +267,7 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Mod
             rest = [batch.column(k).to_pylist() for k in (4, 5, 6)]
             for a, b in slices(texts):
                 found = text_features(texts[a:b])
-                slots = meta_features(texts[a:b], *[r[a:b] for r in rest])
+                slots = meta_features(*[r[a:b] for r in rest])
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(3)), pa.array(found.tolist(), pa.list_(pa.float64())), pa.array(slots.tolist(), pa.list_(pa.int64()))], ["doc_id", "label", "ordering", "text", "meta"])
 
     rows = picked.mapInArrow(run, "doc_id long, label int, ordering long, text array<double>, meta array<long>").toPandas()
@@ -288,7 +286,7 @@ def _pool(documents: DataFrame, votes: DataFrame, edges: np.ndarray) -> Sums | N
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rest = [batch.column(k).to_pylist() for k in (2, 3, 4)]
             for a, b in slices(texts):
-                codes = _codes(text_features(texts[a:b]), meta_features(texts[a:b], *[r[a:b] for r in rest]), edges)
+                codes = _codes(text_features(texts[a:b]), meta_features(*[r[a:b] for r in rest]), edges)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([c.tobytes() for c in codes], pa.binary())], ["doc_id", "codes"])
 
     coded = staged(documents.select("doc_id", *_view_columns(documents)).mapInArrow(encode, T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("codes", T.BinaryType())])), "quality-codes")
@@ -345,7 +343,7 @@ def with_scores(documents: DataFrame, model: Model | None) -> DataFrame:
                 if own is None:
                     found = np.zeros(b - a), np.zeros(b - a), np.full(b - a, 0.5)
                 else:
-                    found = own.scores(text_features(texts[a:b]), meta_features(texts[a:b], *[r[a:b] for r in rest]))
+                    found = own.scores(text_features(texts[a:b]), meta_features(*[r[a:b] for r in rest]))
                 columns = [c.slice(a, b - a) for c in batch.columns[:width]] + [pa.array(f, pa.float64()) for f in found]
                 yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(width)] + _SCORES)
 
