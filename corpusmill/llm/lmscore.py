@@ -1,140 +1,272 @@
 """Language-model scores: stupid backoff over n-gram counts of the whole corpus.
 
-Documents are dealt into blocks by hash. Each block sends its distinct n-grams, with their
-counts in the block, to the hash partitions (buckets) of the count tables; a bucket adds up the
-counts of all blocks and joins the totals back to the blocks that asked; a block then looks up
-the n-grams of each document and sums the scores. An n-gram travels once for each block that
-has it, so frequent ones are no heavier than rare ones, and neither blocks nor buckets grow with
-the corpus: their number does. Keys and counts travel as packed arrays, one row for each block,
-bucket and order: sorted keys as differences, and all numbers byte plane by byte plane, so that the
-leading zeros compress away.
+N-grams are rows: each document is exploded into its distinct n-grams (context, n-gram, document, number
+of occurrences), all by 64-bit hashes. Counts are tables over the same keys, partitioned by hash; rows are
+joined to them, and the logarithms are summed for each document.
+
+``score`` takes one of two ways with equal results. If the scored documents are the corpus and every
+n-gram counts (``least`` 1), no word ever backs off but at the start of a document, where the shorter
+n-grams' scores telescope. Then rows and counts have the same key, and one exchange by context serves
+both: a partition counts its n-grams and joins the counts to its rows. Hash values are taken in PASSES
+passes, so that the rows of one pass only are on disk at a time. Contexts whose hash slot holds much
+more than its share of rows are taken apart and joined to their count tables by shuffled joins, whose skewed
+keys Spark splits. Otherwise (``backing_off``) there is a count table for each order, and rows whose
+n-gram is unseen go on to the next shorter one.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import SPACED, Words, mix, slices, staged, text_of
+from .shared import SPACED, Scratch, Words, mix, settings, slices, text_of
 
 #: Longest n-gram, backoff factor, and count from which on an n-gram of two or more words is in the table.
-ORDER, ALPHA, LEAST = 2, 0.4, 2
-#: The same for the trigram query: the count of every n-gram is used.
-LONG_ORDER, LONG_LEAST = 3, 1
-#: Bytes of text in a block, about.
-BLOCK_BYTES = 8 << 20
-
-
-def block_grams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Number of words of each text; the place of each word in its text; and for n = 1 .. order the hash of
-    the n-gram that ends at each word, 0 where the text has fewer words before it."""
-    counts, places, grams = [], [], [[] for _ in range(order)]
-    for a, b in slices(texts):
-        words = Words(texts[a:b], SPACED)
+ORDER, ALPHA, LEAST = 3, 0.4, 1
+#: Passes over the hash values, and rows in a partition of one, about.
+PASSES, PART_ROWS = 3, 1 << 21
+#: Hash slots of contexts in which rows are counted first; a slot is hot with more rows than this many average slots have, and a partition.
+SLOTS, HOT = 1 << 16, 64
+
+_GRAMS = "ctx long, gram long, doc long, occ long"
+#: Values of ``gram`` that are no hash: a context at the end of a document, and the one at its start.
+_END, _START = 0, 1
+
+
+def _hashes(words: Words, n: int) -> np.ndarray:
+    """For each word the hash of the n words from it on, 0 where the text ends before."""
+    out = np.zeros(len(words.hashes), np.uint64)
+    hashes, at = words.windows(n)
+    out[at] = mix(hashes + np.uint64(n)) | np.uint64(2)
+    return out
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def _mapped(df: DataFrame, schema: str | T.StructType, rows: Callable[[Words, np.ndarray], Iterator[list]]) -> DataFrame:
+    """``rows(words, key)`` of the texts (second column) with their keys (first column), as columns of ``schema``."""
+    names = [f.name for f in (schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)).fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for a, b in slices(texts):
+                for columns in rows(Words(texts[a:b], SPACED), keys[a:b]):
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    return df.mapInArrow(run, schema)
+
+
+def exploded(texts: DataFrame, n: int, some: Callable[[np.ndarray], np.ndarray] | None = None, ends: bool = False) -> DataFrame:
+    """ctx, gram, doc, occ: the distinct n-grams of each document of ``texts`` (row, text) with the hash of their first n - 1 words.
+
+    With ``ends`` also a row for the last n - 1 words of each document, which no word follows (gram _END), and
+    one for its first n - 1 words (gram _START). ``some`` picks rows by the hashes of their contexts.
+    """
+
+    def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
+        text = np.repeat(np.arange(len(keys)), np.diff(words.first))
+        gram = _hashes(words, n)
+        ctx = _hashes(words, n - 1) if n > 1 else np.zeros(len(gram), np.uint64)
+        whole = np.flatnonzero(gram)
+        parts = [(ctx[whole], gram[whole], text[whole])]
+        if ends:
+            last = np.flatnonzero((ctx > 0) & (gram == 0))  # a context fits, a further word does not
+            long = np.diff(words.first) >= n - 1
+            first = words.first[:-1][long]
+            parts += [(ctx[at], np.full(len(at), kind, np.uint64), text[at]) for at, kind in ((last, _END), (first, _START))]
+        ctx, gram, text = (np.concatenate(p) for p in zip(*parts))
+        if some:
+            own = some(ctx)
+            ctx, gram, text = ctx[own], gram[own], text[own]
+        # kinds other than n-grams stand once for each document and context
+        order = np.argsort(gram, kind="stable")
+        ctx, gram, text = ctx[order], gram[order], text[order]
+        fresh = np.ones(len(gram), bool)
+        fresh[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])
+        at = np.flatnonzero(fresh)
+        yield [_signed(ctx[at]), _signed(gram[at]), pa.array(keys[text[at]], pa.int64()), pa.array(np.diff(at, append=len(gram)), pa.int64())]
+
+    return _mapped(texts, _GRAMS, rows)
+
+
+def _slot(ctx: np.ndarray) -> np.ndarray:
+    return (ctx >> np.uint64(48)).astype(np.int64)
+
+
+def _numbered(documents: DataFrame, stage: Scratch) -> DataFrame:
+    """row, text, doc_id: the documents with a number each, staged so that all passes see the same numbers."""
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), text_of(documents).alias("text"), documents["doc_id"].alias("doc_id"))
+    with settings(documents.sparkSession, {"spark.sql.parquet.compression.codec": "zstd"}):
+        return stage(rows, "rows")
+
+
+def _sizes(texts: DataFrame, order: int) -> DataFrame:
+    """row, n_words and whole (hash of a text of fewer than order - 1 words) of each document; and, with a null row, the number (n_words) of contexts in each hash slot."""
+
+    def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
         n = np.diff(words.first)
-        counts.append(n)
-        places.append(np.arange(len(words.hashes)) - np.repeat(words.first[:-1], n))
-        for k in range(order):
-            hashes, at = words.windows(k + 1)
-            own = np.zeros(len(words.hashes), np.uint64)
-            own[at + k] = mix(hashes + np.uint64(k)) | np.uint64(1)
-            grams[k].append(own)
-    join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
-    return join(counts, np.int64), join(places, np.int64), [join(g, np.uint64) for g in grams]
+        whole = np.zeros(len(keys), np.uint64)
+        for m in range(1, order - 1):
+            whole[n == m] = _hashes(words, m)[words.first[:-1][n == m]]
+        yield [pa.array(keys, pa.int64()), pa.array(n, pa.int64()), _signed(whole), pa.array(np.full(len(keys), -1), pa.int64())]
+        ctx = _hashes(words, order - 1)
+        slots, count = np.unique(_slot(ctx[ctx > 0]), return_counts=True)
+        yield [pa.nulls(len(slots), pa.int64()), pa.array(count, pa.int64()), pa.nulls(len(slots), pa.int64()), pa.array(slots, pa.int64())]
+
+    return _mapped(texts.select("row", "text"), "row long, n_words long, whole long, slot long", rows)
+
+
+def _partition_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, part, shared of the rows of a hash partition, which holds all rows of each of its contexts."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    ctx, gram, doc, occ = (c.to_numpy() for c in table.columns)
+    del table, held
+    counted = np.where(gram == _START, 0, occ)
+    _, place = np.unique(ctx, return_inverse=True)
+    base = np.bincount(place, counted)[place]
+    _, place = np.unique(gram, return_inverse=True)
+    own = np.bincount(place, occ)[place]
+    value = np.where(gram == _START, np.log(base), np.where(gram == _END, 0.0, occ * (np.log(own) - np.log(base))))
+    shared = np.where(gram == _START, 0, np.where((gram != _END) & (own > 1), occ, 0))
+    docs, place = np.unique(doc, return_inverse=True)
+    yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.bincount(place, value)), pa.array(np.bincount(place, shared).astype(np.int64))], ["doc", "part", "shared"])
+
+
+def _joined_scores(rows: DataFrame, stage: Scratch) -> DataFrame:
+    """doc, part, shared like ``_partition_scores``, by joins to count tables that are partitioned by their own keys."""
+    rows = stage(rows, "hot-rows")
+    grams = stage(rows.filter(F.col("gram") != _START).groupBy("ctx", "gram").agg(F.sum("occ").alias("own")), "hot-grams")
+    contexts = stage(grams.groupBy("ctx").agg(F.sum("own").alias("base")), "hot-contexts")
+    each = rows.join(grams, ["ctx", "gram"], "left").join(contexts, "ctx")
+    start, end = F.col("gram") == _START, F.col("gram") == _END
+    value = F.when(start, F.log("base")).when(end, 0.0).otherwise(F.col("occ") * (F.log("own") - F.log("base")))
+    shared = F.when(~start & ~end & (F.col("own") > 1), F.col("occ")).otherwise(0)
+    return each.groupBy("doc").agg(F.sum(value).alias("part"), F.sum(shared).alias("shared"))
 
 
-def _parts(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys cut into buckets by value: first bucket of each part, and the cuts."""
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)])) if len(keys) else np.zeros(1, np.int64)
-    return bucket[cuts[:-1]].astype(np.int64), cuts
+_SUMS = ("part", "shared")
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """The first bytes of all numbers, then the second ones, and so on."""
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage: Scratch) -> DataFrame:
+    """row, n_words, n_backoff, n_shared, log_score of documents that are the corpus themselves, every n-gram counted."""
+    sizes = stage(_sizes(texts, order), "sizes")
+    slots = sizes.filter("row is null").groupBy("slot").agg(F.sum("n_words").alias("n"))
+    rows = sizes.filter("row is not null").select("row", "n_words", "whole")
+    totals = rows.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.coalesce(F.sum(F.when(F.col("whole") != 0, 1)), F.lit(0)).alias("short")).first()
+    most = max(part_rows, HOT * totals.words / SLOTS)
+    hot = np.zeros(SLOTS, bool)
+    hot[[r.slot for r in slots.filter(F.col("n") > most).select("slot").collect()]] = True  # at most SLOTS / HOT of them
+    parts = max(1, math.ceil(totals.words / passes / part_rows))
+    found = []
+    for k in range(passes):
+        dealt = exploded(texts.select("row", "text"), order, lambda ctx, k=k: ~hot[_slot(ctx)] & ((ctx >> np.uint64(32)) % np.uint64(passes) == k), ends=True).repartition(parts, "ctx")
+        scored = dealt.mapInArrow(_partition_scores, "doc long, part double, shared long")
+        found.append(stage(scored.groupBy("doc").agg(*[F.sum(c).alias(c) for c in _SUMS]), f"pass{k}"))
+    if hot.any():
+        found.append(stage(_joined_scores(exploded(texts.select("row", "text"), order, lambda ctx: hot[_slot(ctx)], ends=True), stage), "hot"))
+    if totals.short:  # texts of fewer than order - 1 words: the count of the whole text among the n-grams of its length
+        for m in range(1, order - 1):
+            own = rows.filter((F.col("n_words") == m) & (F.col("whole") != 0))
+            counts = exploded(texts.select("row", "text"), m).join(own.select(F.col("whole").alias("gram")).distinct(), "gram", "left_semi").groupBy("gram").agg(F.sum("occ").alias("own"))
+            found.append(stage(own.join(counts, own["whole"] == counts["gram"]).select(F.col("row").alias("doc"), F.log("own").alias("part"), F.lit(0).cast("long").alias("shared")), f"short{m}"))
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionByName(part)
+    sums = every.groupBy("doc").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    some = F.col("n_words") > 0
+    out = rows.join(sums, F.col("row") == F.col("doc"), "left")
+    score = F.when(some, F.coalesce("part", F.lit(0.0)) - math.log(max(1, totals.words))).otherwise(0.0)
+    return out.select("row", "n_words", some.cast("long").alias("n_backoff"), F.coalesce("shared", F.lit(0)).alias("n_shared"), score.alias("log_score"))
 
 
-def _unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+def _positions(texts: DataFrame, order: int) -> DataFrame:
+    """doc, place, grams, contexts, occ: for each word position of a document, as many times as they recur, the hashes of the n-grams that end there, longest first, and of their contexts."""
 
+    def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
+        count = len(words.hashes)
+        text = np.repeat(np.arange(len(keys)), np.diff(words.first))
+        place = np.arange(count) - words.first[:-1][text]
+        grams = np.zeros((count, order), np.uint64)
+        contexts = np.zeros((count, order), np.uint64)
+        for n in range(1, order + 1):
+            own, short = _hashes(words, n), _hashes(words, n - 1) if n > 1 else None
+            at = np.flatnonzero(place >= n - 1)
+            grams[at, n - 1] = own[at - n + 1]
+            if n > 1:
+                contexts[at, n - 1] = short[at - n + 1]
+        reach = np.minimum(place + 1, order)
+        long = [pa.FixedSizeListArray.from_arrays(_signed(np.ascontiguousarray(x).ravel()), order).cast(pa.list_(pa.int64())) for x in (grams, contexts)]
+        yield [pa.array(keys[text], pa.int64()), pa.array(reach, pa.int64()), *long]
 
-_ASKED = "bucket long, block long, n int, keys binary, counts binary"
-_TOLD = "block long, bucket long, n int, totals binary"
+    return _mapped(texts, "doc long, reach long, grams array<long>, contexts array<long>", rows)
 
 
-def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, n_backoff (words scored by their single-word count), log_score (natural log, summed).
+def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float, least: int, stage: Scratch) -> DataFrame:
+    """row, n_words, n_backoff, n_shared, log_score by a count table for each order, joined one after the other to the rows that are still open."""
+    counts = [stage(exploded(corpus, n).groupBy("gram").agg(F.sum("occ").alias("own")), f"counts{n}") for n in range(1, order + 1)]
+    words = counts[0].agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
+    unique = _positions(texts, order).groupBy("doc", "reach", "grams", "contexts").agg(F.count("*").alias("occ"))
+    open_ = stage(unique.withColumn("steps", F.lit(0)), "positions")
+    done = []
+    for n in range(order, 0, -1):
+        here = open_.filter(F.col("reach") >= n).withColumn("gram", F.element_at("grams", n)).withColumn("ctx", F.element_at("contexts", n))
+        joined = here.join(counts[n - 1], "gram", "left")
+        if n > 1:
+            joined = joined.join(counts[n - 2].select(F.col("gram").alias("ctx"), F.col("own").alias("base")), "ctx", "left")
+            seen = F.coalesce(F.col("own") >= least, F.lit(False))
+        else:  # a word that the corpus lacks counts as one
+            joined = joined.withColumn("own", F.coalesce("own", F.lit(1))).withColumn("base", F.lit(max(1, words)))
+            seen = F.lit(True)
+        joined = stage(joined.withColumn("seen", seen), f"order{n}")
+        value: Column = F.col("occ") * (F.log("own") - F.log("base") + F.col("steps") * math.log(alpha))
+        single = F.lit(0) if n > 1 else F.col("occ")
+        done.append(joined.filter("seen").select("doc", value.alias("part"), F.col("occ").alias("n_words"), single.cast("long").alias("n_backoff"), F.lit(0).cast("long").alias("n_shared")))
+        if n == order:
+            none = F.lit(0).cast("long")
+            done.append(joined.filter("own > 1").select("doc", F.lit(0.0).alias("part"), none.alias("n_words"), none.alias("n_backoff"), F.col("occ").alias("n_shared")))
+        missed = joined.filter("not seen").select("doc", "reach", "grams", "contexts", "occ", (F.col("steps") + 1).alias("steps"))
+        open_ = stage(open_.filter(F.col("reach") < n).unionByName(missed), f"open{n}")
+    every = done[0]
+    for part in done[1:]:
+        every = every.unionByName(part)
+    sums = every.groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "n_shared")], F.sum("part").alias("log_score"))
+    out = texts.select("row").join(sums, F.col("row") == F.col("doc"), "left")
+    return out.select("row", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_words", "n_backoff", "n_shared", "log_score")])
+
+
+def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, corpus: DataFrame | None = None, passes: int = PASSES, part_rows: int = PART_ROWS) -> DataFrame:
+    """doc_id, n_words, n_backoff (words scored by their single-word count), n_shared (words whose n-gram of ``order`` words the corpus has more than once), log_score (natural log, summed).
 
     Words are runs of other than ASCII white space, A-Z lower-cased; n-grams don't cross documents. A word
     whose longest n-gram (of at most ``order`` words, as far as the text goes back) has a count of at least
-    ``least`` scores that count over its context's; else it backs off by ``alpha`` to the next shorter one,
-    at last to its own count over all words. Null and empty texts have no words and score 0. Repeated rows
-    count as often as they stand and give a row each; further columns are not read.
+    ``least`` in ``corpus`` (the documents themselves, if none is given) scores that count over its context's; else
+    it backs off by ``alpha`` to the next shorter one, at last to its own count (1 if it has none) over all words.
+    Null and empty texts have no words and score 0. Repeated rows count as often as they stand and give a row each; an
+    empty table gives no rows; further columns are not read. A very long text is taken whole, by itself.
     """
-    rows = documents.select(documents["doc_id"].alias("doc_id"), text_of(documents).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
-    kind = documents.schema["doc_id"].dataType
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-
-    def ask(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
-        _, _, grams = block_grams(table.column("text").to_pylist(), order)
-        out = []
-        for n, own in enumerate(grams):
-            keys, counts = np.unique(own[own > 0], return_counts=True)
-            bucket, cuts = _parts(keys, blocks)
-            out += [(int(q), block, n, _packed(np.diff(keys[a:b], prepend=np.uint64(0))), _packed(counts[a:b].astype("<u4"))) for q, a, b in zip(bucket, cuts[:-1], cuts[1:])]
-        return pa.table({"bucket": pa.array([o[0] for o in out], pa.int64()), "block": pa.array([o[1] for o in out], pa.int64()), "n": pa.array([o[2] for o in out], pa.int32()), "keys": pa.array([o[3] for o in out], pa.binary()), "counts": pa.array([o[4] for o in out], pa.binary())})
-
-    def tell(table: pa.Table) -> pa.Table:
-        asked = [np.cumsum(_unpacked(k, "<u8"), dtype=np.uint64) for k in table.column("keys").to_pylist()]
-        counts = np.concatenate([_unpacked(c, "<u4") for c in table.column("counts").to_pylist()])
-        _, place = np.unique(np.concatenate(asked), return_inverse=True)
-        totals = np.bincount(place, counts)[place].astype("<u8")  # sums of counts are exact up to 2**53
-        ends = np.cumsum([len(k) for k in asked])
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "n": table.column("n"), "totals": pa.array([_packed(totals[e - len(k) : e]) for k, e in zip(asked, ends)], pa.binary())})
-
-    def add(docs: pa.Table, told: pa.Table) -> pa.Table:
-        texts = docs.column("text").to_pylist()
-        n_words, place, grams = block_grams(texts, order)
-        answers = {(n, q): t for n, q, t in zip(told.column("n").to_pylist(), told.column("bucket").to_pylist(), told.column("totals").to_pylist())}
-        counts = []
-        for n, own in enumerate(grams):
-            keys, where = np.unique(own[own > 0], return_inverse=True)
-            bucket, _ = _parts(keys, blocks)
-            totals = np.concatenate([_unpacked(answers[n, int(q)], "<u8") for q in bucket]) if len(keys) else np.empty(0)
-            found = np.zeros(len(own))
-            found[own > 0] = totals[where]
-            counts.append(found)
-        value = np.zeros(len(place))
-        open_ = np.ones(len(place), bool)
-        steps = np.zeros(len(place))
-        for n in range(order, 1, -1):
-            reach = place >= n - 1
-            hit = open_ & reach & (counts[n - 1] >= least)
-            at = np.flatnonzero(hit)
-            value[at] = np.log(counts[n - 1][at]) - np.log(counts[n - 2][at - 1]) + steps[at] * math.log(alpha)
-            open_ &= ~hit
-            steps[open_ & reach] += 1
-        at = np.flatnonzero(open_)
-        value[at] = np.log(counts[0][at]) + steps[at] * math.log(alpha)
-        ends = np.cumsum(n_words)
-        sums = [math.fsum(value[e - n : e]) for n, e in zip(n_words.tolist(), ends.tolist())]
-        single = [int(open_[e - n : e].sum()) for n, e in zip(n_words.tolist(), ends.tolist())]
-        return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "n_backoff": pa.array(single, pa.int64()), "part": pa.array(sums, pa.float64())})
-
-    grouped = dealt.groupBy("block")
-    told = grouped.applyInArrow(ask, _ASKED).groupBy("bucket").applyInArrow(tell, _TOLD)
-    schema = f"doc_id {kind.simpleString()}, n_words long, n_backoff long, part double"
-    parts = staged(grouped.cogroup(told.groupBy("block")).applyInArrow(add, schema), "lm-parts")
-    words = parts.agg(F.sum("n_words")).first()[0] or 1
-    return parts.select("doc_id", "n_words", "n_backoff", (F.col("part") - F.col("n_backoff") * math.log(words)).alias("log_score"))
+    if order < 1:
+        raise ValueError("order must be at least 1")
+    with Scratch("lm") as stage:
+        rows = _numbered(documents, stage)
+        if corpus is None and least <= 1 and order > 1:
+            found = _own_scores(rows, order, passes, part_rows, stage)
+        else:
+            texts = rows.select("row", "text")
+            other = texts if corpus is None else corpus.select(F.lit(0).cast("long").alias("row"), text_of(corpus).alias("text"))
+            found = _backing_off(texts, other, order, alpha, least, stage)
+        return stage.keep(stage(rows.select("row", "doc_id").join(found, "row").drop("row"), "scores"))
 
 
 def rounded(documents: DataFrame, order: int = ORDER, least: int = LEAST) -> DataFrame:
@@ -142,35 +274,21 @@ def rounded(documents: DataFrame, order: int = ORDER, least: int = LEAST) -> Dat
     return score(documents, order, least=least).withColumn("log_score", F.round(F.col("log_score") + 1e-9, 4))
 
 
-#: Order 2 for DuckDB.
+#: Order 3 for DuckDB.
 ORACLE_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS words FROM documents),
 w AS (SELECT r, generate_subscripts(words, 1) AS i, unnest(words) AS w FROM d),
-p AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS v FROM w),
-c1 AS (SELECT w, count(*) AS c FROM p GROUP BY w),
-c2 AS (SELECT v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY v, w),
-s AS (SELECT r, c2.c >= {LEAST} AS hit, CASE WHEN c2.c >= {LEAST} THEN ln(c2.c) - ln(b.c) ELSE ln(a.c) - ln((SELECT count(*) FROM p)) + CASE WHEN p.v IS NULL THEN 0 ELSE ln({ALPHA}) END END AS value
-      FROM p JOIN c1 a ON p.w = a.w LEFT JOIN c1 b ON p.v = b.w LEFT JOIN c2 ON p.v = c2.v AND p.w = c2.w),
-g AS (SELECT r, count(*) AS n_words, count(*) FILTER (hit IS NOT TRUE) AS n_backoff, sum(value) AS log_score FROM s GROUP BY r)
-SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff, round(coalesce(log_score, 0) + 1e-9, 4) AS log_score
-FROM d LEFT JOIN g USING (r)
-"""
-
-#: Order LONG_ORDER = 3 for DuckDB.
-LONG_ORACLE_SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS words FROM documents),
-w AS (SELECT r, generate_subscripts(words, 1) AS i, unnest(words) AS w FROM d),
 p AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS v, lag(w, 2) OVER (PARTITION BY r ORDER BY i) AS u FROM w),
 c1 AS (SELECT w, count(*) AS c FROM p GROUP BY w),
 c2 AS (SELECT v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY v, w),
 c3 AS (SELECT u, v, w, count(*) AS c FROM p WHERE u IS NOT NULL GROUP BY u, v, w),
-s AS (SELECT r, coalesce(c3.c, 0) >= {LONG_LEAST} OR coalesce(c2.c, 0) >= {LONG_LEAST} AS hit,
-             CASE WHEN c3.c >= {LONG_LEAST} THEN ln(c3.c) - ln(e.c)
-                  WHEN c2.c >= {LONG_LEAST} THEN ln(c2.c) - ln(b.c) + CASE WHEN p.u IS NULL THEN 0 ELSE ln({ALPHA}) END
+s AS (SELECT r, coalesce(c3.c, 0) >= {LEAST} OR coalesce(c2.c, 0) >= {LEAST} AS hit, p.u IS NOT NULL AND coalesce(c3.c, 0) > 1 AS often,
+             CASE WHEN c3.c >= {LEAST} THEN ln(c3.c) - ln(e.c)
+                  WHEN c2.c >= {LEAST} THEN ln(c2.c) - ln(b.c) + CASE WHEN p.u IS NULL THEN 0 ELSE ln({ALPHA}) END
                   ELSE ln(a.c) - ln((SELECT count(*) FROM p)) + (CASE WHEN p.u IS NULL THEN 0 ELSE 1 END + CASE WHEN p.v IS NULL THEN 0 ELSE 1 END) * ln({ALPHA}) END AS value
       FROM p JOIN c1 a ON p.w = a.w LEFT JOIN c1 b ON p.v = b.w LEFT JOIN c2 ON p.v = c2.v AND p.w = c2.w
            LEFT JOIN c2 e ON p.u = e.v AND p.v = e.w LEFT JOIN c3 ON p.u = c3.u AND p.v = c3.v AND p.w = c3.w),
-g AS (SELECT r, count(*) AS n_words, count(*) FILTER (hit IS NOT TRUE) AS n_backoff, sum(value) AS log_score FROM s GROUP BY r)
-SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff, round(coalesce(log_score, 0) + 1e-9, 4) AS log_score
+g AS (SELECT r, count(*) AS n_words, count(*) FILTER (hit IS NOT TRUE) AS n_backoff, count(*) FILTER (often) AS n_shared, sum(value) AS log_score FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff, coalesce(n_shared, 0)::BIGINT AS n_shared, round(coalesce(log_score, 0) + 1e-9, 4) AS log_score
 FROM d LEFT JOIN g USING (r)
 """

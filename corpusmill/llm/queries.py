@@ -77,10 +77,6 @@ def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(table(spark, sf_dir, "documents"))
 
 
-def op7_trigram_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lmscore.rounded(table(spark, sf_dir, "documents"), lmscore.LONG_ORDER, lmscore.LONG_LEAST)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_transport_stream": op2_transport_stream,
@@ -100,8 +96,3 @@ ORACLE_SQL: dict[str, str] = {
     "op7_stupid_backoff": lmscore.ORACLE_SQL,
     "op10_decontaminate": decontam.ORACLE_SQL,
 }
-
-#: Further queries of operators that are registered above already, and their SQL.
-FURTHER: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_trigram_backoff": op7_trigram_backoff}
-
-FURTHER_SQL: dict[str, str] = {"op7_trigram_backoff": lmscore.LONG_ORACLE_SQL}

@@ -13,53 +13,69 @@ from llm_oracle import compare
 SF = "/root/testdata/sf0.001"
 
 
-def brute(texts, order, alpha=lmscore.ALPHA, least=lmscore.LEAST):
-    lists = [[w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").replace("\t", " ").replace("\n", " ").split(" ") if w] for t in texts]
-    counts = Counter(tuple(x[i : i + n]) for x in lists for n in range(1, order + 1) for i in range(len(x) - n + 1))
-    total = sum(map(len, lists))
+def words(text):
+    return [w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ").replace("\n", " ").split(" ") if w]
+
+
+def brute(texts, order, alpha=lmscore.ALPHA, least=lmscore.LEAST, corpus=None):
+    lists = [words(t) for t in texts]
+    counted = lists if corpus is None else [words(t) for t in corpus]
+    counts = Counter(tuple(x[i : i + n]) for x in counted for n in range(1, order + 1) for i in range(len(x) - n + 1))
+    total = max(1, sum(map(len, counted)))
     out = []
     for x in lists:
-        score, single = 0.0, 0
+        score, single, shared = 0.0, 0, 0
         for i in range(len(x)):
             n = longest = min(order, i + 1)
+            shared += longest == order and counts[tuple(x[i - order + 1 : i + 1])] > 1
             while n > 1 and counts[tuple(x[i - n + 1 : i + 1])] < least:
                 n -= 1
             context = counts[tuple(x[i - n + 1 : i])] if n > 1 else total
             single += n == 1
-            score += math.log(alpha) * (longest - n) + math.log(counts[tuple(x[i - n + 1 : i + 1])] / context)
-        out.append((len(x), single, score))
+            score += math.log(alpha) * (longest - n) + math.log(max(1, counts[tuple(x[i - n + 1 : i + 1])]) / context)
+        out.append((len(x), single, shared, score))
     return out
 
 
+def check(df, docs, got, *more, **options):
+    got = sorted(map(tuple, got.collect()), key=str)
+    want = sorted(((d, *s) for (d, _), s in zip(docs, brute([t for _, t in docs], *more, **options))), key=str)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert all(math.isclose(g[4], w[4], rel_tol=1e-9, abs_tol=1e-9) for g, w in zip(got, want))
+
+
 def test_matches_sql(spark):
     got = compare(lmscore.rounded(table(spark, SF, "documents")), lmscore.ORACLE_SQL, SF)
-    assert len(got) == 200
+    assert len(got) == 200 and any(r[3] for r in got)
 
 
-DOCS = [(1, "the cat sat on the mat the cat"), (2, "The cat\tsat\n on  a mat"), (3, None), (4, ""), (5, "x"), (5, "x"), (None, "the cat sat on the mat the cat"), (6, "a b " * 20_000)]
+DOCS = [(1, "the cat sat on the mat the cat"), (2, "The cat\tsat\n on  a mat"), (3, None), (4, ""), (5, "x"), (5, "x"), (5, "the cat"), (None, "the cat sat on the mat the cat"), (6, "a b " * 20_000), (7, "cat sat"), (8, "mat"), (9, "cat")]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-@pytest.mark.parametrize("size", [50, 1 << 20])
-def test_matches_brute_force(spark, order, size):
-    df = spark.createDataFrame([(*d, 1) for d in DOCS], "doc_id long, text string, block int")
-    got = sorted(map(tuple, lmscore.score(df, order, block_bytes=size).collect()), key=str)
-    want = sorted(((d, *s) for (d, _), s in zip(DOCS, brute([t for _, t in DOCS], order))), key=str)
-    assert [g[:3] for g in got] == [w[:3] for w in want]
-    assert all(math.isclose(g[3], w[3], rel_tol=1e-9, abs_tol=1e-9) for g, w in zip(got, want))
+@pytest.mark.parametrize("order", [2, 3, 4])
+@pytest.mark.parametrize("hot", [lmscore.HOT, 0])
+def test_own_corpus_matches_brute_force(spark, monkeypatch, order, hot):
+    """Each n-gram counts; with HOT 0 and small partitions frequent contexts take the way of shuffled joins."""
+    monkeypatch.setattr(lmscore, "HOT", hot)
+    df = spark.createDataFrame([(*d, 1) for d in DOCS], "doc_id long, text string, row int")
+    check(df, DOCS, lmscore.score(df, order, passes=2, part_rows=lmscore.PART_ROWS if hot else 5_000), order)
 
 
-def test_empty_table(spark):
-    df = spark.createDataFrame(DOCS, "doc_id long, text string")
-    assert lmscore.score(df.limit(0)).count() == 0
+@pytest.mark.parametrize(("order", "least"), [(1, 1), (2, 2), (3, 2), (3, 3)])
+def test_backing_off_matches_brute_force(spark, order, least):
+    df = spark.createDataFrame([(*d, 1) for d in DOCS], "doc_id long, text string, occ int")
+    check(df, DOCS, lmscore.score(df, order, least=least), order, least=least)
+
 
+def test_another_corpus_and_both_ways_agree(spark):
+    other = ["the cat sat", "a mat on the floor", None, ""]
+    df = spark.createDataFrame(DOCS, "doc_id long, text string")
+    corpus = spark.createDataFrame([(t,) for t in other], "text string")
+    check(df, DOCS, lmscore.score(df, 3, corpus=corpus), 3, corpus=other)
+    check(df, DOCS, lmscore.score(df, 3, corpus=df), 3)
 
-def test_registered_trigram_query_matches_sql_and_brute_force(spark):
-    """Every trigram counts, those that occur once too."""
-    import __spark_entry__
 
-    name = "op7_trigram_backoff"
-    got = compare(__spark_entry__.queries()[name](spark, SF), __spark_entry__.oracle_sql()[name], SF)
-    rows = table(spark, SF, "documents").select("doc_id", "text").collect()
-    want = {r.doc_id: w for r, w in zip(rows, brute([r.text for r in rows], 3, least=1))}
-    assert len(got) == len(rows) and all(g[2:] == want[g[0]][1::-1] and abs(g[1] - want[g[0]][2]) < 1e-3 for g in got)
+def test_empty_table(spark):
+    df = spark.createDataFrame(DOCS, "doc_id long, text string")
+    assert lmscore.score(df.limit(0)).count() == 0
+    assert lmscore.score(df.limit(0), least=2).count() == 0
