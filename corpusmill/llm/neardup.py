@@ -250,8 +250,8 @@ def _pivot_links(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scr
     return links, joined
 
 
-def similar_pairs(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scratch) -> DataFrame:
-    """Confirmed links (a, b) that connect every pair at the threshold of the members of ``nodes`` (node, rep)."""
+def linked(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scratch) -> DataFrame:
+    """rep, component of the members of ``nodes`` (node, rep) that confirmed links connect with others."""
     links, joined = _pivot_links(nodes, sketches, percent, stage)
     rows = nodes.join(joined, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"), F.lit(None).cast("long").alias("parent"))
     small = []
@@ -259,25 +259,35 @@ def similar_pairs(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Sc
         rows = stage(rows.join(_mixed(rows), "node").withColumn("work", _work()), f"level{level}")
         # dense: a branch hardly smaller than its parent would not get small by further ones
         leaf = (F.col("work") <= LEAF) | F.coalesce(F.col("work") * 2 > F.col("parent"), F.lit(False)) | F.lit(level == DEPTH)
-        small.append(rows.filter(leaf).drop("parent"))
+        small.append(rows.filter(leaf).select("node", "rep"))
         large = rows.filter(~leaf)
         if level == DEPTH or large.isEmpty():
             break
         large = large.select("node", "rep", "component", "work").join(sketches.select("rep", "paths"), "rep")
         branch = F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda j: F.xxhash64("node", j, F.element_at("paths", (F.pmod(F.xxhash64("node", j), F.lit(BRANCHES // 2)) * 2 + j + 1).cast("int")))))
         rows = large.select(branch.alias("node"), "rep", "component", F.col("work").alias("parent"))
-    members = reduce(DataFrame.union, small)
-    leaves = members.groupBy("rep").agg(F.array_sort(F.collect_list("node")).alias("leaves"))  # at most TREES * 2 ** DEPTH
-    salts = F.when(F.col("work") <= TASK, 1).otherwise(F.ceil(F.sqrt("work") / math.isqrt(TASK))).cast("int")
-    known = sketches.select("rep", "n", *_BITS).join(leaves, "rep").select("rep", "leaves", F.struct("n", *_BITS).alias("y"))
+    leaves = reduce(DataFrame.union, small)
+    # first the pairs that look linked: what they contract needs no further comparison
+    for slack in (0.0, SLACK):
+        rows = leaves.join(joined, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"))
+        pairs = stage(_leaf_pairs(stage(rows.join(_mixed(rows), "node"), "leaves"), sketches, percent, slack), f"candidates{slack:.0f}")
+        links = links.union(stage(confirm(pairs, sketches, percent), "links"))
+        joined = components(links)
+    return joined
+
+
+def _leaf_pairs(members: DataFrame, sketches: DataFrame, percent: int, slack: float) -> DataFrame:
+    """a, b: pairs of different components that a leaf has in common and whose sketches allow the threshold, each once."""
+    leaves = members.groupBy("rep").agg(F.collect_list("node").alias("leaves"))  # at most TREES * 2 ** DEPTH
+    salts = F.when(_work() <= TASK, 1).otherwise(F.ceil(F.sqrt(_work()) / math.isqrt(TASK))).cast("int")
+    known = sketches.select("rep", F.struct("n", *_BITS).alias("y")).join(leaves, "rep")
     members = members.withColumn("salts", salts).join(known, "rep")
     minor = members.filter("component <> major").select("node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"), F.col("leaves").alias("a_leaves"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
     once = (F.col("component") == F.col("major")) | (F.col("a") < F.col("rep"))
     first = F.col("node") == F.array_min(F.array_intersect("a_leaves", "leaves"))  # each pair in one of its common nodes
-    pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent) & first)
-    pairs = stage(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")), "candidates")
-    return links.union(stage(confirm(pairs, sketches, percent), "links"))
+    pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent, slack) & first)
+    return pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -305,8 +315,8 @@ def judged_rows(documents: DataFrame, percent: int) -> DataFrame:
         nodes = stage(tokens.join(several, "node"), "nodes")
         wanted = reps.select("rep", "doc", "text_key").join(nodes.select("rep").distinct(), "rep", "left_semi")
         sketches = stage(points(documents, wanted), "points")
-        linked = components(similar_pairs(nodes, sketches, percent, stage))
-        known = reps.select("k1", "k2", "n", "doc", "rep").join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        joined = linked(nodes, sketches, percent, stage)
+        known = reps.select("k1", "k2", "n", "doc", "rep").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         least = known.groupBy("component").agg(F.min("doc").alias("smallest"))
         known = stage.keep(stage(known.join(least, "component").select("k1", "k2", "n", "smallest"), "known"))
     rows = every.select("doc", "text_key", "n", "k1", "k2").join(known, ["k1", "k2", "n"], "left")

@@ -98,7 +98,7 @@ def test_large_group_branches_and_loses_no_link(spark, monkeypatch):
         assert found(df, percent) == brute(docs, percent)
         assert tables["level1"] and tables["pivot-links"]
         # pairs stay below the members of all nodes, far from all pairs of the group
-        assert tables["near"] <= tables["nodes"] and tables["candidates"] <= 3 * tables["nodes"]
+        assert tables["near"] <= tables["nodes"] and tables["candidates0"] + tables["candidates4"] <= 3 * tables["nodes"]
 
 
 def test_default_limits_branch_on_a_shared_passage(spark):
