@@ -70,3 +70,45 @@ def test_confident_patterns_find_unseen_identifiers(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.find(table(spark, "/root/testdata/sf0.001", "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_very_many_matches_in_one_text(spark):
+    """16,000 addresses in a text take seconds."""
+    import time
+
+    docs = [(1, "a.b@c.d " * 16_000), (2, "1.2.3.4\n" * 16_000)]
+    start = time.monotonic()
+    check(docs, pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert time.monotonic() - start < 60
+
+
+def test_precision_and_recall_on_hidden_identifiers(spark):
+    """Identifiers in forms that no base pattern knows, in the contexts of known ones, among numbers that are none."""
+    rnd = random.Random(9)
+    filler = "we met them again when the long winter ended and nobody had asked for more than that before".split()
+    words = lambda n: " ".join(rnd.choice(filler) for _ in range(n))
+    digits = lambda *sizes: " ".join("".join(rnd.choice("0123456789") for _ in range(n)) for n in sizes)
+    docs, hidden, clean = [], {}, set()
+    for i in range(900):
+        kind = i % 9
+        if kind < 5:  # known ones, from which the patterns come
+            own = [f"call me on +44 {digits(3, 4, 3)} after", f"write to u{i}@mail{i % 8}.example.org or", "paid by card 4111 1111 1111 1111 on"][kind // 2]
+        elif kind == 5:
+            own = f"call me on (0{digits(2)}) {digits(4, 4)} after" if i % 2 else f"call me on 0{digits(1, 2, 2, 2, 2)} after"
+        elif kind == 6:
+            own = f"write to u{i}77at4mail{digits(3)} or"
+        else:
+            own = f"the list of {digits(3, 3)} parts and item {digits(5)} costs {digits(4)}"
+            clean.add(i)
+        before = words(6)
+        docs.append((i, f"{before} {own} {words(5)}"))
+        if kind in (5, 6):
+            start, cut = len(before) + len("call me on " if kind == 5 else "write to ") + 1, len(" after" if kind == 5 else " or")
+            hidden[i] = ("phone" if kind == 5 else "email", start + own.startswith("call me on ("), len(before) + 1 + len(own) - cut)
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = {i: [s for s in got[i].spans.split(",") if s] for i in got}
+    exact = sum("{}:{}:{}".format(*hidden[i]) in found[i] for i in hidden)
+    overlapping = sum(any(s.startswith(k) for s in found[i]) for i, (k, _, _) in hidden.items())
+    wrong = sum(got[i].n_found for i in got if i not in hidden)
+    print("recall", exact / len(hidden), "by document", overlapping / len(hidden), "wrong", wrong)
+    assert exact >= 0.9 * len(hidden) and wrong <= 0.02 * len(hidden) and not any(found[i] for i in clean)
