@@ -35,10 +35,10 @@ def _lines(text: Column) -> Column:
 
 
 def site_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc, site, line: each different line (its hash) of each document once."""
+    """doc, own (hash of the text), site, line: each different line (its hash) of each document once."""
     long = F.filter(_lines(text_of(documents)), lambda x: F.length(F.trim(x)) >= min_chars)
     keys = F.array_distinct(F.transform(long, line_key))
-    return documents.select(documents["doc_id"].alias("doc"), F.coalesce(documents["source"].cast("string"), F.lit("")).alias("site"), F.explode(keys).alias("line"))
+    return documents.select(documents["doc_id"].alias("doc"), F.xxhash64(text_of(documents)).alias("own"), F.coalesce(documents["source"].cast("string"), F.lit("")).alias("site"), F.explode(keys).alias("line"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -58,7 +58,8 @@ def remove_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES, min_cha
     With ``keep_first`` a boilerplate line stays in the document with the smallest doc_id that has
     it. Null texts stay null and, like empty ones, have no lines; a null source is a site of its own,
     the empty one; repeated rows and rows that share a doc_id are each cleaned; columns of any name
-    pass through (two of the same name are allowed but for text, doc_id and source).
+    pass through (two of the same name are allowed but for text, doc_id and source). Whole texts are cleaned;
+    the time for one of n different boilerplate lines grows as n to the power 1.5.
     """
     lines = staged(site_lines(documents, min_chars), "site-lines")
     found = staged(boilerplate(lines, min_sites), "boilerplate")
@@ -66,15 +67,20 @@ def remove_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES, min_cha
     hit = lines.join(F.broadcast(found) if small else found, "line")
     if keep_first:
         hit = hit.filter(~F.col("doc").eqNullSafe(F.col("first_doc")))
-    gone = hit.groupBy("doc").agg(F.collect_set("line").alias("gone"))
+    gone = hit.groupBy("doc", "own").agg(F.collect_set("line").alias("listed"))
+    # a line is looked for in one of as many parts as the square root of their number
+    parts = F.ceil(F.sqrt(F.size("listed"))).cast("int")
+    dealt = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.filter("listed", lambda x: F.pmod(x, parts) == k))
+    gone = gone.select("doc", "own", dealt.alias("gone"))
 
     names, fields = documents.columns, documents.schema.fields
     at, key = names.index("text"), names.index("doc_id")
     rows = documents.toDF(*[f"c{i}" for i in range(len(names))])
-    joined = rows.join(gone, rows[f"c{key}"].eqNullSafe(gone["doc"]), "left")
     text = F.col(f"c{at}").cast("string")
+    # by id and text: rows of one id, or of none, that differ are cleaned apart
+    joined = rows.join(gone, (F.xxhash64(F.coalesce(text, F.lit(""))) == gone["own"]) & rows[f"c{key}"].eqNullSafe(gone["doc"]), "left")
     split = _lines(text)
-    kept = F.filter(split, lambda x: ~F.array_contains("gone", line_key(x)))
+    kept = F.filter(split, lambda x: ~F.array_contains(F.element_at("gone", F.pmod(line_key(x), F.size("gone")).cast("int") + 1), line_key(x)))
     some = F.col("gone").isNotNull()
     joined = joined.withColumn("kept", F.when(some, kept))
     empty = F.coalesce(F.length(text), F.lit(0)) == 0

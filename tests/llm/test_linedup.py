@@ -56,3 +56,22 @@ def test_stage_keeps_one_copy_and_the_shuffled_join_agrees(spark, monkeypatch):
 def test_no_python_in_the_plan(spark):
     plan = linedup.digests(table(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_documents_of_very_many_boilerplate_lines(spark):
+    """16,000 lines that stand on six sites each: seconds, and nothing but the own line is left."""
+    import time
+
+    lines = [f"boilerplate number {i}" for i in range(16_000)]
+    docs = spark.createDataFrame([(i, "\n".join([*lines, f"own {i} of this site"]), s, "x", 1) for i, s in enumerate(SITES)], SCHEMA)
+    start = time.monotonic()
+    got = {(r.doc_id, r.n_lines, r.n_removed, r.text) for r in linedup.remove_boilerplate(docs).collect()}
+    assert got == {(i, 16_001, 16_000, f"own {i} of this site") for i in range(6)}
+    assert time.monotonic() - start < 30
+
+
+def test_rows_of_one_id_and_different_texts(spark):
+    """Each keeps or loses its own lines, also where the id is null."""
+    docs = spark.createDataFrame([(i, BOILER, s, "x", 1) for i, s in enumerate(SITES)] + [(3, "another text of three", "a", "x", 1), (None, BOILER + "\na", "b", "x", 1), (None, "no boilerplate at all", "c", "x", 1)], SCHEMA)
+    got = sorted((str(r.doc_id), r.text, r.n_removed) for r in linedup.remove_boilerplate(docs, keep_first=True).collect())
+    assert got == sorted([("0", BOILER, 0), *((str(i), "", 1) for i in range(1, 6)), ("3", "another text of three", 0), ("None", "a", 1), ("None", "no boilerplate at all", 0)])
