@@ -126,7 +126,7 @@ def _sizes(texts: DataFrame, order: int) -> DataFrame:
 
 
 def _partition_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc, part, shared of the rows of a hash partition, which holds all rows of each of its contexts."""
+    """doc, part, shared of the rows of a hash partition, which holds all rows of each of its contexts; those that add nothing to a score (an n-gram that always follows its context, or stands once) are left out."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
@@ -140,8 +140,8 @@ def _partition_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     own = np.bincount(place, occ)[place]
     value = np.where(gram == _START, np.log(base), np.where(gram == _END, 0.0, occ * (np.log(own) - np.log(base))))
     shared = np.where(gram == _START, 0, np.where((gram != _END) & (own > 1), occ, 0))
-    docs, place = np.unique(doc, return_inverse=True)
-    yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.bincount(place, value)), pa.array(np.bincount(place, shared).astype(np.int64))], ["doc", "part", "shared"])
+    some = (value != 0) | (shared > 0)
+    yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(value[some]), pa.array(shared[some])], ["doc", "part", "shared"])
 
 
 def _joined_scores(rows: DataFrame, stage: Scratch) -> DataFrame:
