@@ -16,11 +16,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The patterns and limits of the Russian quiz corpus.
-HOST_NOTE = r"(?U)\[\s*(?:Ведущему|ведущему|Чтецу|чтецу|Комментарий\s+для\s+ведущего)\b(?:[^\]]*\]|[^\n]*(?=\n))"
-MULTIPART = r"(?U)(?:^|\n)\s*(?:\[[^\]]*\]\s*)*(Блиц|Дуплет|БЛИЦ|ДУПЛЕТ)\b"
+# The patterns and limits of the Russian quiz corpus. Possessive quantifiers and starting at the
+# first of several blanks change no match; they keep Java's matcher from recursing or going over long texts again.
+HOST_NOTE = r"(?U)\[\s*+(?:Ведущему|ведущему|Чтецу|чтецу|Комментарий\s++для\s++ведущего)\b(?:[^\]]*+\]|[^\n]*+(?=\n))"
+MULTIPART = r"(?U)(?:^\s*+|(?<!\s)[\s&&[^\n]]*+\n\s*+)(?:\[[^\]]*+\]\s*+)*+(Блиц|Дуплет|БЛИЦ|ДУПЛЕТ)\b"
 BLITZ = "блиц"
-REFERS_TO_OTHER = r"(?U)предыдущ[\p{L}\p{N}_]*\s+вопрос|прошл[\p{L}\p{N}_]*\s+вопрос"
+REFERS_TO_OTHER = r"(?U)предыдущ[\p{L}\p{N}_]*+\s++вопрос|прошл[\p{L}\p{N}_]*+\s++вопрос"
 HANDOUT_LOST = r"(?iU)раздаточн[\p{L}\p{N}_]*[^.\]]{0,60}(?:утерян|утрачен|потерян|не сохран)"
 MIN_QUESTION_LENGTH = 40
 MEDIA_PLACEHOLDER = "[Media question; see media URLs]"
@@ -51,18 +52,21 @@ def present(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Without white space (of any script) at the ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space (of any script) at the ends. A run of it is looked at once, wherever it stands."""
+    return F.regexp_replace(c, r"(?U)^\s++|(?<!\s)\s++$", "")
 
 
 def _tidy_lines(c: Column) -> Column:
     """Runs of spaces and tabs as one space; lines without white space at their ends."""
     one = F.regexp_replace(c, r"[ \t]+", " ")
-    return F.regexp_replace(one, r"(?Um)^[\s&&[^\n]]+|[\s&&[^\n]]+$", "")
+    return F.regexp_replace(one, r"(?Um)^[\s&&[^\n]]++|(?<![\s&&[^\n]])[\s&&[^\n]]++$", "")
 
 
 def clean_text(c: Column) -> Column:
-    """Source text with LF line ends, tidy lines, at most one blank line in a row, and no white space around; '' for null."""
+    """Source text with LF line ends, tidy lines, at most one blank line in a row, and no white space around; '' for null.
+
+    Takes time in proportion to the text, whatever its blanks.
+    """
     unix = F.regexp_replace(present(c), r"\r\n?", "\n")
     return strip(F.regexp_replace(_tidy_lines(unix), r"\n{3,}", "\n\n"))
 
@@ -79,7 +83,10 @@ def without_host_notes(c: Column, patterns: Patterns = DEFAULT) -> Column:
 
 
 def question_kind(c: Column, patterns: Patterns = DEFAULT) -> Column:
-    """blitz, duplet or normal, by the first multi-part marker that starts a line."""
+    """blitz, duplet or normal, by the first multi-part marker that starts a line; normal for null.
+
+    Long texts, also of brackets or blanks only, take time in proportion to each line's run of brackets.
+    """
     marker = F.lower(F.regexp_extract(c, patterns.multipart, 1))
     return F.when(marker == "", "normal").when(marker == patterns.blitz, "blitz").otherwise("duplet")
 
@@ -122,17 +129,18 @@ def native_key(c: Column) -> Column:
 def normalized_key(c: Column) -> Column:
     """Hash that is equal for texts alike but for case, punctuation, spacing and compatibility forms.
 
-    ASCII text is folded by Spark; only the rest passes through Python.
+    ASCII text is folded by Spark; only the rest passes through Python, to which the others' rows are nulls.
     """
-    return short_hash(_squeeze(F.replace(F.coalesce(F.when(_plain(c), F.lower(c)), _fold(c), F.lit("")), F.lit("ё"), F.lit("е"))))
+    folded = F.coalesce(F.when(_plain(c), F.lower(c)), _fold(F.when(~_plain(c), c)), F.lit(""))
+    return short_hash(_squeeze(F.replace(folded, F.lit("ё"), F.lit("е"))))
 
 
 def _plain(c: Column) -> Column:
-    return c.rlike(r"^\p{ASCII}*$")
+    return F.octet_length(c) == F.length(c)
 
 
 def fold_series(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None or t.isascii() else unicodedata.normalize("NFKC", t).casefold())
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).casefold())
 
 
 _fold = F.pandas_udf(fold_series, T.StringType())

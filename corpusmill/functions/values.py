@@ -77,9 +77,24 @@ def index_url(base: str, page: Column) -> Column:
     return F.when(page == 1, F.lit(base)).otherwise(F.concat(F.lit(base + "/?page="), page.cast("string")))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without . and .. segments; those beyond its top are dropped."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    last = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(F.aggregate(parts, F.array().cast("array<string>"), step), last), "/")
+
+
 def absolute_url(base: str, url: Column) -> Column:
-    """A link as an absolute one: absolute kept, //host, /path and path resolved against ``base``."""
-    return F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), url).when(url.startswith("//"), F.concat(F.lit(base.split("//")[0]), url)).when(url.startswith("/"), F.concat(F.lit(base), url)).otherwise(F.concat(F.lit(base + "/"), url))
+    """A link as an absolute one: absolute kept, //host, /path and path resolved against the site ``base``."""
+    rooted = F.when(url.startswith("/"), url).otherwise(F.concat(F.lit("/"), url))
+    path = F.regexp_extract(rooted, r"^[^?#]*+", 0)
+    resolved = F.when(path.rlike(r"/\.{1,2}(?:/|$)"), F.concat(_without_dots(path), F.substring(rooted, F.length(path) + 1, F.length(rooted)))).otherwise(rooted)
+    return F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), url).when(url.startswith("//"), F.concat(F.lit(base.split("//")[0]), url)).otherwise(F.concat(F.lit(base), resolved))
 
 
 def cost(input_tokens: Column, cached: Column, written: Column, output: Column, rates: Rates = Rates()) -> Column:

@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import curate, funnel, merge
-from ..progress import Progress
+from ..progress import Reporter, reporting
 from ..sources import fetch, pages
 from ..sources.warehouse import Warehouse
 
 
+#: Pages that are fetched before they are stored.
+BATCH = 10_000
+
+
 def store_pages(house: Warehouse, fetched: DataFrame, refresh: bool = False, patterns: text.Patterns = text.DEFAULT) -> DataFrame:
     """Apply fetched pages (id, position, html, error) to packages and questions; returns outcome counts.
 
@@ -68,18 +72,28 @@ def store_pages(house: Warehouse, fetched: DataFrame, refresh: bool = False, pat
 
 
 def rebuild(house: Warehouse, patterns: text.Patterns = text.DEFAULT) -> DataFrame:
-    """Exclusions, canonical records and printings anew, stale translations pruned; all made current together. Returns the canonical summary."""
-    questions = house.read("questions")
-    house.swap({"question_exclusions": curate.exclusions(questions, patterns)})
-    kept = curate.clean(questions, house.read("question_exclusions"))
-    canonical = curate.merge_printings(kept)
-    fresh, _ = merge.prune(house.read("translations"), canonical)
-    house.swap({"questions_canonical": canonical, "question_printings": curate.printing_map(kept), "translations": fresh})
-    return curate.summary(house.read("question_printings"))
-
-
-def build(house: Warehouse, make_fetcher: Callable[[], fetch.Fetcher], pack_ids: list[int] | None = None, limit: int | None = None, refresh: bool = False, workers: int = 8, today: date | None = None, patterns: text.Patterns = text.DEFAULT) -> dict[str, int]:
-    """One incremental run; outcome counts by name, with ``skipped`` and ``questions``."""
+    """Exclusions, canonical records and printings anew, stale translations dropped; all made current by one step.
+
+    Returns questions, merged, reprints and dropped (translations) as one row.
+    """
+    questions, stored = house.read("questions"), house.read("translations")
+    folders = {"question_exclusions": house.write("question_exclusions", curate.exclusions(questions, patterns))}
+    kept = curate.clean(questions, house.at("question_exclusions", folders["question_exclusions"]))
+    folders["questions_canonical"] = house.write("questions_canonical", curate.merge_printings(kept))
+    folders["question_printings"] = house.write("question_printings", curate.printing_map(kept))
+    fresh, gone = merge.prune(stored, house.at("questions_canonical", folders["questions_canonical"]))
+    dropped = gone.count()
+    if dropped:
+        folders["translations"] = house.write("translations", fresh)
+    house.point(folders)
+    return curate.summary(house.read("question_printings")).withColumn("dropped", F.lit(dropped).cast("long"))
+
+
+def build(house: Warehouse, make_fetcher: Callable[[], fetch.Fetcher], pack_ids: list[int] | None = None, limit: int | None = None, refresh: bool = False, workers: int = 8, today: date | None = None, patterns: text.Patterns = text.DEFAULT, told: Reporter | None = None) -> dict[str, int]:
+    """One incremental run; outcome counts by name, with ``skipped`` and ``questions``, and merged, reprints and dropped of the rebuild.
+
+    Pages are fetched and stored ``BATCH`` at a time; ``told`` hears of each such step.
+    """
     spark = house.spark
     done = merge.settled(house.read("packages"), F.lit(today or datetime.now(timezone.utc).date())).select("id")
     if pack_ids is None:
@@ -87,14 +101,18 @@ def build(house: Warehouse, make_fetcher: Callable[[], fetch.Fetcher], pack_ids:
         pack_ids = fetch.discover(make_fetcher(), known, limit)
     found = spark.createDataFrame(list(zip(pack_ids, range(len(pack_ids)))), "id bigint, position bigint")
     wanted = merge.targets(found, done, refresh)
+    wanted = spark.createDataFrame(wanted.collect(), wanted.schema)  # ids that an index lists: the driver walked it
     n = wanted.count()
     counts = {"skipped": len(pack_ids) - n, "questions": 0}
-    if n:
-        for row in store_pages(house, fetch.fetch_pages(wanted, make_fetcher, workers), refresh, patterns).collect():
-            counts[row.outcome] = row.n
+    for done in range(0, n, BATCH):
+        part = wanted.orderBy("position").offset(done).limit(BATCH)
+        for row in store_pages(house, fetch.fetch_pages(part, make_fetcher, workers), refresh, patterns).collect():
+            counts[row.outcome] = counts.get(row.outcome, 0) + row.n
             counts["questions"] += row.n_questions
-    rebuild(house, patterns)
-    return counts
+        if told:
+            told(min(n, done + BATCH), n, "pages stored")
+    summary = rebuild(house, patterns).first()
+    return counts | {c: summary[c] for c in ("merged", "reprints", "dropped")}
 
 
 def corpus_funnel(house: Warehouse) -> DataFrame:
@@ -102,9 +120,13 @@ def corpus_funnel(house: Warehouse) -> DataFrame:
     return funnel.funnel(t["questions"], t["question_exclusions"], t["questions_canonical"], t["translations"])
 
 
+#: How the report calls what a rebuild counts.
+NAMES = {"merged": "merged records", "dropped": "translations dropped"}
+
+
 def report(house: Warehouse, counts: dict[str, int]) -> list[str]:
-    """Lines of a build report: fetch counters that aren't zero, the funnel, exclusions by number."""
-    lines = [f"{name}: {n:,}" for name, n in counts.items() if n]
+    """Lines of a build report: counters that aren't zero, the funnel, exclusions by number."""
+    lines = [f"{NAMES.get(name, name)}: {n:,}" for name, n in counts.items() if n]
     lines += [f"{name}: {n:,}" for name, n in corpus_funnel(house).first().asDict().items()]
     excluded = curate.exclusion_counts(house.read("question_exclusions")).orderBy(F.desc("n"), "reason").collect()
     return lines + [f"  {r.reason}: {r.n:,}" for r in excluded]
@@ -119,15 +141,15 @@ def main(args: list[str] | None = None, make_fetcher: Callable[[], fetch.Fetcher
     parser.add_argument("--delay", type=float, default=0.0)
     chosen = parser.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
-    delay = chosen.delay
-    with Progress("build") as shown:
-        try:
+    # each worker has a client of its own: together they keep the delay between requests
+    pause = chosen.delay * max(1, chosen.workers)
+    try:
+        with reporting("build") as told:
             house = Warehouse(spark, chosen.warehouse)
-            counts = build(house, make_fetcher or (lambda: fetch.HttpClient(delay=delay)), limit=chosen.pages, refresh=chosen.refresh, workers=chosen.workers)
-        except fetch.IndexUnavailable as error:
-            print(error, file=sys.stderr)
-            return 1
-        shown(1, 1)
+            counts = build(house, make_fetcher or (lambda: fetch.HttpClient(delay=pause)), limit=chosen.pages, refresh=chosen.refresh, workers=chosen.workers, told=told)
+    except fetch.IndexUnavailable as error:
+        print(error, file=sys.stderr)
+        return 1
     print("\n".join(report(house, counts)))
     return 0
 

@@ -15,7 +15,7 @@ from ..functions import text, values
 from ..operators import curate, funnel, merge, review
 from ..sources import pages
 
-LATIN = text.Patterns(host_note=r"(?U)<!--(?:[^>]*?)-->|<script>[^<]*</script>", multipart=r"(?U)(?:^|\n)\s*(?:\[[^\]]*\]\s*)*(Of|The)\b", blitz="of", refers_to_other=r"(?U)[Tt]okens?\s*=", handout_lost=r"(?iU)licen[cs]ed\s+under[^.\]]{0,60}(?:apache|cc)")
+LATIN = text.Patterns(host_note=r"(?U)<!--(?:[^>]*?)-->|<script>[^<]*</script>", multipart=r"(?U)(?:^\s*+|(?<!\s)[\s&&[^\n]]*+\n\s*+)(?:\[[^\]]*+\]\s*+)*+(Of|The)\b", blitz="of", refers_to_other=r"(?U)[Tt]okens?\s*=", handout_lost=r"(?iU)licen[cs]ed\s+under[^.\]]{0,60}(?:apache|cc)")
 LIMIT = 50
 
 

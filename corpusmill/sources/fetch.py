@@ -50,7 +50,9 @@ class HttpClient:
             wait = 2.0**attempt
             try:
                 with self._open(urllib.request.Request(url, headers={"User-Agent": "corpusmill"}), timeout=self.timeout) as reply:
-                    return reply.read().decode("utf-8", "replace")
+                    headers = getattr(reply, "headers", None)
+                    charset = headers.get_content_charset() if headers is not None else None
+                    return _decoded(reply.read(), charset)
             except urllib.error.HTTPError as error:
                 if error.code not in RETRIED:
                     raise
@@ -62,13 +64,21 @@ class HttpClient:
         raise failure
 
 
+def _decoded(body: bytes, charset: str | None) -> str:
+    """The body in the charset that its header names, if there is such a one; UTF-8 otherwise."""
+    try:
+        return body.decode(charset or "utf-8", "replace")
+    except LookupError:
+        return body.decode("utf-8", "replace")
+
+
 def index_url(page: int, base: str = pages.BASE_URL) -> str:
     return base if page == 1 else f"{base}/?page={page}"
 
 
 def page_links(html: str) -> list[int]:
     """The ids linked from one index page, in order, once each."""
-    return list(dict.fromkeys(map(int, re.findall(pages.LINK, html))))
+    return list(dict.fromkeys(map(int, re.findall(pages.LINK, re.sub(pages.COMMENT.replace(r"\z", r"\Z"), "", html)))))
 
 
 def discover(fetcher: Fetcher, settled: frozenset[int] | set[int] = frozenset(), limit: int | None = None) -> list[int]:

@@ -14,7 +14,8 @@ from ..functions import text, values
 
 # The site's layout.
 BASE_URL = "https://gotquestions.online"
-LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']/pack/(\d+)(?=[/?#\"'])"
+LINK = r"(?i)<a(?=\s)[^>]*?\shref\s*=\s*[\"']/pack/(\d+)(?=[/?#\"'])"
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 CHUNK = r"self\.__next_f\.push\(\[1,(\"(?:[^\"\\]++|\\.)*+\")\]\)"
 MARKER = '"pack":'
 MEDIA_ROLES = {"razdatkaPic": "handout", "audio": "question_audio", "answerPic": "answer", "commentPic": "explanation", "commentAudio": "explanation_audio"}
@@ -32,7 +33,8 @@ def links(html: Column, pattern: str = LINK) -> Column:
 
 def package_links(pages: DataFrame) -> DataFrame:
     """page columns, position, id of each package linked from an index page."""
-    found = pages.select(*[c for c in pages.columns if c != "html"], F.posexplode(links(F.col("html"))).alias("position", "id"))
+    shown = F.regexp_replace("html", COMMENT, "")
+    found = pages.select(*[c for c in pages.columns if c != "html"], F.posexplode(links(shown)).alias("position", "id"))
     return found.withColumn("id", F.col("id").cast("bigint"))
 
 
@@ -42,7 +44,7 @@ def payload_of(html: str | None) -> tuple[str | None, str | None]:
     if not chunks:
         return None, "no embedded chunks"
     try:
-        stream = "".join(json.loads(c, strict=False) for c in chunks)
+        stream = "".join(json.loads(c) for c in chunks)
     except ValueError:
         return None, "a chunk is no JSON string"
     at = stream.find(MARKER)
@@ -94,7 +96,7 @@ _payload = F.pandas_udf(payload_frame, T.StructType([T.StructField("json", T.Str
 
 
 def _media(q: Column) -> Column:
-    entries = [F.struct(F.lit(role).alias("role"), F.when(text.strip(text.present(q[f])) != "", values.absolute_url(BASE_URL, q[f])).alias("url")) for f, role in MEDIA_ROLES.items()]
+    entries = [F.struct(F.lit(role).alias("role"), F.when(text.strip(text.present(q[f])) != "", values.absolute_url(BASE_URL, text.strip(q[f]))).alias("url")) for f, role in MEDIA_ROLES.items()]
     return F.filter(F.array(*entries), lambda m: m["url"].isNotNull())
 
 

@@ -49,16 +49,23 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
 
-    def swap(self, changed: dict[str, DataFrame]) -> None:
-        """Write the changed tables and make them current together."""
+    def write(self, name: str, df: DataFrame) -> str:
+        """Write a table into a new folder, which no reader sees before ``point``."""
+        if self.read_only:
+            raise PermissionError("opened for reading")
+        folder = f"{name}/{uuid.uuid4().hex}"
+        df.select(*TABLES[name].fieldNames()).write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def at(self, name: str, folder: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{folder}")
+
+    def point(self, folders: dict[str, str]) -> None:
+        """Make written folders current together."""
         if self.read_only:
             raise PermissionError("opened for reading")
         pointer = self._hadoop(f"{self.path}/CURRENT")
-        now = self.current() if self._fs.exists(pointer) else {}
-        for name, df in changed.items():
-            folder = f"{name}/{uuid.uuid4().hex}"
-            df.select(*TABLES[name].fieldNames()).write.parquet(f"{self.path}/{folder}")
-            now[name] = folder
+        now = (self.current() if self._fs.exists(pointer) else {}) | folders
         fresh = self._hadoop(f"{self.path}/CURRENT.{uuid.uuid4().hex}")
         stream = self._fs.create(fresh, True)
         stream.write(json.dumps(now).encode())
@@ -68,6 +75,32 @@ class Warehouse:
         options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         context.rename(self._fs.makeQualified(fresh), self._fs.makeQualified(pointer), options)
 
+    def swap(self, changed: dict[str, DataFrame]) -> None:
+        """Write the changed tables and make them current together."""
+        self.point({name: self.write(name, df) for name, df in changed.items()})
+
+    def work(self) -> str:
+        """A fresh folder for intermediate tables of a build."""
+        return f"{self.path}/work/{uuid.uuid4().hex}"
+
+    def drop(self, folder: str) -> None:
+        """Delete a folder of the warehouse that nothing reads any more."""
+        self._fs.delete(self._hadoop(folder), True)
+
+    def vacuum(self) -> int:
+        """Delete the versions of tables that are not current, and what builds left behind; the number of folders.
+
+        Not for while another job reads or builds.
+        """
+        kept, gone = set(self.current().values()), 0
+        for name in [*TABLES, "work"]:
+            folder = self._hadoop(f"{self.path}/{name}")
+            for status in self._fs.listStatus(folder) if self._fs.exists(folder) else ():
+                if f"{name}/{status.getPath().getName()}" not in kept:
+                    self._fs.delete(status.getPath(), True)
+                    gone += 1
+        return gone
+
     def views(self) -> None:
         """Temporary views of the tables, of the clean questions and of the translated ones."""
         for name, df in self.tables().items():

@@ -65,6 +65,7 @@ def site(tmp_path):
 def run(house, site, **more):
     counts = build.build(house, lambda: site, workers=2, today=TODAY, **more)
     assert funnel.violations(house.tables()).collect() == []
+    assert (counts.pop("merged"), counts.pop("reprints"), counts.pop("dropped")) == (0, 0, 0)
     return {k: v for k, v in counts.items() if v}
 
 
@@ -145,6 +146,47 @@ def test_links_in_columns(spark):
     assert [(r.page, r.position, r.id) for r in pages.package_links(df).collect()] == [(1, 0, 42), (1, 1, 7)]
 
 
+def test_links_of_real_anchors_only(spark):
+    html = '<a data-href="/pack/5">x</a><!-- <a href="/pack/6"> --><a\nclass=x href = \'/pack/7\'>y</a><abbr href="/pack/8"><a href="/pack/9x"><!-- <a href="/pack/10">'
+    assert fetch.page_links(html) == [7]
+    df = spark.createDataFrame([(1, html)], "page int, html string")
+    assert [r.id for r in pages.package_links(df).collect()] == [7]
+
+
+def test_links_against_the_site(spark):
+    from corpusmill.functions import values
+    from pyspark.sql import functions as F
+
+    cases = {"/x.png": "/x.png", "x.png": "/x.png", "../x.png": "/x.png", "/a/../b/./c.png?q=/../": "/b/c.png?q=/../", "a/..": "/", "./a#../": "/a#../", "/a/b/../../../c": "/c", "/a..b/.c": "/a..b/.c"}
+    df = spark.createDataFrame([(k,) for k in cases], "u string")
+    got = {r.u: r.x for r in df.select("u", values.absolute_url(BASE, F.col("u")).alias("x")).collect()}
+    assert got == {k: BASE + v for k, v in cases.items()}
+
+
+def test_rebuild_tells_what_it_merged_and_dropped(spark, tmp_path, site):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    run(house, site)
+    row = dict.fromkeys(schemas.TRANSLATIONS.fieldNames()) | {"question_id": 11, "content_hash": "old", "status": "translated"}
+    house.swap({"translations": spark.createDataFrame([tuple(row.values())], schemas.TRANSLATIONS)})
+    site.served |= {BASE: index(3, 2, 1), url(3): page(3, [question(31, text=question(11)["text"])])}
+    before = house.current()
+    counts = build.build(house, lambda: site, workers=2, today=TODAY)
+    assert (counts["merged"], counts["reprints"], counts["dropped"]) == (1, 1, 1) and house.read("translations").count() == 0
+    assert {"merged records: 1", "reprints: 1", "translations dropped: 1"} <= set(build.report(house, counts))
+    assert house.current() != before and house.vacuum() > 0 and house.vacuum() == 0 and house.read("questions").count() == 4
+
+
+def test_pages_are_stored_in_steps(spark, tmp_path, site, monkeypatch):
+    monkeypatch.setattr(build, "BATCH", 1)
+    told = []
+    counts = build.build(Warehouse(spark, str(tmp_path / "house")), lambda: site, workers=2, today=TODAY, told=lambda *x: told.append(x))
+    assert counts["new"] == 2 and [t[:2] for t in told] == [(1, 2), (2, 2)]
+
+
+def test_charset_of_the_reply():
+    assert fetch._decoded("é".encode("latin-1"), "latin-1") == fetch._decoded("é".encode(), None) == fetch._decoded("é".encode(), "no-such") == "é"
+
+
 def test_warehouse_modes(spark, tmp_path):
     with pytest.raises(MissingWarehouse):
         Warehouse(spark, str(tmp_path / "none"), read_only=True)

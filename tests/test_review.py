@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from corpusmill import schemas
 from corpusmill.operators import review
-from corpusmill.progress import Progress, format_duration
+from corpusmill.progress import format_duration, reporting, sink_for
 from pyspark.sql import functions as F
 
 GOOD = dict.fromkeys(schemas.ENGLISH, "text") | {"status": "translated", "changes_description": "none", "untranslatable_reason": ""}
@@ -170,15 +170,24 @@ def test_durations():
 def test_progress_lines():
     now = [0.0]
     log = Stream(False)
-    p = Progress("fetch", log, clock=lambda: now[0])
-    now[0] = 10.0
-    p(1_000, 4_000, "slow")
-    now[0] = 12.0
-    p(1_200, 4_000)
-    p(4_000, 4_000)
-    p.close()
-    assert log.text.splitlines() == ["fetch: 1,000/4,000   25%  100.0/s  eta 30s  slow", "fetch: 4,000/4,000  100%  333.3/s", "fetch: 4,000 in 12s"]
+    with reporting("fetch", sink_for(log), clock=lambda: now[0]) as told:
+        told(0, 4_000)
+        now[0] = 10.0
+        told(1_000, 4_000, "too soon")
+        now[0] = 40.0
+        told(1_000, 4_000, "slow")
+        now[0] = 50.0
+        told(4_000, 4_000)
+    assert log.text.splitlines() == ["fetch: 0/4,000 (0%)", "fetch: 1,000/4,000 (25%), 25.0/s, eta 2m00s: slow", "fetch: 4,000/4,000 (100%), 80.0/s", "fetch: 4,000 in 50s"]
+
+
+def test_progress_on_a_terminal():
     terminal = Stream(True)
-    with Progress("x", terminal, clock=lambda: now[0]):
+    with reporting("x", sink_for(terminal), clock=lambda: 0.0) as told:
+        told(1, 10, "long word")
+        told(10, 10)
+    assert terminal.text == "\rx: 1/10 (10%): long word\rx: 10/10 (100%)         \rx: 10 in 0s    \n"
+    terminal = Stream(True)
+    with reporting("x", sink_for(terminal)):
         pass
     assert terminal.text == "\rx: nothing to do\n"

@@ -83,3 +83,18 @@ def test_values(spark):
     assert (row.d0, row.d1, row.d2, row.d3) == ("0s", "9s", "1m15s", "3h04m") and row.recent and not row.never
     assert (row.i1, row.i3) == ("u", "u/?page=3") and row.urls == ["http://a/b", "https://h/p", "https://s.x/p", "https://s.x/p"]
     assert row.truth == [0, 0, 0, 0, 1, 1, 1] and row.compact == '["Ё","b"]'
+
+
+def test_long_texts_of_one_kind_take_no_time(spark):
+    """A megabyte of brackets, of blanks, of lines: no stack overflow, and seconds at most for all of them."""
+    import time
+
+    n = 1 << 20
+    long = ["[a] " * (n // 4), "x" + " " * n + "y", "\n" * n + "Блиц.", " \n" * (n // 2) + "x", "[" * n, "[Ведущему: " + "а" * n, "a\t" * (n // 2), "предыдущ" + "и" * n + " вопрос", "[a]" * (n // 3) + " Дуплет. x"]
+    start = time.monotonic()
+    assert column(spark, text.question_kind, long) == ["normal", "normal", "blitz", "normal", "normal", "normal", "normal", "normal", "duplet"]
+    assert column(spark, text.strip, long[1:4]) == [long[1], "\n" * 0 + "Блиц.", "x"]
+    assert [len(x) for x in column(spark, text.clean_text, long)] == [n - 1, 3, 5, 1, n, n + 11, n - 1, n + 15, n // 3 * 3 + 10]
+    assert column(spark, lambda c: text.exclusion_reason(c, F.lit("a")), long)[7] == "refers_to_other_question"
+    assert column(spark, text.host_notes, [long[0], long[5], long[5] + "\n"]) == ["", "", long[5]]
+    assert time.monotonic() - start < 60
