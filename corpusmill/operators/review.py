@@ -31,6 +31,9 @@ SOURCE = ("question_id", "content_hash", "question", "answer", "explanation", "a
 # The texts that the fold itself writes.
 DISAGREE = "The critic and writer disagree on whether the question is translatable."
 EXHAUSTED = "No candidate passed independent review within the revision limit."
+BLANK_REASON = "untranslatable_reason is blank"
+EMPTY_FIELDS = "Editor returned empty required fields: "
+COPY_EDIT = " English copy edit: "
 NOT_PASSED = "The translation did not pass independent review."
 POLISHED = "Polished the English prose."
 UNSAFE = "Safe English copy editing requires substantive puzzle changes."
@@ -73,7 +76,7 @@ def blank_fields(record: Record) -> list[str]:
 def local_issues(candidate: Record) -> list[str]:
     """What is wrong with a candidate by its form alone."""
     if candidate["status"] == "untranslatable":
-        return [] if candidate["untranslatable_reason"].strip() else ["untranslatable_reason is blank"]
+        return [] if candidate["untranslatable_reason"].strip() else [BLANK_REASON]
     return [f"{f} is blank" for f in (*blank_fields(candidate), *([] if candidate["changes_description"].strip() else ["changes_description"]))]
 
 
@@ -125,13 +128,13 @@ async def _polish(client: ReviewClient, source: Record, candidate: Record, round
     before, after = ({f: r[f] for f in ENGLISH} for r in (candidate, edit))
     blank = blank_fields(after)
     if blank or edit["decision"] == "needs_rework":
-        reason = f"Editor returned empty required fields: {', '.join(blank)}." if blank else edit["needs_rework_reason"].strip() or UNSAFE
+        reason = f"{EMPTY_FIELDS}{', '.join(blank)}." if blank else edit["needs_rework_reason"].strip() or UNSAFE
         status, edit = "needs_rework", edit | before | {"needs_rework_reason": reason}
     elif after == before:
         status, edit = "unchanged", edit | {"needs_rework_reason": ""}
     else:
         status, edit = "edited", edit | {"needs_rework_reason": ""}
-        note = f"{candidate['changes_description'].rstrip()} English copy edit: {edit['edit_summary'].strip() or POLISHED}"
+        note = f"{candidate['changes_description'].rstrip()}{COPY_EDIT}{edit['edit_summary'].strip() or POLISHED}"
         candidate = candidate | after | {"changes_description": note.strip()}
     history.append({"editor": edit | {"decision": status}})
     return Verdict(candidate, status, rounds, 1, usage, history)
@@ -151,7 +154,8 @@ def sample_by_hash(rows: DataFrame, key: str, seed: str, n: int) -> DataFrame:
     return rows.orderBy(F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)), 256), key).limit(n)
 
 
-_RESULT = T.StructType([*TRANSLATIONS.fields, T.StructField("failure", T.StringType())])
+#: A translation row, and why there is none.
+RESULT = T.StructType([*TRANSLATIONS.fields, T.StructField("failure", T.StringType())])
 
 
 def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], concurrency: int = 1000, partitions: int | None = None, fail_fast: bool = False, max_revisions: int = MAX_REVISIONS) -> DataFrame:
@@ -184,7 +188,7 @@ def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], conc
             yield pd.DataFrame(asyncio.run(all_of(batch.to_dict("records"))), columns=[*TRANSLATIONS.fieldNames(), "failure"])
 
     rows = inputs.repartition(partitions) if partitions else inputs
-    return rows.mapInPandas(run, _RESULT)
+    return rows.mapInPandas(run, RESULT)
 
 
 def run_report(results: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text, values
 from ..operators import curate, funnel, merge, review
 from ..sources import pages
+from . import stage_queries
 
 LATIN = text.Patterns(host_note=r"(?U)<!--(?:[^>]*?)-->|<script>[^<]*</script>", multipart=r"(?U)(?:^\s*+|(?<!\s)[\s&&[^\n]]*+\n\s*+)(?:\[[^\]]*+\]\s*+)*+(Of|The)\b", blitz="of", refers_to_other=r"(?U)[Tt]okens?\s*=", handout_lost=r"(?iU)licen[cs]ed\s+under[^.\]]{0,60}(?:apache|cc)")
 LIMIT = 50
@@ -151,13 +152,6 @@ def script_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
-    e = _table(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
-    old = e.filter("event_id % 2 = 0").groupBy("user_id").agg(F.min_by(F.struct("event_id", "event_type", "value"), "event_id").alias("r")).select("user_id", "r.*")
-    return merge.upsert(old, e.filter("event_id % 6 = 1"), "user_id", ["event_id"]).withColumn("value", _round(F.col("value")))
-
-
-def upsert_latest_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Like ``upsert_latest``, with every odd event in the batch, so that no event is left out."""
     e = _table(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
     old = e.filter("event_id % 2 = 0").groupBy("user_id").agg(F.min_by(F.struct("event_id", "event_type", "value"), "event_id").alias("r")).select("user_id", "r.*")
     return merge.upsert(old, e.filter("event_id % 2 = 1"), "user_id", ["event_id"]).withColumn("value", _round(F.col("value")))
@@ -271,8 +265,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (clean_text, content_hash, page_hash, normalized_key, normalized_key_general, exclusion_counts, clean_view, canonical_groups, printing_map, canonical_merge, canonical_summary, longest_text, ordered_union, pooled_rate, paired_truncate, note_split, kind_detect, link_extract, payload_extract, script_extract, upsert_latest, upsert_latest_all, outcome_classify, outcome_counts, settled_filter, pending_anti, usable_join, title_join, stale_prune, sample_hash, sample_random, status_counts, usage_totals, usage_cost, corpus_funnel, review_rounds, durations, index_urls)
-} | {"exclusion_reason": _excluded}
+    for f in (clean_text, content_hash, page_hash, normalized_key, normalized_key_general, exclusion_counts, clean_view, canonical_groups, printing_map, canonical_merge, canonical_summary, longest_text, ordered_union, pooled_rate, paired_truncate, note_split, kind_detect, link_extract, payload_extract, script_extract, upsert_latest, outcome_classify, outcome_counts, settled_filter, pending_anti, usable_join, title_join, stale_prune, sample_hash, sample_random, status_counts, usage_totals, usage_cost, corpus_funnel, review_rounds, durations, index_urls)
+} | {"exclusion_reason": _excluded} | stage_queries.QUERIES
 
 _FOLDED = r"trim(regexp_replace(regexp_replace(replace(replace(lower(coalesce(text, '')), 'ß', 'ss'), 'ё', 'е'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 _NHASH = f"substr(sha256({_FOLDED}), 1, 16)"
@@ -326,8 +320,7 @@ SELECT id, id % 7 AS package_id, answer, explanation, acceptance_criteria, sourc
     "link_extract": """SELECT p.page_id, coalesce(links, '') AS links, coalesce(n, 0) AS n FROM pages p LEFT JOIN (SELECT page_id, string_agg(l, ' ' ORDER BY first) AS links, count(*) AS n FROM (SELECT page_id, l, min(i) AS first FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS l, generate_subscripts(regexp_extract_all(html, 'href="([^"]*)"', 1), 1) AS i FROM pages) GROUP BY 1, 2) GROUP BY 1) x ON p.page_id = x.page_id""",
     "payload_extract": f"SELECT event_id, {_K} AS k, CASE WHEN {_K} IS NULL OR {_K} = 0 THEN 0 ELSE 1 END::BIGINT AS flag FROM events",
     "script_extract": r"SELECT page_id, CAST(regexp_extract(html, 'track\((\d+)\)', 1) AS BIGINT) AS tracked FROM pages",
-    "upsert_latest": "WITH n AS (SELECT user_id, max(event_id) AS event_id FROM events WHERE event_id % 6 = 1 GROUP BY 1), o AS (SELECT user_id, min(event_id) AS event_id FROM events WHERE event_id % 2 = 0 GROUP BY 1), w AS (SELECT * FROM n UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM n)) SELECT e.user_id, e.event_id, e.event_type, round(e.value + 1e-9, 6) AS value FROM events e JOIN w ON e.event_id = w.event_id",
-    "upsert_latest_all": "WITH n AS (SELECT user_id, max(event_id) AS event_id FROM events WHERE event_id % 2 = 1 GROUP BY 1), o AS (SELECT user_id, min(event_id) AS event_id FROM events WHERE event_id % 2 = 0 GROUP BY 1), w AS (SELECT * FROM n UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM n)) SELECT e.user_id, e.event_id, e.event_type, round(e.value + 1e-9, 6) AS value FROM events e JOIN w ON e.event_id = w.event_id",
+    "upsert_latest": "WITH n AS (SELECT user_id, max(event_id) AS event_id FROM events WHERE event_id % 2 = 1 GROUP BY 1), o AS (SELECT user_id, min(event_id) AS event_id FROM events WHERE event_id % 2 = 0 GROUP BY 1), w AS (SELECT * FROM n UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM n)) SELECT e.user_id, e.event_id, e.event_type, round(e.value + 1e-9, 6) AS value FROM events e JOIN w ON e.event_id = w.event_id",
     "outcome_classify": f"SELECT user_id, outcome FROM {_OUTCOMES}",
     "outcome_counts": f"SELECT outcome, count(*) AS n, sum(q)::BIGINT AS n_questions FROM (SELECT outcome, CASE WHEN outcome IN ('new', 'updated') THEN questions ELSE 0 END AS q FROM {_OUTCOMES} UNION ALL SELECT 'unchanged', 0 FROM {_OUTCOMES} WHERE outcome = 'recovered') GROUP BY outcome",
     "settled_filter": "SELECT id, status, played_at_start FROM (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'O' THEN 'empty' ELSE 'http_error' END AS status, CASE WHEN o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS played_at_start FROM orders) WHERE status IN ('ok', 'empty') AND coalesce(played_at_start, '') < '1997-01-01'",
@@ -343,4 +336,4 @@ SELECT id, id % 7 AS package_id, answer, explanation, acceptance_criteria, sourc
     "review_rounds": "SELECT conv_id, coalesce(min(turn) FILTER (length(text) > 300), max(turn)) AS last_turn, count(*) FILTER (length(text) > 300) > 0 AS accepted FROM conversations WHERE role = 'assistant' GROUP BY conv_id",
     "durations": "SELECT o_orderkey, CASE WHEN s >= 3600 THEN printf('%dh%02dm', s // 3600, s % 3600 // 60) WHEN s >= 60 THEN printf('%dm%02ds', s // 60, s % 60) ELSE printf('%ds', s) END AS shown FROM (SELECT o_orderkey, greatest(o_orderkey * 7 - 20, 0) AS s FROM orders)",
     "index_urls": "SELECT page_id, 'https://site.example' || CASE WHEN page_id = 0 THEN '' ELSE '/?page=' || CAST(page_id + 1 AS VARCHAR) END AS url FROM pages",
-}
+} | stage_queries.ORACLE_SQL

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import importlib
 import sys
-import uuid
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,28 +13,63 @@ from pyspark.sql import functions as F
 
 from ..functions import values
 from ..operators import funnel, merge, review
+from ..progress import Reporter, reporting
 from ..schemas import USAGE
 from ..sources.warehouse import Warehouse
 
 
+#: Records of which the answers are written together; parts of a batch; and where in the warehouse answers wait.
+BATCH, WORKERS, ANSWERS = 2_000, 8, "answers"
+
+
 def save(house: Warehouse, results: DataFrame) -> None:
     """Upsert the completed rows of a run; failures stay pending."""
     done = results.filter("failure is null").drop("failure")
     house.swap({"translations": merge.upsert(house.read("translations"), done, "question_id", ["completed_at"])})
 
 
-def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit: int | None = None, refresh: bool = False, concurrency: int = 1000, partitions: int | None = None, seed: int | None = None, fail_fast: bool = False) -> dict[str, int]:
+def _answered(house: Warehouse) -> list[str]:
+    """Folders of answers that are not in the table of translations yet, oldest first."""
+    folder = house._hadoop(f"{house.path}/{ANSWERS}")
+    found = [s.getPath() for s in house._fs.listStatus(folder)] if house._fs.exists(folder) else []
+    return [f"{house.path}/{ANSWERS}/{p.getName()}" for p in sorted(found, key=lambda p: p.getName()) if house._fs.exists(house._hadoop(f"{house.path}/{ANSWERS}/{p.getName()}/_SUCCESS"))]
+
+
+def _settle(house: Warehouse, folders: list[str]) -> None:
+    """Take written answers into the table, in one step, then delete their folders."""
+    if folders:
+        save(house, house.spark.read.schema(review.RESULT).parquet(*folders))
+        for folder in folders:
+            house.drop(folder)
+
+
+def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit: int | None = None, refresh: bool = False, concurrency: int = 1000, partitions: int | None = None, seed: int | None = None, fail_fast: bool = False, told: Reporter | None = None) -> dict[str, int]:
     """Review up to ``limit`` records; selected, completed, errors and the usage of the completed.
 
-    The clients' answers are written once before anything reads them, so a later plan repeats no call.
+    Records are drawn once, then reviewed BATCH at a time, and the answers of each batch are written before
+    anything reads them: a lost task repeats the calls of its part of a batch, a run that breaks off those
+    of one batch, and the next run takes what it finds written. ``told`` hears of each batch.
     """
+    _settle(house, _answered(house))
     inputs = review.pending_inputs(house.read("questions_canonical"), house.read("translations"), house.read("packages"), limit, refresh, seed)
-    results = review.run_reviews(inputs, make_client, concurrency, partitions, fail_fast)
-    path = f"{house.path}/work/{uuid.uuid4().hex}/reviews"
-    results.write.parquet(path)
-    stored = house.spark.read.schema(results.schema).parquet(path)
-    save(house, stored)
-    return review.run_report(stored).first().asDict()
+    drawn = house.work()
+    inputs.write.parquet(drawn)
+    inputs = house.spark.read.schema(inputs.schema).parquet(drawn)
+    total, begun = inputs.count(), time.time_ns()
+    batches = max(1, -(-total // BATCH))
+    mine: list[str] = []
+    for k in range(batches if total else 0):
+        part = inputs.filter(F.pmod(F.xxhash64("question_id"), F.lit(batches)) == k)
+        folder = f"{house.path}/{ANSWERS}/{begun:020d}-{k:08d}"
+        review.run_reviews(part, make_client, concurrency, partitions or WORKERS, fail_fast).write.parquet(folder)
+        mine.append(folder)
+        if told:
+            told(min(total, (k + 1) * BATCH), total, "reviewed")
+    results = house.spark.read.schema(review.RESULT).parquet(*mine) if mine else house.spark.createDataFrame([], review.RESULT)
+    done = review.run_report(results).first().asDict()
+    _settle(house, mine)
+    house.drop(drawn)
+    return done
 
 
 def statistics(house: Warehouse) -> tuple[DataFrame, DataFrame, int]:
@@ -57,7 +92,8 @@ def main(args: list[str] | None = None, make_client: Callable[[], review.ReviewC
     parser.add_argument("count", type=int)
     parser.add_argument("--client", help="module:factory of the client")
     parser.add_argument("--refresh", action="store_true")
-    parser.add_argument("--concurrency", type=int, default=1000)
+    parser.add_argument("--concurrency", type=int, default=1000, help="reviews under way at once, over all workers")
+    parser.add_argument("--fail-fast", action="store_true", help="end the run at the first failure")
     chosen = parser.parse_args(args)
     if chosen.count < 1:
         parser.error("count must be at least 1")
@@ -65,7 +101,8 @@ def main(args: list[str] | None = None, make_client: Callable[[], review.ReviewC
         module, _, name = (chosen.client or parser.error("--client is needed")).partition(":")
         make_client = getattr(importlib.import_module(module), name)
     spark = SparkSession.builder.getOrCreate()
-    done = run(Warehouse(spark, chosen.warehouse), make_client, chosen.count, chosen.refresh, chosen.concurrency)
+    with reporting("review") as told:
+        done = run(Warehouse(spark, chosen.warehouse), make_client, chosen.count, chosen.refresh, -(-chosen.concurrency // WORKERS), fail_fast=chosen.fail_fast, told=told)
     print("\n".join(report(spark, done)))
     return 1 if done["errors"] else 0
 

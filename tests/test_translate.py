@@ -19,3 +19,33 @@ def test_runs_until_nothing_is_pending(spark, tmp_path, capsys):
     assert translate.run(house, Steady, None, refresh=True)["completed"] == 3 and house.read("translations").count() == 3
     with pytest.raises(SystemExit):
         translate.main([args[0], "0"], Steady)
+
+
+class Breaking(Steady):
+    """Answers for some records; the others' reviews end the run."""
+
+    async def propose(self, source, previous, feedback):
+        if source["question_id"] % 3 == 0:
+            raise RuntimeError("out of credit")
+        return await super().propose(source, previous, feedback)
+
+
+def test_answers_outlive_a_run_that_breaks_off(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(translate, "BATCH", 1)
+    house = Warehouse(spark, str(tmp_path / "house"))
+    canonical, packages = tables(spark, 6)
+    full = lambda df, name: house.read(name).unionByName(df, allowMissingColumns=True)
+    house.swap({"questions_canonical": full(canonical, "questions_canonical"), "packages": full(packages, "packages")})
+    told = []
+    with pytest.raises(Exception, match="out of credit"):
+        translate.run(house, Breaking, fail_fast=True, told=lambda *x: told.append(x))
+    written = [r.question_id for f in translate._answered(house) for r in spark.read.parquet(f).collect()]
+    assert house.read("translations").count() == 0 and len(written) <= len(told)
+    done = translate.run(house, Breaking)
+    stored = {r.question_id for r in house.read("translations").collect()}
+    assert set(written) <= stored and done["selected"] == 6 - len(written) and done["errors"] == 6 - len(stored)
+    assert translate._answered(house) == []
+    with pytest.raises(Exception, match="out of credit"):
+        translate.main([str(tmp_path / "house"), "9", "--fail-fast"], Breaking)
+    last = translate.run(house, Steady)  # record 3 fails with any client
+    assert (last["completed"], last["errors"]) == (5 - len(stored), 1)
