@@ -2,104 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import Scratch, discard, settings, shared_folder, staged
+
+__all__ = ["Scratch", "discard", "settings", "shared_folder", "staged"]
+
 #: Bytes of text that one vectorised step takes at once (a longer document is taken alone).
 SLICE_BYTES = 1 << 20
 #: Bytes whose words are hashed at once, and bytes from which on a word is hashed by itself.
 CHUNK_BYTES, LONG_WORD = 1 << 17, 256
-#: Removes a job's shuffle files when it ends, instead of when the driver next collects garbage.
-_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` (or the session's checkpoint folder).
-
-    There is no fallback: a folder of the driver's own machine would be another one on each executor.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _local_folder()
-    return folder.rstrip("/")
-
-
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    """For a session of one process (tests, the bench), where the driver is the only executor."""
-    import atexit
-    import shutil
-    import tempfile
-
-    folder = tempfile.mkdtemp(prefix="corpusmill-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return f"file://{folder}"
-
-
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the jobs that run inside; the former ones are put back."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    The written table cuts the lineage: an executor lost later costs a reread, not
-    the whole history, and every later branch sees the same rows.
-    """
-    path = f"{shared_folder(df.sparkSession)}/corpusmill/{label}-{uuid.uuid4().hex}"
-    with settings(df.sparkSession, {_TIDY: "true"}):
-        df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._staged_path = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete staged tables that no later plan reads; others are left alone."""
-    for table in tables:
-        path = getattr(table, "_staged_path", None)
-        if path:
-            where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
-
-
-class Scratch:
-    """Stages tables and deletes them at the end of the block, but for those that ``keep`` names."""
-
-    def __init__(self, label: str):
-        self.label, self.tables, self.kept = label, [], set()
-
-    def __call__(self, df: DataFrame, label: str) -> DataFrame:
-        self.tables.append(staged(df, f"{self.label}-{label}"))
-        return self.tables[-1]
-
-    def keep(self, table: DataFrame) -> DataFrame:
-        self.kept.add(id(table))
-        return table
-
-    def __enter__(self) -> Scratch:
-        return self
-
-    def __exit__(self, *_: object) -> None:
-        discard(*[t for t in self.tables if id(t) not in self.kept])
 
 
 def text_of(df: DataFrame, column: str = "text"):
