@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from corpusmill.llm import bpe, decontam, linedup, neardup, quality
-from corpusmill.llm.shared import staged
+from corpusmill.llm.shared import discard, staged
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +20,18 @@ NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier keeps. Without labels of both kinds all stay."""
+    """Documents that the co-trained classifier keeps. Without labels of both kinds all stay.
+
+    Null texts are judged as empty ones; every row of a repeated doc_id is judged by its own text.
+    """
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines stay in the first document that has them; documents left with no line of their own go."""
+    """Boilerplate lines stay in the first document that has them; documents left with no line of their own go.
+
+    Null and empty texts have no lines and stay; rows of one doc_id are cleaned each by its own text.
+    """
     return linedup.dedup_stage(docs)
 
 
@@ -45,12 +51,12 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut; documents that are mostly benchmark text go."""
+    """Benchmark passages are cut; documents that are mostly benchmark text go. Null and empty texts stay as they are."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes of each document that is left."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes of each document that is left; null and empty texts have no ids."""
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -69,8 +75,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written as Parquet and read again for the next."""
+    """All stages on ``documents``, each written as Parquet and read again for the next, after which its own input goes."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        done = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(docs)  # a table that the stage before wrote; others are left alone
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
