@@ -52,6 +52,25 @@ class ReviewClient(Protocol):
     async def edit(self, source: Record, candidate: Record) -> tuple[Record, Record]: ...
 
 
+@dataclass(frozen=True)
+class Policy:
+    """What a run is told from outside: instructions for the prompts of each role (propose, critique, edit), rounds of revision."""
+
+    instructions: dict[str, str] = field(default_factory=dict)
+    max_revisions: int = MAX_REVISIONS
+
+    @classmethod
+    def load(cls, path: str) -> Policy:
+        """From a JSON object with the fields of this class; unknown ones are an error."""
+        with open(path, encoding="utf-8") as text:
+            return cls(**json.load(text))
+
+    def prompt(self, role: str, source: Record, **more: Record) -> str:
+        """The role's instructions, a blank line, and the task as JSON: the record, and what ``more`` hands on."""
+        task = json.loads(prompt(source)) | more
+        return f"{self.instructions.get(role, '')}\n\n{json.dumps(task, ensure_ascii=False, indent=2)}".lstrip()
+
+
 @dataclass
 class Verdict:
     """What the fold ends with."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import functools
 import importlib
 import sys
 import time
@@ -43,7 +44,7 @@ def _settle(house: Warehouse, folders: list[str]) -> None:
             house.drop(folder)
 
 
-def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit: int | None = None, refresh: bool = False, concurrency: int = 1000, partitions: int | None = None, seed: int | None = None, fail_fast: bool = False, told: Reporter | None = None) -> dict[str, int]:
+def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit: int | None = None, refresh: bool = False, concurrency: int = 1000, partitions: int | None = None, seed: int | None = None, fail_fast: bool = False, told: Reporter | None = None, max_revisions: int = review.MAX_REVISIONS) -> dict[str, int]:
     """Review up to ``limit`` records; selected, completed, errors and the usage of the completed.
 
     Records are drawn once, then reviewed BATCH at a time, and the answers of each batch are written before
@@ -61,7 +62,7 @@ def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit:
     for k in range(batches if total else 0):
         part = inputs.filter(F.pmod(F.xxhash64("question_id"), F.lit(batches)) == k)
         folder = f"{house.path}/{ANSWERS}/{begun:020d}-{k:08d}"
-        review.run_reviews(part, make_client, concurrency, partitions or WORKERS, fail_fast).write.parquet(folder)
+        review.run_reviews(part, make_client, concurrency, partitions or WORKERS, fail_fast, max_revisions).write.parquet(folder)
         mine.append(folder)
         if told:
             told(min(total, (k + 1) * BATCH), total, "reviewed")
@@ -91,6 +92,7 @@ def main(args: list[str] | None = None, make_client: Callable[[], review.ReviewC
     parser.add_argument("warehouse")
     parser.add_argument("count", type=int)
     parser.add_argument("--client", help="module:factory of the client")
+    parser.add_argument("--policy", help="JSON file of instructions and limits; the client's factory is called with it")
     parser.add_argument("--refresh", action="store_true")
     parser.add_argument("--concurrency", type=int, default=1000, help="reviews under way at once, over all workers")
     parser.add_argument("--fail-fast", action="store_true", help="end the run at the first failure")
@@ -100,9 +102,13 @@ def main(args: list[str] | None = None, make_client: Callable[[], review.ReviewC
     if make_client is None:
         module, _, name = (chosen.client or parser.error("--client is needed")).partition(":")
         make_client = getattr(importlib.import_module(module), name)
+    policy = review.Policy()
+    if chosen.policy:
+        policy = review.Policy.load(chosen.policy)
+        make_client = functools.partial(make_client, policy)
     spark = SparkSession.builder.getOrCreate()
     with reporting("review") as told:
-        done = run(Warehouse(spark, chosen.warehouse), make_client, chosen.count, chosen.refresh, -(-chosen.concurrency // WORKERS), fail_fast=chosen.fail_fast, told=told)
+        done = run(Warehouse(spark, chosen.warehouse), make_client, chosen.count, chosen.refresh, -(-chosen.concurrency // WORKERS), fail_fast=chosen.fail_fast, told=told, max_revisions=policy.max_revisions)
     print("\n".join(report(spark, done)))
     return 1 if done["errors"] else 0
 

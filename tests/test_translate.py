@@ -1,4 +1,7 @@
+import json
+
 import pytest
+from corpusmill.operators import review
 from corpusmill.plans import translate
 from corpusmill.sources.warehouse import Warehouse
 from test_review import Steady, tables
@@ -49,3 +52,34 @@ def test_answers_outlive_a_run_that_breaks_off(spark, tmp_path, monkeypatch):
         translate.main([str(tmp_path / "house"), "9", "--fail-fast"], Breaking)
     last = translate.run(house, Steady)  # record 3 fails with any client
     assert (last["completed"], last["errors"]) == (5 - len(stored), 1)
+
+
+class Told(Steady):
+    """Says in its texts which instructions it got."""
+
+    def __init__(self, policy):
+        self.policy = policy
+
+    async def propose(self, source, previous, feedback):
+        answer, usage = await super().propose(source, previous, feedback)
+        return answer | {"question_en": self.policy.prompt("propose", source, feedback=feedback)}, usage
+
+    async def critique(self, source, candidate):
+        answer, usage = await super().critique(source, candidate)
+        return answer | {"decision": "revise"}, usage
+
+    async def edit(self, source, candidate):
+        return dict(candidate) | {"decision": "unchanged", "edit_summary": "", "needs_rework_reason": ""}, {"requests": 1}
+
+
+def test_policy_reaches_the_client(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    canonical, packages = tables(spark, 2)
+    full = lambda df, name: house.read(name).unionByName(df, allowMissingColumns=True)
+    house.swap({"questions_canonical": full(canonical, "questions_canonical"), "packages": full(packages, "packages")})
+    (tmp_path / "policy.json").write_text(json.dumps({"instructions": {"propose": "Переведи."}, "max_revisions": 0}), encoding="utf-8")
+    assert translate.main([str(tmp_path / "house"), "5", "--policy", str(tmp_path / "policy.json")], Told) == 0
+    rows = house.read("translations").collect()
+    assert len(rows) == 2 and all(r.translation_attempts == 1 and r.question_en.startswith('Переведи.\n\n{\n  "question_ru": "q"') for r in rows)
+    with pytest.raises(TypeError):
+        review.Policy(rounds=3)
