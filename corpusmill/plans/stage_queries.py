@@ -4,8 +4,10 @@ review fold with scripted rounds, invariants, and the exported texts. Each has S
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +15,14 @@ from ..functions import text, values
 from ..operators import funnel, merge, review
 from ..schemas import ENGLISH, PACKAGES, USAGE
 from ..sources import pages
+from ..sources.warehouse import Warehouse
+from ..staging import shared_folder
+from . import build
 
 #: Spellings of the site's markers, as rows get them.
 NOTE, BLITZ = "[Ведущему: тихо]", "Блиц."
+#: What makes a question long enough to be one.
+WHY = " to a customer who had ordered it long before"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,7 +42,7 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
     question = F.struct(
         (c("l_orderkey") * 10 + number).alias("id"),
         number.alias("number"),
-        F.when(number == 5, "").otherwise(F.concat(F.when(number == 1, BLITZ + "\n").otherwise(""), F.when(number == 2, NOTE).otherwise(""), F.lit(" Part  "), c("l_partkey").cast("string"), F.lit("\r\nshipped\tby "), c("l_suppkey").cast("string"))).alias("text"),
+        F.when(number == 5, "").otherwise(F.concat(F.when(number == 1, BLITZ + "\n").otherwise(""), F.when(number == 2, NOTE).otherwise(""), F.lit(" Part  "), c("l_partkey").cast("string"), F.lit("\r\nshipped\tby "), c("l_suppkey").cast("string"), F.lit(WHY))).alias("text"),
         c("l_returnflag").alias("answer"),
         F.concat(F.lit(" "), c("l_linestatus")).alias("zachet"),
         F.when(number == 3, " /img/1.png").when(number == 4, "../img/2.png").alias("razdatkaPic"),
@@ -162,12 +169,57 @@ def media_links(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, "pages").select("page_id", values.absolute_url("https://site.example", url).alias("link"))
 
 
+def build_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The funnel of a warehouse after the pages are stored twice (the second time all are unchanged) and everything is rebuilt, and what was counted on the way."""
+    house = Warehouse(spark, f"{shared_folder(spark)}/corpusmill/house-{uuid.uuid4().hex}")
+    found = _pages(spark, sf).select("id", F.col("id").alias("position"), "html", F.when(F.col("id") % 10 == 5, "refused").alias("error"))
+    counts: dict[str, int] = {}
+    for turn in ("first", "again"):
+        for r in build.store_pages(house, found).collect():
+            counts[f"{turn}_{r.outcome}"] = r.n
+    summary = build.rebuild(house).first()
+    names = ["first_new", "first_parse_error", "first_fetch_error", "again_unchanged", "again_parse_error", "again_fetch_error"]
+    more = [F.lit(counts.get(n, 0)).cast("long").alias(n) for n in names] + [F.lit(summary[n]).cast("long").alias(n) for n in ("merged", "reprints", "dropped")]
+    broken = funnel.violations(house.tables()).agg(F.count("*").alias("violations"))
+    return build.corpus_funnel(house).join(broken).select("*", *more)  # one row each
+
+
+def target_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Users with events whose package, made of their orders, is not settled."""
+    o = _table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.max("o_orderdate").alias("d"), F.min("o_orderstatus").alias("s"))
+    packs = o.select("id", F.when(F.col("s") == "F", "ok").when(F.col("s") == "O", "empty").otherwise("http_error").alias("status"), F.date_format("d", "yyyy-MM-dd").alias("played_at_start"))
+    discovered = _table(spark, sf, "events").select(F.col("user_id").alias("id")).distinct()
+    return merge.targets(discovered, merge.settled(packs, F.to_date(F.lit("1998-06-01")), 300))
+
+
+def random_draw(spark: SparkSession, sf: str) -> DataFrame:
+    """A draw of pending records: how many, how many different, how many of them known and untranslated."""
+    o = _table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("package_id"), *[F.lit("").alias(c) for c in ("content_hash", *text.CONTENT_FIELDS)])
+    done = o.filter("id % 3 = 0").select(F.col("id").alias("question_id"))
+    titles = _table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"))
+    drawn = review.pending_inputs(o, done, titles, 100, seed=3)
+    return drawn.agg(F.count("*").alias("n"), F.countDistinct("question_id").alias("different"), F.count(F.when((F.col("question_id") % 3 != 0) & F.col("package_title").startswith("Customer"), 1)).alias("pending"))
+
+
+def prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """The task that a record's prompt carries, and what is wrong with a candidate made of it by its form alone."""
+    d = _table(spark, sf, "conversations")
+
+    def of(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for r in rows:
+            sources = [dict.fromkeys(review.SOURCE, "") | {"question": f"q{c}", "answer": t[:10], "package_title": "p"} for c, t in zip(r["conv_id"], r["text"])]
+            forms = [dict.fromkeys(ENGLISH, "x") | {"answer_en": " " if n % 2 else "x", "status": "untranslatable" if n % 3 == 0 else "adapted", "changes_description": "" if n % 5 == 0 else "c", "untranslatable_reason": "" if n % 2 else "r"} for n in r["turn"]]
+            yield pd.DataFrame({"conv_id": r["conv_id"], "turn": r["turn"], "task": [review.prompt(s) for s in sources], "issues": ["; ".join(review.local_issues(f)) for f in forms]})
+
+    return d.select("conv_id", "turn", F.regexp_replace("text", r"[^A-Za-z ]", "").alias("text")).mapInPandas(of, "conv_id long, turn long, task string, issues string")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {f.__name__: f for f in (page_parse, question_rows, package_merge, review_fold, run_report, violations, exported_texts, media_links)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (build_run, target_selection, random_draw, prompts, page_parse, question_rows, package_merge, review_fold, run_report, violations, exported_texts, media_links)}
 
 _FOLD = """(SELECT question_id, question_id % 7 = 6 AS fails, question_id % 3 = 0 AS lost, least(question_id % 5 + 1, 3) AS turns, question_id % 5 < 3 AS accepted, question_id % 4 AS edit FROM (SELECT DISTINCT conv_id AS question_id FROM conversations))"""
 _USAGE = "2 * turns + CASE WHEN lost THEN 0 ELSE 1 END AS api_requests, 180 * turns + CASE WHEN lost THEN 0 ELSE 60 END AS input_tokens, 60 * turns + CASE WHEN lost THEN 0 ELSE 10 END AS output_tokens"
-_QUESTION = "CASE WHEN l_linenumber = 1 THEN 'Блиц.' || chr(10) ELSE '' END || CASE WHEN l_linenumber = 5 THEN '[Media question; see media URLs]' ELSE 'Part ' || l_partkey || chr(10) || 'shipped by ' || l_suppkey END"
+_QUESTION = "CASE WHEN l_linenumber = 1 THEN 'Блиц.' || chr(10) ELSE '' END || CASE WHEN l_linenumber = 5 THEN '[Media question; see media URLs]' ELSE 'Part ' || l_partkey || chr(10) || 'shipped by ' || l_suppkey || '" + WHY + "' END"
 
 ORACLE_SQL: dict[str, str] = {
     "page_parse": """SELECT l_orderkey AS id, CASE l_orderkey % 10 WHEN 4 THEN 'no embedded chunks' WHEN 3 THEN 'declared ' || (count(*) + 1) || ' questions, parsed ' || count(*) END AS parse_error,
@@ -204,4 +256,15 @@ UNION ALL SELECT 'translations: unknown status', count(*) FROM t WHERE id % 18 =
 UNION ALL SELECT 'printings beyond the clean rows', CASE WHEN 3 * (SELECT count(*) FROM c) <> (SELECT count(*) FROM k) THEN 1 ELSE 0 END) WHERE n > 0""",
     "exported_texts": "SELECT l_orderkey, '[' || string_agg(CAST(l_linenumber AS VARCHAR), ', ' ORDER BY l_linenumber) || ']' AS spaced, '[' || string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) || ']' AS compact FROM lineitem GROUP BY l_orderkey",
     "media_links": "SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'https://site.example/a/' || page_id WHEN 1 THEN 'https://site.example/' || page_id || '?q=/../x' WHEN 2 THEN 'https://host/x' WHEN 3 THEN url ELSE 'https://site.example/a/' END AS link FROM pages",
+    "build_run": """WITH q AS (SELECT *, l_linenumber = 1 AS blitz FROM lineitem WHERE l_orderkey % 10 NOT IN (3, 4, 5)
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey || chr(13) || chr(10) || 'shipped' || chr(9) || 'by ' || l_suppkey || ' ' DESC) = 1),  -- a page may repeat an id: its last one counts
+ k AS (SELECT blitz, l_partkey, l_suppkey, count(*) AS n FROM q WHERE l_linenumber <> 5 GROUP BY ALL), o AS (SELECT DISTINCT l_orderkey FROM lineitem)
+SELECT (SELECT count(*) FROM q) AS questions, (SELECT count(*) FROM q WHERE l_linenumber <> 5) AS clean, (SELECT count(*) FROM k) AS canonical, 0::BIGINT AS translated, (SELECT count(*) FROM k) AS awaiting, 0::BIGINT AS violations,
+(SELECT count(*) FROM o WHERE l_orderkey % 10 NOT IN (3, 4, 5)) AS first_new, (SELECT count(*) FROM o WHERE l_orderkey % 10 IN (3, 4)) AS first_parse_error, (SELECT count(*) FROM o WHERE l_orderkey % 10 = 5) AS first_fetch_error,
+(SELECT count(*) FROM o WHERE l_orderkey % 10 NOT IN (3, 4, 5)) AS again_unchanged, (SELECT count(*) FROM o WHERE l_orderkey % 10 IN (3, 4)) AS again_parse_error, (SELECT count(*) FROM o WHERE l_orderkey % 10 = 5) AS again_fetch_error,
+(SELECT count(*) FROM k WHERE n > 1) AS merged, (SELECT sum(n - 1) FROM k)::BIGINT AS reprints, 0::BIGINT AS dropped""",
+    "target_selection": "SELECT DISTINCT user_id AS id FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING min(o_orderstatus) IN ('F', 'O') AND strftime(max(o_orderdate), '%Y-%m-%d') < '1997-08-05')",
+    "random_draw": "SELECT least(100, count(*)) AS n, least(100, count(*)) AS different, least(100, count(*)) AS pending FROM orders WHERE o_orderkey % 3 <> 0",
+    "prompts": """SELECT conv_id, turn, '{"question_ru": "q' || conv_id || '", "answer_ru": "' || left(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 10) || '", "explanation_ru": "", "acceptance_criteria_ru": "", "handout_text_ru": "", "package_title": "p"}' AS task,
+CASE WHEN turn % 3 = 0 THEN CASE WHEN turn % 2 = 1 THEN 'untranslatable_reason is blank' ELSE '' END ELSE array_to_string(list_filter([CASE WHEN turn % 2 = 1 THEN 'answer_en is blank' END, CASE WHEN turn % 5 = 0 THEN 'changes_description is blank' END], lambda x: x IS NOT NULL), '; ') END AS issues FROM conversations""",
 }
