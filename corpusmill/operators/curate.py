@@ -53,7 +53,14 @@ def merge_printings(rows: DataFrame, native: bool = False) -> DataFrame:
     percents, corrects = values.paired(F.col("solve_percentages"), F.col("correct_answers"))
     own = [c for c in rows.columns if c not in (*LONGEST, "tournament_ids", "solve_percentages", "correct_answers", "content_hash")]
     keyed = with_key(rows, native)
-    plays = F.array_sort(F.collect_list(F.struct("id", F.coalesce("tournament_ids", F.array().cast("array<bigint>")).alias("t"), percents.alias("p"), corrects.alias("c"))))
+    plays = F.array_sort(
+        F.collect_list(
+            F.struct(
+                "id", F.coalesce("tournament_ids", F.array().cast("array<bigint>")).alias("t"), percents.alias("p"),
+                corrects.alias("c"),
+            )
+        )
+    )
     merged = keyed.groupBy("nhash").agg(
         F.min_by(F.struct(*own), "id").alias("first"),
         *[longest(F.col(c), F.col("id")).alias(c) for c in LONGEST],
@@ -68,7 +75,9 @@ def merge_printings(rows: DataFrame, native: bool = False) -> DataFrame:
         F.flatten(F.transform("plays", lambda x: x["c"])).alias("correct_answers"),
         "printings",
     )
-    merged = merged.withColumn("playings", F.size("solve_percentages")).withColumn("total_teams", values.total_teams(F.col("solve_percentages"), F.col("correct_answers")))
+    merged = merged.withColumn("playings", F.size("solve_percentages")).withColumn(
+        "total_teams", values.total_teams(F.col("solve_percentages"), F.col("correct_answers")),
+    )
     merged = merged.withColumn("solve_rate", values.solve_rate(F.col("correct_answers"), F.col("total_teams")))
     merged = merged.withColumn("content_hash", text.content_hash(*map(F.col, text.CONTENT_FIELDS)))
     return merged.select(*rows.columns, "printings", "playings", "total_teams", "solve_rate")
@@ -88,7 +97,10 @@ def printing_map(rows: DataFrame, native: bool = False, key: str = "id", column:
 def summary(printings: DataFrame) -> DataFrame:
     """questions, merged, reprints: groups, groups of several printings, and printings beyond the first."""
     sizes = printings.groupBy("canonical_id").agg(F.count("*").alias("n"))
-    return sizes.agg(F.count("*").alias("questions"), F.coalesce(F.sum((F.col("n") > 1).cast("long")), F.lit(0)).alias("merged"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("reprints"))
+    return sizes.agg(
+        F.count("*").alias("questions"), F.coalesce(F.sum((F.col("n") > 1).cast("long")), F.lit(0)).alias("merged"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("reprints"),
+    )
 
 
 def latest(rows: DataFrame, key: str, *order: Column) -> DataFrame:

@@ -14,7 +14,11 @@ def funnel(questions: DataFrame, excluded: DataFrame, canonical: DataFrame, tran
     kept = questions.join(excluded, questions[key] == excluded["question_id"], "left_anti")
     usable = canonical.join(translations.filter(F.col("status").isin(*USABLE)), canonical["id"] == translations["question_id"], "inner")
     waiting = pending(canonical, translations)
-    parts = [questions.agg(count.alias("questions")), kept.agg(count.alias("clean")), canonical.agg(count.alias("canonical")), usable.agg(count.alias("translated")), waiting.agg(count.alias("awaiting"))]
+    parts = [
+        questions.agg(count.alias("questions")), kept.agg(count.alias("clean")),
+        canonical.agg(count.alias("canonical")), usable.agg(count.alias("translated")),
+        waiting.agg(count.alias("awaiting")),
+    ]
     out = parts[0]
     for part in parts[1:]:
         out = out.join(part)  # one row each

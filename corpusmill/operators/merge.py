@@ -53,7 +53,9 @@ def merge_packages(stored: DataFrame, batch: DataFrame) -> DataFrame:
         after_recovery = {"status": F.lit("ok"), "http_status": F.lit(200), "error": F.lit(""), "fetched_at": n}.get(c, o)
         return F.when(~touched | (outcome == "unchanged"), o).when(failed, after_failure).when(recovered, after_recovery).otherwise(n)
 
-    return old.join(new, F.col("o.id") == F.col("n.id"), "full_outer").select(*[pick(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
+    return old.join(new, F.col("o.id") == F.col("n.id"), "full_outer").select(
+        *[pick(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns]
+    )
 
 
 def outcome(page_hash: Column, stored_hash: Column, stored_status: Column, error: Column, parse_error: Column, questions: Column, refresh: bool = False) -> Column:
@@ -73,9 +75,16 @@ def outcome(page_hash: Column, stored_hash: Column, stored_status: Column, error
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
     """outcome, n, n_questions; a recovered page is also an unchanged one, and only stored questions count."""
-    counted = outcomes.withColumn("counts_as", F.when(F.col("outcome") == "recovered", F.array(F.lit("recovered"), F.lit("unchanged"))).otherwise(F.array("outcome")))
+    counted = outcomes.withColumn(
+        "counts_as",
+        F.when(
+            F.col("outcome") == "recovered", F.array(F.lit("recovered"), F.lit("unchanged")),
+        ).otherwise(F.array("outcome")),
+    )
     stored = F.when(F.col("outcome").isin("new", "updated"), F.col("questions")).otherwise(0)
-    return counted.select(F.explode("counts_as").alias("outcome"), stored.alias("questions")).groupBy("outcome").agg(F.count("*").alias("n"), F.coalesce(F.sum("questions"), F.lit(0)).alias("n_questions"))
+    return counted.select(F.explode("counts_as").alias("outcome"), stored.alias("questions")).groupBy("outcome").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("questions"), F.lit(0)).alias("n_questions"),
+    )
 
 
 def settled(packages: DataFrame, today: Column, days: int = values.RESTLESS_DAYS) -> DataFrame:

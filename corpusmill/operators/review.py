@@ -96,7 +96,11 @@ def local_issues(candidate: Record) -> list[str]:
     """What is wrong with a candidate by its form alone."""
     if candidate["status"] == "untranslatable":
         return [] if candidate["untranslatable_reason"].strip() else [BLANK_REASON]
-    return [f"{f} is blank" for f in (*blank_fields(candidate), *([] if candidate["changes_description"].strip() else ["changes_description"]))]
+    return [
+        f"{f} is blank" for f in (
+            *blank_fields(candidate), *([] if candidate["changes_description"].strip() else ["changes_description"]),
+        )
+    ]
 
 
 def _called(answer: tuple[Record, Record], usage: Counter) -> Record:
@@ -121,7 +125,10 @@ async def review(client: ReviewClient, source: Record, max_revisions: int = MAX_
             issues.append(DISAGREE)
         if issues:
             told = [critique["revision_instructions"], *issues]
-            critique |= {"decision": "revise", "issues": [*critique["issues"], *issues], "revision_instructions": " ".join(t for t in told if t)}
+            critique |= {
+                "decision": "revise", "issues": [*critique["issues"], *issues],
+                "revision_instructions": " ".join(t for t in told if t),
+            }
         history.append({"attempt": turn, "candidate": candidate, "critique": critique})
         if critique["decision"] == "accept":
             chosen = candidate
@@ -133,7 +140,9 @@ async def review(client: ReviewClient, source: Record, max_revisions: int = MAX_
         if chosen is not None:
             return await _polish(client, source, chosen | {"status": critique["accepted_status"]}, turn, usage, history)
         reason = critique["summary"].strip() or critique["revision_instructions"].strip() or NOT_PASSED
-        nothing = dict.fromkeys(ENGLISH, "") | {"status": "untranslatable", "changes_description": EXHAUSTED, "untranslatable_reason": reason}
+        nothing = dict.fromkeys(ENGLISH, "") | {
+            "status": "untranslatable", "changes_description": EXHAUSTED, "untranslatable_reason": reason,
+        }
         return await _polish(client, source, nothing, turn, usage, history)
     raise ValueError("max_revisions is negative")
 
@@ -196,7 +205,11 @@ def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], conc
                 return row | {"failure": f"{type(error).__name__}: {error}"}
             row |= {k: done.candidate[k] for k in ("status", *ENGLISH, "changes_description", "untranslatable_reason")}
             row |= {u: done.usage["requests" if u == "api_requests" else u] for u in USAGE}
-            return row | {"editor_status": done.editor_status, "translation_attempts": done.rounds, "critic_attempts": done.rounds, "editor_attempts": done.edits, "completed_at": datetime.now(timezone.utc).replace(tzinfo=None)}
+            return row | {
+                "editor_status": done.editor_status, "translation_attempts": done.rounds,
+                "critic_attempts": done.rounds, "editor_attempts": done.edits,
+                "completed_at": datetime.now(timezone.utc).replace(tzinfo=None),
+            }
 
     async def all_of(sources: list[Record]) -> list[Record]:
         client, gate = make_client(), asyncio.Semaphore(max(1, concurrency))
@@ -213,7 +226,11 @@ def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], conc
 def run_report(results: DataFrame) -> DataFrame:
     """selected, completed, errors, and the usage of the completed."""
     done = F.col("failure").isNull()
-    return results.agg(F.count("*").alias("selected"), F.count(F.when(done, 1)).alias("completed"), F.count(F.when(~done, 1)).alias("errors"), *[F.coalesce(F.sum(F.when(done, F.col(u))), F.lit(0)).alias(u) for u in USAGE])
+    return results.agg(
+        F.count("*").alias("selected"), F.count(F.when(done, 1)).alias("completed"),
+        F.count(F.when(~done, 1)).alias("errors"),
+        *[F.coalesce(F.sum(F.when(done, F.col(u))), F.lit(0)).alias(u) for u in USAGE],
+    )
 
 
 def last_round(rounds: DataFrame, key: str, turn: str, accepted: Column) -> DataFrame:

@@ -39,14 +39,21 @@ def store_pages(house: Warehouse, fetched: DataFrame, refresh: bool = False, pat
     skipped = hashed.filter(F.col("error").isNotNull() | same).withColumn("page_hash", F.col("new_hash"))
     every = fresh.unionByName(skipped.drop("html"), allowMissingColumns=True)
     count = F.coalesce(F.size("questions"), F.lit(0))
-    outcome = merge.outcome(F.col("page_hash"), F.col("old_hash"), F.col("old_status"), F.col("error"), F.col("parse_error"), count, refresh)
+    outcome = merge.outcome(
+        F.col("page_hash"), F.col("old_hash"), F.col("old_status"), F.col("error"), F.col("parse_error"), count,
+        refresh,
+    )
     every.withColumn("outcome", outcome).write.parquet(f"{work}/outcomes")
     every = spark.read.parquet(f"{work}/outcomes")
 
     now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
     ok = F.col("outcome").isin("new", "updated")
-    status = F.when(F.col("outcome") == "fetch_error", "http_error").when(F.col("outcome").isin("parse_error", "empty"), F.col("outcome")).otherwise("ok")
-    error = F.when(F.col("outcome") == "empty", "").otherwise(F.substring(F.coalesce("error", "parse_error", F.lit("")), 1, merge.ERROR_LENGTH))
+    status = F.when(F.col("outcome") == "fetch_error", "http_error").when(
+        F.col("outcome").isin("parse_error", "empty"), F.col("outcome"),
+    ).otherwise("ok")
+    error = F.when(F.col("outcome") == "empty", "").otherwise(
+        F.substring(F.coalesce("error", "parse_error", F.lit("")), 1, merge.ERROR_LENGTH)
+    )
     empty = {"title": "", "slug": ""}
     part = lambda c: F.when(ok, F.col(f"package.{c}"))
     batch = every.select(
@@ -66,8 +73,18 @@ def store_pages(house: Warehouse, fetched: DataFrame, refresh: bool = False, pat
         error.alias("error"),
         "outcome",
     )
-    taken = pages.question_rows(every.filter(ok).select("id", F.col("position").alias("target"), "page_hash", "parse_error", "package", "questions"), patterns)
-    house.swap({"packages": merge.merge_packages(packages, batch), "questions": merge.upsert(questions, taken, "id", ["target", "position"])})
+    taken = pages.question_rows(
+        every.filter(ok).select(
+            "id", F.col("position").alias("target"), "page_hash", "parse_error", "package", "questions",
+        ),
+        patterns,
+    )
+    house.swap(
+        {
+            "packages": merge.merge_packages(packages, batch),
+            "questions": merge.upsert(questions, taken, "id", ["target", "position"]),
+        }
+    )
     return merge.outcome_counts(every.select("outcome", F.coalesce(F.size("questions"), F.lit(0)).alias("questions")))
 
 
@@ -146,7 +163,10 @@ def main(args: list[str] | None = None, make_fetcher: Callable[[], fetch.Fetcher
     try:
         with reporting("build") as told:
             house = Warehouse(spark, chosen.warehouse)
-            counts = build(house, make_fetcher or (lambda: fetch.HttpClient(delay=pause)), limit=chosen.pages, refresh=chosen.refresh, workers=chosen.workers, told=told)
+            counts = build(
+                house, make_fetcher or (lambda: fetch.HttpClient(delay=pause)), limit=chosen.pages,
+                refresh=chosen.refresh, workers=chosen.workers, told=told,
+            )
     except fetch.IndexUnavailable as error:
         print(error, file=sys.stderr)
         return 1

@@ -33,7 +33,11 @@ def _answered(house: Warehouse) -> list[str]:
     """Folders of answers that are not in the table of translations yet, oldest first."""
     folder = house._hadoop(f"{house.path}/{ANSWERS}")
     found = [s.getPath() for s in house._fs.listStatus(folder)] if house._fs.exists(folder) else []
-    return [f"{house.path}/{ANSWERS}/{p.getName()}" for p in sorted(found, key=lambda p: p.getName()) if house._fs.exists(house._hadoop(f"{house.path}/{ANSWERS}/{p.getName()}/_SUCCESS"))]
+    return [
+        f"{house.path}/{ANSWERS}/{p.getName()}" for p in sorted(found, key=lambda p: p.getName()) if house._fs.exists(
+            house._hadoop(f"{house.path}/{ANSWERS}/{p.getName()}/_SUCCESS")
+        )
+    ]
 
 
 def _settle(house: Warehouse, folders: list[str]) -> None:
@@ -52,7 +56,9 @@ def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit:
     of one batch, and the next run takes what it finds written. ``told`` hears of each batch.
     """
     _settle(house, _answered(house))
-    inputs = review.pending_inputs(house.read("questions_canonical"), house.read("translations"), house.read("packages"), limit, refresh, seed)
+    inputs = review.pending_inputs(
+        house.read("questions_canonical"), house.read("translations"), house.read("packages"), limit, refresh, seed,
+    )
     drawn = house.work()
     inputs.write.parquet(drawn)
     inputs = house.spark.read.schema(inputs.schema).parquet(drawn)
@@ -82,9 +88,18 @@ def statistics(house: Warehouse) -> tuple[DataFrame, DataFrame, int]:
 def report(spark: SparkSession, done: dict[str, int], rates: values.Rates = values.Rates()) -> list[str]:
     """Lines of a run's report; averages are over the completed."""
     tokens = {u: F.lit(done[u]) for u in USAGE}
-    spent = spark.range(1).select(values.cost(tokens["input_tokens"], tokens["cached_input_tokens"], tokens["cache_write_input_tokens"], tokens["output_tokens"], rates)).first()[0]
+    spent = spark.range(1).select(
+        values.cost(
+            tokens["input_tokens"], tokens["cached_input_tokens"], tokens["cache_write_input_tokens"],
+            tokens["output_tokens"], rates,
+        )
+    ).first()[0]
     lines = [f"{k}: {done[k]:,}" for k in ("selected", "completed", "errors")] + [f"cost: ${spent:.4f}"]
-    return lines + ([f"per question: ${spent / done['completed']:.4f}, {done['output_tokens'] / done['completed']:.0f} output tokens"] if done["completed"] else [])
+    return lines + (
+        [
+            f"per question: ${spent / done['completed']:.4f}, {done['output_tokens'] / done['completed']:.0f} output tokens"
+        ] if done["completed"] else []
+    )
 
 
 def main(args: list[str] | None = None, make_client: Callable[[], review.ReviewClient] | None = None) -> int:
@@ -108,7 +123,11 @@ def main(args: list[str] | None = None, make_client: Callable[[], review.ReviewC
         make_client = functools.partial(make_client, policy)
     spark = SparkSession.builder.getOrCreate()
     with reporting("review") as told:
-        done = run(Warehouse(spark, chosen.warehouse), make_client, chosen.count, chosen.refresh, -(-chosen.concurrency // WORKERS), fail_fast=chosen.fail_fast, told=told, max_revisions=policy.max_revisions)
+        done = run(
+            Warehouse(spark, chosen.warehouse), make_client, chosen.count, chosen.refresh,
+            -(-chosen.concurrency // WORKERS), fail_fast=chosen.fail_fast, told=told,
+            max_revisions=policy.max_revisions,
+        )
     print("\n".join(report(spark, done)))
     return 1 if done["errors"] else 0
 

@@ -125,6 +125,13 @@ def fetch_pages(targets: DataFrame, make_fetcher: Callable[[], Fetcher], workers
                 for at in range(0, len(batch), 64):
                     part = batch.iloc[at : at + 64]
                     found = list(pool.map(one, part["id"].tolist()))
-                    yield pd.DataFrame({"id": part["id"].to_numpy(), "position": part["position"].to_numpy(), "html": [h for h, _ in found], "error": [e for _, e in found]})
-
-    return targets.select("id", "position").repartition(max(1, workers)).mapInPandas(run, "id bigint, position bigint, html string, error string")
+                    yield pd.DataFrame(
+                        {
+                            "id": part["id"].to_numpy(), "position": part["position"].to_numpy(),
+                            "html": [h for h, _ in found], "error": [e for _, e in found],
+                        }
+                    )
+
+    return targets.select("id", "position").repartition(max(1, workers)).mapInPandas(
+        run, "id bigint, position bigint, html string, error string",
+    )

@@ -18,7 +18,10 @@ LINK = r"(?i)<a(?=\s)[^>]*?\shref\s*=\s*[\"']/pack/(\d+)(?=[/?#\"'])"
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 CHUNK = r"self\.__next_f\.push\(\[1,(\"(?:[^\"\\]++|\\.)*+\")\]\)"
 MARKER = '"pack":'
-MEDIA_ROLES = {"razdatkaPic": "handout", "audio": "question_audio", "answerPic": "answer", "commentPic": "explanation", "commentAudio": "explanation_audio"}
+MEDIA_ROLES = {
+    "razdatkaPic": "handout", "audio": "question_audio", "answerPic": "answer", "commentPic": "explanation",
+    "commentAudio": "explanation_audio",
+}
 # End of the fixed values.
 
 _PERSON = "array<struct<id:bigint,name:string>>"
@@ -76,12 +79,24 @@ def _typed(package: dict) -> dict:
         lists = {c: q.get(c) if isinstance(q.get(c), list) else None for c in ("complexity", "correct_answers")}
         media = {c: q[c] for c in MEDIA_ROLES if isinstance(q.get(c), str)}
         texts = {c: _text(q.get(c)) for c in ("text", "answer", "comment", "zachet", "razdatkaText", "source")}
-        return texts | media | lists | {"id": _text(q.get("id")), "number": whole(q.get("number")), "authors": [person(p) for p in objects(q.get("authors"))], "tournaments": [{"id": whole(t.get("id"))} for t in objects(q.get("tournaments"))], "takenDown": json.dumps(q.get("takenDown"))}
-
-    tours = [{"questions": [question(q) for q in objects(t.get("questions")) if q.get("id") is not None]} for t in objects(package["tours"])]
+        return texts | media | lists | {
+            "id": _text(q.get("id")), "number": whole(q.get("number")),
+            "authors": [person(p) for p in objects(q.get("authors"))],
+            "tournaments": [{"id": whole(t.get("id"))} for t in objects(q.get("tournaments"))],
+            "takenDown": json.dumps(q.get("takenDown")),
+        }
+
+    tours = [
+        {
+            "questions": [question(q) for q in objects(t.get("questions")) if q.get("id") is not None]
+        } for t in objects(package["tours"])
+    ]
     declared = package.get("questions")
     texts = {c: _text(package.get(c)) for c in ("id", "title", "longTitle", "startDate", "endDate", "dbchgkinfoslug")}
-    return texts | {"questions": str(declared) if isinstance(declared, int) else None, "editors": [person(p) for p in objects(package.get("editors"))], "tours": tours}
+    return texts | {
+        "questions": str(declared) if isinstance(declared, int) else None,
+        "editors": [person(p) for p in objects(package.get("editors"))], "tours": tours,
+    }
 
 
 def _text(x: object) -> str | None:
@@ -142,7 +157,11 @@ def parse(pages: DataFrame, patterns: text.Patterns = text.DEFAULT) -> DataFrame
 
 def question_rows(parsed: DataFrame, patterns: text.Patterns = text.DEFAULT) -> DataFrame:
     """Typed question rows of parsed pages, with ``position`` in the page."""
-    each = parsed.select(F.col("package.id").alias("package_id"), *[c for c in parsed.columns if c not in ("package", "questions", "page_hash", "parse_error", "id")], F.posexplode("questions").alias("position", "q"))
+    each = parsed.select(
+        F.col("package.id").alias("package_id"),
+        *[c for c in parsed.columns if c not in ("package", "questions", "page_hash", "parse_error", "id")],
+        F.posexplode("questions").alias("position", "q"),
+    )
     q = F.col("q")
     raw = text.clean_text(q["text"])
     shown = F.when(raw == "", text.MEDIA_PLACEHOLDER).otherwise(raw)
@@ -167,4 +186,6 @@ def question_rows(parsed: DataFrame, patterns: text.Patterns = text.DEFAULT) ->
         F.coalesce(q["complexity"], F.array().cast("array<double>")).alias("solve_percentages"),
         F.coalesce(q["correct_answers"], F.array().cast("array<bigint>")).alias("correct_answers"),
     )
-    return rows.withColumn("has_media", (F.size("media_urls") > 0).cast("int")).withColumn("content_hash", text.content_hash(*map(F.col, text.CONTENT_FIELDS)))
+    return rows.withColumn("has_media", (F.size("media_urls") > 0).cast("int")).withColumn(
+        "content_hash", text.content_hash(*map(F.col, text.CONTENT_FIELDS)),
+    )

@@ -106,5 +106,9 @@ class Warehouse:
         for name, df in self.tables().items():
             df.createOrReplaceTempView(name)
         usable = ", ".join(f"'{s}'" for s in USABLE)
-        self.spark.sql("SELECT q.* FROM questions q WHERE NOT EXISTS (SELECT 1 FROM question_exclusions x WHERE x.question_id = q.id)").createOrReplaceTempView("questions_clean")
-        self.spark.sql(f"SELECT q.*, t.question_en, t.answer_en, t.explanation_en, t.acceptance_criteria_en, t.handout_text_en, t.status AS translation_status FROM questions_canonical q JOIN translations t ON t.question_id = q.id WHERE t.status IN ({usable})").createOrReplaceTempView("questions_translated")
+        self.spark.sql(
+            "SELECT q.* FROM questions q WHERE NOT EXISTS (SELECT 1 FROM question_exclusions x WHERE x.question_id = q.id)"
+        ).createOrReplaceTempView("questions_clean")
+        self.spark.sql(
+            f"SELECT q.*, t.question_en, t.answer_en, t.explanation_en, t.acceptance_criteria_en, t.handout_text_en, t.status AS translation_status FROM questions_canonical q JOIN translations t ON t.question_id = q.id WHERE t.status IN ({usable})"
+        ).createOrReplaceTempView("questions_translated")
