@@ -113,7 +113,13 @@ class Codec:
             else:
                 self.tokens[token] = [whole]
         if rest:
-            self.tokens.update(zip(rest, self.processor.encode([mapped(t.encode("utf-8", "surrogatepass")) for t in rest], num_threads=1), strict=True))
+            self.tokens.update(
+                zip(
+                    rest,
+                    self.processor.encode([mapped(t.encode("utf-8", "surrogatepass")) for t in rest], num_threads=1),
+                    strict=True,
+                )
+            )
 
     def encode(self, text: str) -> list[int]:
         found = self.pattern.findall(text)
@@ -180,10 +186,21 @@ def encode_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts):
                 ids = [[int(i) for i in listed.split(",") if i] for listed, _, _ in own.digests(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(i) for i in ids], pa.binary())], ["doc_id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32())),
+                        pa.array([own.decode(i) for i in ids], pa.binary()),
+                    ],
+                    ["doc_id", "ids", "decoded"],
+                )
 
     kind = documents.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("decoded", T.BinaryType()),
+        ]
+    )
     return documents.select("doc_id", text_of(documents).alias("text")).mapInArrow(run, schema)
 
 
@@ -201,8 +218,20 @@ def encode_digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
                     ids.append(sha(listed.encode()).hexdigest())
                     decoded.append(sha(data).hexdigest())
                     size.append(len(data))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(size, pa.int64())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
+                    pa.array(decoded, pa.string()), pa.array(size, pa.int64()),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"],
+            )
 
     kind = documents.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), T.StructField("n_bytes", T.LongType())])
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", kind), T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+            T.StructField("n_bytes", T.LongType()),
+        ]
+    )
     return documents.select("doc_id", text_of(documents).alias("text")).mapInArrow(run, schema)

@@ -47,7 +47,9 @@ def widths_for(ids: np.ndarray) -> tuple[int, ...]:
     best, least = (top,), len(ids) * top
     for first, second in itertools.product(range(2, top), range(1, top)):
         done = first + second
-        one = len(ids) * (first + 1) + int(above[first + 1]) * (second + (done < top)) + (int(above[done + 1]) * (top - done) if done < top else 0)
+        one = len(ids) * (first + 1) + int(above[first + 1]) * (second + (done < top)) + (
+            int(above[done + 1]) * (top - done) if done < top else 0
+        )
         if done <= top and one < least:
             best, least = (first, second, top - done)[: 2 + (done < top)], one
     return best
@@ -244,7 +246,11 @@ class WordEncoder:
         if not len(starts):
             return _NO_IDS, np.zeros(len(texts) + 1, np.int64)
         last, before = raw[ends - 1], raw[np.maximum(ends - 2, 0)] | 0x20
-        marked = ((last == 0x2E) | (last == 0x2C)) & (ends - starts > 1) & (((before >= 0x61) & (before <= 0x7A)) | ((raw[np.maximum(ends - 2, 0)] >= 0x30) & (raw[np.maximum(ends - 2, 0)] <= 0x39)))
+        marked = ((last == 0x2E) | (last == 0x2C)) & (ends - starts > 1) & (
+            ((before >= 0x61) & (before <= 0x7A)) | (
+                (raw[np.maximum(ends - 2, 0)] >= 0x30) & (raw[np.maximum(ends - 2, 0)] <= 0x39)
+            )
+        )
         ends = ends - marked
         high = np.concatenate(([0], np.cumsum(raw >= 0x80, dtype=np.int64)))
         ascii_word = high[ends] == high[starts]
@@ -306,7 +312,14 @@ def _segments(documents: DataFrame, path: str, end_id: int) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             ids = np.concatenate(parts)
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([encode(ids)], pa.binary())], _NAMES)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([before], pa.int64()),
+                    pa.array([len(ids)], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
+                    pa.array([sizes], pa.list_(pa.int64())), pa.array([encode(ids)], pa.binary()),
+                ],
+                _NAMES,
+            )
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -324,12 +337,21 @@ def _segments(documents: DataFrame, path: str, end_id: int) -> DataFrame:
             yield close()
 
     # equal ids keep one order: by the text's hash, then by the text
-    rows = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text_of(documents).alias("text")).withColumn("tie", F.xxhash64("text"))
+    rows = documents.select(
+        documents["doc_id"].cast("long").alias("doc_id"), text_of(documents).alias("text"),
+    ).withColumn("tie", F.xxhash64("text"))
     return rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text").mapInArrow(run, _SCHEMA)
 
 
 _NAMES = ["shard", "segment", "before", "n_ids", "doc_ids", "sizes", "code"]
-_SCHEMA = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("segment", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("n_ids", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("code", T.BinaryType())])
+_SCHEMA = T.StructType(
+    [
+        T.StructField("shard", T.IntegerType()), T.StructField("segment", T.IntegerType()),
+        T.StructField("before", T.LongType()), T.StructField("n_ids", T.LongType()),
+        T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType())),
+        T.StructField("code", T.BinaryType()),
+    ]
+)
 
 
 def write_ids(documents: DataFrame, target: str, tokenizer_path: str, end_id: int = END_ID) -> None:
@@ -361,14 +383,24 @@ def read_documents(spark: SparkSession, target: str) -> DataFrame:
                 ids = Segment(code).all().astype("<u4")
                 ends = np.cumsum(np.array(sizes, np.int64))
                 crc = [zlib.crc32(ids[e - n : e].tobytes()) for e, n in zip(ends.tolist(), sizes)]
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(start + ends - np.array(sizes), pa.int64()), pa.array(sizes, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(docs, pa.int64()), pa.array(start + ends - np.array(sizes), pa.int64()),
+                        pa.array(sizes, pa.int64()), pa.array(crc, pa.int64()),
+                    ],
+                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                )
 
-    return read_segments(spark, target).select("start", "doc_ids", "sizes", "code").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_segments(spark, target).select("start", "doc_ids", "sizes", "code").mapInArrow(
+        run, "doc_id long, start long, n_tokens long, ids_crc32 long",
+    )
 
 
 def token_at(spark: SparkSession, target: str, position: int) -> int:
     """The id at a position of the whole sequence, from its one segment."""
-    found = read_segments(spark, target).filter((F.col("start") <= position) & (F.col("start") + F.col("n_ids") > position)).select("start", "code").first()
+    found = read_segments(spark, target).filter(
+        (F.col("start") <= position) & (F.col("start") + F.col("n_ids") > position)
+    ).select("start", "code").first()
     if found is None:
         raise IndexError(position)
     return Segment(bytes(found.code))[position - found.start]

@@ -119,7 +119,11 @@ def scan_block(documents: DataFrame, grams: Broadcast, cut: bool) -> DataFrame:
             for a, b in slices(texts):
                 found = list(known.scan(texts[a:b]))
                 columns = [c.slice(a, b - a) for c in batch.columns[:-1]]
-                columns += [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[2] for f in found], pa.list_(pa.int64()))]
+                columns += [
+                    pa.array([f[0] for f in found], pa.int64()),
+                    pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                    pa.array([f[2] for f in found], pa.list_(pa.int64())),
+                ]
                 if cut:
                     columns.append(pa.array([without(t, f[1]) if len(f[1]) else None for t, f in zip(texts[a:b], found)], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, schema=_arrow(columns, [f"c{i}" for i in range(len(keep))] + _FOUND[: 3 + cut]))
@@ -182,9 +186,14 @@ def hits(documents: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFr
     without an item_id or without words are ignored; equal windows count for every item that has
     them. Repeated rows give a row each; further columns are not read.
     """
-    found = scan(documents.select("doc_id", "text"), benchmark, size, False).withColumnRenamed("c0", "doc_id").withColumn("n_hit", F.size("hits").cast("long"))
+    found = scan(
+        documents.select("doc_id", "text"), benchmark, size, False,
+    ).withColumnRenamed("c0", "doc_id").withColumn("n_hit", F.size("hits").cast("long"))
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, most: float = 0.5) -> DataFrame:

@@ -38,17 +38,24 @@ def site_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc, own (hash of the text), site, line: each different line (its hash) of each document once."""
     long = F.filter(_lines(text_of(documents)), lambda x: F.length(F.trim(x)) >= min_chars)
     keys = F.array_distinct(F.transform(long, line_key))
-    return documents.select(documents["doc_id"].alias("doc"), F.xxhash64(text_of(documents)).alias("own"), F.coalesce(documents["source"].cast("string"), F.lit("")).alias("site"), F.explode(keys).alias("line"))
+    return documents.select(
+        documents["doc_id"].alias("doc"), F.xxhash64(text_of(documents)).alias("own"),
+        F.coalesce(documents["source"].cast("string"), F.lit("")).alias("site"), F.explode(keys).alias("line"),
+    )
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """line, first_doc of the lines that stand on at least ``min_sites`` sites."""
     spread = lines.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"), F.min("doc").alias("first_doc"))
-    spread = spread.select("line", "first_doc", F.hll_sketch_estimate("sketch").alias("sites")).filter(F.col("sites") >= min_sites * (1 - BAND) - 1)
+    spread = spread.select(
+        "line", "first_doc", F.hll_sketch_estimate("sketch").alias("sites"),
+    ).filter(F.col("sites") >= min_sites * (1 - BAND) - 1)
     spread = staged(spread, "line-spread")
     wide = F.col("sites") > min_sites * (1 + BAND) + 1
     near = spread.filter(~wide)
-    exact = lines.join(near.select("line"), "line", "left_semi").groupBy("line").agg(F.countDistinct("site").alias("exact")).filter(F.col("exact") >= min_sites)
+    exact = lines.join(
+        near.select("line"), "line", "left_semi",
+    ).groupBy("line").agg(F.countDistinct("site").alias("exact")).filter(F.col("exact") >= min_sites)
     return spread.filter(wide).select("line", "first_doc").unionByName(near.join(exact, "line").select("line", "first_doc"))
 
 
@@ -80,14 +87,22 @@ def remove_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES, min_cha
     # by id and text: rows of one id, or of none, that differ are cleaned apart
     joined = rows.join(gone, (F.xxhash64(F.coalesce(text, F.lit(""))) == gone["own"]) & rows[f"c{key}"].eqNullSafe(gone["doc"]), "left")
     split = _lines(text)
-    kept = F.filter(split, lambda x: ~F.array_contains(F.element_at("gone", F.pmod(line_key(x), F.size("gone")).cast("int") + 1), line_key(x)))
+    kept = F.filter(
+        split,
+        lambda x: ~F.array_contains(
+            F.element_at("gone", F.pmod(line_key(x), F.size("gone")).cast("int") + 1), line_key(x),
+        ),
+    )
     some = F.col("gone").isNotNull()
     joined = joined.withColumn("kept", F.when(some, kept))
     empty = F.coalesce(F.length(text), F.lit(0)) == 0
     cleaned = F.when(some, F.array_join("kept", "\n")).otherwise(F.col(f"c{at}"))
     out = [cleaned.alias("text") if i == at else F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
     n_lines = F.when(empty, 0).otherwise(F.size(split)).cast("long")
-    return joined.select(*out, n_lines.alias("n_lines"), F.when(some, F.size(split) - F.size("kept")).otherwise(0).cast("long").alias("n_removed"))
+    return joined.select(
+        *out, n_lines.alias("n_lines"),
+        F.when(some, F.size(split) - F.size("kept")).otherwise(0).cast("long").alias("n_removed"),
+    )
 
 
 def dedup_stage(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:

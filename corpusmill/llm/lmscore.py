@@ -93,7 +93,10 @@ def exploded(texts: DataFrame, n: int, some: Callable[[np.ndarray], np.ndarray]
         fresh = np.ones(len(gram), bool)
         fresh[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])
         at = np.flatnonzero(fresh)
-        yield [_signed(ctx[at]), _signed(gram[at]), pa.array(keys[text[at]], pa.int64()), pa.array(np.diff(at, append=len(gram)), pa.int64())]
+        yield [
+            _signed(ctx[at]), _signed(gram[at]), pa.array(keys[text[at]], pa.int64()),
+            pa.array(np.diff(at, append=len(gram)), pa.int64()),
+        ]
 
     return _mapped(texts, _GRAMS, rows)
 
@@ -104,7 +107,10 @@ def _slot(ctx: np.ndarray) -> np.ndarray:
 
 def _numbered(documents: DataFrame, stage: Scratch) -> DataFrame:
     """row, text, doc_id: the documents with a number each, staged so that all passes see the same numbers."""
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), text_of(documents).alias("text"), documents["doc_id"].alias("doc_id"))
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("row"), text_of(documents).alias("text"),
+        documents["doc_id"].alias("doc_id"),
+    )
     with settings(documents.sparkSession, {"spark.sql.parquet.compression.codec": "zstd"}):
         return stage(rows, "rows")
 
@@ -164,23 +170,45 @@ def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage
     sizes = stage(_sizes(texts, order), "sizes")
     slots = sizes.filter("row is null").groupBy("slot").agg(F.sum("n_words").alias("n"))
     rows = sizes.filter("row is not null").select("row", "n_words", "whole")
-    totals = rows.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.coalesce(F.sum(F.when(F.col("whole") != 0, 1)), F.lit(0)).alias("short")).first()
+    totals = rows.agg(
+        F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"),
+        F.coalesce(F.sum(F.when(F.col("whole") != 0, 1)), F.lit(0)).alias("short"),
+    ).first()
     most = max(part_rows, HOT * totals.words / SLOTS)
     hot = np.zeros(SLOTS, bool)
     hot[[r.slot for r in slots.filter(F.col("n") > most).select("slot").collect()]] = True  # at most SLOTS / HOT of them
     parts = max(1, math.ceil(totals.words / passes / part_rows))
     found = []
     for k in range(passes):
-        dealt = exploded(texts.select("row", "text"), order, lambda ctx, k=k: ~hot[_slot(ctx)] & ((ctx >> np.uint64(32)) % np.uint64(passes) == k), ends=True).repartition(parts, "ctx")
+        dealt = exploded(
+            texts.select("row", "text"), order, lambda ctx,
+            k=k: ~hot[_slot(ctx)] & ((ctx >> np.uint64(32)) % np.uint64(passes) == k), ends=True,
+        ).repartition(parts, "ctx")
         scored = dealt.mapInArrow(_partition_scores, "doc long, part double, shared long")
         found.append(stage(scored.groupBy("doc").agg(*[F.sum(c).alias(c) for c in _SUMS]), f"pass{k}"))
     if hot.any():
-        found.append(stage(_joined_scores(exploded(texts.select("row", "text"), order, lambda ctx: hot[_slot(ctx)], ends=True), stage), "hot"))
+        found.append(
+            stage(
+                _joined_scores(
+                    exploded(texts.select("row", "text"), order, lambda ctx: hot[_slot(ctx)], ends=True), stage,
+                ),
+                "hot",
+            )
+        )
     if totals.short:  # texts of fewer than order - 1 words: the count of the whole text among the n-grams of its length
         for m in range(1, order - 1):
             own = rows.filter((F.col("n_words") == m) & (F.col("whole") != 0))
-            counts = exploded(texts.select("row", "text"), m).join(own.select(F.col("whole").alias("gram")).distinct(), "gram", "left_semi").groupBy("gram").agg(F.sum("occ").alias("own"))
-            found.append(stage(own.join(counts, own["whole"] == counts["gram"]).select(F.col("row").alias("doc"), F.log("own").alias("part"), F.lit(0).cast("long").alias("shared")), f"short{m}"))
+            counts = exploded(texts.select("row", "text"), m).join(
+                own.select(F.col("whole").alias("gram")).distinct(), "gram", "left_semi",
+            ).groupBy("gram").agg(F.sum("occ").alias("own"))
+            found.append(
+                stage(
+                    own.join(counts, own["whole"] == counts["gram"]).select(
+                        F.col("row").alias("doc"), F.log("own").alias("part"), F.lit(0).cast("long").alias("shared"),
+                    ),
+                    f"short{m}",
+                )
+            )
     every = found[0]
     for part in found[1:]:
         every = every.unionByName(part)
@@ -188,7 +216,10 @@ def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage
     some = F.col("n_words") > 0
     out = rows.join(sums, F.col("row") == F.col("doc"), "left")
     score = F.when(some, F.coalesce("part", F.lit(0.0)) - math.log(max(1, totals.words))).otherwise(0.0)
-    return out.select("row", "n_words", some.cast("long").alias("n_backoff"), F.coalesce("shared", F.lit(0)).alias("n_shared"), score.alias("log_score"))
+    return out.select(
+        "row", "n_words", some.cast("long").alias("n_backoff"), F.coalesce("shared", F.lit(0)).alias("n_shared"),
+        score.alias("log_score"),
+    )
 
 
 def _positions(texts: DataFrame, order: int) -> DataFrame:
@@ -207,7 +238,11 @@ def _positions(texts: DataFrame, order: int) -> DataFrame:
             if n > 1:
                 contexts[at, n - 1] = short[at - n + 1]
         reach = np.minimum(place + 1, order)
-        long = [pa.FixedSizeListArray.from_arrays(_signed(np.ascontiguousarray(x).ravel()), order).cast(pa.list_(pa.int64())) for x in (grams, contexts)]
+        long = [
+            pa.FixedSizeListArray.from_arrays(
+                _signed(np.ascontiguousarray(x).ravel()), order,
+            ).cast(pa.list_(pa.int64())) for x in (grams, contexts)
+        ]
         yield [pa.array(keys[text], pa.int64()), pa.array(reach, pa.int64()), *long]
 
     return _mapped(texts, "doc long, reach long, grams array<long>, contexts array<long>", rows)
@@ -232,10 +267,20 @@ def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float,
         joined = stage(joined.withColumn("seen", seen), f"order{n}")
         value: Column = F.col("occ") * (F.log("own") - F.log("base") + F.col("steps") * math.log(alpha))
         single = F.lit(0) if n > 1 else F.col("occ")
-        done.append(joined.filter("seen").select("doc", value.alias("part"), F.col("occ").alias("n_words"), single.cast("long").alias("n_backoff"), F.lit(0).cast("long").alias("n_shared")))
+        done.append(
+            joined.filter("seen").select(
+                "doc", value.alias("part"), F.col("occ").alias("n_words"), single.cast("long").alias("n_backoff"),
+                F.lit(0).cast("long").alias("n_shared"),
+            )
+        )
         if n == order:
             none = F.lit(0).cast("long")
-            done.append(joined.filter("own > 1").select("doc", F.lit(0.0).alias("part"), none.alias("n_words"), none.alias("n_backoff"), F.col("occ").alias("n_shared")))
+            done.append(
+                joined.filter("own > 1").select(
+                    "doc", F.lit(0.0).alias("part"), none.alias("n_words"), none.alias("n_backoff"),
+                    F.col("occ").alias("n_shared"),
+                )
+            )
         missed = joined.filter("not seen").select("doc", "reach", "grams", "contexts", "occ", (F.col("steps") + 1).alias("steps"))
         open_ = stage(open_.filter(F.col("reach") < n).unionByName(missed), f"open{n}")
     every = done[0]

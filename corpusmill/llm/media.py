@@ -65,12 +65,23 @@ def _table_packet(pid: int, section: bytes) -> bytes:
 
 
 _PAT = _table_packet(PAT_PID, _section(0x00, 1, bytes([0, 1, 0xE0 | PMT_PID >> 8, PMT_PID & 0xFF])))
-_PMT = _table_packet(PMT_PID, _section(0x02, 1, bytes([0xE0 | ES_PID >> 8, ES_PID & 0xFF, 0xF0, 0, PRIVATE_TYPE, 0xE0 | ES_PID >> 8, ES_PID & 0xFF, 0xF0, 0])))
+_PMT = _table_packet(
+    PMT_PID,
+    _section(
+        0x02, 1,
+        bytes([0xE0 | ES_PID >> 8, ES_PID & 0xFF, 0xF0, 0, PRIVATE_TYPE, 0xE0 | ES_PID >> 8, ES_PID & 0xFF, 0xF0, 0]),
+    ),
+)
 
 
 def _stamp(ticks: int, mark: int) -> bytes:
     """A 33-bit time stamp in the five bytes of a PES header."""
-    return bytes([mark << 4 | (ticks >> 30 & 7) << 1 | 1, ticks >> 22 & 0xFF, (ticks >> 15 & 0x7F) << 1 | 1, ticks >> 7 & 0xFF, (ticks & 0x7F) << 1 | 1])
+    return bytes(
+        [
+            mark << 4 | (ticks >> 30 & 7) << 1 | 1, ticks >> 22 & 0xFF, (ticks >> 15 & 0x7F) << 1 | 1,
+            ticks >> 7 & 0xFF, (ticks & 0x7F) << 1 | 1,
+        ]
+    )
 
 
 def _unstamp(b: bytes) -> int:
@@ -258,7 +269,9 @@ def demux(stream: bytes) -> Stream:
     # the run of plain packets from i on that follow one another: same pid, counters in step
     follows = np.zeros(whole, bool)
     if whole:
-        follows[1:] = plain[1:] & good[1:] & (pids[1:] == pids[:-1]) & (counters[1:] == (counters[:-1] + 1 & 15)) & good[:-1] & (flags[:-1] & 0x10 != 0)
+        follows[1:] = plain[1:] & good[1:] & (pids[1:] == pids[:-1]) & (
+            counters[1:] == (counters[:-1] + 1 & 15)
+        ) & good[:-1] & (flags[:-1] & 0x10 != 0)
     breaks = np.append(np.flatnonzero(~follows), whole)
     while at < whole:
         pid = pid_list[at]
@@ -337,13 +350,31 @@ def store_texts(documents: DataFrame) -> DataFrame:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts):
                 data = [padded(t) for t in texts[a:b]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([n for _, n in data], pa.int64()), pa.array([mux(d) for d, _ in data], pa.binary())], ["doc_id", "n_bytes", "media"])
-
-    schema = T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a), pa.array([n for _, n in data], pa.int64()),
+                        pa.array([mux(d) for d, _ in data], pa.binary()),
+                    ],
+                    ["doc_id", "n_bytes", "media"],
+                )
+
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("n_bytes", T.LongType()),
+            T.StructField("media", T.BinaryType()),
+        ]
+    )
     return documents.select("doc_id", text_of(documents).alias("text")).mapInArrow(run, schema)
 
 
-_UNIT = T.StructType([T.StructField("pid", T.IntegerType()), T.StructField("stream_id", T.IntegerType()), T.StructField("pts", T.LongType()), T.StructField("dts", T.LongType()), T.StructField("random_access", T.BooleanType()), T.StructField("broken", T.BooleanType()), T.StructField("data", T.BinaryType())])
+_UNIT = T.StructType(
+    [
+        T.StructField("pid", T.IntegerType()), T.StructField("stream_id", T.IntegerType()),
+        T.StructField("pts", T.LongType()), T.StructField("dts", T.LongType()),
+        T.StructField("random_access", T.BooleanType()), T.StructField("broken", T.BooleanType()),
+        T.StructField("data", T.BinaryType()),
+    ]
+)
 
 
 def parse_streams(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
@@ -357,13 +388,35 @@ def parse_streams(media: DataFrame, key: str = "doc_id", column: str = "media")
         for batch in batches:
             for at in range(batch.num_rows):
                 s = demux(batch.column(1)[at].as_py() or b"")
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), *(pa.array([n], pa.int64()) for n in (s.packets, s.discontinuities, s.duplicates, s.bad_tables + s.bad_packets)), pa.array([[{n: getattr(u, n) for n in names} for u in s.units]], _UNITS)], ["key", "packets", "discontinuities", "duplicates", "damaged", "units"])
-
-    schema = T.StructType([T.StructField("key", media.schema[key].dataType)] + [T.StructField(n, T.LongType()) for n in ("packets", "discontinuities", "duplicates", "damaged")] + [T.StructField("units", T.ArrayType(_UNIT))])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, 1),
+                        *(
+                            pa.array([n], pa.int64()) for n in (
+                                s.packets, s.discontinuities, s.duplicates, s.bad_tables + s.bad_packets,
+                            )
+                        ),
+                        pa.array([[{n: getattr(u, n) for n in names} for u in s.units]], _UNITS),
+                    ],
+                    ["key", "packets", "discontinuities", "duplicates", "damaged", "units"],
+                )
+
+    schema = T.StructType(
+        [T.StructField("key", media.schema[key].dataType)] + [
+            T.StructField(n, T.LongType()) for n in ("packets", "discontinuities", "duplicates", "damaged")
+        ] + [T.StructField("units", T.ArrayType(_UNIT))]
+    )
     return media.select(key, column).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-_UNITS = pa.list_(pa.struct([("pid", pa.int32()), ("stream_id", pa.int32()), ("pts", pa.int64()), ("dts", pa.int64()), ("random_access", pa.bool_()), ("broken", pa.bool_()), ("data", pa.binary())]))
+_UNITS = pa.list_(
+    pa.struct(
+        [
+            ("pid", pa.int32()), ("stream_id", pa.int32()), ("pts", pa.int64()), ("dts", pa.int64()),
+            ("random_access", pa.bool_()), ("broken", pa.bool_()), ("data", pa.binary()),
+        ]
+    )
+)
 
 
 def read_digests(media: DataFrame) -> DataFrame:
@@ -378,12 +431,23 @@ def read_digests(media: DataFrame) -> DataFrame:
                 stream = stored.as_py()
                 found = demux(stream)
                 back = found.payload()
-                out.append((n, len(back), sha(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(stream), sha(stream).hexdigest(), describe(found)))
+                out.append(
+                    (
+                        n, len(back), sha(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(stream),
+                        sha(stream).hexdigest(), describe(found),
+                    )
+                )
             if out:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, k) for v, k in zip(zip(*out), kinds))], ["doc_id", *_DIGESTS])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(v, k) for v, k in zip(zip(*out), kinds))], ["doc_id", *_DIGESTS],
+                )
 
     longs = {"n_bytes", "payload_bytes", "tail_crc32", "media_bytes"}
-    schema = T.StructType([T.StructField("doc_id", media.schema["doc_id"].dataType)] + [T.StructField(n, T.LongType() if n in longs else T.StringType()) for n in _DIGESTS])
+    schema = T.StructType(
+        [T.StructField("doc_id", media.schema["doc_id"].dataType)] + [
+            T.StructField(n, T.LongType() if n in longs else T.StringType()) for n in _DIGESTS
+        ]
+    )
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
 
 

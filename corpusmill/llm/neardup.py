@@ -68,7 +68,9 @@ def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
 
 def set_key(own: np.ndarray) -> tuple[int, int]:
     """A 128-bit hash of a set."""
-    return int(mix(own).sum(dtype=np.uint64).astype(np.int64)), int(mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
+    return int(mix(own).sum(dtype=np.uint64).astype(np.int64)), int(
+        mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)
+    )
 
 
 def roots(own: np.ndarray) -> np.ndarray:
@@ -109,9 +111,19 @@ def features(documents: DataFrame) -> DataFrame:
                 sets = list(shingle_sets(texts[a:b]))
                 keys = [set_key(own) for own in sets]
                 tokens = _lists([roots(own) if len(own) else np.empty(0, np.int64) for own in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([len(own) for own in sets], pa.int64()), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), tokens], ["doc", "text_key", "n", "k1", "k2", "roots"])
-
-    rows = documents.select(documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"), text_of(documents).alias("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                        pa.array([len(own) for own in sets], pa.int64()), pa.array([k for k, _ in keys], pa.int64()),
+                        pa.array([k for _, k in keys], pa.int64()), tokens,
+                    ],
+                    ["doc", "text_key", "n", "k1", "k2", "roots"],
+                )
+
+    rows = documents.select(
+        documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"),
+        text_of(documents).alias("text"),
+    )
     return rows.mapInArrow(run, "doc long, text_key long, n long, k1 long, k2 long, roots array<long>")
 
 
@@ -130,9 +142,20 @@ def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = list(shingle_sets(texts[a:b]))
                 found = [sketch(own) for own in sets]
                 bits = np.stack([x for _, x in found])
-                yield pa.RecordBatch.from_arrays([pa.array(reps[a:b], pa.int64()), pa.array([len(own) for own in sets], pa.int64()), _lists([own.view(np.int64) for own in sets], pa.int64()), _lists([x for x, _ in found], pa.int32()), *(pa.array(bits[:, k]) for k in range(SKETCH_WORDS))], ["rep", "n", "shingles", "paths", *_BITS])
-
-    rows = documents.select(documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"), text_of(documents).alias("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(reps[a:b], pa.int64()), pa.array([len(own) for own in sets], pa.int64()),
+                        _lists([own.view(np.int64) for own in sets], pa.int64()),
+                        _lists([x for x, _ in found], pa.int32()),
+                        *(pa.array(bits[:, k]) for k in range(SKETCH_WORDS)),
+                    ],
+                    ["rep", "n", "shingles", "paths", *_BITS],
+                )
+
+    rows = documents.select(
+        documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"),
+        text_of(documents).alias("text"),
+    )
     rows = rows.join(wanted, ["doc", "text_key"]).select("rep", "text")
     return rows.mapInArrow(run, "rep long, n long, shingles array<long>, paths array<int>, " + ", ".join(f"{b} long" for b in _BITS))
 
@@ -192,10 +215,23 @@ def components(links: DataFrame) -> DataFrame:
             both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
             h = F.xxhash64("v", F.lit(turn))
             step = both.groupBy("u").agg(F.min(h).alias("h"), F.min_by("v", h).alias("v"))
-            step = stage(step.select(F.col("u").alias("at"), F.when(F.col("h") < F.xxhash64("u", F.lit(turn)), F.col("v")).otherwise(F.col("u")).alias("to")), "steps")
-            moved = step.withColumnsRenamed({"at": "rep", "to": "at"}) if moved is None else stage(moved.join(step, "at", "left").select("rep", F.coalesce("to", "at").alias("at")), "labels")
+            step = stage(
+                step.select(
+                    F.col("u").alias("at"),
+                    F.when(F.col("h") < F.xxhash64("u", F.lit(turn)), F.col("v")).otherwise(F.col("u")).alias("to"),
+                ),
+                "steps",
+            )
+            moved = step.withColumnsRenamed({"at": "rep", "to": "at"}) if moved is None else stage(
+                moved.join(step, "at", "left").select("rep", F.coalesce("to", "at").alias("at")), "labels",
+            )
             a, b = (step.select(F.col("at").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
-            edges = stage(edges.join(a, "a").join(b, "b").filter("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).distinct(), "edges")
+            edges = stage(
+                edges.join(a, "a").join(b, "b").filter("to_a <> to_b").select(
+                    F.col("to_a").alias("a"), F.col("to_b").alias("b"),
+                ).distinct(),
+                "edges",
+            )
         last = stage(edges.coalesce(1).mapInArrow(_united, "at long, to long"), "last")
         if moved is None:
             return stage.keep(last).withColumnsRenamed({"at": "rep", "to": "component"})
@@ -207,7 +243,10 @@ def components(links: DataFrame) -> DataFrame:
 def _mixed(rows: DataFrame) -> DataFrame:
     """node, size, most, major (its largest component) of the nodes with members (rep, component) of several components."""
     shares = rows.groupBy("node", "component").agg(F.count("*").alias("share"))
-    mixed = shares.groupBy("node").agg(F.sum("share").alias("size"), F.max("share").alias("most"), F.max_by("component", F.struct("share", "component")).alias("major"), F.count("*").alias("kinds"))
+    mixed = shares.groupBy("node").agg(
+        F.sum("share").alias("size"), F.max("share").alias("most"),
+        F.max_by("component", F.struct("share", "component")).alias("major"), F.count("*").alias("kinds"),
+    )
     return mixed.filter("kinds > 1").drop("kinds")
 
 
@@ -235,9 +274,13 @@ def _pivot_links(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scr
         large = _mixed(rows).filter(_work() > LEAF).select("node", "major", "most")
         rows = stage(rows.join(large, "node"), "large")
         chosen = F.col("component") == F.col("major") if turn else F.lit(True)
-        pivots = rows.filter(chosen).groupBy("node").agg(F.min_by("rep", F.xxhash64("rep", "node", F.lit(turn))).alias("b"), F.first("component").alias("home"))
+        pivots = rows.filter(chosen).groupBy("node").agg(
+            F.min_by("rep", F.xxhash64("rep", "node", F.lit(turn))).alias("b"), F.first("component").alias("home"),
+        )
         near = rows.join(pivots, "node").filter((F.col("rep") != F.col("b")) & (F.lit(turn == 0) | (F.col("component") != F.col("home"))))
-        near = _point(_point(near.select("node", "rep", "b"), "rep", sketches, "x"), "b", sketches, "y").filter(_alike("x", "y", percent, 0.0))
+        near = _point(
+            _point(near.select("node", "rep", "b"), "rep", sketches, "x"), "b", sketches, "y",
+        ).filter(_alike("x", "y", percent, 0.0))
         near = stage(near.select("node", F.col("rep").alias("a"), "b"), "near")
         fresh = stage(confirm(near.select("a", "b").distinct(), sketches, percent), "pivot-links")
         if fresh.isEmpty():
@@ -253,7 +296,9 @@ def _pivot_links(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scr
 def linked(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scratch) -> DataFrame:
     """rep, component of the members of ``nodes`` (node, rep) that confirmed links connect with others."""
     links, joined = _pivot_links(nodes, sketches, percent, stage)
-    rows = nodes.join(joined, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"), F.lit(None).cast("long").alias("parent"))
+    rows = nodes.join(joined, "rep", "left").select(
+        "node", "rep", F.coalesce("component", "rep").alias("component"), F.lit(None).cast("long").alias("parent"),
+    )
     small = []
     for level in range(DEPTH + 1):
         rows = stage(rows.join(_mixed(rows), "node").withColumn("work", _work()), f"level{level}")
@@ -264,7 +309,17 @@ def linked(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scratch)
         if level == DEPTH or large.isEmpty():
             break
         large = large.select("node", "rep", "component", "work").join(sketches.select("rep", "paths"), "rep")
-        branch = F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda j: F.xxhash64("node", j, F.element_at("paths", (F.pmod(F.xxhash64("node", j), F.lit(BRANCHES // 2)) * 2 + j + 1).cast("int")))))
+        branch = F.explode(
+            F.transform(
+                F.array(F.lit(0), F.lit(1)),
+                lambda j: F.xxhash64(
+                    "node", j,
+                    F.element_at(
+                        "paths", (F.pmod(F.xxhash64("node", j), F.lit(BRANCHES // 2)) * 2 + j + 1).cast("int"),
+                    ),
+                ),
+            )
+        )
         rows = large.select(branch.alias("node"), "rep", "component", F.col("work").alias("parent"))
     leaves = reduce(DataFrame.union, small)
     # first the pairs that look linked: what they contract needs no further comparison
@@ -282,11 +337,16 @@ def _leaf_pairs(members: DataFrame, sketches: DataFrame, percent: int, slack: fl
     salts = F.when(_work() <= TASK, 1).otherwise(F.ceil(F.sqrt(_work()) / math.isqrt(TASK))).cast("int")
     known = sketches.select("rep", F.struct("n", *_BITS).alias("y")).join(leaves, "rep")
     members = members.withColumn("salts", salts).join(known, "rep")
-    minor = members.filter("component <> major").select("node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"), F.col("leaves").alias("a_leaves"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    minor = members.filter("component <> major").select(
+        "node", F.col("rep").alias("a"), F.col("component").alias("own"), F.col("y").alias("x"),
+        F.col("leaves").alias("a_leaves"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+    )
     dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
     once = (F.col("component") == F.col("major")) | (F.col("a") < F.col("rep"))
     first = F.col("node") == F.array_min(F.array_intersect("a_leaves", "leaves"))  # each pair in one of its common nodes
-    pairs = minor.join(dealt, ["node", "salt"]).filter((F.col("own") != F.col("component")) & once & _alike("x", "y", percent, slack) & first)
+    pairs = minor.join(dealt, ["node", "salt"]).filter(
+        (F.col("own") != F.col("component")) & once & _alike("x", "y", percent, slack) & first
+    )
     return pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
 
 
@@ -316,12 +376,17 @@ def judged_rows(documents: DataFrame, percent: int) -> DataFrame:
         wanted = reps.select("rep", "doc", "text_key").join(nodes.select("rep").distinct(), "rep", "left_semi")
         sketches = stage(points(documents, wanted), "points")
         joined = linked(nodes, sketches, percent, stage)
-        known = reps.select("k1", "k2", "n", "doc", "rep").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        known = reps.select("k1", "k2", "n", "doc", "rep").join(joined, "rep", "left").withColumn(
+            "component", F.coalesce("component", "rep"),
+        )
         least = known.groupBy("component").agg(F.min("doc").alias("smallest"))
         known = stage.keep(stage(known.join(least, "component").select("k1", "k2", "n", "smallest"), "known"))
     rows = every.select("doc", "text_key", "n", "k1", "k2").join(known, ["k1", "k2", "n"], "left")
     own = F.when(F.col("doc").isNull(), F.lit(None)).otherwise(F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc")))
-    return rows.select(F.col("doc").alias("doc_id"), "text_key", F.col("n").alias("n_shingles"), own.cast("long").alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(True)).alias("kept"))
+    return rows.select(
+        F.col("doc").alias("doc_id"), "text_key", F.col("n").alias("n_shingles"),
+        own.cast("long").alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(True)).alias("kept"),
+    )
 
 
 #: ``near_duplicates`` at 85 percent for DuckDB, by all pairs that share a shingle.

@@ -64,14 +64,27 @@ def matches(text: Column, pattern: str) -> Column:
         return F.struct(last.alias("at"), F.concat(done["out"], own).alias("out"))
 
     def moved(part: Column, by: Column) -> Column:
-        return F.transform(part["out"], lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["value"].alias("value")))
+        return F.transform(
+            part["out"],
+            lambda m: F.struct(
+                (m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["value"].alias("value"),
+            ),
+        )
 
     def joined(parts: Column) -> Column:
         starts = F.aggregate(parts, F.array(F.lit(0)), lambda sums, p: F.concat(sums, F.array(F.element_at(sums, -1) + p["at"])))
         return F.flatten(F.zip_with(parts, _initial(starts), moved))
 
     def blocks(found: Column) -> Column:
-        return _let(F.ceil(F.sqrt(F.size(found))).cast("int"), lambda b: _let(F.transform(F.sequence(F.lit(0), b - 1), lambda k: F.aggregate(F.slice(found, k * b + 1, b), begin, step)), joined))
+        return _let(
+            F.ceil(F.sqrt(F.size(found))).cast("int"),
+            lambda b: _let(
+                F.transform(
+                    F.sequence(F.lit(0), b - 1), lambda k: F.aggregate(F.slice(found, k * b + 1, b), begin, step),
+                ),
+                joined,
+            ),
+        )
 
     paired = F.zip_with(pieces, values, lambda p, v: F.struct(F.length(p).alias("gap"), v.alias("value")))
     return F.when(F.size(values) > 0, _let(F.filter(paired, lambda x: x["value"].isNotNull()), blocks)).otherwise(none)
@@ -112,7 +125,10 @@ def _labelled(kind: int):
 
 def base_spans(rows: DataFrame) -> DataFrame:
     """Add a column for each kind: array<struct<start, end, value>> of the valid matches in column ``text``."""
-    may = {"email": F.contains("text", F.lit("@")), "phone": F.contains("text", F.lit("+")), "ip": F.col("text").rlike(r"[0-9]\.[0-9]"), "card": F.col("text").rlike(r"[0-9][\x20-]?[0-9]")}
+    may = {
+        "email": F.contains("text", F.lit("@")), "phone": F.contains("text", F.lit("+")),
+        "ip": F.col("text").rlike(r"[0-9]\.[0-9]"), "card": F.col("text").rlike(r"[0-9][\x20-]?[0-9]"),
+    }
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     for kind in KINDS:
         found = F.when(may[kind], F.filter(matches(F.col("text"), PATTERNS[kind]), _check(kind))).otherwise(none)
@@ -122,7 +138,16 @@ def base_spans(rows: DataFrame) -> DataFrame:
 
 def _joined(spans: Column) -> Column:
     """kind:start:end of array<struct<kind, start, end, ..>>, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(
+                ":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"),
+                s["end"].cast("string"),
+            ),
+        ),
+        ",",
+    )
 
 
 def _word(text: Column, pattern: str) -> Column:
@@ -139,10 +164,18 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 
     def trimmed(m: Column) -> Column:
         start, end = m["start"] + lead(m["value"]), m["end"] - trail(m["value"])
-        return F.struct(F.lit(-1).alias("kind"), start.alias("start"), end.alias("end"), F.substring(m["value"], lead(m["value"]) + 1, end - start).alias("value"))
+        return F.struct(
+            F.lit(-1).alias("kind"), start.alias("start"), end.alias("end"),
+            F.substring(m["value"], lead(m["value"]) + 1, end - start).alias("value"),
+        )
 
     tokens = F.transform(matches(F.col("text"), TOKEN), trimmed)
-    rows = rows.withColumn("tokens", F.when(F.col("text").rlike("[0-9@]"), F.filter(tokens, lambda t: t["start"] < t["end"])).otherwise(F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")))
+    rows = rows.withColumn(
+        "tokens",
+        F.when(
+            F.col("text").rlike("[0-9@]"), F.filter(tokens, lambda t: t["start"] < t["end"]),
+        ).otherwise(F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")),
+    )
     overlaps = lambda x: lambda t: (x["start"] < t["end"]) & (t["start"] < x["end"])
 
     def outside(blocks: Column) -> Column:
@@ -156,10 +189,19 @@ def _occurrences(rows: DataFrame) -> DataFrame:
         value = m["value"]
         one, two, after = _word(left, r"(\S+)\s*$"), _word(left, r"(\S+)\s+\S+\s*$"), _word(right, r"^[\s\"')>\]},;:.!?]*([^\s\"')>\]},;:.!?]+)")
         shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, r"[A-Za-z]+", "a"), "[0-9]{4,}", "00"), "[0-9]{1,3}", "0")
-        kinds = [F.concat_ws(" ", F.lit("two"), two, one), F.concat_ws(" ", F.lit("shape"), one, shape), F.concat_ws(" ", F.lit("around"), one, after)]
-        return F.struct(m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.xxhash64(F.lower(value)).alias("instance"), F.array(*[F.xxhash64(k) for k in kinds]).alias("patterns"))
-
-    found = _let(_pieces(F.col("text")), lambda p: F.transform(F.concat("base", fresh), lambda m: contextual(m, lambda start, n: _cut(p, start, n))))
+        kinds = [
+            F.concat_ws(" ", F.lit("two"), two, one), F.concat_ws(" ", F.lit("shape"), one, shape),
+            F.concat_ws(" ", F.lit("around"), one, after),
+        ]
+        return F.struct(
+            m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
+            F.xxhash64(F.lower(value)).alias("instance"), F.array(*[F.xxhash64(k) for k in kinds]).alias("patterns"),
+        )
+
+    found = _let(
+        _pieces(F.col("text")),
+        lambda p: F.transform(F.concat("base", fresh), lambda m: contextual(m, lambda start, n: _cut(p, start, n))),
+    )
     return rows.withColumn("found", F.when(F.size("base") + F.size("tokens") > 0, found))
 
 
@@ -168,10 +210,19 @@ def _blocks(spans: Column) -> Column:
     ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
 
     def block(own: Column) -> Column:
-        return F.struct(F.element_at(own, 1)["start"].alias("start"), F.array_max(F.transform(own, lambda x: x["end"])).alias("end"), own.alias("own"))
+        return F.struct(
+            F.element_at(own, 1)["start"].alias("start"),
+            F.array_max(F.transform(own, lambda x: x["end"])).alias("end"), own.alias("own"),
+        )
 
     def dealt(x: Column) -> Column:
-        return _let(F.ceil(F.sqrt(F.size(x))).cast("int"), lambda b: F.transform(F.sequence(F.lit(0), F.ceil(F.size(x) / b).cast("int") - 1), lambda k: _let(F.slice(x, k * b + 1, b), block)))
+        return _let(
+            F.ceil(F.sqrt(F.size(x))).cast("int"),
+            lambda b: F.transform(
+                F.sequence(F.lit(0), F.ceil(F.size(x) / b).cast("int") - 1),
+                lambda k: _let(F.slice(x, k * b + 1, b), block),
+            ),
+        )
 
     return _let(ordered, dealt)
 
@@ -179,7 +230,16 @@ def _blocks(spans: Column) -> Column:
 def _pieces(text: Column) -> Column:
     """struct<parts, size>: the text in pieces of ``size`` characters, each with the REACH that follow, so that a place in a long text is found without going through all of it."""
     size = F.greatest(F.lit(1024), (F.sqrt(F.length(text)) * 16).cast("int"))
-    return _let(size, lambda s: F.struct(F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / s).cast("int")), lambda k: F.substring(text, k * s + 1, s + REACH)).alias("parts"), s.alias("size")))
+    return _let(
+        size,
+        lambda s: F.struct(
+            F.transform(
+                F.sequence(F.lit(0), F.floor(F.length(text) / s).cast("int")),
+                lambda k: F.substring(text, k * s + 1, s + REACH),
+            ).alias("parts"),
+            s.alias("size"),
+        ),
+    )
 
 
 def _cut(pieces: Column, start: Column, n: Column) -> Column:
@@ -198,13 +258,26 @@ def confident_patterns(edges: DataFrame) -> DataFrame:
     scored = edges.select("pattern", "instance", "n", "kind", *[s.alias(c) for s, c in zip(seeds, _SCORES)])
     for turn in range(ROUNDS):
         weight = F.when(F.col("kind") >= 0, 1.0).otherwise(F.lit(UNKNOWN) + (1 - UNKNOWN) * F.greatest(*_SCORES))
-        sums = scored.groupBy("pattern").agg(F.sum(F.col("n") * weight).alias("total"), *[F.sum(F.col("n") * F.col(c)).alias(c) for c in _SCORES], *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(f"seeds{k}") for k in range(len(KINDS))])
+        sums = scored.groupBy("pattern").agg(
+            F.sum(F.col("n") * weight).alias("total"), *[F.sum(F.col("n") * F.col(c)).alias(c) for c in _SCORES],
+            *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(f"seeds{k}") for k in range(len(KINDS))],
+        )
         shares = [F.when(F.col(f"seeds{k}") >= SUPPORT, F.col(c) / (F.col("total") + SMOOTHING)).otherwise(0.0) for k, c in enumerate(_SCORES)]
         sums = sums.select("pattern", *[s.alias(c) for s, c in zip(shares, _SCORES)])
         strong = staged(sums.filter(F.greatest(*_SCORES) >= CONFIDENCE), "patterns")
         if turn < ROUNDS - 1:
             # an instance's score: the chance that at least one of its confident patterns is right
-            gained = edges.filter("kind < 0").join(strong, "pattern").groupBy("instance").agg(*[(1 - F.exp(F.sum(F.when(F.col(c) >= CONFIDENCE, F.log(F.greatest(1 - F.col(c), F.lit(1e-6)))).otherwise(0.0)))).alias(f"gain_{c}") for c in _SCORES])
+            gained = edges.filter("kind < 0").join(strong, "pattern").groupBy("instance").agg(
+                *[
+                    (
+                        1 - F.exp(
+                            F.sum(
+                                F.when(F.col(c) >= CONFIDENCE, F.log(F.greatest(1 - F.col(c), F.lit(1e-6)))).otherwise(0.0)
+                            )
+                        )
+                    ).alias(f"gain_{c}") for c in _SCORES
+                ]
+            )
             scored = edges.join(staged(gained, "instances"), "instance", "left").select("pattern", "instance", "n", "kind", *[F.greatest(s, F.when(F.col("kind") < 0, F.coalesce(f"gain_{c}", F.lit(0.0))).otherwise(0.0)).alias(c) for s, c in zip(seeds, _SCORES)])
     best = F.greatest(*_SCORES)
     kind = reduce(lambda rest, k: F.when(F.col(_SCORES[k]) == best, k).otherwise(rest), reversed(range(len(KINDS))), F.lit(-1))
@@ -226,10 +299,18 @@ def find(documents: DataFrame) -> DataFrame:
     rows = staged(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", *counts, slim.alias("base"), "found"), "occurrences")
 
     each = rows.select("row", F.explode("found").alias("m")).select("row", "m.*")
-    edges = each.select("instance", "kind", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("kind").alias("kind"))
+    edges = each.select(
+        "instance", "kind", F.explode("patterns").alias("pattern"),
+    ).groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("kind").alias("kind"))
     strong = confident_patterns(edges)
     marked = each.filter("kind < 0").select("row", "start", "end", F.explode("patterns").alias("pattern")).join(strong, "pattern")
     marked = marked.groupBy("row", "start", "end").agg(F.max_by("as_kind", F.struct("confidence", -F.col("as_kind"))).alias("kind"))
     added = marked.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
-    rows = rows.drop("found").join(added, "row", "left").withColumn("added", F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,end:int>>")))
-    return rows.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_found"))
+    rows = rows.drop("found").join(added, "row", "left").withColumn(
+        "added", F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,end:int>>")),
+    )
+    return rows.select(
+        "doc_id", *[f"n_{k}" for k in KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
+        _joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("long").alias("n_found"),
+    )

@@ -86,7 +86,11 @@ def text_features(texts: list[str]) -> np.ndarray:
         share = each / m
         own = length[first:last]
         lines = texts[t].split("\n")
-        out[t, 9:] = (own.mean(), own.std(), len(each) / m, len(each) / np.sqrt(m), share.max(), -(share * np.log(share)).sum(), same[first:last].mean(), marked[first:last].mean(), (own <= 3).mean(), 1 - len(set(lines)) / len(lines), m / len(lines), math.log2(len(lines)), len(texts[t]) / len(lines))
+        out[t, 9:] = (
+            own.mean(), own.std(), len(each) / m, len(each) / np.sqrt(m), share.max(), -(share * np.log(share)).sum(),
+            same[first:last].mean(), marked[first:last].mean(), (own <= 3).mean(), 1 - len(set(lines)) / len(lines),
+            m / len(lines), math.log2(len(lines)), len(texts[t]) / len(lines),
+        )
     return out
 
 
@@ -255,11 +259,18 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Mod
 
     Rows with null ids or labels don't count; a document with labels of both kinds equally often is not labelled.
     """
-    votes = labels.filter(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1)).groupBy("doc_id").agg(F.avg(target).alias("vote")).filter("vote <> 0.5")
+    votes = labels.filter(
+        F.col("doc_id").isNotNull() & F.col(target).isin(0, 1)
+    ).groupBy("doc_id").agg(F.avg(target).alias("vote")).filter("vote <> 0.5")
     rank = F.xxhash64("doc_id", F.lit("cotrain"))
     known = votes.select("doc_id", (F.col("vote") > 0.5).cast("int").alias("own_label")).orderBy(rank, "doc_id").limit(MOST_LABELLED)
-    chosen = known.select(F.col("doc_id").alias("chosen_id"), "own_label", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("own_order"))
-    picked = documents.join(F.broadcast(chosen), documents["doc_id"] == chosen["chosen_id"]).select("chosen_id", "own_label", "own_order", *_view_columns(documents))
+    chosen = known.select(
+        F.col("doc_id").alias("chosen_id"), "own_label",
+        F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("own_order"),
+    )
+    picked = documents.join(F.broadcast(chosen), documents["doc_id"] == chosen["chosen_id"]).select(
+        "chosen_id", "own_label", "own_order", *_view_columns(documents),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,13 +279,23 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Mod
             for a, b in slices(texts):
                 found = text_features(texts[a:b])
                 slots = meta_features(*[r[a:b] for r in rest])
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(3)), pa.array(found.tolist(), pa.list_(pa.float64())), pa.array(slots.tolist(), pa.list_(pa.int64()))], ["doc_id", "label", "ordering", "text", "meta"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(k).slice(a, b - a) for k in range(3)),
+                        pa.array(found.tolist(), pa.list_(pa.float64())),
+                        pa.array(slots.tolist(), pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "label", "ordering", "text", "meta"],
+                )
 
     rows = picked.mapInArrow(run, "doc_id long, label int, ordering long, text array<double>, meta array<long>").toPandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["ordering", "doc_id"], kind="stable")
-    return cotrain(np.stack(rows.text), np.stack(rows.meta), rows.label.to_numpy(), rows.ordering.to_numpy(), lambda edges: _pool(documents, votes, edges))
+    return cotrain(
+        np.stack(rows.text), np.stack(rows.meta), rows.label.to_numpy(), rows.ordering.to_numpy(),
+        lambda edges: _pool(documents, votes, edges),
+    )
 
 
 def _pool(documents: DataFrame, votes: DataFrame, edges: np.ndarray) -> Sums | None:
@@ -287,9 +308,20 @@ def _pool(documents: DataFrame, votes: DataFrame, edges: np.ndarray) -> Sums | N
             rest = [batch.column(k).to_pylist() for k in (2, 3, 4)]
             for a, b in slices(texts):
                 codes = _codes(text_features(texts[a:b]), meta_features(*[r[a:b] for r in rest]), edges)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([c.tobytes() for c in codes], pa.binary())], ["doc_id", "codes"])
-
-    coded = staged(documents.select("doc_id", *_view_columns(documents)).mapInArrow(encode, T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("codes", T.BinaryType())])), "quality-codes")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array([c.tobytes() for c in codes], pa.binary())],
+                    ["doc_id", "codes"],
+                )
+
+    coded = staged(
+        documents.select("doc_id", *_view_columns(documents)).mapInArrow(
+            encode,
+            T.StructType(
+                [T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("codes", T.BinaryType())]
+            ),
+        ),
+        "quality-codes",
+    )
     free = coded.filter("doc_id is not null").join(votes.select("doc_id"), "doc_id", "left_anti").select("codes")
     pool = staged(free.unionByName(coded.filter("doc_id is null").select("codes")), "quality-pool")
     tasks = math.ceil(pool.count() / TASK_ROWS)

@@ -18,7 +18,10 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .bpe import encode_digests
 
-    return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).drop("n_bytes")
+    return encode_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    ).drop("n_bytes")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,11 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
             prefix = np.zeros(len(piece) + 1, np.uint64)
             np.cumsum(_byte_values()[piece] * _powers(_BASE, CHUNK_BYTES + 1)[: len(piece)], out=prefix[1:])
             begin = starts[own] - first
-            out[own] = mix((prefix[ends[own] - first] - prefix[begin]) * _powers(_BASE_INVERSE, CHUNK_BYTES + 1)[begin] + length[own].astype(np.uint64))
+            out[own] = mix(
+                (
+                    prefix[ends[own] - first] - prefix[begin]
+                ) * _powers(_BASE_INVERSE, CHUNK_BYTES + 1)[begin] + length[own].astype(np.uint64)
+            )
         at = last
     for k in np.flatnonzero(length >= LONG_WORD).tolist():
         out[k] = xxhash.xxh3_64_intdigest(raw[starts[k] : ends[k]], seed=77)

@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: (host, path prefix, verdict) of the explicit rules.
-RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
 
 #: The labelled URL table that is used if none is passed: registered names that are reserved for examples of this
 #: kind, to block or to allow, each with some subdomains, under paths that tell nothing.
@@ -106,7 +109,9 @@ def score(model: tuple[np.ndarray, float], host: str, path: str) -> float:
 
 def labelled_rows(labelled: DataFrame, most: int = MOST_LABELLED) -> list[tuple[str, int]]:
     """Up to ``most`` rows (url, label) of a labelled table, smallest hash of the url first."""
-    return [tuple(r) for r in labelled.select("url", "label").filter("url is not null and label is not null").orderBy(F.xxhash64("url"), "url", "label").limit(most).collect()]
+    return [
+        tuple(r) for r in labelled.select("url", "label").filter("url is not null and label is not null").orderBy(F.xxhash64("url"), "url", "label").limit(most).collect()
+    ]
 
 
 def judge(pages: DataFrame, labelled: DataFrame | list[tuple[str, int]] | None = None, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -123,12 +128,22 @@ def judge(pages: DataFrame, labelled: DataFrame | list[tuple[str, int]] | None =
         own = model.value
         for batch in batches:
             scores = [score(own, h, p) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], ["page_id", "host", "path", "rule", "fixed", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(scores, pa.float64())],
+                ["page_id", "host", "path", "rule", "fixed", "score"],
+            )
 
     url = pages["url"].cast("string")
     parts = pages.select(pages["page_id"].alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, fixed = rule_of(parts["host"], parts["path"], rules)
-    schema = T.StructType([T.StructField("page_id", pages.schema["page_id"].dataType)] + [T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "fixed")] + [T.StructField("score", T.DoubleType())])
+    schema = T.StructType(
+        [T.StructField("page_id", pages.schema["page_id"].dataType)] + [
+            T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "fixed")
+        ] + [T.StructField("score", T.DoubleType())]
+    )
     found = parts.select("page_id", "host", "path", rule.alias("rule"), fixed.alias("fixed")).mapInArrow(run, schema)
-    return found.select("page_id", "host", "path", "rule", F.coalesce("fixed", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score")
+    return found.select(
+        "page_id", "host", "path", "rule",
+        F.coalesce("fixed", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score",
+    )
 
