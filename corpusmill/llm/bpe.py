@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import slices, text_of
+from .shared import sliced, text_of
 
 #: First character of the byte alphabet; 256 assigned letters follow it.
 ALPHABET = 0x100
@@ -183,9 +183,8 @@ def encode_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                ids = [[int(i) for i in listed.split(",") if i] for listed, _, _ in own.digests(texts[a:b])]
+            for a, b, texts in sliced(batch.column(1)):
+                ids = [[int(i) for i in listed.split(",") if i] for listed, _, _ in own.digests(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32())),
@@ -211,9 +210,8 @@ def encode_digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
         own, sha = codec(path, pattern), hashlib.sha256
         for batch in batches:
             n, ids, decoded, size = [], [], [], []
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for listed, count, data in own.digests(texts[a:b]):
+            for _, _, texts in sliced(batch.column(1)):
+                for listed, count, data in own.digests(texts):
                     n.append(count)
                     ids.append(sha(listed.encode()).hexdigest())
                     decoded.append(sha(data).hexdigest())

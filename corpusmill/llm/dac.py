@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import SPACED, Words, shared_folder, slices, text_of, word_hashes
+from .shared import SPACED, Words, shared_folder, sliced, text_of, word_hashes
 
 MAGIC = b"DAC1"
 #: Bits of a bitmap between two entries of its rank directory.
@@ -322,9 +322,9 @@ def _segments(documents: DataFrame, path: str, end_id: int) -> DataFrame:
             )
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for key, ids in zip(keys[a:b], own.ids(texts[a:b])):
+            keys = batch.column(0).to_pylist()
+            for a, b, texts in sliced(batch.column(1)):
+                for key, ids in zip(keys[a:b], own.ids(texts)):
                     docs.append(key)
                     sizes.append(len(ids) + 1)
                     parts += [ids, np.array([end_id], np.uint32)]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ALNUM, Words, slices, staged, text_of
+from .shared import ALNUM, Words, sliced, staged, text_of
 
 #: Words in a window.
 SIZE = 10
@@ -115,9 +115,8 @@ def scan_block(documents: DataFrame, grams: Broadcast, cut: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Grams(*grams.value)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in slices(texts):
-                found = list(known.scan(texts[a:b]))
+            for a, b, texts in sliced(batch.column(batch.num_columns - 1)):
+                found = list(known.scan(texts))
                 columns = [c.slice(a, b - a) for c in batch.columns[:-1]]
                 columns += [
                     pa.array([f[0] for f in found], pa.int64()),
@@ -125,7 +124,7 @@ def scan_block(documents: DataFrame, grams: Broadcast, cut: bool) -> DataFrame:
                     pa.array([f[2] for f in found], pa.list_(pa.int64())),
                 ]
                 if cut:
-                    columns.append(pa.array([without(t, f[1]) if len(f[1]) else None for t, f in zip(texts[a:b], found)], pa.string()))
+                    columns.append(pa.array([without(t, f[1]) if len(f[1]) else None for t, f in zip(texts, found)], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, schema=_arrow(columns, [f"c{i}" for i in range(len(keep))] + _FOUND[: 3 + cut]))
 
     # positional names: columns of any name pass through

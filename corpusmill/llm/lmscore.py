@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import SPACED, Scratch, Words, mix, settings, slices, text_of
+from .shared import SPACED, Scratch, Words, mix, settings, sliced, text_of
 
 #: Longest n-gram, backoff factor, and count from which on an n-gram of two or more words is in the table.
 ORDER, ALPHA, LEAST = 3, 0.4, 1
@@ -57,9 +57,9 @@ def _mapped(df: DataFrame, schema: str | T.StructType, rows: Callable[[Words, np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for columns in rows(Words(texts[a:b], SPACED), keys[a:b]):
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            for a, b, texts in sliced(batch.column(1)):
+                for columns in rows(Words(texts, SPACED), keys[a:b]):
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     return df.mapInArrow(run, schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import settings, slices, staged, text_of
+from .shared import settings, sliced, staged, text_of
 
 PACKET = 188
 SYNC = 0x47
@@ -347,9 +347,8 @@ def store_texts(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                data = [padded(t) for t in texts[a:b]]
+            for a, b, texts in sliced(batch.column(1)):
+                data = [padded(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a), pa.array([n for _, n in data], pa.int64()),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACED, Scratch, Words, mix, slices, text_of
+from .shared import SPACED, Scratch, Words, mix, sliced, text_of
 
 #: Words in a shingle.
 SHINGLE = 5
@@ -106,9 +106,8 @@ def features(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in slices(texts):
-                sets = list(shingle_sets(texts[a:b]))
+            for a, b, texts in sliced(batch.column(2)):
+                sets = list(shingle_sets(texts))
                 keys = [set_key(own) for own in sets]
                 tokens = _lists([roots(own) if len(own) else np.empty(0, np.int64) for own in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -133,13 +132,13 @@ def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for batch in batches:
-            reps, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            reps = batch.column(0).to_pylist()
             # rows of one id and text stand side by side: one of them is enough
             first = [k for k, rep in enumerate(reps) if rep != (reps[k - 1] if k else before)]
             before = reps[-1] if reps else before
-            reps, texts = [reps[k] for k in first], [texts[k] for k in first]
-            for a, b in slices(texts):
-                sets = list(shingle_sets(texts[a:b]))
+            reps = [reps[k] for k in first]
+            for a, b, texts in sliced(batch.column(1).take(pa.array(first, pa.int64()))):
+                sets = list(shingle_sets(texts))
                 found = [sketch(own) for own in sets]
                 bits = np.stack([x for _, x in found])
                 yield pa.RecordBatch.from_arrays(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import SPACED, Words, slices, staged
+from .shared import SPACED, Words, sliced, staged
 
 #: Labelled documents that a fit takes at most.
 MOST_LABELLED = 20_000
@@ -274,10 +274,9 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Mod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(3).to_pylist()]
             rest = [batch.column(k).to_pylist() for k in (4, 5, 6)]
-            for a, b in slices(texts):
-                found = text_features(texts[a:b])
+            for a, b, texts in sliced(batch.column(3)):
+                found = text_features([t or "" for t in texts])
                 slots = meta_features(*[r[a:b] for r in rest])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -304,10 +303,9 @@ def _pool(documents: DataFrame, votes: DataFrame, edges: np.ndarray) -> Sums | N
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             rest = [batch.column(k).to_pylist() for k in (2, 3, 4)]
-            for a, b in slices(texts):
-                codes = _codes(text_features(texts[a:b]), meta_features(*[r[a:b] for r in rest]), edges)
+            for a, b, texts in sliced(batch.column(1)):
+                codes = _codes(text_features([t or "" for t in texts]), meta_features(*[r[a:b] for r in rest]), edges)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([c.tobytes() for c in codes], pa.binary())],
                     ["doc_id", "codes"],
@@ -369,13 +367,12 @@ def with_scores(documents: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(width).to_pylist()]
             rest = [batch.column(width + k).to_pylist() for k in (1, 2, 3)]
-            for a, b in slices(texts):
+            for a, b, texts in sliced(batch.column(width)):
                 if own is None:
                     found = np.zeros(b - a), np.zeros(b - a), np.full(b - a, 0.5)
                 else:
-                    found = own.scores(text_features(texts[a:b]), meta_features(*[r[a:b] for r in rest]))
+                    found = own.scores(text_features([t or "" for t in texts]), meta_features(*[r[a:b] for r in rest]))
                 columns = [c.slice(a, b - a) for c in batch.columns[:width]] + [pa.array(f, pa.float64()) for f in found]
                 yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(width)] + _SCORES)
 

@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,16 +27,15 @@ def text_of(df: DataFrame, column: str = "text"):
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
-def slices(texts: list[str], budget: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``budget`` characters each; every text is in exactly one."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > budget:
-            yield start, i
-            start, size = i, 0
-        size += len(text) + 1
-    if start < len(texts):
-        yield start, len(texts)
+def sliced(texts: pa.Array, budget: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Ranges of an Arrow array of about ``budget`` bytes each with their texts; only one range is held as Python strings at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    start = 0
+    while start < len(texts):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + budget, side="right")))
+        yield start, stop, texts.slice(start, stop - start).to_pylist()
+        start = stop
 
 
 def mix(x: np.ndarray) -> np.ndarray:
