@@ -35,7 +35,8 @@ def merge_packages(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Apply the outcomes of a fetch (``batch``: the package columns and ``outcome``).
 
     A success replaces all but ``KEPT``; a failure replaces ``FAILURE`` only, and adds a row for an unknown
-    package; an unchanged page of a package whose last status was not ok is set to ok again.
+    package; an unchanged page of a package whose last status was not ok is set to ok again. Unchanged and
+    recovered pages of an unknown package, which no fetch gives, add nothing.
     """
     old, new = stored.alias("o"), batch.alias("n")
     outcome = F.col("n.outcome")
@@ -53,7 +54,9 @@ def merge_packages(stored: DataFrame, batch: DataFrame) -> DataFrame:
         after_recovery = {"status": F.lit("ok"), "http_status": F.lit(200), "error": F.lit(""), "fetched_at": n}.get(c, o)
         return F.when(~touched | (outcome == "unchanged"), o).when(failed, after_failure).when(recovered, after_recovery).otherwise(n)
 
-    return old.join(new, F.col("o.id") == F.col("n.id"), "full_outer").select(
+    touching = known | ~outcome.isin("unchanged", "recovered")
+    joined = old.join(new, F.col("o.id") == F.col("n.id"), "full_outer").filter(touching)
+    return joined.select(
         *[pick(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns]
     )
 
