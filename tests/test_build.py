@@ -256,3 +256,19 @@ def test_http_retries():
     answers[:] = [b"a", b"b"]
     polite.get("http://u"), polite.get("http://u")
     assert slept == [2.0]
+
+
+def test_no_local_folder_is_used_on_a_cluster():
+    """Without a shared folder a session of several machines gets an error, not a folder that its executors can't see."""
+    from types import SimpleNamespace
+
+    from corpusmill.staging import shared_folder
+
+    def session(master, folder=None, checkpoint=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint))
+
+    for master in ("yarn", "local-cluster[2,1,1000]", "spark://host:7077"):
+        with pytest.raises(RuntimeError):
+            shared_folder(session(master))
+        assert shared_folder(session(master, "hdfs://x/y/")) == "hdfs://x/y" and shared_folder(session(master, checkpoint="hdfs://z")) == "hdfs://z"
+    assert shared_folder(session("local[2]")) == shared_folder(session("local")) != ""
