@@ -18,7 +18,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import sliced, text_of
