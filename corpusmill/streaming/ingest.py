@@ -13,15 +13,21 @@ from ..sources.warehouse import Warehouse
 PAGES = "id bigint, position bigint, html string, error string"
 
 
-def ingest_stream(pages: DataFrame, house: Warehouse, checkpoint: str, refresh: bool = False, patterns: text.Patterns = text.DEFAULT) -> StreamingQuery:
-    """Store pages (id, position, html, error) as they come and rebuild after each batch; stops when the input is used up.
-
-    A batch that is run again after a failure finds its pages unchanged by their hash, so applying it twice changes nothing.
+def ingest_stream(
+    pages: DataFrame, house: Warehouse, checkpoint: str, refresh: bool = False, patterns: text.Patterns = text.DEFAULT,
+    rebuild_each: bool = True,
+) -> StreamingQuery:
+    """Store pages (id, position, html, error) as they come; stops when the input is used up.
+
+    The later stages are rebuilt after each batch, or, without ``rebuild_each``, left to the caller, who rebuilds once
+    when the query has ended. A batch that is run again after a failure finds its pages unchanged by their hash, so
+    applying it twice changes nothing.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
             store_pages(house, batch, refresh, patterns)
-            rebuild(house, patterns)
+            if rebuild_each:
+                rebuild(house, patterns)
 
     return pages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -207,6 +207,10 @@ def test_stream_of_pages(spark, tmp_path):
         ingest_stream(spark.readStream.schema(PAGES).parquet(str(tmp_path / "in")), house, str(tmp_path / "check")).awaitTermination()
         assert sorted((p.id, p.status) for p in house.read("packages").collect()) == [(1, "ok"), (2, "http_error")]
         assert house.read("questions_canonical").count() == 1
+    late = Warehouse(spark, str(tmp_path / "late"))
+    ingest_stream(spark.readStream.schema(PAGES).parquet(str(tmp_path / "in")), late, str(tmp_path / "check2"), rebuild_each=False).awaitTermination()
+    assert late.read("questions").count() == 1 and late.read("questions_canonical").count() == 0
+    assert tuple(build.rebuild(late).first()) == (1, 0, 0, 0)
 
 
 def test_command_line(spark, tmp_path, site, capsys):
