@@ -31,8 +31,9 @@ from .shared import SPACED, Scratch, Words, mix, settings, sliced, text_of
 ORDER, ALPHA, LEAST = 3, 0.4, 1
 #: Passes over the hash values, and rows in a partition of one, about.
 PASSES, PART_ROWS = 3, 1 << 21
-#: Hash slots of contexts in which rows are counted first; a slot is hot with more rows than this many average slots have, and a partition.
-SLOTS, HOT = 1 << 16, 64
+#: Bits of the hash slots of contexts in which rows are counted first, at least: there are so many that HOT average
+#: slots have no more rows than a partition. A slot with more rows than a partition is hot.
+SLOT_BITS, HOT = 16, 64
 
 _GRAMS = "ctx long, gram long, doc long, occ long"
 #: Values of ``gram`` that are no hash: a context at the end of a document, and the one at its start.
@@ -101,8 +102,8 @@ def exploded(texts: DataFrame, n: int, some: Callable[[np.ndarray], np.ndarray]
     return _mapped(texts, _GRAMS, rows)
 
 
-def _slot(ctx: np.ndarray) -> np.ndarray:
-    return (ctx >> np.uint64(48)).astype(np.int64)
+def _slot(ctx: np.ndarray, bits: int) -> np.ndarray:
+    return (ctx >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _numbered(documents: DataFrame, stage: Scratch) -> DataFrame:
@@ -115,7 +116,7 @@ def _numbered(documents: DataFrame, stage: Scratch) -> DataFrame:
         return stage(rows, "rows")
 
 
-def _sizes(texts: DataFrame, order: int) -> DataFrame:
+def _sizes(texts: DataFrame, order: int, bits: int) -> DataFrame:
     """row, n_words and whole (hash of a text of fewer than order - 1 words) of each document; and, with a null row, the number (n_words) of contexts in each hash slot."""
 
     def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
@@ -125,7 +126,7 @@ def _sizes(texts: DataFrame, order: int) -> DataFrame:
             whole[n == m] = _hashes(words, m)[words.first[:-1][n == m]]
         yield [pa.array(keys, pa.int64()), pa.array(n, pa.int64()), _signed(whole), pa.array(np.full(len(keys), -1), pa.int64())]
         ctx = _hashes(words, order - 1)
-        slots, count = np.unique(_slot(ctx[ctx > 0]), return_counts=True)
+        slots, count = np.unique(_slot(ctx[ctx > 0], bits), return_counts=True)
         yield [pa.nulls(len(slots), pa.int64()), pa.array(count, pa.int64()), pa.nulls(len(slots), pa.int64()), pa.array(slots, pa.int64())]
 
     return _mapped(texts.select("row", "text"), "row long, n_words long, whole long, slot long", rows)
@@ -167,40 +168,39 @@ _SUMS = ("part", "shared")
 
 def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage: Scratch) -> DataFrame:
     """row, n_words, n_backoff, n_shared, log_score of documents that are the corpus themselves, every n-gram counted."""
-    sizes = stage(_sizes(texts, order), "sizes")
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]  # words are half of it at most
+    bits = max(SLOT_BITS, math.ceil(math.log2(max(1.0, HOT * size / 2 / part_rows))))
+    sizes = stage(_sizes(texts, order, bits), "sizes")
     slots = sizes.filter("row is null").groupBy("slot").agg(F.sum("n_words").alias("n"))
     rows = sizes.filter("row is not null").select("row", "n_words", "whole")
     totals = rows.agg(
         F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"),
         F.coalesce(F.sum(F.when(F.col("whole") != 0, 1)), F.lit(0)).alias("short"),
     ).first()
-    most = max(part_rows, HOT * totals.words / SLOTS)
-    hot = np.zeros(SLOTS, bool)
-    hot[[r.slot for r in slots.filter(F.col("n") > most).select("slot").collect()]] = True  # at most SLOTS / HOT of them
+    crowded = slots.filter(F.col("n") > part_rows).select("slot").collect()  # at most words / part_rows of them
+    hot = np.sort(np.array([r.slot for r in crowded], np.int64))
+
+    def is_hot(ctx: np.ndarray) -> np.ndarray:
+        slot = _slot(ctx, bits)
+        return hot[np.searchsorted(hot, slot) % len(hot)] == slot if len(hot) else np.zeros(len(ctx), bool)
+
+    def of_pass(k: int) -> Callable[[np.ndarray], np.ndarray]:
+        return lambda ctx: ~is_hot(ctx) & ((ctx >> np.uint64(32)) % np.uint64(passes) == k)
+
     parts = max(1, math.ceil(totals.words / passes / part_rows))
+    numbered = texts.select("row", "text")
     found = []
     for k in range(passes):
-        dealt = exploded(
-            texts.select("row", "text"), order, lambda ctx,
-            k=k: ~hot[_slot(ctx)] & ((ctx >> np.uint64(32)) % np.uint64(passes) == k), ends=True,
-        ).repartition(parts, "ctx")
+        dealt = exploded(numbered, order, of_pass(k), ends=True).repartition(parts, "ctx")
         scored = dealt.mapInArrow(_partition_scores, "doc long, part double, shared long")
         found.append(stage(scored.groupBy("doc").agg(*[F.sum(c).alias(c) for c in _SUMS]), f"pass{k}"))
-    if hot.any():
-        found.append(
-            stage(
-                _joined_scores(
-                    exploded(texts.select("row", "text"), order, lambda ctx: hot[_slot(ctx)], ends=True), stage,
-                ),
-                "hot",
-            )
-        )
+    if len(hot):
+        found.append(stage(_joined_scores(exploded(numbered, order, is_hot, ends=True), stage), "hot"))
     if totals.short:  # texts of fewer than order - 1 words: the count of the whole text among the n-grams of its length
         for m in range(1, order - 1):
             own = rows.filter((F.col("n_words") == m) & (F.col("whole") != 0))
-            counts = exploded(texts.select("row", "text"), m).join(
-                own.select(F.col("whole").alias("gram")).distinct(), "gram", "left_semi",
-            ).groupBy("gram").agg(F.sum("occ").alias("own"))
+            asked = own.select(F.col("whole").alias("gram")).distinct()
+            counts = exploded(numbered, m).join(asked, "gram", "left_semi").groupBy("gram").agg(F.sum("occ").alias("own"))
             found.append(
                 stage(
                     own.join(counts, own["whole"] == counts["gram"]).select(
