@@ -7,9 +7,10 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: Removes a job's shuffle files when it ends, instead of when the driver next collects garbage.
@@ -59,6 +60,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/corpusmill/{label}-{uuid.uuid4().hex}"
     with settings(df.sparkSession, {_TIDY: "true"}):
+        discard_later(path)
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
@@ -70,8 +72,31 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         path = getattr(table, "_staged_path", None)
         if path:
-            where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(table.sparkSession._jvm, path)
+            _left.discard(path)
+
+
+def _delete(jvm, path: str) -> None:
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
+
+
+#: Folders in the shared folder that go when the driver's process ends: tables that results read lazily.
+_left: set[str] = set()
+
+
+def discard_later(folder: str) -> None:
+    """Delete a folder when the driver's process ends."""
+    if not _left:
+        atexit.register(_discard_left)
+    _left.add(folder)
+
+
+def _discard_left() -> None:
+    jvm = SparkContext._jvm
+    for path in _left if jvm is not None else ():
+        with suppress(Exception):  # the JVM or the store may be gone by now
+            _delete(jvm, path)
 
 
 class Scratch:
@@ -88,6 +113,11 @@ class Scratch:
         self.kept.add(id(table))
         return table
 
+    def drop(self, table: DataFrame) -> None:
+        """Delete a table that no later step reads."""
+        self.tables = [t for t in self.tables if t is not table]
+        discard(table)
+
     def __enter__(self) -> Scratch:
         return self
 
