@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, linedup, lmscore, neardup
+from . import decontam, exponion, lexical, linedup, lmscore, neardup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,24 @@ def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(table(spark, sf_dir, "documents"))
 
 
+def op11_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import stored_digests
+
+    return stored_digests(table(spark, sf_dir, "pages"))
+
+
+def op12_exponion_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exponion import clusters
+
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical import rank
+
+    return rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_transport_stream": op2_transport_stream,
@@ -91,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_addressable_ids": op9_addressable_ids,
     "op10_decontaminate": op10_decontaminate,
+    "op11_warc_dictionary": op11_warc_dictionary,
+    "op12_exponion_clusters": op12_exponion_clusters,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -98,4 +119,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_line_spread": linedup.ORACLE_SQL,
     "op7_stupid_backoff": lmscore.ORACLE_SQL,
     "op10_decontaminate": decontam.ORACLE_SQL,
+    "op11_warc_dictionary": warc.ORACLE_SQL,
+    "op12_exponion_clusters": exponion.ORACLE_SQL,
+    "op13_lexical_search": lexical.ORACLE_SQL,
 }

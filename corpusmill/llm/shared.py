@@ -12,9 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import Scratch, discard, settings, shared_folder, staged
+from ..staging import Scratch, discard, discard_later, settings, shared_folder, staged
 
-__all__ = ["Scratch", "discard", "settings", "shared_folder", "staged"]
+__all__ = ["Scratch", "discard", "discard_later", "settings", "shared_folder", "staged"]
 
 #: Bytes of text that one vectorised step takes at once (a longer document is taken alone).
 SLICE_BYTES = 1 << 20
