@@ -16,13 +16,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The patterns and limits of the Russian quiz corpus. Possessive quantifiers and starting at the
-# first of several blanks change no match; they keep Java's matcher from recursing or going over long texts again.
-HOST_NOTE = r"(?U)\[\s*+(?:Ведущему|ведущему|Чтецу|чтецу|Комментарий\s++для\s++ведущего)\b(?:[^\]]*+\]|[^\n]*+(?=\n))"
+# The patterns and limits of the Russian quiz corpus. Possessive quantifiers, starting at the first of
+# several blanks or of a word, and looking for a stem only where a word has it first change no match; they keep Java's
+# matcher from recursing or going over long texts again.
+NOTE_OPENER = r"(?U)\[\s*+(?:Ведущему|ведущему|Чтецу|чтецу|Комментарий\s++для\s++ведущего)\b"
 MULTIPART = r"(?U)(?:^\s*+|(?<!\s)[\s&&[^\n]]*+\n\s*+)(?:\[[^\]]*+\]\s*+)*+(Блиц|Дуплет|БЛИЦ|ДУПЛЕТ)\b"
 BLITZ = "блиц"
-REFERS_TO_OTHER = r"(?U)предыдущ[\p{L}\p{N}_]*+\s++вопрос|прошл[\p{L}\p{N}_]*+\s++вопрос"
-HANDOUT_LOST = r"(?iU)раздаточн[\p{L}\p{N}_]*[^.\]]{0,60}(?:утерян|утрачен|потерян|не сохран)"
+REFERS_TO_OTHER = r"(?U)(?<![\p{L}\p{N}_])(?>[\p{L}\p{N}_]*?(?:предыдущ|прошл))[\p{L}\p{N}_]*+\s++вопрос"
+HANDOUT_LOST = (
+    r"(?iU)(?<![\p{L}\p{N}_])(?>[\p{L}\p{N}_]*?раздаточн)"
+    r"(?:[\p{L}\p{N}_]*?(?:утерян|утрачен|потерян|не сохран)|[\p{L}\p{N}_]*+[^.\]]{0,60}?(?:утерян|утрачен|потерян|не сохран))"
+)
 MIN_QUESTION_LENGTH = 40
 MEDIA_PLACEHOLDER = "[Media question; see media URLs]"
 # End of the fixed values.
@@ -33,9 +37,14 @@ CONTENT_FIELDS = ("question", "answer", "explanation", "acceptance_criteria", "h
 
 @dataclass(frozen=True)
 class Patterns:
-    """What the classifying functions look for."""
+    """What the classifying functions look for.
 
-    host_note: str = HOST_NOTE
+    A presenter's note goes from ``note_opener`` to the next ``]`` or, where there is none, to the end of its line if the
+    text goes on after it; or it is whatever ``host_note`` matches, if that is given.
+    """
+
+    note_opener: str = NOTE_OPENER
+    host_note: str | None = None
     multipart: str = MULTIPART
     blitz: str = BLITZ
     refers_to_other: str = REFERS_TO_OTHER
@@ -71,15 +80,33 @@ def clean_text(c: Column) -> Column:
     return strip(F.regexp_replace(_tidy_lines(unix), r"\n{3,}", "\n\n"))
 
 
+def _note_parts(c: Column, patterns: Patterns) -> list[tuple[Column, str | None]]:
+    """The text in pieces, each with the pattern of the notes in it.
+
+    Up to the last ``]`` every note is closed; after it none is, and those on the last line are no notes. So whether a
+    note is closed is decided once, and no opener looks through the rest of the text for itself.
+    """
+    if patterns.host_note:
+        return [(c, patterns.host_note)]
+    closed = F.regexp_extract(c, r"(?s)^.*\]", 0)
+    rest = F.substring(c, F.length(closed) + 1, F.length(c))
+    lines = F.regexp_extract(rest, r"(?s)^.*\n", 0)
+    last = F.substring(rest, F.length(lines) + 1, F.length(rest))
+    return [(closed, patterns.note_opener + r"[^\]]*+\]"), (lines, patterns.note_opener + r"[^\n]*+(?=\n)"), (last, None)]
+
+
 def host_notes(c: Column, patterns: Patterns = DEFAULT) -> Column:
     """The presenter's notes in the text, one to a line; '' if none."""
-    return F.array_join(F.regexp_extract_all(c, F.lit(patterns.host_note), F.lit(0)), "\n")
+    return F.array_join(F.concat(*[F.regexp_extract_all(part, F.lit(note), F.lit(0)) for part, note in _note_parts(c, patterns) if note]), "\n")
 
 
 def without_host_notes(c: Column, patterns: Patterns = DEFAULT) -> Column:
     """The text a player hears: untouched if it has no note, else tidied after their removal."""
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, patterns.host_note, ""), r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    return F.when(c.rlike(patterns.host_note), strip(_tidy_lines(bare))).otherwise(c)
+    parts = _note_parts(c, patterns)
+    left = F.concat(*[F.regexp_replace(part, note, "") if note else part for part, note in parts])
+    bare = F.regexp_replace(F.regexp_replace(left, r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    noted = reduce(Column.__or__, [part.rlike(note) for part, note in parts if note])
+    return F.when(noted, strip(_tidy_lines(bare))).otherwise(c)
 
 
 def question_kind(c: Column, patterns: Patterns = DEFAULT) -> Column:

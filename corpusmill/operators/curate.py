@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, values
+from ..staging import staged
 
 #: Fields of which a canonical record takes the longest version of any printing.
 LONGEST = ("answer", "explanation", "acceptance_criteria", "handout_text", "source_references")
@@ -87,9 +87,9 @@ def printing_map(rows: DataFrame, native: bool = False, key: str = "id", column:
     """question_id, canonical_id of every clean row; a record's own row maps to itself.
 
     The smallest id is aggregated before it is joined back, so that a key with many rows needs no single task. Ids
-    and keys, some 30 bytes a row, are kept between the two, so that no text is read or folded twice.
+    and keys, some 30 bytes a row, are staged between the two, so that no text is read or folded twice and no lost executor takes them along.
     """
-    keyed = with_key(rows, native, column).select(F.col(key).alias("question_id"), "nhash").persist(StorageLevel.DISK_ONLY)
+    keyed = staged(with_key(rows, native, column).select(F.col(key).alias("question_id"), "nhash"), "printing-keys")
     least = keyed.groupBy("nhash").agg(F.min("question_id").alias("canonical_id"))
     return keyed.join(least, "nhash").select("question_id", "canonical_id")
 

@@ -42,7 +42,18 @@ def package_links(pages: DataFrame) -> DataFrame:
 
 
 def payload_of(html: str | None) -> tuple[str | None, str | None]:
-    """(package object as JSON, None) or (None, what is wrong)."""
+    """(package object as JSON, None) or (None, what is wrong). Nothing in a page makes it raise."""
+    try:
+        return _payload_of(html)
+    except RecursionError:
+        return None, "the payload is nested too deeply"
+    except UnicodeEncodeError:
+        return None, "the payload has half a surrogate pair"
+    except ValueError as error:
+        return None, f"the payload is malformed: {error}"[:200]
+
+
+def _payload_of(html: str | None) -> tuple[str | None, str | None]:
     chunks = re.findall(CHUNK, html or "")
     if not chunks:
         return None, "no embedded chunks"
@@ -60,7 +71,9 @@ def payload_of(html: str | None) -> tuple[str | None, str | None]:
         return None, "the package object is no JSON"
     if "id" not in package or "tours" not in package:
         return None, "the package object lacks id or tours"
-    return json.dumps(_typed(package), ensure_ascii=False), None
+    found = json.dumps(_typed(package), ensure_ascii=False)
+    found.encode()  # half a surrogate pair, which JSON can spell, would not leave Python
+    return found, None
 
 
 def _typed(package: dict) -> dict:
@@ -70,7 +83,13 @@ def _typed(package: dict) -> dict:
         return [i for i in x if isinstance(i, dict)] if isinstance(x, list) else []
 
     def whole(x: object) -> int | None:
-        return int(x) if isinstance(x, int) or isinstance(x, str) and re.fullmatch(r"[+-]?\d+", x.strip()) else None
+        if isinstance(x, str) and re.fullmatch(r"[+-]?\d+", x.strip()):
+            x = int(x) if len(x.strip()) <= 20 else 1 << 63
+        if not isinstance(x, int):
+            return None
+        if not -(1 << 63) <= x < 1 << 63:
+            raise ValueError("a number of too many digits")
+        return int(x)
 
     def person(p: dict) -> dict:
         return {"id": whole(p.get("id")), "name": _text(p.get("name"))}

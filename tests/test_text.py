@@ -1,6 +1,7 @@
 import re
 import unicodedata
 from hashlib import sha256
+from random import Random
 
 from corpusmill.functions import text, values
 from hypothesis import HealthCheck, given, settings
@@ -98,3 +99,38 @@ def test_long_texts_of_one_kind_take_no_time(spark):
     assert column(spark, lambda c: text.exclusion_reason(c, F.lit("a")), long)[7] == "refers_to_other_question"
     assert column(spark, text.host_notes, [long[0], long[5], long[5] + "\n"]) == ["", "", long[5]]
     assert time.monotonic() - start < 60
+
+
+def test_adversaries_of_notes_and_reasons_take_no_time(spark):
+    """A megabyte of unclosed notes, on many lines or on one, and of repeated stems, in one word or in many."""
+    import time
+
+    def times(x, n=1 << 20):
+        return x * (n // len(x))
+
+    notes = [times("[Ведущему "), times("[Ведущему\n"), times("[Чтецу: а] "), times("[Ведущему ") + "]", times("[" + " " * 9)]
+    words = [times("раздаточн"), times("раздаточн "), times("раздаточн") + "утерян", times("предыдущ"), times("прошл "), times("предыдущ") + " вопрос", times("Раздаточный материал " + "а" * 70 + " утерян ")]
+    start = time.monotonic()
+    got = column(spark, text.host_notes, notes)
+    assert got[0] == "" and got[1].count("[") == notes[1].count("[") and got[2].count("]") == notes[2].count("]") and got[3] == notes[3] and got[4] == ""
+    reasons = column(spark, lambda c: text.exclusion_reason(c, F.lit("a")), words)
+    assert reasons == [None, None, "handout_lost", None, None, "refers_to_other_question", None]
+    assert time.monotonic() - start < 60
+
+
+_PIECES = ("[", "]", "Ведущему", "ведущему", "Чтецу", "Комментарий для ведущего", "\n", " ", "\t", "а", ":", ".")
+_STEMS = ("раздаточн", "РАЗДАТОЧН", "ый", " ", ".", "]", "утерян", "не сохран", "не", "предыдущ", "прошл", "вопрос", "\n", "-", "а" * 30, "_")
+
+
+def test_notes_and_reasons_equal_the_plain_patterns(spark):
+    """The linear forms against the rules written plainly, over random pieces."""
+    note = re.compile(r"\[\s*(?:Ведущему|ведущему|Чтецу|чтецу|Комментарий\s+для\s+ведущего)\b(?:[^\]]*\]|[^\n]*(?=\n))")
+    refers = re.compile(r"предыдущ\w*\s+вопрос|прошл\w*\s+вопрос")
+    lost = re.compile(r"раздаточн\w*[^.\]]{0,60}(?:утерян|утрачен|потерян|не сохран)", re.I)
+    random = Random(3)
+    texts = ["".join(random.choice(pieces) for _ in range(random.randint(0, 14))) for pieces in (_PIECES, _STEMS) for _ in range(3000)]
+    assert column(spark, text.host_notes, texts) == ["\n".join(note.findall(t)) for t in texts]
+    long = ["x" * 40 + "." + t for t in texts]
+    expected = ["refers_to_other_question" if refers.search(t) else "handout_lost" if lost.search(t) else None for t in long]
+    assert column(spark, lambda c: text.exclusion_reason(c, F.lit("a")), long) == expected
+    assert {"refers_to_other_question", "handout_lost", None} == set(expected)
