@@ -127,15 +127,16 @@ def features(documents: DataFrame) -> DataFrame:
 
 
 def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, n, shingles, paths (minwise tokens), b0.. (sketch) of the representatives in ``wanted`` (rep, doc, text_key)."""
+    """rep, n, shingles, paths (minwise tokens), b0.. (sketch) of the representatives in ``wanted`` (rep, doc, text_key).
+
+    Rows that repeat an id and text give a row for each task that they lie in; see ``unique_points``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
+        seen: set[int] = set()
         for batch in batches:
             reps = batch.column(0).to_pylist()
-            # rows of one id and text stand side by side: one of them is enough
-            first = [k for k, rep in enumerate(reps) if rep != (reps[k - 1] if k else before)]
-            before = reps[-1] if reps else before
+            first = [k for k, rep in enumerate(reps) if not (rep in seen or seen.add(rep))]
             reps = [reps[k] for k in first]
             for a, b, texts in sliced(batch.column(1).take(pa.array(first, pa.int64()))):
                 sets = list(shingle_sets(texts))
@@ -159,6 +160,13 @@ def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "rep long, n long, shingles array<long>, paths array<int>, " + ", ".join(f"{b} long" for b in _BITS))
 
 
+def unique_points(documents: DataFrame, wanted: DataFrame, stage: Scratch) -> DataFrame:
+    """``points``, a row for each representative, however many rows repeat it and wherever they lie."""
+    wanted = stage(wanted, "wanted")
+    found = stage(points(documents, wanted), "points")
+    return found if found.count() == wanted.count() else stage(found.dropDuplicates(["rep"]), "unique-points")
+
+
 def most_distance(percent: int, slack: float = SLACK) -> int:
     """Sketch bits in which a pair at the threshold may differ."""
     p = (1 - percent / 100) / 2
@@ -373,7 +381,7 @@ def judged_rows(documents: DataFrame, percent: int) -> DataFrame:
         several = tokens.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node")
         nodes = stage(tokens.join(several, "node"), "nodes")
         wanted = reps.select("rep", "doc", "text_key").join(nodes.select("rep").distinct(), "rep", "left_semi")
-        sketches = stage(points(documents, wanted), "points")
+        sketches = unique_points(documents, wanted, stage)
         joined = linked(nodes, sketches, percent, stage)
         known = reps.select("k1", "k2", "n", "doc", "rep").join(joined, "rep", "left").withColumn(
             "component", F.coalesce("component", "rep"),

@@ -257,7 +257,9 @@ def _view_columns(documents: DataFrame) -> list:
 def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Model | None:
     """The model learnt from ``labels`` (doc_id, 0 or 1 in column ``target``) and all documents without one.
 
-    Rows with null ids or labels don't count; a document with labels of both kinds equally often is not labelled.
+    Rows with null ids or labels don't count; a document with labels of both kinds equally often is not labelled. Of rows
+    that repeat a labelled doc_id one is learnt from, so at most MOST_LABELLED rows come to the driver. Only doc_id and the
+    columns that the views read are taken, by names of their own; further columns may be called anything.
     """
     votes = labels.filter(
         F.col("doc_id").isNotNull() & F.col(target).isin(0, 1)
@@ -268,9 +270,11 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Mod
         F.col("doc_id").alias("chosen_id"), "own_label",
         F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("own_order"),
     )
-    picked = documents.join(F.broadcast(chosen), documents["doc_id"] == chosen["chosen_id"]).select(
-        "chosen_id", "own_label", "own_order", *_view_columns(documents),
-    )
+    # one row of each chosen id, that of the least hash, however many rows repeat it
+    rows = documents.select(documents["doc_id"].alias("chosen_id"), *_view_columns(documents)).join(F.broadcast(chosen), "chosen_id")
+    views = [f"view_{c}" for c in _INPUT]
+    picked = rows.groupBy("chosen_id", "own_label", "own_order").agg(F.min_by(F.struct(*views), F.xxhash64(*views)).alias("views"))
+    picked = picked.select("chosen_id", "own_label", "own_order", "views.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,7 +316,7 @@ def _pool(documents: DataFrame, votes: DataFrame, edges: np.ndarray) -> Sums | N
                 )
 
     coded = staged(
-        documents.select("doc_id", *_view_columns(documents)).mapInArrow(
+        documents.select(documents["doc_id"], *_view_columns(documents)).mapInArrow(
             encode,
             T.StructType(
                 [T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("codes", T.BinaryType())]
@@ -389,7 +393,7 @@ _SCORES = ["text_score", "meta_score", "score"]
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text_score, meta_score, score, keep of each row. Repeated rows give a row each; an empty table none."""
     slim = documents.select("doc_id", *[c for c in _INPUT if c in documents.columns])
-    return with_scores(slim, fit(documents, labels)).select(F.col("c0").alias("doc_id"), *_SCORES, "keep")
+    return with_scores(slim, fit(slim, labels)).select(F.col("c0").alias("doc_id"), *_SCORES, "keep")
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:

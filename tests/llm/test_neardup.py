@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from corpusmill.llm import neardup
 from corpusmill.llm.queries import table
+from pyspark.sql import functions as F
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -125,3 +126,21 @@ def test_components(spark, monkeypatch, small):
     got = {r.rep: r.component for r in neardup.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100, 102: 100, 200: 200, 300: 200}
     assert neardup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_rows_over_many_partitions_make_one_point_and_one_link(spark):
+    """Two near copies, each repeated in every partition, beside their classes of one."""
+    words = [f"w{i}" for i in range(200)]
+    a, b = " ".join(words), " ".join([*words[:-3], "x", "y", "z"])
+    for parts in (8, 64):
+        docs = spark.createDataFrame([(k % 2, (a, b)[k % 2]) for k in range(20 * parts)] + [(7, "alone it stands")], "doc_id long, text string").repartition(parts)
+        wanted = spark.createDataFrame([(100, 0), (101, 1)], "rep long, doc long").join(docs.select("doc_id", neardup.text_key(docs).alias("text_key")).distinct(), F.col("doc") == F.col("doc_id")).select("rep", "doc", "text_key")
+        with neardup.Scratch("test") as stage:
+            found = neardup.unique_points(docs, wanted, stage)
+            assert sorted(r.rep for r in found.collect()) == [100, 101]
+            nodes = spark.createDataFrame([(n, r) for n in range(8) for r in (100, 101)], "node long, rep long")
+            members = nodes.withColumn("component", F.col("rep")).join(neardup._mixed(nodes.withColumn("component", F.col("rep"))), "node")
+            pairs = neardup._leaf_pairs(members, found, 85, 0.0)
+            assert [tuple(r) for r in pairs.collect()] == [(100, 101)]
+        got = {tuple(r) for r in neardup.near_duplicates(docs, 85).collect()}
+        assert got == {(0, 196, 0, True), (1, 196, 0, False), (7, 1, 7, True)}

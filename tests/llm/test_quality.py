@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 from corpusmill.llm import quality
 from corpusmill.llm.queries import table
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.1"
 
@@ -184,3 +185,24 @@ def test_scores_match_a_plain_version(spark):
     for i in range(len(rows)):
         assert np.allclose([got[i].text_score, got[i].meta_score, got[i].score], [*odds[i], scores[i]], atol=2e-3), i
         assert got[i].keep == (got[i].score >= quality.KEEP)
+
+
+def test_repeats_of_a_labelled_document_come_to_the_driver_once(spark, monkeypatch):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    first = labels.filter("quality is not null").orderBy("doc_id").first().doc_id
+    many = docs.unionByName(docs.filter(F.col("doc_id") == first).crossJoin(spark.range(3000)).drop("id"))
+    seen = []
+    learn = quality.cotrain
+    monkeypatch.setattr(quality, "cotrain", lambda text, *rest: seen.append(len(text)) or learn(text, *rest))
+    quality.fit(many, labels)
+    quality.fit(docs, labels)
+    assert seen[0] == seen[1] <= labels.count()
+
+
+def test_columns_of_clashing_names_pass_through(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    clash = ["own_label", "chosen_id", "own_order", "views", "view_text", "c0", "keep", "score", "vote", "codes", "quality"]
+    more = docs.select("*", *[F.lit(f"<{c}>").alias(c) for c in clash])
+    kept = quality.keep_good(more, labels)
+    assert kept.columns == more.columns
+    assert {tuple(r) for r in kept.select("doc_id", *clash).collect()} == {(r.doc_id, *[f"<{c}>" for c in clash]) for r in quality.keep_good(docs, labels).collect()}
