@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ENGLISH, TRANSLATIONS, USAGE
+from ..sources.answers import Calls
+from ..sources.site import Store
 from .funnel import pending
 
 #: Fields that a usable translation must have.
@@ -186,11 +188,13 @@ def sample_by_hash(rows: DataFrame, key: str, seed: str, n: int) -> DataFrame:
 RESULT = T.StructType([*TRANSLATIONS.fields, T.StructField("failure", T.StringType())])
 
 
-def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], concurrency: int = 1000, partitions: int | None = None, fail_fast: bool = False, max_revisions: int = MAX_REVISIONS) -> DataFrame:
+def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], concurrency: int = 1000, partitions: int | None = None, fail_fast: bool = False, max_revisions: int = MAX_REVISIONS, calls: str | None = None) -> DataFrame:
     """A translation row for each input, or the text of what went wrong in ``failure`` (such rows stay pending).
 
-    At most ``concurrency`` reviews of a partition are under way at once. Spark may run a task again; write the result
-    once before anything else reads it. With ``fail_fast`` the first failure ends the job.
+    At most ``concurrency`` reviews of a partition are under way at once, and each gives its row when it is done. Spark may
+    run a task again; write the result once before anything else reads it. With a folder ``calls`` every answer of the client
+    is written there before it is used: a review that is run again, in another task or another run, repeats at most the one
+    call it was waiting for. With ``fail_fast`` the first failure ends the job.
     """
 
     async def one(client: ReviewClient, gate: asyncio.Semaphore, source: Record) -> Record:
@@ -198,7 +202,7 @@ def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], conc
             row: Record = dict.fromkeys([*TRANSLATIONS.fieldNames(), "failure"])
             row |= {"question_id": source["question_id"], "content_hash": source["content_hash"]}
             try:
-                done = await review(client, source, max_revisions)
+                done = await review(Calls(client, Store(calls), source) if calls else client, source, max_revisions)
             except Exception as error:
                 if fail_fast:
                     raise
@@ -211,13 +215,15 @@ def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], conc
                 "completed_at": datetime.now(timezone.utc).replace(tzinfo=None),
             }
 
-    async def all_of(sources: list[Record]) -> list[Record]:
-        client, gate = make_client(), asyncio.Semaphore(max(1, concurrency))
-        return await asyncio.gather(*[one(client, gate, s) for s in sources])
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(asyncio.run(all_of(batch.to_dict("records"))), columns=[*TRANSLATIONS.fieldNames(), "failure"])
+        with asyncio.Runner() as runner:
+            for batch in batches:
+                client, gate = make_client(), asyncio.Semaphore(max(1, concurrency))
+                loop = runner.get_loop()
+                waiting = {loop.create_task(one(client, gate, source)) for source in batch.to_dict("records")}
+                while waiting:
+                    done, waiting = loop.run_until_complete(asyncio.wait(waiting, return_when=asyncio.FIRST_COMPLETED))
+                    yield pd.DataFrame([task.result() for task in done], columns=[*TRANSLATIONS.fieldNames(), "failure"])
 
     rows = inputs.repartition(partitions) if partitions else inputs
     return rows.mapInPandas(run, RESULT)

@@ -7,20 +7,22 @@ import functools
 import importlib
 import sys
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values
 from ..operators import funnel, merge, review
 from ..progress import Reporter, reporting
 from ..schemas import USAGE
+from ..sources import answers
+from ..sources.site import Store
 from ..sources.warehouse import Warehouse
 
 
-#: Records of which the answers are written together; parts of a batch; and where in the warehouse answers wait.
-BATCH, WORKERS, ANSWERS = 2_000, 8, "answers"
+#: Records that are reviewed together; parts of a batch; where in the warehouse answers wait, and single calls.
+BATCH, WORKERS, ANSWERS, CALLS = 2_000, 8, "answers", "calls"
 
 
 def save(house: Warehouse, results: DataFrame) -> None:
@@ -30,20 +32,24 @@ def save(house: Warehouse, results: DataFrame) -> None:
 
 
 def _answered(house: Warehouse) -> list[str]:
-    """Folders of answers that are not in the table of translations yet, oldest first."""
+    """Folders of answers that are not in the table of translations yet, oldest first; those of a job that failed too."""
     folder = house._hadoop(f"{house.path}/{ANSWERS}")
     found = [s.getPath() for s in house._fs.listStatus(folder)] if house._fs.exists(folder) else []
-    return [
-        f"{house.path}/{ANSWERS}/{p.getName()}" for p in sorted(found, key=lambda p: p.getName()) if house._fs.exists(
-            house._hadoop(f"{house.path}/{ANSWERS}/{p.getName()}/_SUCCESS")
-        )
-    ]
+    folders = [f"{house.path}/{ANSWERS}/{p.getName()}" for p in sorted(found, key=lambda p: p.getName())]
+    return [f for f in folders if answers.recorded(house.uri(f))]
 
 
 def _settle(house: Warehouse, folders: list[str]) -> None:
-    """Take written answers into the table, in one step, then delete their folders."""
+    """Take written answers into the table, in one step, then delete their folders and what was remembered of their reviews."""
     if folders:
-        save(house, house.spark.read.schema(review.RESULT).parquet(*folders))
+        rows = house.spark.read.schema(review.RESULT).parquet(*folders)
+        save(house, rows)
+        done, calls = rows.filter("failure is null").select(*answers.KEY), house.uri(f"{house.path}/{CALLS}")
+
+        def forget(keys: Iterator[Row]) -> None:
+            Store(calls).drop(*[f"{ident}-{content}.json" for ident, content in keys])
+
+        done.foreachPartition(forget)
         for folder in folders:
             house.drop(folder)
 
@@ -51,10 +57,11 @@ def _settle(house: Warehouse, folders: list[str]) -> None:
 def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit: int | None = None, refresh: bool = False, concurrency: int = 1000, partitions: int | None = None, seed: int | None = None, fail_fast: bool = False, told: Reporter | None = None, max_revisions: int = review.MAX_REVISIONS) -> dict[str, int]:
     """Review up to ``limit`` records; selected, completed, errors and the usage of the completed.
 
-    Records are drawn once, then reviewed BATCH at a time, and the answers of each batch are written before
-    anything reads them: a lost task repeats the calls of its part of a batch, a run that breaks off those
-    of one batch, and the next run takes what it finds written. ``told`` hears of each batch.
+    Records are drawn once, then reviewed BATCH at a time. Each answer of the client is written before it is used, and
+    each review's result is a record of its own: a lost task, and the run after one that broke off, repeat at most one call
+    of each review that was under way, and take what they find written. ``told`` hears of each batch.
     """
+    house.spark.dataSource.register(answers.ReviewAnswers)
     _settle(house, _answered(house))
     inputs = review.pending_inputs(
         house.read("questions_canonical"), house.read("translations"), house.read("packages"), limit, refresh, seed,
@@ -68,8 +75,9 @@ def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit:
     for k in range(batches if total else 0):
         part = inputs.filter(F.pmod(F.xxhash64("question_id"), F.lit(batches)) == k)
         folder = f"{house.path}/{ANSWERS}/{begun:020d}-{k:08d}"
-        review.run_reviews(part, make_client, concurrency, partitions or WORKERS, fail_fast, max_revisions).write.parquet(folder)
-        mine.append(folder)
+        done = review.run_reviews(part, make_client, concurrency, partitions or WORKERS, fail_fast, max_revisions, house.uri(f"{house.path}/{CALLS}"))
+        done.write.format(answers.NAME).mode("append").save(house.uri(folder))
+        mine += [folder] if answers.recorded(house.uri(folder)) else []
         if told:
             told(min(total, (k + 1) * BATCH), total, "reviewed")
     results = house.spark.read.schema(review.RESULT).parquet(*mine) if mine else house.spark.createDataFrame([], review.RESULT)

@@ -79,6 +79,11 @@ class Warehouse:
         """Write the changed tables and make them current together."""
         self.point({name: self.write(name, df) for name, df in changed.items()})
 
+    def uri(self, path: str) -> str:
+        """A path of the warehouse with its store, as others than Spark need it."""
+        scheme, rest = self._fs.makeQualified(self._hadoop(path)).toString().split(":", 1)
+        return f"{scheme}:{rest if rest.startswith('//') else '//' + rest}"
+
     def work(self) -> str:
         """A fresh folder for intermediate tables of a build."""
         return f"{self.path}/work/{uuid.uuid4().hex}"
