@@ -75,12 +75,16 @@ def merge_printings(rows: DataFrame, native: bool = False) -> DataFrame:
         F.flatten(F.transform("plays", lambda x: x["c"])).alias("correct_answers"),
         "printings",
     )
+    return with_statistics(merged).select(*rows.columns, "printings", "playings", "total_teams", "solve_rate")
+
+
+def with_statistics(merged: DataFrame) -> DataFrame:
+    """Records with what follows from their pooled plays and merged texts: playings, total_teams, solve_rate, content_hash."""
     merged = merged.withColumn("playings", F.size("solve_percentages")).withColumn(
         "total_teams", values.total_teams(F.col("solve_percentages"), F.col("correct_answers")),
     )
     merged = merged.withColumn("solve_rate", values.solve_rate(F.col("correct_answers"), F.col("total_teams")))
-    merged = merged.withColumn("content_hash", text.content_hash(*map(F.col, text.CONTENT_FIELDS)))
-    return merged.select(*rows.columns, "printings", "playings", "total_teams", "solve_rate")
+    return merged.withColumn("content_hash", text.content_hash(*map(F.col, text.CONTENT_FIELDS)))
 
 
 def printing_map(rows: DataFrame, native: bool = False, key: str = "id", column: str = "question") -> DataFrame:

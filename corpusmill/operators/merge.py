@@ -17,16 +17,19 @@ FAILURE = ("status", "fetched_at", "error")
 ERROR_LENGTH = 500
 
 
+def last_rows(batch: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
+    """Of several rows of a key the greatest by ``order`` (then nothing else), by an aggregation, which combines before the shuffle."""
+    return batch.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("row")).select("row.*")
+
+
 def upsert(stored: DataFrame, batch: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """Rows of the batch replace stored rows of the same key; nothing is deleted.
 
-    Of several batch rows of a key the greatest by ``order`` (then nothing else) counts. The batch is reduced by
-    an aggregation, which combines before the shuffle; stored rows meet it in an anti join.
+    Of several batch rows of a key the last one counts (``last_rows``); stored rows meet the batch in an anti join.
     """
     columns = stored.columns
     if order:
-        rank = F.struct(*order)
-        batch = batch.groupBy(key).agg(F.max_by(F.struct(*columns), rank).alias("row")).select("row.*")
+        batch = last_rows(batch, key, order, columns)
     batch = batch.select(*columns)
     return stored.join(batch.select(key), key, "left_anti").unionByName(batch)
 

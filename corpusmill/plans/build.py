@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
@@ -12,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import curate, funnel, merge
+from ..operators import curate, delta, funnel, merge
 from ..progress import Reporter, reporting
+from ..schemas import CHANGES, QUESTIONS
 from ..sources import fetch, pages
 from ..sources.warehouse import Warehouse
+from ..staging import Scratch
 
 
 #: Pages that are fetched before they are stored.
@@ -25,13 +26,14 @@ BATCH = 10_000
 def store_pages(house: Warehouse, fetched: DataFrame, refresh: bool = False, patterns: text.Patterns = text.DEFAULT) -> DataFrame:
     """Apply fetched pages (id, position, html, error) to packages and questions; returns outcome counts.
 
-    Unchanged pages are told by their hash before anything is parsed.
+    Unchanged pages are told by their hash before anything is parsed. Packages are looked up and written, and questions
+    written, by the buckets that the pages touch; which questions were stored is noted for ``catch_up``.
     """
     spark = house.spark
-    work = f"{house.path}/work/{uuid.uuid4().hex}"
+    work = house.work()
     fetched.write.parquet(f"{work}/fetched")  # a fetch is never repeated by a later plan
     rows = spark.read.schema(fetched.schema).parquet(f"{work}/fetched")
-    packages, questions = house.read("packages"), house.read("questions")
+    packages = house.lookup("packages", rows.select("id"))
     known = packages.select("id", F.col("status").alias("old_status"), F.col("page_hash").alias("old_hash"))
     hashed = rows.join(known, "id", "left").withColumn("new_hash", text.page_hash(F.col("html")))
     same = F.lit(False) if refresh else F.coalesce(F.col("new_hash") == F.col("old_hash"), F.lit(False))
@@ -79,13 +81,19 @@ def store_pages(house: Warehouse, fetched: DataFrame, refresh: bool = False, pat
         ),
         patterns,
     )
-    house.swap(
+    merge.last_rows(taken, "id", ["target", "position"], QUESTIONS.fieldNames()).write.parquet(f"{work}/questions")
+    taken = spark.read.schema(QUESTIONS).parquet(f"{work}/questions")
+    house.point(
         {
-            "packages": merge.merge_packages(packages, batch),
-            "questions": merge.upsert(questions, taken, "id", ["target", "position"]),
+            "packages": house.upsert("packages", merge.merge_packages(packages, batch).dropDuplicates(["id"])),
+            "questions": house.upsert("questions", taken),
+            "question_changes": house.upsert("question_changes", taken.select(F.col("id").alias("question_id"))),
         }
     )
-    return merge.outcome_counts(every.select("outcome", F.coalesce(F.size("questions"), F.lit(0)).alias("questions")))
+    counts = merge.outcome_counts(every.select("outcome", F.coalesce(F.size("questions"), F.lit(0)).alias("questions")))
+    done = spark.createDataFrame(counts.collect(), counts.schema)  # a row for each kind of outcome
+    house.drop(work)
+    return done
 
 
 def rebuild(house: Warehouse, patterns: text.Patterns = text.DEFAULT) -> DataFrame:
@@ -98,6 +106,8 @@ def rebuild(house: Warehouse, patterns: text.Patterns = text.DEFAULT) -> DataFra
     kept = curate.clean(questions, house.at("question_exclusions", folders["question_exclusions"]))
     folders["questions_canonical"] = house.write("questions_canonical", curate.merge_printings(kept))
     folders["question_printings"] = house.write("question_printings", curate.printing_map(kept))
+    folders["question_groups"] = house.write("question_groups", delta.groups(curate.with_key(kept)))
+    folders["question_changes"] = house.write("question_changes", house.spark.createDataFrame([], CHANGES))
     fresh, gone = merge.prune(stored, house.at("questions_canonical", folders["questions_canonical"]))
     dropped = gone.count()
     if dropped:
@@ -106,10 +116,41 @@ def rebuild(house: Warehouse, patterns: text.Patterns = text.DEFAULT) -> DataFra
     return curate.summary(house.read("question_printings")).withColumn("dropped", F.lit(dropped).cast("long"))
 
 
-def build(house: Warehouse, make_fetcher: Callable[[], fetch.Fetcher], pack_ids: list[int] | None = None, limit: int | None = None, refresh: bool = False, workers: int = 8, today: date | None = None, patterns: text.Patterns = text.DEFAULT, told: Reporter | None = None) -> dict[str, int]:
-    """One incremental run; outcome counts by name, with ``skipped`` and ``questions``, and merged, reprints and dropped of the rebuild.
+def catch_up(house: Warehouse, patterns: text.Patterns = text.DEFAULT) -> DataFrame:
+    """The later stages brought up to date with the questions that were stored since; the same as ``rebuild``, which see.
 
-    Pages are fetched and stored ``BATCH`` at a time; ``told`` hears of each such step.
+    Only groups that a stored question was in or comes to are looked at, and only buckets with their rows are written.
+    Without groups to go on from, as in a new warehouse, everything is built. ``patterns`` must be those of the last build.
+    """
+    changed = house.read("question_changes")
+    if house.read("question_groups").isEmpty():
+        return rebuild(house, patterns)
+    dropped = 0
+    if not changed.isEmpty():
+        with Scratch("delta") as stage:
+            done = delta.change(changed, house.lookup, house.read("question_printings"), stage, patterns)
+            folders = {
+                "question_exclusions": house.upsert("question_exclusions", done.exclusions, done.changed),
+                "questions_canonical": house.upsert("questions_canonical", done.canonical, done.records_gone),
+                "question_printings": house.upsert("question_printings", done.printings, done.changed),
+                "question_groups": house.upsert("question_groups", done.groups, done.groups_gone),
+                "question_changes": house.write("question_changes", house.spark.createDataFrame([], CHANGES)),
+            }
+            touched = done.canonical.select("id").union(done.records_gone).distinct()
+            stored = house.lookup("translations", touched)
+            _, gone = merge.prune(stored, done.canonical)
+            gone = stage(gone, "gone")
+            dropped = gone.count()
+            if dropped:
+                folders["translations"] = house.upsert("translations", stored.limit(0), gone.select("question_id"))
+            house.point(folders)
+    return delta.summary(house.read("question_groups")).withColumn("dropped", F.lit(dropped).cast("long"))
+
+
+def build(house: Warehouse, make_fetcher: Callable[[], fetch.Fetcher], pack_ids: list[int] | None = None, limit: int | None = None, refresh: bool = False, workers: int = 8, today: date | None = None, patterns: text.Patterns = text.DEFAULT, told: Reporter | None = None, whole: bool = False) -> dict[str, int]:
+    """One incremental run; outcome counts by name, with ``skipped`` and ``questions``, and merged, reprints and dropped of the later stages.
+
+    These are brought up to date with what was stored, or built as a ``whole``, as is due after a change of patterns. Pages are fetched and stored ``BATCH`` at a time; ``told`` hears of each such step.
     """
     spark = house.spark
     done = merge.settled(house.read("packages"), F.lit(today or datetime.now(timezone.utc).date())).select("id")
@@ -128,7 +169,7 @@ def build(house: Warehouse, make_fetcher: Callable[[], fetch.Fetcher], pack_ids:
             counts["questions"] += row.n_questions
         if told:
             told(min(n, done + BATCH), n, "pages stored")
-    summary = rebuild(house, patterns).first()
+    summary = (rebuild if whole else catch_up)(house, patterns).first()
     return counts | {c: summary[c] for c in ("merged", "reprints", "dropped")}
 
 
@@ -154,6 +195,7 @@ def main(args: list[str] | None = None, make_fetcher: Callable[[], fetch.Fetcher
     parser.add_argument("warehouse")
     parser.add_argument("--pages", type=int)
     parser.add_argument("--refresh", action="store_true")
+    parser.add_argument("--rebuild", action="store_true", help="build the later stages as a whole")
     parser.add_argument("--workers", type=int, default=8)
     parser.add_argument("--delay", type=float, default=0.0)
     chosen = parser.parse_args(args)
@@ -165,7 +207,7 @@ def main(args: list[str] | None = None, make_fetcher: Callable[[], fetch.Fetcher
             house = Warehouse(spark, chosen.warehouse)
             counts = build(
                 house, make_fetcher or (lambda: fetch.HttpClient(delay=pause)), limit=chosen.pages,
-                refresh=chosen.refresh, workers=chosen.workers, told=told,
+                refresh=chosen.refresh, workers=chosen.workers, told=told, whole=chosen.rebuild,
             )
     except fetch.IndexUnavailable as error:
         print(error, file=sys.stderr)

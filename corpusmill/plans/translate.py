@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import values
 from ..operators import funnel, merge, review
 from ..progress import Reporter, reporting
-from ..schemas import USAGE
+from ..schemas import TRANSLATIONS, USAGE
 from ..sources import answers
 from ..sources.site import Store
 from ..sources.warehouse import Warehouse
@@ -26,9 +26,9 @@ BATCH, WORKERS, ANSWERS, CALLS = 2_000, 8, "answers", "calls"
 
 
 def save(house: Warehouse, results: DataFrame) -> None:
-    """Upsert the completed rows of a run; failures stay pending."""
-    done = results.filter("failure is null").drop("failure")
-    house.swap({"translations": merge.upsert(house.read("translations"), done, "question_id", ["completed_at"])})
+    """Upsert the completed rows of a run, of each record the last one; failures stay pending."""
+    done = merge.last_rows(results.filter("failure is null"), "question_id", ["completed_at"], TRANSLATIONS.fieldNames())
+    house.point({"translations": house.upsert("translations", done)})
 
 
 def _answered(house: Warehouse) -> list[str]:

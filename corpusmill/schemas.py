@@ -23,6 +23,7 @@ def _struct(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
 
 
+# The names of the relations' columns, and the values of their status columns.
 ENGLISH = ("question_en", "answer_en", "explanation_en", "acceptance_criteria_en", "handout_text_en")
 USAGE = ("api_requests", "input_tokens", "cached_input_tokens", "cache_write_input_tokens", "output_tokens", "reasoning_output_tokens")
 
@@ -33,9 +34,16 @@ CANONICAL = T.StructType([*QUESTIONS.fields, *_struct("printings bigint, playing
 PRINTINGS = _struct("question_id bigint, canonical_id bigint")
 TRANSLATIONS = _struct(f"question_id bigint, content_hash, status, {', '.join(ENGLISH)}, changes_description, untranslatable_reason, editor_status, translation_attempts bigint, critic_attempts bigint, editor_attempts bigint, {', '.join(f'{u} bigint' for u in USAGE)}, completed_at timestamp")
 
-TABLES = {"packages": PACKAGES, "questions": QUESTIONS, "question_exclusions": EXCLUSIONS, "questions_canonical": CANONICAL, "question_printings": PRINTINGS, "translations": TRANSLATIONS}
+#: Groups of reprints: the key as a number, its canonical record, the greatest id and the number of its printings.
+GROUPS = _struct("group_key bigint, canonical_id bigint, last_id bigint, printings bigint")
+#: Questions that were stored since the later stages were last brought up to date.
+CHANGES = _struct("question_id bigint")
+
+TABLES = {"packages": PACKAGES, "questions": QUESTIONS, "question_exclusions": EXCLUSIONS, "questions_canonical": CANONICAL, "question_printings": PRINTINGS, "translations": TRANSLATIONS, "question_groups": GROUPS, "question_changes": CHANGES}
+KEYS = {"packages": "id", "questions": "id", "question_exclusions": "question_id", "questions_canonical": "id", "question_printings": "question_id", "translations": "question_id", "question_groups": "group_key", "question_changes": "question_id"}
 
 STATUSES = ("translated", "adapted", "untranslatable")
 EDITOR_STATUSES = ("unchanged", "edited", "needs_rework", "skipped")
 USABLE = ("translated", "adapted")
 SETTLED = ("ok", "empty")
+# End of the fixed values.

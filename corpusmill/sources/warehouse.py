@@ -1,5 +1,7 @@
 """A folder of versioned Parquet tables with a pointer that names the current version.
 
+A table is a folder that is written as a whole, or a manifest of buckets once rows are upserted into it; see ``buckets``.
+
 A build writes every changed table into a new version and then moves the pointer in one step, so a
 reader sees either all of it or nothing, and no plan overwrites the files that it reads. Paths may be in
 any store that Spark reaches; the pointer is moved by a rename there.
@@ -12,13 +14,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import TABLES, USABLE
+from ..schemas import KEYS, TABLES, USABLE
+from .buckets import BucketTable
 
 
 class MissingWarehouse(FileNotFoundError):
     """A warehouse opened for reading does not exist."""
 
 
+#: How the name of a manifest ends, which tells it from a folder.
+_MANIFEST = ".manifest.json"
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, path: str, read_only: bool = False):
         self.spark, self.path, self.read_only = spark, path.rstrip("/"), read_only
@@ -27,7 +34,9 @@ class Warehouse:
         if not self._fs.exists(self._hadoop(f"{self.path}/CURRENT")):
             if read_only:
                 raise MissingWarehouse(path)
-            self.swap({name: spark.createDataFrame([], schema) for name, schema in TABLES.items()})
+            self.point({})
+        if not read_only and (missing := [name for name in TABLES if name not in self.current()]):
+            self.swap({name: spark.createDataFrame([], TABLES[name]) for name in missing})
 
     def _hadoop(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,7 +53,8 @@ class Warehouse:
         return json.loads(self._read_text(f"{self.path}/CURRENT"))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{self.current()[name]}")
+        folder = self.current().get(name)  # none in a warehouse of before the table
+        return self.at(name, folder) if folder else self.spark.createDataFrame([], TABLES[name])
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
@@ -58,8 +68,45 @@ class Warehouse:
         return folder
 
     def at(self, name: str, folder: str) -> DataFrame:
+        """A version of a table."""
+        if folder.endswith(_MANIFEST):
+            return self._buckets(name, folder).read()
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{folder}")
 
+    def _buckets(self, name: str, manifest: str) -> BucketTable:
+        return BucketTable.load(self.spark, self.uri(f"{self.path}/{name}"), TABLES[name], KEYS[name], self._read_text(f"{self.path}/{manifest}"))
+
+    def bucketed(self, name: str) -> BucketTable:
+        """The current version of a table in buckets; one that is a plain folder yet is copied into buckets."""
+        current = self.current()[name]
+        if current.endswith(_MANIFEST):
+            return self._buckets(name, current)
+        empty = BucketTable(self.spark, self.uri(f"{self.path}/{name}"), TABLES[name], KEYS[name], [])
+        return empty if self.read_only else empty.upsert(self.read(name))
+
+    def lookup(self, name: str, keys: DataFrame) -> DataFrame:
+        """The rows of a table with one of the keys (a column), of a table in buckets without reading the others."""
+        current = self.current()[name]
+        if current.endswith(_MANIFEST):
+            return self._buckets(name, current).lookup(keys)
+        return self.read(name).join(keys.toDF(KEYS[name]).distinct(), KEYS[name], "left_semi")
+
+    def upsert(self, name: str, batch: DataFrame, gone: DataFrame | None = None) -> str:
+        """Write a version in which ``batch``, one row for each key, replaces or joins what is stored, and the keys in ``gone`` leave.
+
+        No reader sees it before ``point``. Only buckets with one of the keys are written, and small ones.
+        """
+        if self.read_only:
+            raise PermissionError("opened for reading")
+        manifest = f"{name}/{uuid.uuid4().hex}{_MANIFEST}"
+        self._write_text(f"{self.path}/{manifest}", self.bucketed(name).upsert(batch, gone).manifest())
+        return manifest
+
+    def _write_text(self, path: str, content: str) -> None:
+        stream = self._fs.create(self._hadoop(path), True)
+        stream.write(content.encode())
+        stream.close()
+
     def point(self, folders: dict[str, str]) -> None:
         """Make written folders current together."""
         if self.read_only:
@@ -67,9 +114,7 @@ class Warehouse:
         pointer = self._hadoop(f"{self.path}/CURRENT")
         now = (self.current() if self._fs.exists(pointer) else {}) | folders
         fresh = self._hadoop(f"{self.path}/CURRENT.{uuid.uuid4().hex}")
-        stream = self._fs.create(fresh, True)
-        stream.write(json.dumps(now).encode())
-        stream.close()
+        self._write_text(fresh.toString(), json.dumps(now))
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
         options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
@@ -98,6 +143,9 @@ class Warehouse:
         Not for while another job reads or builds.
         """
         kept, gone = set(self.current().values()), 0
+        for name, folder in self.current().items():
+            if folder.endswith(_MANIFEST):
+                kept |= {f"{name}/{b.file.split('/')[0]}" for b in self._buckets(name, folder).buckets}
         for name in [*TABLES, "work"]:
             folder = self._hadoop(f"{self.path}/{name}")
             for status in self._fs.listStatus(folder) if self._fs.exists(folder) else ():

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text
 from ..operators import merge
-from ..plans.build import rebuild, store_pages
+from ..plans.build import catch_up, store_pages
 from ..sources import site
 from ..sources.warehouse import Warehouse
 
@@ -24,7 +24,7 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Store pages (id, position, html, error) as they come; stops when the input is used up.
 
-    The later stages are rebuilt after each batch, or, without ``rebuild_each``, left to the caller, who rebuilds once
+    The later stages are brought up to date after each batch, or, without ``rebuild_each``, left to the caller, who catches up once
     when the query has ended. A batch that is run again after a failure finds its pages unchanged by their hash, so
     applying it twice changes nothing.
     """
@@ -33,13 +33,13 @@ def ingest_stream(
         if not batch.isEmpty():
             store_pages(house, batch, refresh, patterns)
             if rebuild_each:
-                rebuild(house, patterns)
+                catch_up(house, patterns)
 
     return pages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def crawl(house: Warehouse, state: str, options: dict[str, str], today: date | None = None, patterns: text.Patterns = text.DEFAULT) -> dict[str, int]:
-    """Walk the site's index to its end as a stream, store what is not settled, rebuild once; outcome counts by name.
+    """Walk the site's index to its end as a stream, store what is not settled, catch up once; outcome counts by name.
 
     ``options`` are those of the ``package_site`` source; ``state`` is the folder of the crawl, where a crawl that broke off
     goes on: index pages that it had planned are not walked again, pages that it had fetched are not fetched again, and
@@ -63,5 +63,5 @@ def crawl(house: Warehouse, state: str, options: dict[str, str], today: date | N
     finally:
         query.stop()
     house.drop(settled)
-    rebuild(house, patterns)
+    catch_up(house, patterns)
     return counts
