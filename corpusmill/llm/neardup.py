@@ -162,9 +162,8 @@ def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def unique_points(documents: DataFrame, wanted: DataFrame, stage: Scratch) -> DataFrame:
     """``points``, a row for each representative, however many rows repeat it and wherever they lie."""
-    wanted = stage(wanted, "wanted")
     found = stage(points(documents, wanted), "points")
-    return found if found.count() == wanted.count() else stage(found.dropDuplicates(["rep"]), "unique-points")
+    return found if found.count() == wanted.select("rep").count() else stage(found.dropDuplicates(["rep"]), "unique-points")
 
 
 def most_distance(percent: int, slack: float = SLACK) -> int:
