@@ -4,31 +4,33 @@ N-grams are rows: each document is exploded into its distinct n-grams (context,
 of occurrences), all by 64-bit hashes. Counts are tables over the same keys, partitioned by hash; rows are
 joined to them, and the logarithms are summed for each document.
 
-``score`` takes one of two ways with equal results. If the scored documents are the corpus and every
-n-gram counts (``least`` 1), no word ever backs off but at the start of a document, where the shorter
-n-grams' scores telescope. Then rows and counts have the same key, and one exchange by context serves
-both: a partition counts its n-grams and joins the counts to its rows. Hash values are taken in PASSES
-passes, so that the rows of one pass only are on disk at a time. Contexts whose hash slot holds much
+Count tables hold the n-grams that the corpus has at least ``least`` times, partitioned by their hash. Rows are joined to the
+table of the longest n-grams; those that it lacks go on to the next shorter ones, and back off by ``alpha`` each time, at
+last to the table of single words. Tables and rows are made in PASSES passes, so that one part of them only is on disk.
+
+If the scored documents are the corpus and every n-gram counts (``least`` 1), no word ever backs off but at the start of a
+document, where the shorter n-grams' scores telescope. Then rows and counts have the same key, and one exchange by context
+serves both: a partition counts its n-grams and joins the counts to its rows. Contexts whose hash slot holds much
 more than its share of rows are taken apart and joined to their count tables by shuffled joins, whose skewed
-keys Spark splits. Otherwise (``backing_off``) there is a count table for each order, and rows whose
-n-gram is unseen go on to the next shorter one.
+keys Spark splits.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import SPACED, Scratch, Words, mix, settings, sliced, text_of
 
 #: Longest n-gram, backoff factor, and count from which on an n-gram of two or more words is in the table.
-ORDER, ALPHA, LEAST = 3, 0.4, 1
+ORDER, ALPHA, LEAST = 3, 0.4, 2
 #: Passes over the hash values, and rows in a partition of one, about.
 PASSES, PART_ROWS = 3, 1 << 21
 #: Bits of the hash slots of contexts in which rows are counted first, at least: there are so many that HOT average
@@ -222,73 +224,114 @@ def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage
     )
 
 
-def _positions(texts: DataFrame, order: int) -> DataFrame:
-    """doc, place, grams, contexts, occ: for each word position of a document, as many times as they recur, the hashes of the n-grams that end there, longest first, and of their contexts."""
+def _counted(texts: DataFrame, order: int, k: int, passes: int) -> DataFrame:
+    """n, gram, ctx, own: the n-grams of all lengths up to ``order`` in the texts (row, text), counted within a slice of a batch, with the hash of all words but the last; those of pass ``k``."""
+
+    def rows(words: Words, _: np.ndarray) -> Iterator[list]:
+        short = np.zeros(len(words.hashes), np.uint64)
+        for n in range(1, order + 1):
+            gram = _hashes(words, n)
+            at = np.flatnonzero((gram > 0) & (gram >> np.uint64(40)) % np.uint64(passes) == k) if passes > 1 else np.flatnonzero(gram)
+            found, first, own = np.unique(gram[at], return_index=True, return_counts=True)
+            yield [pa.array(np.full(len(found), n), pa.int32()), _signed(found), _signed(short[at][first]), pa.array(own, pa.int64())]
+            short = gram
+
+    return _mapped(texts, "n int, gram long, ctx long, own long", rows)
+
+
+def count_tables(corpus: DataFrame, order: int, least: int, passes: int, stage: Scratch) -> tuple[list[DataFrame], int]:
+    """For each length n a table gram, own, value: the n-grams counted ``least`` times or twice (words: all), with the logarithm of their count over that of their context; and the number of words.
+
+    Counts are summed by the hash of the n-gram, in passes over the hash values; a context has at least the count of
+    what follows it, so it is in its own table, to which the longer one is joined.
+    """
+    every = []
+    for k in range(passes):
+        sums = _counted(corpus, order, k, passes).groupBy("n", "gram", "ctx").agg(F.sum("own").alias("own"))
+        every.append(stage(sums.filter((F.col("n") == 1) | (F.col("own") >= min(least, 2))), f"counts{k}"))
+    counts = reduce(DataFrame.unionByName, every)
+    words = counts.filter("n = 1").agg(F.coalesce(F.sum("own"), F.lit(0)).alias("words")).first().words
+    one = counts.filter("n = 1").select("gram", "own", (F.log("own") - math.log(max(1, words))).alias("value"))
+    tables = [stage(one, "table1")]
+    for n in range(2, order + 1):
+        base = counts.filter(F.col("n") == n - 1).select(F.col("gram").alias("ctx"), F.col("own").alias("base"))
+        joined = counts.filter(F.col("n") == n).join(base, "ctx")
+        tables.append(stage(joined.select("gram", "own", (F.log("own") - F.log("base")).alias("value")), f"table{n}"))
+    return tables, words
+
+
+def _endings(texts: DataFrame, order: int) -> DataFrame:
+    """doc, reach, g1, g2, .., occ: the n-grams that end at a word, for each different one of ``reach`` words (the longest that the text has room for) and its number in the document."""
+    names = [f"g{n}" for n in range(1, order + 1)]
 
     def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
         count = len(words.hashes)
         text = np.repeat(np.arange(len(keys)), np.diff(words.first))
         place = np.arange(count) - words.first[:-1][text]
-        grams = np.zeros((count, order), np.uint64)
-        contexts = np.zeros((count, order), np.uint64)
+        grams = np.zeros((order, count), np.uint64)
         for n in range(1, order + 1):
-            own, short = _hashes(words, n), _hashes(words, n - 1) if n > 1 else None
             at = np.flatnonzero(place >= n - 1)
-            grams[at, n - 1] = own[at - n + 1]
-            if n > 1:
-                contexts[at, n - 1] = short[at - n + 1]
+            grams[n - 1, at] = _hashes(words, n)[at - n + 1]
+            at = np.flatnonzero(place < n - 1)  # no n-gram's hash, and a different one for each: a join must not meet them all at one key
+            grams[n - 1, at] = mix(np.uint64(n) + (keys[text[at]] * order + place[at]).astype(np.uint64)) & ~np.uint64(2)
         reach = np.minimum(place + 1, order)
-        long = [
-            pa.FixedSizeListArray.from_arrays(
-                _signed(np.ascontiguousarray(x).ravel()), order,
-            ).cast(pa.list_(pa.int64())) for x in (grams, contexts)
-        ]
-        yield [pa.array(keys[text], pa.int64()), pa.array(reach, pa.int64()), *long]
+        longest = grams[reach - 1, np.arange(count)] if count else np.zeros(0, np.uint64)
+        by = np.lexsort((longest, text))
+        fresh = np.ones(count, bool)
+        fresh[1:] = (longest[by][1:] != longest[by][:-1]) | (text[by][1:] != text[by][:-1])
+        at = np.flatnonzero(fresh)
+        own = by[at]
+        yield [pa.array(keys[text[own]], pa.int64()), pa.array(reach[own], pa.int32()), *(_signed(g[own]) for g in grams), pa.array(np.diff(at, append=count), pa.int64())]
+
+    return _mapped(texts, "doc long, reach int, " + ", ".join(f"{g} long" for g in names) + ", occ long", rows)
+
+
+def _split(batches: Iterator[pa.RecordBatch], alpha: float, least: int, order: int, n: int) -> Iterator[pa.RecordBatch]:
+    """Splits joined rows (doc, reach, g1 .., gn, occ, own, value): those that back off go on without gn, and the others as sums of a batch by document (reach 0)."""
+    for batch in batches:
+        doc, reach, *grams, occ, own, value = (c.fill_null(0).to_numpy() for c in batch.columns)
+        seen = own >= least if n > 1 else np.ones(len(doc), bool)  # a word that the corpus lacks has the value of a single one
+        docs, place = np.unique(doc, return_inverse=True)
+        scores = np.where(seen, occ * (value + (reach - n) * math.log(alpha)), 0.0)
+        counted, shared = (np.bincount(place, w, len(docs)).astype(np.int64) for w in (occ * seen, occ * ((own > 1) & (n == order))))
+        left = ~seen
+        none, size = np.zeros(len(docs), np.int64), int(left.sum())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([doc[left], docs])), pa.array(np.concatenate([reach[left], none]), pa.int32()),
+                *(pa.array(np.concatenate([g[left], none])) for g in grams[:-1]), pa.array(np.concatenate([occ[left], counted])),
+                pa.array(np.concatenate([np.zeros(size), np.bincount(place, scores, len(docs))])),
+                pa.array(np.concatenate([np.zeros(size, np.int64), shared])),
+            ],
+            ["doc", "reach", *[f"g{k}" for k in range(1, n)], "occ", "part", "shared"],
+        )
 
-    return _mapped(texts, "doc long, reach long, grams array<long>, contexts array<long>", rows)
 
+def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float, least: int, passes: int, stage: Scratch) -> DataFrame:
+    """row, n_words, n_backoff, n_shared, log_score: exploded n-grams joined to the count table of their length, those without a count to the next shorter ones, and so on.
 
-def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float, least: int, stage: Scratch) -> DataFrame:
-    """row, n_words, n_backoff, n_shared, log_score by a count table for each order, joined one after the other to the rows that are still open."""
-    counts = [stage(exploded(corpus, n).groupBy("gram").agg(F.sum("occ").alias("own")), f"counts{n}") for n in range(1, order + 1)]
-    words = counts[0].agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
-    unique = _positions(texts, order).groupBy("doc", "reach", "grams", "contexts").agg(F.count("*").alias("occ"))
-    open_ = stage(unique.withColumn("steps", F.lit(0)), "positions")
+    Documents are taken in passes, so that the rows of one part of them only are on disk at a time.
+    """
+    tables, words = count_tables(corpus, order, least, passes, stage)
+    alone = -math.log(max(1, words))  # of a word that the corpus lacks
     done = []
-    for n in range(order, 0, -1):
-        here = open_.filter(F.col("reach") >= n).withColumn("gram", F.element_at("grams", n)).withColumn("ctx", F.element_at("contexts", n))
-        joined = here.join(counts[n - 1], "gram", "left")
-        if n > 1:
-            joined = joined.join(counts[n - 2].select(F.col("gram").alias("ctx"), F.col("own").alias("base")), "ctx", "left")
-            seen = F.coalesce(F.col("own") >= least, F.lit(False))
-        else:  # a word that the corpus lacks counts as one
-            joined = joined.withColumn("own", F.coalesce("own", F.lit(1))).withColumn("base", F.lit(max(1, words)))
-            seen = F.lit(True)
-        joined = stage(joined.withColumn("seen", seen), f"order{n}")
-        value: Column = F.col("occ") * (F.log("own") - F.log("base") + F.col("steps") * math.log(alpha))
-        single = F.lit(0) if n > 1 else F.col("occ")
-        done.append(
-            joined.filter("seen").select(
-                "doc", value.alias("part"), F.col("occ").alias("n_words"), single.cast("long").alias("n_backoff"),
-                F.lit(0).cast("long").alias("n_shared"),
-            )
-        )
-        if n == order:
-            none = F.lit(0).cast("long")
-            done.append(
-                joined.filter("own > 1").select(
-                    "doc", F.lit(0.0).alias("part"), none.alias("n_words"), none.alias("n_backoff"),
-                    F.col("occ").alias("n_shared"),
-                )
-            )
-        missed = joined.filter("not seen").select("doc", "reach", "grams", "contexts", "occ", (F.col("steps") + 1).alias("steps"))
-        open_ = stage(open_.filter(F.col("reach") < n).unionByName(missed), f"open{n}")
-    every = done[0]
-    for part in done[1:]:
-        every = every.unionByName(part)
-    sums = every.groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "n_shared")], F.sum("part").alias("log_score"))
+    for k in range(passes):
+        own = texts.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == k)
+        open_ = _endings(own, order)
+        for n in range(order, 0, -1):
+            table = tables[n - 1].select(F.col("gram").alias(f"g{n}"), "own", "value")
+            joined = open_.join(table, f"g{n}", "left").select(*open_.columns, "own", "value" if n > 1 else F.coalesce("value", F.lit(alone)).alias("value"))
+            shorter = "".join(f"g{i} long, " for i in range(1, n))
+            split = stage(joined.mapInArrow(partial(_split, alpha=alpha, least=least, order=order, n=n), f"doc long, reach int, {shorter}occ long, part double, shared long"), f"order{n}")
+            done.append(split.filter("reach = 0").select("doc", F.col("occ").alias("n_words"), F.lit(n).alias("n"), "part", "shared"))
+            open_ = split.filter("reach > 0").select("doc", "reach", *[f"g{i}" for i in range(1, n)], "occ")
+    single = F.when(F.col("n") == 1, F.col("n_words")).otherwise(0)
+    sums = reduce(DataFrame.unionByName, done).groupBy("doc").agg(
+        F.sum("n_words").alias("n_words"), F.sum(single).alias("n_backoff"), F.sum("shared").alias("n_shared"), F.sum("part").alias("log_score"),
+    )
     out = texts.select("row").join(sums, F.col("row") == F.col("doc"), "left")
-    return out.select("row", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_words", "n_backoff", "n_shared", "log_score")])
+    none = F.lit(0).cast("long")
+    return out.select("row", *[F.coalesce(c, none).alias(c) for c in ("n_words", "n_backoff", "n_shared")], F.coalesce("log_score", F.lit(0.0)).alias("log_score"))
 
 
 def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, corpus: DataFrame | None = None, passes: int = PASSES, part_rows: int = PART_ROWS) -> DataFrame:
@@ -310,7 +353,7 @@ def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least:
         else:
             texts = rows.select("row", "text")
             other = texts if corpus is None else corpus.select(F.lit(0).cast("long").alias("row"), text_of(corpus).alias("text"))
-            found = _backing_off(texts, other, order, alpha, least, stage)
+            found = _backing_off(texts, other, order, alpha, least, passes, stage)
         return stage.keep(stage(rows.select("row", "doc_id").join(found, "row").drop("row"), "scores"))
 
 
