@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..schemas import ENGLISH, TRANSLATIONS, USAGE
 from ..sources.answers import Calls
 from ..sources.site import Store
+from . import draw
 from .funnel import pending
 
 #: Fields that a usable translation must have.
@@ -176,12 +177,12 @@ def pending_inputs(canonical: DataFrame, translations: DataFrame, packages: Data
     rows = canonical if refresh else pending(canonical, translations)
     titles = packages.select(F.col("id").alias("package_id"), F.col("title").alias("package_title"))
     rows = rows.withColumnRenamed("id", "question_id").join(titles, "package_id").select(*SOURCE)
-    return rows if limit is None else rows.orderBy(F.rand(seed)).limit(limit)
+    return rows if limit is None else draw.uniform(rows, "question_id", limit, seed)
 
 
 def sample_by_hash(rows: DataFrame, key: str, seed: str, n: int) -> DataFrame:
     """A draw of ``n`` rows that depends on key and seed alone, not on partitioning."""
-    return rows.orderBy(F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)), 256), key).limit(n)
+    return draw.least(rows, n, F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)), 256), F.col(key))
 
 
 #: A translation row, and why there is none.

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..operators import curate, funnel, merge, review
+from ..operators import curate, draw, funnel, merge, review
 from ..sources import pages
 from . import stage_queries
 
@@ -272,7 +272,7 @@ def sample_hash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sample_random(spark: SparkSession, sf: str) -> DataFrame:
-    return _table(spark, sf, "documents").select("doc_id").orderBy(F.rand(7)).limit(LIMIT)
+    return draw.uniform(_table(spark, sf, "documents").select("doc_id"), "doc_id", LIMIT, 7)
 
 
 def _as_translations(spark: SparkSession, sf: str) -> DataFrame:

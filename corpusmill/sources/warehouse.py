@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import KEYS, TABLES, USABLE
+from ..shipping import ship
 from .buckets import BucketTable
 
 
@@ -28,7 +29,7 @@ _MANIFEST = ".manifest.json"
 
 class Warehouse:
     def __init__(self, spark: SparkSession, path: str, read_only: bool = False):
-        self.spark, self.path, self.read_only = spark, path.rstrip("/"), read_only
+        self.spark, self.path, self.read_only = ship(spark), path.rstrip("/"), read_only
         self._jvm = spark._jvm
         self._fs = self._hadoop(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
         if not self._fs.exists(self._hadoop(f"{self.path}/CURRENT")):
