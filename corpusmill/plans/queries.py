@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text, values
 from ..operators import curate, draw, funnel, merge, review
 from ..sources import pages
-from . import stage_queries
+from . import source_queries, stage_queries
 
 LATIN = text.Patterns(
     host_note=r"(?U)<!--(?:[^>]*?)-->|<script>[^<]*</script>",
@@ -331,7 +331,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (clean_text, content_hash, page_hash, normalized_key, normalized_key_general, exclusion_counts, clean_view, canonical_groups, printing_map, canonical_merge, canonical_summary, longest_text, ordered_union, pooled_rate, paired_truncate, note_split, kind_detect, link_extract, payload_extract, script_extract, upsert_latest, outcome_classify, outcome_counts, settled_filter, pending_anti, usable_join, title_join, stale_prune, sample_hash, sample_random, status_counts, usage_totals, usage_cost, corpus_funnel, review_rounds, durations, index_urls)
-} | {"exclusion_reason": _excluded} | stage_queries.QUERIES
+} | {"exclusion_reason": _excluded} | stage_queries.QUERIES | source_queries.QUERIES
 
 _FOLDED = r"trim(regexp_replace(regexp_replace(replace(replace(lower(coalesce(text, '')), 'ß', 'ss'), 'ё', 'е'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 _NHASH = f"substr(sha256({_FOLDED}), 1, 16)"
@@ -451,4 +451,4 @@ SELECT id, id % 7 AS package_id, answer, explanation, acceptance_criteria, sourc
   FROM (SELECT o_orderkey, greatest(o_orderkey * 7 - 20, 0) AS s FROM orders)""",
     "index_urls": """SELECT page_id, 'https://site.example' ||
   CASE WHEN page_id = 0 THEN '' ELSE '/?page=' || CAST(page_id + 1 AS VARCHAR) END AS url FROM pages""",
-} | stage_queries.ORACLE_SQL
+} | stage_queries.ORACLE_SQL | source_queries.ORACLE_SQL
