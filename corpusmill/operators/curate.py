@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..staging import staged
+from ..staging import discard, staged
 
 #: Fields of which a canonical record takes the longest version of any printing.
 LONGEST = ("answer", "explanation", "acceptance_criteria", "handout_text", "source_references")
 
 
+#: Printings from which on a group is pooled in segments, and ids in the range of a segment.
+HOT, WIDTH = 100_000, 1 << 16
+
+
 def exclusions(questions: DataFrame, patterns: text.Patterns = text.DEFAULT, question: str = "question", answer: str = "answer", key: str = "id") -> DataFrame:
     """question_id, reason of the rows that are no usable questions."""
     reason = text.exclusion_reason(F.col(question), F.col(answer), patterns)
@@ -42,40 +46,68 @@ def with_key(rows: DataFrame, native: bool = False, column: str = "question") ->
     return rows.withColumn("nhash", (text.native_key if native else text.normalized_key)(F.col(column)))
 
 
-def merge_printings(rows: DataFrame, native: bool = False) -> DataFrame:
-    """One canonical record for each distinct question of ``rows`` (clean questions).
+def merge_printings(rows: DataFrame, native: bool = False, hot: int = HOT, width: int = WIDTH) -> DataFrame:
+    """One canonical record for each distinct question of ``rows`` (clean questions, each id once).
 
     Identity and all but the merged fields come from the smallest id; of ``LONGEST`` fields the longest text of
-    any printing; tournaments are the ordered union, plays are pooled in order of id. One shuffle on the key, after
-    texts and counts are combined within each task. The play arrays, a few numbers for each printing, are part of the
-    record, so a record's row grows with its printings; blank questions, which would share one key, are no clean rows.
+    any printing; tournaments are the ordered union, plays are pooled in order of id. Texts and counts are combined within
+    each task before the one shuffle on the key; the plays of a group meet in one list. Groups of more than ``hot``
+    printings, of which there are at most one for each ``hot`` rows, are found first. Their plays are pooled in
+    segments, by ranges of ``width`` ids, which go to tasks of their own; what meets in the end is a list of arrays, no larger
+    than the record that holds them, not one of printings.
     """
-    percents, corrects = values.paired(F.col("solve_percentages"), F.col("correct_answers"))
-    own = [c for c in rows.columns if c not in (*LONGEST, "tournament_ids", "solve_percentages", "correct_answers", "content_hash")]
     keyed = with_key(rows, native)
-    plays = F.array_sort(
-        F.collect_list(
-            F.struct(
-                "id", F.coalesce("tournament_ids", F.array().cast("array<bigint>")).alias("t"), percents.alias("p"),
-                corrects.alias("c"),
-            )
-        )
-    )
+    crowded = staged(keyed.groupBy("nhash").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("nhash"), "hot-keys")
+    if crowded.isEmpty():
+        discard(crowded)
+        merged = _merged(keyed, _one_list(keyed))
+    else:
+        own, usual = (keyed.join(F.broadcast(crowded), "nhash", how) for how in ("left_semi", "left_anti"))
+        merged = _merged(usual, _one_list(usual)).unionByName(_merged(own, None).join(_segments(own, width), "nhash"))
+    merged = merged.select("first.*", *LONGEST, *_POOLED, "printings")
+    return with_statistics(merged).select(*rows.columns, "printings", "playings", "total_teams", "solve_rate")
+
+
+_POOLED = ("tournament_ids", "solve_percentages", "correct_answers")
+
+
+def _plays(rows: DataFrame) -> Column:
+    """Aggregate: id, tournaments, shares and right answers of each printing, in order of id."""
+    percents, corrects = values.paired(F.col("solve_percentages"), F.col("correct_answers"))
+    tours = F.coalesce("tournament_ids", F.array().cast("array<bigint>"))
+    return F.array_sort(F.collect_list(F.struct("id", tours.alias("t"), percents.alias("p"), corrects.alias("c"))))
+
+
+def _flat(plays: str) -> list[Column]:
+    """The pooled arrays of a list of structs t, p, c."""
+    part = lambda c: F.transform(plays, lambda x: x[c])
+    return [values.ordered_union(part("t")).alias("t"), F.flatten(part("p")).alias("p"), F.flatten(part("c")).alias("c")]
+
+
+def _one_list(keyed: DataFrame) -> list[Column]:
+    return [_plays(keyed).alias("plays")]
+
+
+def _merged(keyed: DataFrame, plays: list[Column] | None) -> DataFrame:
+    """nhash, first, texts and printings of each group; with ``plays`` also the pooled arrays."""
+    own = [c for c in keyed.columns if c not in (*LONGEST, *_POOLED, "content_hash", "nhash")]
     merged = keyed.groupBy("nhash").agg(
         F.min_by(F.struct(*own), "id").alias("first"),
         *[longest(F.col(c), F.col("id")).alias(c) for c in LONGEST],
-        plays.alias("plays"),
         F.count("*").alias("printings"),
+        *(plays or []),
     )
-    merged = merged.select(
-        "first.*",
-        *LONGEST,
-        values.ordered_union(F.transform("plays", lambda x: x["t"])).alias("tournament_ids"),
-        F.flatten(F.transform("plays", lambda x: x["p"])).alias("solve_percentages"),
-        F.flatten(F.transform("plays", lambda x: x["c"])).alias("correct_answers"),
-        "printings",
-    )
-    return with_statistics(merged).select(*rows.columns, "printings", "playings", "total_teams", "solve_rate")
+    if not plays:
+        return merged
+    return merged.select("nhash", "first", *LONGEST, "printings", *[c.alias(n) for c, n in zip(_flat("plays"), _POOLED)])
+
+
+def _segments(keyed: DataFrame, width: int) -> DataFrame:
+    """nhash and the pooled arrays of each group, pooled first by ranges of ``width`` ids, then put together in their order."""
+    parts = keyed.groupBy("nhash", F.floor(F.col("id") / width).alias("segment")).agg(_plays(keyed).alias("plays"))
+    parts = parts.select("nhash", "segment", *_flat("plays"))
+    whole = parts.groupBy("nhash").agg(F.array_sort(F.collect_list(F.struct("segment", "t", "p", "c"))).alias("parts"))
+    return whole.select("nhash", *[c.alias(n) for c, n in zip(_flat("parts"), _POOLED)])
 
 
 def with_statistics(merged: DataFrame) -> DataFrame:

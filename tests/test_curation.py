@@ -1,3 +1,5 @@
+from random import Random
+
 from corpusmill import schemas
 from corpusmill.operators import curate, funnel, merge
 from pyspark.sql import functions as F
@@ -59,3 +61,14 @@ def test_prune_and_funnel(spark):
     none = spark.createDataFrame([], schemas.TRANSLATIONS)
     assert tuple(funnel.usage_totals(none).first()) == (0, None, None, None, None, None, None)
     assert funnel.status_counts(none).count() == 0
+
+
+def test_hot_groups_are_pooled_in_segments_with_equal_results(spark):
+    """Every group above two printings takes the way of segments, of few ids or of many, negative ids included."""
+    rng = Random(2)
+    rows = [{"id": i, "question": f"вопрос {rng.randrange(6)}", "answer": "x" * rng.randrange(4), "tournament_ids": rng.choice((None, [rng.randrange(4)])), "solve_percentages": [float(i % 90)] * rng.randrange(3), "correct_answers": [i] * rng.randrange(3)} for i in rng.sample(range(-50, 150), 90)]
+    blank = {f.name: None for f in schemas.QUESTIONS.fields}
+    df = spark.createDataFrame([blank | r for r in rows], schemas.QUESTIONS).repartition(5)
+    want = sorted(map(str, curate.merge_printings(df).collect()))
+    for hot, width in ((2, 7), (2, 1), (16, 1 << 16)):
+        assert sorted(map(str, curate.merge_printings(df, hot=hot, width=width).collect())) == want
