@@ -7,6 +7,7 @@ records. Records are dictionaries with the keys of the schemas below.
 from __future__ import annotations
 
 import asyncio
+import contextlib
 import json
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..schemas import ENGLISH, TRANSLATIONS, USAGE
 from ..sources.answers import Calls
+from ..sources.gate import Pass
 from ..sources.site import Store
 from . import draw
 from .funnel import pending
@@ -189,23 +191,26 @@ def sample_by_hash(rows: DataFrame, key: str, seed: str, n: int) -> DataFrame:
 RESULT = T.StructType([*TRANSLATIONS.fields, T.StructField("failure", T.StringType())])
 
 
-def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], concurrency: int = 1000, partitions: int | None = None, fail_fast: bool = False, max_revisions: int = MAX_REVISIONS, calls: str | None = None) -> DataFrame:
+def run_reviews(inputs: DataFrame, make_client: Callable[[], ReviewClient], concurrency: int = 1000, partitions: int | None = None, fail_fast: bool = False, max_revisions: int = MAX_REVISIONS, calls: str | None = None, gate_pass: Pass | None = None) -> DataFrame:
     """A translation row for each input, or the text of what went wrong in ``failure`` (such rows stay pending).
 
     At most ``concurrency`` reviews of a partition are under way at once, and each gives its row when it is done. Spark may
     run a task again; write the result once before anything else reads it. With a folder ``calls`` every answer of the client
     is written there before it is used: a review that is run again, in another task or another run, repeats at most the one
-    call it was waiting for. With ``fail_fast`` the first failure ends the job.
+    call it was waiting for. With ``gate_pass`` a review also holds a lease of the driver's gate, which bounds all partitions
+    together. With ``fail_fast`` the first failure ends the job, at once where there is a gate to tell.
     """
 
     async def one(client: ReviewClient, gate: asyncio.Semaphore, source: Record) -> Record:
-        async with gate:
+        async with gate, gate_pass.lease() if gate_pass else contextlib.nullcontext():
             row: Record = dict.fromkeys([*TRANSLATIONS.fieldNames(), "failure"])
             row |= {"question_id": source["question_id"], "content_hash": source["content_hash"]}
             try:
                 done = await review(Calls(client, Store(calls), source) if calls else client, source, max_revisions)
             except Exception as error:
                 if fail_fast:
+                    if gate_pass:
+                        gate_pass.stop(f"{type(error).__name__}: {error}")
                     raise
                 return row | {"failure": f"{type(error).__name__}: {error}"}
             row |= {k: done.candidate[k] for k in ("status", *ENGLISH, "changes_description", "untranslatable_reason")}

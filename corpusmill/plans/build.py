@@ -15,6 +15,7 @@ from ..operators import curate, delta, funnel, merge
 from ..progress import Reporter, reporting
 from ..schemas import CHANGES, QUESTIONS
 from ..sources import fetch, pages
+from ..sources.gate import Gate
 from ..sources.warehouse import Warehouse
 from ..staging import Scratch
 
@@ -200,13 +201,12 @@ def main(args: list[str] | None = None, make_fetcher: Callable[[], fetch.Fetcher
     parser.add_argument("--delay", type=float, default=0.0)
     chosen = parser.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
-    # each worker has a client of its own: together they keep the delay between requests
-    pause = chosen.delay * max(1, chosen.workers)
     try:
-        with reporting("build") as told:
+        with reporting("build") as told, Gate(spark, chosen.delay) as gate:
             house = Warehouse(spark, chosen.warehouse)
+            ticket = gate.ticket  # each worker has a client of its own; the gate keeps the delay between all their requests
             counts = build(
-                house, make_fetcher or (lambda: fetch.HttpClient(delay=pause)), limit=chosen.pages,
+                house, make_fetcher or (lambda: fetch.HttpClient(pace=ticket.turn if chosen.delay else None)), limit=chosen.pages,
                 refresh=chosen.refresh, workers=chosen.workers, told=told, whole=chosen.rebuild,
             )
     except fetch.IndexUnavailable as error:

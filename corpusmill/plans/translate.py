@@ -7,6 +7,7 @@ import functools
 import importlib
 import sys
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -17,6 +18,7 @@ from ..operators import funnel, merge, review
 from ..progress import Reporter, reporting
 from ..schemas import TRANSLATIONS, USAGE
 from ..sources import answers
+from ..sources.gate import Gate
 from ..sources.site import Store
 from ..sources.warehouse import Warehouse
 
@@ -59,8 +61,24 @@ def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit:
 
     Records are drawn once, then reviewed BATCH at a time. Each answer of the client is written before it is used, and
     each review's result is a record of its own: a lost task, and the run after one that broke off, repeat at most one call
-    of each review that was under way, and take what they find written. ``told`` hears of each batch.
+    of each review that was under way, and take what they find written. ``told`` hears of each batch. At most ``concurrency``
+    reviews are under way at once, over all workers. With ``fail_fast`` the first failure cancels the batch.
     """
+    context, group = house.spark.sparkContext, f"reviews-{uuid.uuid4().hex}"
+    with Gate(house.spark, leases=concurrency, on_stop=lambda: context.cancelJobGroup(group)) as gate:
+        context.setJobGroup(group, "reviews", True)
+        try:
+            return _run(house, make_client, gate, limit, refresh, concurrency, partitions, seed, fail_fast, told, max_revisions)
+        except Exception as error:
+            if gate.stopped:
+                raise RuntimeError(gate.stopped) from error
+            raise
+        finally:
+            for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+                context.setLocalProperty(name, None)
+
+
+def _run(house: Warehouse, make_client: Callable[[], review.ReviewClient], gate: Gate, limit: int | None, refresh: bool, concurrency: int, partitions: int | None, seed: int | None, fail_fast: bool, told: Reporter | None, max_revisions: int) -> dict[str, int]:
     house.spark.dataSource.register(answers.ReviewAnswers)
     _settle(house, _answered(house))
     inputs = review.pending_inputs(
@@ -75,7 +93,7 @@ def run(house: Warehouse, make_client: Callable[[], review.ReviewClient], limit:
     for k in range(batches if total else 0):
         part = inputs.filter(F.pmod(F.xxhash64("question_id"), F.lit(batches)) == k)
         folder = f"{house.path}/{ANSWERS}/{begun:020d}-{k:08d}"
-        done = review.run_reviews(part, make_client, concurrency, partitions or WORKERS, fail_fast, max_revisions, house.uri(f"{house.path}/{CALLS}"))
+        done = review.run_reviews(part, make_client, concurrency, partitions or WORKERS, fail_fast, max_revisions, house.uri(f"{house.path}/{CALLS}"), gate.ticket)
         done.write.format(answers.NAME).mode("append").save(house.uri(folder))
         mine += [folder] if answers.recorded(house.uri(folder)) else []
         if told:
@@ -133,7 +151,7 @@ def main(args: list[str] | None = None, make_client: Callable[[], review.ReviewC
     with reporting("review") as told:
         done = run(
             Warehouse(spark, chosen.warehouse), make_client, chosen.count, chosen.refresh,
-            -(-chosen.concurrency // WORKERS), fail_fast=chosen.fail_fast, told=told,
+            chosen.concurrency, fail_fast=chosen.fail_fast, told=told,
             max_revisions=policy.max_revisions,
         )
     print("\n".join(report(spark, done)))

@@ -29,14 +29,20 @@ class IndexUnavailable(RuntimeError):
 
 
 class HttpClient:
-    """A client with retries, exponential waits, and a least interval between the requests of all its threads."""
+    """A client with retries, exponential waits, and a least interval between the requests of all its threads.
 
-    def __init__(self, delay: float = 0.0, timeout: float = 45.0, retries: int = 3, opener: Callable | None = None, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic):
+    With ``pace``, a function that returns when the next request may be made, the interval is that of whoever gives turns.
+    """
+
+    def __init__(self, delay: float = 0.0, timeout: float = 45.0, retries: int = 3, opener: Callable | None = None, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, pace: Callable[[], None] | None = None):
+        self.pace = pace
         self.delay, self.timeout, self.retries = max(0.0, delay), timeout, retries
         self._open, self._sleep, self._clock = opener or urllib.request.urlopen, sleep, clock
         self._gate, self._next = threading.Lock(), 0.0
 
     def _wait_turn(self) -> None:
+        if self.pace:
+            return self.pace()
         with self._gate:
             now = self._clock()
             if now < self._next:
