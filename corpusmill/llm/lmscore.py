@@ -33,6 +33,9 @@ from .shared import SPACED, Scratch, Words, mix, settings, sliced, text_of
 ORDER, ALPHA, LEAST = 3, 0.4, 2
 #: Passes over the hash values, and rows in a partition of one, about.
 PASSES, PART_ROWS = 3, 1 << 21
+#: Passes where words back off, over the n-grams that are counted and over the documents that are scored, and words that
+#: one vectorised step takes at once.
+BACKOFF_PASSES, SLICE_WORDS = 8, 1 << 17
 #: Bits of the hash slots of contexts in which rows are counted first, at least: there are so many that HOT average
 #: slots have no more rows than a partition. A slot with more rows than a partition is hot.
 SLOT_BITS, HOT = 16, 64
@@ -224,8 +227,40 @@ def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage
     )
 
 
+def _hashed(texts: DataFrame, stage: Scratch, label: str) -> DataFrame:
+    """row, words: the hash of each word of the texts (row, text), staged; a column of few values, which Parquet's dictionaries keep small."""
+
+    def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
+        lists = pa.ListArray.from_arrays(pa.array(words.first.astype(np.int32)), _signed(words.hashes))
+        yield [pa.array(keys, pa.int64()), lists]
+
+    with settings(texts.sparkSession, {"spark.sql.parquet.compression.codec": "zstd"}):
+        return stage(_mapped(texts.select("row", "text"), "row long, words array<long>", rows), label)
+
+
+def _over_words(df: DataFrame, schema: str, rows: Callable[[Words, np.ndarray], Iterator[list]]) -> DataFrame:
+    """Like ``_mapped``, of hashed words (row, words)."""
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(1).offsets.to_numpy().astype(np.int64)
+            at = 0
+            while at < batch.num_rows:
+                stop = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_WORDS, side="right")) - 1)
+                part = batch.slice(at, stop - at)
+                words = Words.__new__(Words)
+                words.first = ends[at : stop + 1] - ends[at]
+                words.hashes = part.column(1).flatten().to_numpy().view(np.uint64)
+                for columns in rows(words, part.column(0).to_numpy()):
+                    yield pa.RecordBatch.from_arrays(columns, names)
+                at = stop
+
+    return df.select("row", "words").mapInArrow(run, schema)
+
+
 def _counted(texts: DataFrame, order: int, k: int, passes: int) -> DataFrame:
-    """n, gram, ctx, own: the n-grams of all lengths up to ``order`` in the texts (row, text), counted within a slice of a batch, with the hash of all words but the last; those of pass ``k``."""
+    """n, gram, ctx, own: the n-grams of all lengths up to ``order`` in the hashed texts (row, words), counted within a slice of a batch, with the hash of all words but the last; those of pass ``k``."""
 
     def rows(words: Words, _: np.ndarray) -> Iterator[list]:
         short = np.zeros(len(words.hashes), np.uint64)
@@ -236,11 +271,11 @@ def _counted(texts: DataFrame, order: int, k: int, passes: int) -> DataFrame:
             yield [pa.array(np.full(len(found), n), pa.int32()), _signed(found), _signed(short[at][first]), pa.array(own, pa.int64())]
             short = gram
 
-    return _mapped(texts, "n int, gram long, ctx long, own long", rows)
+    return _over_words(texts, "n int, gram long, ctx long, own long", rows)
 
 
 def count_tables(corpus: DataFrame, order: int, least: int, passes: int, stage: Scratch) -> tuple[list[DataFrame], int]:
-    """For each length n a table gram, own, value: the n-grams counted ``least`` times or twice (words: all), with the logarithm of their count over that of their context; and the number of words.
+    """From hashed words for each length n a table gram, own, value: the n-grams counted ``least`` times or twice (words: all), with the logarithm of their count over that of their context; and the number of words.
 
     Counts are summed by the hash of the n-gram, in passes over the hash values; a context has at least the count of
     what follows it, so it is in its own table, to which the longer one is joined.
@@ -283,7 +318,7 @@ def _endings(texts: DataFrame, order: int) -> DataFrame:
         own = by[at]
         yield [pa.array(keys[text[own]], pa.int64()), pa.array(reach[own], pa.int32()), *(_signed(g[own]) for g in grams), pa.array(np.diff(at, append=count), pa.int64())]
 
-    return _mapped(texts, "doc long, reach int, " + ", ".join(f"{g} long" for g in names) + ", occ long", rows)
+    return _over_words(texts, "doc long, reach int, " + ", ".join(f"{g} long" for g in names) + ", occ long", rows)
 
 
 def _split(batches: Iterator[pa.RecordBatch], alpha: float, least: int, order: int, n: int) -> Iterator[pa.RecordBatch]:
@@ -334,7 +369,7 @@ def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float,
     return out.select("row", *[F.coalesce(c, none).alias(c) for c in ("n_words", "n_backoff", "n_shared")], F.coalesce("log_score", F.lit(0.0)).alias("log_score"))
 
 
-def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, corpus: DataFrame | None = None, passes: int = PASSES, part_rows: int = PART_ROWS) -> DataFrame:
+def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, corpus: DataFrame | None = None, passes: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by their single-word count), n_shared (words whose n-gram of ``order`` words the corpus has more than once), log_score (natural log, summed).
 
     Words are runs of other than ASCII white space, A-Z lower-cased; n-grams don't cross documents. A word
@@ -349,11 +384,11 @@ def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least:
     with Scratch("lm") as stage:
         rows = _numbered(documents, stage)
         if corpus is None and least <= 1 and order > 1:
-            found = _own_scores(rows, order, passes, part_rows, stage)
+            found = _own_scores(rows, order, passes or PASSES, part_rows, stage)
         else:
-            texts = rows.select("row", "text")
-            other = texts if corpus is None else corpus.select(F.lit(0).cast("long").alias("row"), text_of(corpus).alias("text"))
-            found = _backing_off(texts, other, order, alpha, least, passes, stage)
+            texts = _hashed(rows, stage, "words")
+            other = texts if corpus is None else _hashed(corpus.select(F.lit(0).cast("long").alias("row"), text_of(corpus).alias("text")), stage, "corpus")
+            found = _backing_off(texts, other, order, alpha, least, passes or BACKOFF_PASSES, stage)
         return stage.keep(stage(rows.select("row", "doc_id").join(found, "row").drop("row"), "scores"))
 
 
