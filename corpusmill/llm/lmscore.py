@@ -35,7 +35,7 @@ ORDER, ALPHA, LEAST = 3, 0.4, 2
 PASSES, PART_ROWS = 3, 1 << 21
 #: Passes where words back off, over the n-grams that are counted and over the documents that are scored, and words that
 #: one vectorised step takes at once.
-BACKOFF_PASSES, SLICE_WORDS = 8, 1 << 17
+BACKOFF_PASSES, SLICE_WORDS = 6, 1 << 17
 #: Bits of the hash slots of contexts in which rows are counted first, at least: there are so many that HOT average
 #: slots have no more rows than a partition. A slot with more rows than a partition is hot.
 SLOT_BITS, HOT = 16, 64
@@ -227,15 +227,21 @@ def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage
     )
 
 
-def _hashed(texts: DataFrame, stage: Scratch, label: str) -> DataFrame:
-    """row, words: the hash of each word of the texts (row, text), staged; a column of few values, which Parquet's dictionaries keep small."""
+def _hashed(documents: DataFrame, stage: Scratch, label: str) -> DataFrame:
+    """row, doc_id, words: the documents with a number each and the hash of each word, staged; words are a column of few values, which Parquet's dictionaries keep small."""
+    ids = documents["doc_id"] if "doc_id" in documents.columns else F.lit(None).cast("long")
+    numbered = documents.select(F.monotonically_increasing_id().alias("row"), text_of(documents).alias("text"), ids.alias("doc_id"))
 
-    def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
-        lists = pa.ListArray.from_arrays(pa.array(words.first.astype(np.int32)), _signed(words.hashes))
-        yield [pa.array(keys, pa.int64()), lists]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, texts in sliced(batch.column(1)):
+                words = Words(texts, SPACED)
+                lists = pa.ListArray.from_arrays(pa.array(words.first.astype(np.int32)), _signed(words.hashes))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), lists], ["row", "doc_id", "words"])
 
-    with settings(texts.sparkSession, {"spark.sql.parquet.compression.codec": "zstd"}):
-        return stage(_mapped(texts.select("row", "text"), "row long, words array<long>", rows), label)
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", numbered.schema["doc_id"].dataType), T.StructField("words", T.ArrayType(T.LongType()))])
+    with settings(documents.sparkSession, {"spark.sql.parquet.compression.codec": "zstd"}):
+        return stage(numbered.mapInArrow(run, schema), label)
 
 
 def _over_words(df: DataFrame, schema: str, rows: Callable[[Words, np.ndarray], Iterator[list]]) -> DataFrame:
@@ -266,7 +272,7 @@ def _counted(texts: DataFrame, order: int, k: int, passes: int) -> DataFrame:
         short = np.zeros(len(words.hashes), np.uint64)
         for n in range(1, order + 1):
             gram = _hashes(words, n)
-            at = np.flatnonzero((gram > 0) & (gram >> np.uint64(40)) % np.uint64(passes) == k) if passes > 1 else np.flatnonzero(gram)
+            at = np.flatnonzero((gram > 0) & ((gram >> np.uint64(40)) % np.uint64(passes) == k))
             found, first, own = np.unique(gram[at], return_index=True, return_counts=True)
             yield [pa.array(np.full(len(found), n), pa.int32()), _signed(found), _signed(short[at][first]), pa.array(own, pa.int64())]
             short = gram
@@ -355,7 +361,7 @@ def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float,
         open_ = _endings(own, order)
         for n in range(order, 0, -1):
             table = tables[n - 1].select(F.col("gram").alias(f"g{n}"), "own", "value")
-            joined = open_.join(table, f"g{n}", "left").select(*open_.columns, "own", "value" if n > 1 else F.coalesce("value", F.lit(alone)).alias("value"))
+            joined = open_.join(table.hint("shuffle_hash"), f"g{n}", "left").select(*open_.columns, "own", "value" if n > 1 else F.coalesce("value", F.lit(alone)).alias("value"))
             shorter = "".join(f"g{i} long, " for i in range(1, n))
             split = stage(joined.mapInArrow(partial(_split, alpha=alpha, least=least, order=order, n=n), f"doc long, reach int, {shorter}occ long, part double, shared long"), f"order{n}")
             done.append(split.filter("reach = 0").select("doc", F.col("occ").alias("n_words"), F.lit(n).alias("n"), "part", "shared"))
@@ -382,13 +388,12 @@ def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least:
     if order < 1:
         raise ValueError("order must be at least 1")
     with Scratch("lm") as stage:
-        rows = _numbered(documents, stage)
         if corpus is None and least <= 1 and order > 1:
+            rows = _numbered(documents, stage)
             found = _own_scores(rows, order, passes or PASSES, part_rows, stage)
         else:
-            texts = _hashed(rows, stage, "words")
-            other = texts if corpus is None else _hashed(corpus.select(F.lit(0).cast("long").alias("row"), text_of(corpus).alias("text")), stage, "corpus")
-            found = _backing_off(texts, other, order, alpha, least, passes or BACKOFF_PASSES, stage)
+            rows = _hashed(documents, stage, "words")
+            found = _backing_off(rows, rows if corpus is None else _hashed(corpus, stage, "corpus"), order, alpha, least, passes or BACKOFF_PASSES, stage)
         return stage.keep(stage(rows.select("row", "doc_id").join(found, "row").drop("row"), "scores"))
 
 
