@@ -84,13 +84,12 @@ def store_pages(house: Warehouse, fetched: DataFrame, refresh: bool = False, pat
     )
     merge.last_rows(taken, "id", ["target", "position"], QUESTIONS.fieldNames()).write.parquet(f"{work}/questions")
     taken = spark.read.schema(QUESTIONS).parquet(f"{work}/questions")
-    house.point(
-        {
-            "packages": house.upsert("packages", merge.merge_packages(packages, batch).dropDuplicates(["id"])),
-            "questions": house.upsert("questions", taken),
-            "question_changes": house.upsert("question_changes", taken.select(F.col("id").alias("question_id"))),
-        }
-    )
+    changes = {
+        "packages": (merge.merge_packages(packages, batch).dropDuplicates(["id"]), None),
+        "questions": (taken, None),
+        "question_changes": (taken.select(F.col("id").alias("question_id")), None),
+    }
+    house.point(house.upserts(changes))
     counts = merge.outcome_counts(every.select("outcome", F.coalesce(F.size("questions"), F.lit(0)).alias("questions")))
     done = spark.createDataFrame(counts.collect(), counts.schema)  # a row for each kind of outcome
     house.drop(work)
@@ -130,13 +129,13 @@ def catch_up(house: Warehouse, patterns: text.Patterns = text.DEFAULT) -> DataFr
     if not changed.isEmpty():
         with Scratch("delta") as stage:
             done = delta.change(changed, house.lookup, house.read("question_printings"), stage, patterns)
-            folders = {
-                "question_exclusions": house.upsert("question_exclusions", done.exclusions, done.changed),
-                "questions_canonical": house.upsert("questions_canonical", done.canonical, done.records_gone),
-                "question_printings": house.upsert("question_printings", done.printings, done.changed),
-                "question_groups": house.upsert("question_groups", done.groups, done.groups_gone),
-                "question_changes": house.write("question_changes", house.spark.createDataFrame([], CHANGES)),
+            changes = {
+                "question_exclusions": (done.exclusions, done.changed),
+                "questions_canonical": (done.canonical, done.records_gone),
+                "question_printings": (done.printings, done.changed),
+                "question_groups": (done.groups, done.groups_gone),
             }
+            folders = house.upserts(changes) | {"question_changes": house.write("question_changes", house.spark.createDataFrame([], CHANGES))}
             touched = done.canonical.select("id").union(done.records_gone).distinct()
             stored = house.lookup("translations", touched)
             _, gone = merge.prune(stored, done.canonical)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
@@ -52,6 +53,31 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+_writing = threading.Lock()
+_writers: dict[str, list] = {}
+
+
+@contextmanager
+def _tidy(spark: SparkSession) -> Iterator[None]:
+    """``_TIDY`` for the writes that run inside, of which several may do so side by side: the last one puts the setting back."""
+    key = spark.sparkContext.applicationId
+    with _writing:
+        count, before = _writers.get(key) or [0, spark.conf.get(_TIDY, None)]
+        _writers[key] = [count + 1, before]
+        spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        with _writing:
+            count, before = _writers.pop(key)
+            if count > 1:
+                _writers[key] = [count - 1, before]
+            elif before is None:
+                spark.conf.unset(_TIDY)
+            else:
+                spark.conf.set(_TIDY, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -59,8 +85,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     the whole history, and every later branch sees the same rows.
     """
     path = f"{shared_folder(df.sparkSession)}/corpusmill/{label}-{uuid.uuid4().hex}"
-    with settings(df.sparkSession, {_TIDY: "true"}):
-        discard_later(path)
+    discard_later(path)
+    with _tidy(df.sparkSession):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
