@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACED, Scratch, Words, mix, sliced, text_of
+from .shared import SMALL_BATCHES, SPACED, Scratch, Words, mix, settings, sliced, text_of
 
 #: Words in a shingle.
 SHINGLE = 5
@@ -370,7 +370,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
 
 def judged_rows(documents: DataFrame, percent: int) -> DataFrame:
     """``near_duplicates`` with ``text_key``, which tells rows of one doc_id and different texts apart."""
-    with Scratch("near") as stage:
+    with Scratch("near") as stage, settings(documents.sparkSession, SMALL_BATCHES):
         every = stage.keep(stage(features(documents), "features"))
         whole = every.filter("n > 0 and doc is not null")
         own = F.min(F.struct("doc", "text_key")).alias("own")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import SPACED, Words, sliced, staged
+from .shared import SMALL_BATCHES, SPACED, Words, settings, sliced, staged
 
 #: Labelled documents that a fit takes at most.
 MOST_LABELLED = 20_000
@@ -291,7 +291,8 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality") -> Mod
                     ["doc_id", "label", "ordering", "text", "meta"],
                 )
 
-    rows = picked.mapInArrow(run, "doc_id long, label int, ordering long, text array<double>, meta array<long>").toPandas()
+    with settings(documents.sparkSession, SMALL_BATCHES):
+        rows = picked.mapInArrow(run, "doc_id long, label int, ordering long, text array<double>, meta array<long>").toPandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["ordering", "doc_id"], kind="stable")
@@ -315,15 +316,16 @@ def _pool(documents: DataFrame, votes: DataFrame, edges: np.ndarray) -> Sums | N
                     ["doc_id", "codes"],
                 )
 
-    coded = staged(
-        documents.select(documents["doc_id"], *_view_columns(documents)).mapInArrow(
-            encode,
-            T.StructType(
-                [T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("codes", T.BinaryType())]
+    with settings(spark, SMALL_BATCHES):
+        coded = staged(
+            documents.select(documents["doc_id"], *_view_columns(documents)).mapInArrow(
+                encode,
+                T.StructType(
+                    [T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("codes", T.BinaryType())]
+                ),
             ),
-        ),
-        "quality-codes",
-    )
+            "quality-codes",
+        )
     free = coded.filter("doc_id is not null").join(votes.select("doc_id"), "doc_id", "left_anti").select("codes")
     pool = staged(free.unionByName(coded.filter("doc_id is null").select("codes")), "quality-pool")
     tasks = math.ceil(pool.count() / TASK_ROWS)

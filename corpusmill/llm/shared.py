@@ -22,6 +22,10 @@ SLICE_BYTES = 1 << 20
 CHUNK_BYTES, LONG_WORD = 1 << 17, 256
 
 
+#: For jobs that hand whole texts to Python: fewer rows in an Arrow batch, which the JVM, the worker and what lies between hold at once.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
 def text_of(df: DataFrame, column: str = "text"):
     """The text column with null read as the empty string."""
     return F.coalesce(df[column].cast("string"), F.lit(""))
