@@ -139,10 +139,11 @@ class Scratch:
         self.kept.add(id(table))
         return table
 
-    def drop(self, table: DataFrame) -> None:
-        """Delete a table that no later step reads."""
-        self.tables = [t for t in self.tables if t is not table]
-        discard(table)
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no later step reads."""
+        gone = set(map(id, tables))
+        self.tables = [t for t in self.tables if id(t) not in gone]
+        discard(*tables)
 
     def __enter__(self) -> Scratch:
         return self
