@@ -298,6 +298,7 @@ def count_tables(corpus: DataFrame, order: int, least: int, passes: int, stage:
         base = counts.filter(F.col("n") == n - 1).select(F.col("gram").alias("ctx"), F.col("own").alias("base"))
         joined = counts.filter(F.col("n") == n).join(base, "ctx")
         tables.append(stage(joined.select("gram", "own", (F.log("own") - F.log("base")).alias("value")), f"table{n}"))
+    stage.drop(*every)
     return tables, words
 
 
@@ -359,17 +360,24 @@ def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float,
     for k in range(passes):
         own = texts.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == k)
         open_ = _endings(own, order)
+        splits = []
         for n in range(order, 0, -1):
             table = tables[n - 1].select(F.col("gram").alias(f"g{n}"), "own", "value")
             joined = open_.join(table.hint("shuffle_hash"), f"g{n}", "left").select(*open_.columns, "own", "value" if n > 1 else F.coalesce("value", F.lit(alone)).alias("value"))
             shorter = "".join(f"g{i} long, " for i in range(1, n))
-            split = stage(joined.mapInArrow(partial(_split, alpha=alpha, least=least, order=order, n=n), f"doc long, reach int, {shorter}occ long, part double, shared long"), f"order{n}")
-            done.append(split.filter("reach = 0").select("doc", F.col("occ").alias("n_words"), F.lit(n).alias("n"), "part", "shared"))
-            open_ = split.filter("reach > 0").select("doc", "reach", *[f"g{i}" for i in range(1, n)], "occ")
-    single = F.when(F.col("n") == 1, F.col("n_words")).otherwise(0)
-    sums = reduce(DataFrame.unionByName, done).groupBy("doc").agg(
-        F.sum("n_words").alias("n_words"), F.sum(single).alias("n_backoff"), F.sum("shared").alias("n_shared"), F.sum("part").alias("log_score"),
-    )
+            splits.append(stage(joined.mapInArrow(partial(_split, alpha=alpha, least=least, order=order, n=n), f"doc long, reach int, {shorter}occ long, part double, shared long"), f"order{n}"))
+            open_ = splits[-1].filter("reach > 0").select("doc", "reach", *[f"g{i}" for i in range(1, n)], "occ")
+        parts = [
+            split.filter("reach = 0").select("doc", F.col("occ").alias("n_words"), F.lit(0 if n > 1 else 1).alias("single"), "part", "shared")
+            for n, split in zip(range(order, 0, -1), splits)
+        ]
+        sums = reduce(DataFrame.unionByName, parts).groupBy("doc").agg(
+            F.sum("n_words").alias("n_words"), F.sum(F.col("n_words") * F.col("single")).alias("n_backoff"),
+            F.sum("shared").alias("n_shared"), F.sum("part").alias("log_score"),
+        )
+        done.append(stage(sums, f"pass{k}"))  # the documents of a pass are no other one's
+        stage.drop(*splits)
+    sums = reduce(DataFrame.unionByName, done)
     out = texts.select("row").join(sums, F.col("row") == F.col("doc"), "left")
     none = F.lit(0).cast("long")
     return out.select("row", *[F.coalesce(c, none).alias(c) for c in ("n_words", "n_backoff", "n_shared")], F.coalesce("log_score", F.lit(0.0)).alias("log_score"))
