@@ -4,9 +4,11 @@ N-grams are rows: each document is exploded into its distinct n-grams (context,
 of occurrences), all by 64-bit hashes. Counts are tables over the same keys, partitioned by hash; rows are
 joined to them, and the logarithms are summed for each document.
 
-Count tables hold the n-grams that the corpus has at least ``least`` times, partitioned by their hash. Rows are joined to the
-table of the longest n-grams; those that it lacks go on to the next shorter ones, and back off by ``alpha`` each time, at
-last to the table of single words. Tables and rows are made in PASSES passes, so that one part of them only is on disk.
+Where words back off, count tables hold the n-grams of every length that the corpus has at least ``least`` times, partitioned by
+ranges of their hash (buckets). Documents are exploded by slices of about a megabyte of text: the different n-grams of a slice
+that fall into a bucket are one row, a sorted array. These rows are summed for the count tables, and joined to them by bucket; the
+counts go back to their slice, in which each word takes its longest n-gram that counts, ``alpha`` for each length that it lacks.
+Buckets are taken in BACKOFF_PASSES passes, so that one part of the n-grams only is on disk.
 
 If the scored documents are the corpus and every n-gram counts (``least`` 1), no word ever backs off but at the start of a
 document, where the shorter n-grams' scores telescope. Then rows and counts have the same key, and one exchange by context
@@ -19,10 +21,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import partial, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,13 +36,22 @@ from .shared import SPACED, Scratch, Words, mix, settings, sliced, text_of
 ORDER, ALPHA, LEAST = 3, 0.4, 2
 #: Passes over the hash values, and rows in a partition of one, about.
 PASSES, PART_ROWS = 3, 1 << 21
-#: Passes where words back off, over the n-grams that are counted and over the documents that are scored, and words that
-#: one vectorised step takes at once.
-BACKOFF_PASSES, SLICE_WORDS = 6, 1 << 17
+#: Passes over the hash values and over the slices where words back off, n-grams in a bucket of hash values, at most about, and
+#: buckets at least: a slice makes a row for each, so their number stays the same up to some gigabyte of text.
+BACKOFF_PASSES, BUCKET_GRAMS, BUCKETS = 3, 1 << 21, 256
 #: Bits of the hash slots of contexts in which rows are counted first, at least: there are so many that HOT average
 #: slots have no more rows than a partition. A slot with more rows than a partition is hot.
 SLOT_BITS, HOT = 16, 64
 
+#: Where a row holds the words of many documents, few rows are taken at once.
+_LONG_ROWS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.parquet.columnarReaderBatchSize": "16",
+    "parquet.block.size": str(32 << 20), "spark.sql.parquet.compression.codec": "zstd",
+}
+
+#: For the hash of an n-gram, a polynomial of the hashes of its words.
+_FACTOR = 0x9E3779B97F4A7C15
+
 _GRAMS = "ctx long, gram long, doc long, occ long"
 #: Values of ``gram`` that are no hash: a context at the end of a document, and the one at its start.
 _END, _START = 0, 1
@@ -227,160 +239,159 @@ def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage
     )
 
 
-def _hashed(documents: DataFrame, stage: Scratch, label: str) -> DataFrame:
-    """row, doc_id, words: the documents with a number each and the hash of each word, staged; words are a column of few values, which Parquet's dictionaries keep small."""
+def _slices(documents: DataFrame, stage: Scratch, label: str) -> DataFrame:
+    """slice, docs, sizes, words: the hashed words of some documents in a row, staged, with the documents' ids and numbers of words."""
     ids = documents["doc_id"] if "doc_id" in documents.columns else F.lit(None).cast("long")
-    numbered = documents.select(F.monotonically_increasing_id().alias("row"), text_of(documents).alias("text"), ids.alias("doc_id"))
+    texts = documents.select(ids.alias("doc_id"), text_of(documents).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in sliced(batch.column(1)):
-                words = Words(texts, SPACED)
-                lists = pa.ListArray.from_arrays(pa.array(words.first.astype(np.int32)), _signed(words.hashes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), lists], ["row", "doc_id", "words"])
+            for a, b, own in sliced(batch.column(1)):
+                words = Words(own, SPACED)
+                columns = (batch.column(0).slice(a, b - a), pa.array(np.diff(words.first), pa.int32()), _signed(words.hashes))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], ["docs", "sizes", "words"])
 
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", numbered.schema["doc_id"].dataType), T.StructField("words", T.ArrayType(T.LongType()))])
-    with settings(documents.sparkSession, {"spark.sql.parquet.compression.codec": "zstd"}):
-        return stage(numbered.mapInArrow(run, schema), label)
+    kinds = {"docs": texts.schema["doc_id"].dataType, "sizes": T.IntegerType(), "words": T.LongType()}
+    found = texts.mapInArrow(run, T.StructType([T.StructField(name, T.ArrayType(kind)) for name, kind in kinds.items()]))
+    return stage(found.select(F.monotonically_increasing_id().alias("slice"), "*"), label)
+
+
+def _grams(sizes: np.ndarray, words: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n from 1 to ``order`` the hashes of the n-grams of a slice and their first words; none crosses two documents."""
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(words))  # words of the document from this one on
+    total = np.zeros(len(words), np.uint64)
+    for n in range(1, order + 1):
+        total = total[: len(words) - n + 1] + words[n - 1 :] * np.uint64(pow(_FACTOR, n, 1 << 64))
+        at = np.flatnonzero(left[: len(total)] >= n)
+        yield mix(mix(total[at]) + np.uint64(n)), at
+
+
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash: equal ranges of the hash values, in their order."""
+    return ((grams >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
 
 
-def _over_words(df: DataFrame, schema: str, rows: Callable[[Words, np.ndarray], Iterator[list]]) -> DataFrame:
-    """Like ``_mapped``, of hashed words (row, words)."""
-    names = [part.split()[0] for part in schema.split(", ")]
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
+
+
+def _blocks(slices: DataFrame, order: int, buckets: int, some: range, counted: bool) -> DataFrame:
+    """bucket, slice, grams, own: the different n-grams of all lengths up to ``order`` of each slice, in ascending order of their hashes, with their numbers in the slice (``counted``, else none); a row for each slice and bucket of ``some``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = batch.column(1).offsets.to_numpy().astype(np.int64)
-            at = 0
-            while at < batch.num_rows:
-                stop = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_WORDS, side="right")) - 1)
-                part = batch.slice(at, stop - at)
-                words = Words.__new__(Words)
-                words.first = ends[at : stop + 1] - ends[at]
-                words.hashes = part.column(1).flatten().to_numpy().view(np.uint64)
-                for columns in rows(words, part.column(0).to_numpy()):
-                    yield pa.RecordBatch.from_arrays(columns, names)
-                at = stop
+            for k in range(batch.num_rows):
+                sizes, words = (batch.column(c)[k].values.to_numpy() for c in (1, 2))
+                grams = [g for g, _ in _grams(sizes, words.view(np.uint64), order)]
+                every = np.concatenate([g[(b >= some.start) & (b < some.stop)] for g in grams for b in [_bucket(g, buckets)]])
+                every, own = np.unique(every, return_counts=True) if counted else (np.unique(every), None)
+                found, sizes = np.unique(_bucket(every, buckets), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(found, pa.int32()), pa.array(np.full(len(found), batch.column(0)[k].as_py()), pa.int64()), _lists(sizes, _signed(every)),
+                        _lists(sizes, pa.array(own, pa.int64())) if counted else pa.nulls(len(found), pa.list_(pa.int64())),
+                    ],
+                    ["bucket", "slice", "grams", "own"],
+                )
 
-    return df.select("row", "words").mapInArrow(run, schema)
+    return slices.select("slice", "sizes", "words").mapInArrow(run, "bucket int, slice long, grams array<long>, own array<long>")
 
 
-def _counted(texts: DataFrame, order: int, k: int, passes: int) -> DataFrame:
-    """n, gram, ctx, own: the n-grams of all lengths up to ``order`` in the hashed texts (row, words), counted within a slice of a batch, with the hash of all words but the last; those of pass ``k``."""
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    return pc.list_flatten(table.column(name)).to_numpy()
 
-    def rows(words: Words, _: np.ndarray) -> Iterator[list]:
-        short = np.zeros(len(words.hashes), np.uint64)
-        for n in range(1, order + 1):
-            gram = _hashes(words, n)
-            at = np.flatnonzero((gram > 0) & ((gram >> np.uint64(40)) % np.uint64(passes) == k))
-            found, first, own = np.unique(gram[at], return_index=True, return_counts=True)
-            yield [pa.array(np.full(len(found), n), pa.int32()), _signed(found), _signed(short[at][first]), pa.array(own, pa.int64())]
-            short = gram
 
-    return _over_words(texts, "n int, gram long, ctx long, own long", rows)
+def count_table(corpus: DataFrame, order: int, least: int, buckets: int, some: range) -> DataFrame:
+    """bucket, grams, own: the n-grams of all lengths that the slices have ``least`` times or twice, and their counts, by ranges of their hash values: a row for each bucket of ``some``."""
 
+    def summed(table: pa.Table) -> pa.Table:
+        grams, own = _flat(table, "grams").view(np.uint64), _flat(table, "own")
+        by = np.argsort(grams)
+        grams = grams[by]
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        own = np.add.reduceat(own[by], first)
+        kept = own >= min(least, 2)
+        return pa.Table.from_arrays([table.column("bucket")[:1], *(_lists(np.array([kept.sum()]), x) for x in (_signed(grams[first][kept]), pa.array(own[kept])))], ["bucket", "grams", "own"])
 
-def count_tables(corpus: DataFrame, order: int, least: int, passes: int, stage: Scratch) -> tuple[list[DataFrame], int]:
-    """From hashed words for each length n a table gram, own, value: the n-grams counted ``least`` times or twice (words: all), with the logarithm of their count over that of their context; and the number of words.
+    return _blocks(corpus, order, buckets, some, True).groupBy("bucket").applyInArrow(summed, "bucket int, grams array<long>, own array<long>")
 
-    Counts are summed by the hash of the n-gram, in passes over the hash values; a context has at least the count of
-    what follows it, so it is in its own table, to which the longer one is joined.
-    """
-    every = []
-    for k in range(passes):
-        sums = _counted(corpus, order, k, passes).groupBy("n", "gram", "ctx").agg(F.sum("own").alias("own"))
-        every.append(stage(sums.filter((F.col("n") == 1) | (F.col("own") >= min(least, 2))), f"counts{k}"))
-    counts = reduce(DataFrame.unionByName, every)
-    words = counts.filter("n = 1").agg(F.coalesce(F.sum("own"), F.lit(0)).alias("words")).first().words
-    one = counts.filter("n = 1").select("gram", "own", (F.log("own") - math.log(max(1, words))).alias("value"))
-    tables = [stage(one, "table1")]
-    for n in range(2, order + 1):
-        base = counts.filter(F.col("n") == n - 1).select(F.col("gram").alias("ctx"), F.col("own").alias("base"))
-        joined = counts.filter(F.col("n") == n).join(base, "ctx")
-        tables.append(stage(joined.select("gram", "own", (F.log("own") - F.log("base")).alias("value")), f"table{n}"))
-    stage.drop(*every)
-    return tables, words
-
-
-def _endings(texts: DataFrame, order: int) -> DataFrame:
-    """doc, reach, g1, g2, .., occ: the n-grams that end at a word, for each different one of ``reach`` words (the longest that the text has room for) and its number in the document."""
-    names = [f"g{n}" for n in range(1, order + 1)]
 
-    def rows(words: Words, keys: np.ndarray) -> Iterator[list]:
-        count = len(words.hashes)
-        text = np.repeat(np.arange(len(keys)), np.diff(words.first))
-        place = np.arange(count) - words.first[:-1][text]
-        grams = np.zeros((order, count), np.uint64)
-        for n in range(1, order + 1):
-            at = np.flatnonzero(place >= n - 1)
-            grams[n - 1, at] = _hashes(words, n)[at - n + 1]
-            at = np.flatnonzero(place < n - 1)  # no n-gram's hash, and a different one for each: a join must not meet them all at one key
-            grams[n - 1, at] = mix(np.uint64(n) + (keys[text[at]] * order + place[at]).astype(np.uint64)) & ~np.uint64(2)
-        reach = np.minimum(place + 1, order)
-        longest = grams[reach - 1, np.arange(count)] if count else np.zeros(0, np.uint64)
-        by = np.lexsort((longest, text))
-        fresh = np.ones(count, bool)
-        fresh[1:] = (longest[by][1:] != longest[by][:-1]) | (text[by][1:] != text[by][:-1])
-        at = np.flatnonzero(fresh)
-        own = by[at]
-        yield [pa.array(keys[text[own]], pa.int64()), pa.array(reach[own], pa.int32()), *(_signed(g[own]) for g in grams), pa.array(np.diff(at, append=count), pa.int64())]
-
-    return _over_words(texts, "doc long, reach int, " + ", ".join(f"{g} long" for g in names) + ", occ long", rows)
-
-
-def _split(batches: Iterator[pa.RecordBatch], alpha: float, least: int, order: int, n: int) -> Iterator[pa.RecordBatch]:
-    """Splits joined rows (doc, reach, g1 .., gn, occ, own, value): those that back off go on without gn, and the others as sums of a batch by document (reach 0)."""
-    for batch in batches:
-        doc, reach, *grams, occ, own, value = (c.fill_null(0).to_numpy() for c in batch.columns)
-        seen = own >= least if n > 1 else np.ones(len(doc), bool)  # a word that the corpus lacks has the value of a single one
-        docs, place = np.unique(doc, return_inverse=True)
-        scores = np.where(seen, occ * (value + (reach - n) * math.log(alpha)), 0.0)
-        counted, shared = (np.bincount(place, w, len(docs)).astype(np.int64) for w in (occ * seen, occ * ((own > 1) & (n == order))))
-        left = ~seen
-        none, size = np.zeros(len(docs), np.int64), int(left.sum())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([doc[left], docs])), pa.array(np.concatenate([reach[left], none]), pa.int32()),
-                *(pa.array(np.concatenate([g[left], none])) for g in grams[:-1]), pa.array(np.concatenate([occ[left], counted])),
-                pa.array(np.concatenate([np.zeros(size), np.bincount(place, scores, len(docs))])),
-                pa.array(np.concatenate([np.zeros(size, np.int64), shared])),
-            ],
-            ["doc", "reach", *[f"g{k}" for k in range(1, n)], "occ", "part", "shared"],
-        )
-
-
-def _backing_off(texts: DataFrame, corpus: DataFrame, order: int, alpha: float, least: int, passes: int, stage: Scratch) -> DataFrame:
-    """row, n_words, n_backoff, n_shared, log_score: exploded n-grams joined to the count table of their length, those without a count to the next shorter ones, and so on.
-
-    Documents are taken in passes, so that the rows of one part of them only are on disk at a time.
+def _answers(blocks: DataFrame, table: DataFrame) -> DataFrame:
+    """slice, bucket, own: the counts of the n-grams of each block, 0 for those that the count table lacks, by a join on the bucket."""
+
+    def joined(asked: pa.Table, table: pa.Table) -> pa.Table:
+        grams, known, own = _flat(asked, "grams").view(np.uint64), _flat(table, "grams").view(np.uint64), _flat(table, "own")
+        place = np.searchsorted(known, grams)
+        found = np.zeros(len(grams), np.int64)
+        there = np.flatnonzero(place < len(known))
+        there = there[known[place[there]] == grams[there]]
+        found[there] = own[place[there]]
+        sizes = pc.list_value_length(asked.column("grams")).to_numpy()
+        return pa.Table.from_arrays([asked.column("slice"), asked.column("bucket"), _lists(sizes, pa.array(found))], ["slice", "bucket", "own"])
+
+    return blocks.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(joined, "slice long, bucket int, own array<long>")
+
+
+def _slice_scores(slices: DataFrame, answers: DataFrame, words: int, order: int, alpha: float, least: int) -> DataFrame:
+    """doc_id, n_words, n_backoff, n_shared, log_score of the documents of each slice, from the counts of its n-grams."""
+
+    def scored(own: pa.Table, answers: pa.Table) -> pa.Table:
+        sizes, hashes = _flat(own, "sizes"), _flat(own, "words").view(np.uint64)
+        counts = _flat(answers.sort_by("bucket"), "own")
+        grams = list(_grams(sizes, hashes, order))
+        _, place = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)
+        by_start, done = [np.full(len(hashes), words)], 0  # counts of n words from each one on, of none: all words
+        for g, at in grams:
+            by_start.append(np.zeros(len(hashes), np.int64))
+            by_start[-1][at] = counts[place[done : done + len(g)]]
+            done += len(g)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        reach = np.minimum(np.arange(len(hashes)) - (np.cumsum(sizes) - sizes)[text] + 1, order)
+        value = np.log(np.maximum(by_start[1], 1)) - math.log(max(1, words))  # a word that the corpus lacks has the value of a single one
+        used = np.ones(len(hashes), np.int64)
+        for n in range(2, order + 1):
+            end = np.flatnonzero(reach >= n)
+            end = end[by_start[n][end - n + 1] >= least]
+            value[end] = np.log(by_start[n][end - n + 1]) - np.log(by_start[n - 1][end - n + 1])
+            used[end] = n
+        value += (reach - used) * math.log(alpha)
+        whole = np.flatnonzero(reach == order)
+        shared = text[whole[by_start[order][whole - order + 1] > 1]]
+        single, shared = (np.bincount(x, minlength=len(sizes)) for x in (text[used == 1], shared))
+        score = np.bincount(text, value, len(sizes))
+        docs = pc.list_flatten(own.column("docs"))
+        return pa.Table.from_arrays([docs, *(pa.array(x.astype(np.int64)) for x in (sizes, single, shared)), pa.array(score.astype(np.float64))], ["doc_id", *_SCORES])
+
+    kinds = [T.StructField("doc_id", slices.schema["docs"].dataType.elementType), *(T.StructField(c, T.DoubleType() if c == "log_score" else T.LongType()) for c in _SCORES)]
+    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(scored, T.StructType(kinds))
+
+
+_SCORES = ("n_words", "n_backoff", "n_shared", "log_score")
+
+
+def _backing_off(documents: DataFrame, corpus: DataFrame | None, order: int, alpha: float, least: int, passes: int, stage: Scratch) -> DataFrame:
+    """doc_id, n_words, n_backoff, n_shared, log_score: exploded n-grams of all lengths joined to the count tables by ranges of hash values; each slice of documents then takes for each word the longest that counts.
+
+    Ranges are taken in passes, and slices after them, so that what one part of them shuffles only is on disk at a time.
     """
-    tables, words = count_tables(corpus, order, least, passes, stage)
-    alone = -math.log(max(1, words))  # of a word that the corpus lacks
-    done = []
-    for k in range(passes):
-        own = texts.filter(F.pmod(F.xxhash64("row"), F.lit(passes)) == k)
-        open_ = _endings(own, order)
-        splits = []
-        for n in range(order, 0, -1):
-            table = tables[n - 1].select(F.col("gram").alias(f"g{n}"), "own", "value")
-            joined = open_.join(table.hint("shuffle_hash"), f"g{n}", "left").select(*open_.columns, "own", "value" if n > 1 else F.coalesce("value", F.lit(alone)).alias("value"))
-            shorter = "".join(f"g{i} long, " for i in range(1, n))
-            splits.append(stage(joined.mapInArrow(partial(_split, alpha=alpha, least=least, order=order, n=n), f"doc long, reach int, {shorter}occ long, part double, shared long"), f"order{n}"))
-            open_ = splits[-1].filter("reach > 0").select("doc", "reach", *[f"g{i}" for i in range(1, n)], "occ")
-        parts = [
-            split.filter("reach = 0").select("doc", F.col("occ").alias("n_words"), F.lit(0 if n > 1 else 1).alias("single"), "part", "shared")
-            for n, split in zip(range(order, 0, -1), splits)
-        ]
-        sums = reduce(DataFrame.unionByName, parts).groupBy("doc").agg(
-            F.sum("n_words").alias("n_words"), F.sum(F.col("n_words") * F.col("single")).alias("n_backoff"),
-            F.sum("shared").alias("n_shared"), F.sum("part").alias("log_score"),
-        )
-        done.append(stage(sums, f"pass{k}"))  # the documents of a pass are no other one's
-        stage.drop(*splits)
-    sums = reduce(DataFrame.unionByName, done)
-    out = texts.select("row").join(sums, F.col("row") == F.col("doc"), "left")
-    none = F.lit(0).cast("long")
-    return out.select("row", *[F.coalesce(c, none).alias(c) for c in ("n_words", "n_backoff", "n_shared")], F.coalesce("log_score", F.lit(0.0)).alias("log_score"))
+    with settings(documents.sparkSession, _LONG_ROWS):
+        slices = _slices(documents, stage, "slices")
+        counted = slices if corpus is None else _slices(corpus, stage, "corpus")
+        total = F.coalesce(F.sum(F.size("words")), F.lit(0))
+        words = counted.agg(total).first()[0]
+        most = max(words, words if corpus is None else slices.agg(total).first()[0])
+        buckets = min(1 << 24, max(BUCKETS, math.ceil(order * most / BUCKET_GRAMS)))
+        answers = []
+        for k in range(passes):
+            some = range(k * buckets // passes, (k + 1) * buckets // passes)
+            table = stage(count_table(counted, order, least, buckets, some), f"counts{k}")
+            answers.append(stage(_answers(_blocks(slices, order, buckets, some, False).drop("own"), table), f"answers{k}"))
+            stage.drop(table)
+        every, scores = reduce(DataFrame.unionByName, answers), []
+        for k in range(passes):
+            own = F.pmod(F.xxhash64("slice"), F.lit(passes)) == k
+            scores.append(stage.keep(stage(_slice_scores(slices.filter(own), every.filter(own), words, order, alpha, least), f"scores{k}")))
+        return reduce(DataFrame.unionByName, scores)
 
 
 def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, corpus: DataFrame | None = None, passes: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
@@ -400,8 +411,7 @@ def score(documents: DataFrame, order: int = ORDER, alpha: float = ALPHA, least:
             rows = _numbered(documents, stage)
             found = _own_scores(rows, order, passes or PASSES, part_rows, stage)
         else:
-            rows = _hashed(documents, stage, "words")
-            found = _backing_off(rows, rows if corpus is None else _hashed(corpus, stage, "corpus"), order, alpha, least, passes or BACKOFF_PASSES, stage)
+            return _backing_off(documents, corpus, order, alpha, least, passes or BACKOFF_PASSES, stage)
         return stage.keep(stage(rows.select("row", "doc_id").join(found, "row").drop("row"), "scores"))
 
 

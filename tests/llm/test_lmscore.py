@@ -77,6 +77,29 @@ def test_another_corpus_and_both_ways_agree(spark):
         check(df, DOCS, lmscore.score(df, 3, least=least, corpus=df), 3, least=least)
 
 
+def test_small_slices_and_buckets_agree(spark, monkeypatch):
+    """Documents over many slices, n-grams over many buckets of hash values, and passes that don't divide them evenly."""
+    monkeypatch.setattr(lmscore, "BUCKET_GRAMS", 1_000)
+    monkeypatch.setattr(lmscore, "BUCKETS", 7)
+    df = spark.createDataFrame(DOCS, "doc_id long, text string").repartition(5)
+    for least in (2, 3):
+        check(df, DOCS, lmscore.score(df, 3, least=least, passes=3), 3, least=least)
+
+
+def test_ngrams_are_shuffled_by_blocks(spark):
+    """A slice gives a row for each bucket, not for each n-gram; its counts come back as a row for each bucket."""
+    df = spark.createDataFrame([(k, " ".join(f"w{k * i % 997}" for i in range(2_000))) for k in range(1, 20)], "doc_id long, text string").coalesce(1)
+    with lmscore.Scratch("test") as stage:
+        slices = lmscore._slices(df, stage, "slices")
+        assert slices.count() == 1
+        blocks = lmscore._blocks(slices, 3, 16, range(16), True)
+        assert blocks.count() == 16
+        table = lmscore.count_table(slices, 3, 2, 16, range(16))
+        assert [r.n for r in lmscore._answers(blocks.drop("own"), table).selectExpr("size(own) AS n").collect()].count(0) == 0
+        grams = Counter(tuple(x[i : i + n]) for _, t in df.collect() for x in [words(t)] for n in (1, 2, 3) for i in range(len(x) - n + 1))
+        assert table.selectExpr("sum(size(grams))").first()[0] == sum(c > 1 for c in grams.values())
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
     assert lmscore.score(df.limit(0)).count() == 0
