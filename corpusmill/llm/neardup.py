@@ -3,12 +3,12 @@
 Documents are sets of hashed word shingles. Equal sets fall into classes by a 128-bit set hash and their
 size; the join runs over one representative of each class. Independent trees branch the
 representatives by selected minwise tokens: a tree's root has one branch for each value of its
-own minwise token. A node whose members could need more than LEAF comparisons branches again on two
+own minwise token. A node whose members could need more than WIDE * LEAF comparisons branches again on two
 further tokens that the node chooses; smaller nodes are compared exhaustively, on 1024-bit
 sketches (a bit each of 1024 minwise hashes), and what these cannot dismiss is confirmed on full sets.
 
 A group of thousands of near copies stays together in every node, so all its pairs must not be
-listed. Before the recursion, each large node compares its members with one pivot a round; confirmed
+listed. Before the recursion, each node of more than LEAF comparisons compares its members with one pivot a round; confirmed
 links are contracted to components, and later comparisons only concern members of different
 components. Rounds go on for the nodes that gain links by them.
 """
@@ -35,8 +35,9 @@ BRANCHES = 24
 #: Sketch bits, in words of 64.
 SKETCH_WORDS = 16
 LANES = 64 * SKETCH_WORDS
-#: Comparisons up to which a node is compared exhaustively, and levels below the roots at most.
-LEAF, DEPTH = 1 << 13, 8
+#: Comparisons up to which a node is compared without pivots, how many times as many without branching (which doubles a node's
+#: rows, and costs more than some hundred comparisons for each), and levels below the roots at most.
+LEAF, WIDE, DEPTH = 1 << 13, 16, 8
 #: Comparisons that a task makes in a node that is compared although it is larger.
 TASK = 1 << 22
 #: Rounds of pivots at most.
@@ -309,7 +310,7 @@ def linked(nodes: DataFrame, sketches: DataFrame, percent: int, stage: Scratch)
     for level in range(DEPTH + 1):
         rows = stage(rows.join(_mixed(rows), "node").withColumn("work", _work()), f"level{level}")
         # dense: a branch hardly smaller than its parent would not get small by further ones
-        leaf = (F.col("work") <= LEAF) | F.coalesce(F.col("work") * 2 > F.col("parent"), F.lit(False)) | F.lit(level == DEPTH)
+        leaf = (F.col("work") <= WIDE * LEAF) | F.coalesce(F.col("work") * 2 > F.col("parent"), F.lit(False)) | F.lit(level == DEPTH)
         small.append(rows.filter(leaf).select("node", "rep"))
         large = rows.filter(~leaf)
         if level == DEPTH or large.isEmpty():

@@ -111,6 +111,25 @@ def test_default_limits_branch_on_a_shared_passage(spark):
     assert found(df, 85) == brute(docs, 85)
 
 
+def test_node_of_some_hundred_members_does_not_branch(spark, monkeypatch):
+    """A passage of 200 documents without links: compared at once, where branches would double the rows at each level."""
+    rnd = random.Random(8)
+    passage = [f"p{i}" for i in range(100)]
+    docs = [(i, " ".join(passage) + " " + " ".join(f"u{rnd.randrange(10**6)}" for _ in range(60))) for i in range(200)]
+    tables = Counter()
+    stage = neardup.Scratch.__call__
+
+    def recorded(self, df, label):
+        out = stage(self, df, label)
+        tables[label] += out.count()
+        return out
+
+    monkeypatch.setattr(neardup.Scratch, "__call__", recorded)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(df, 85) == brute(docs, 85)
+    assert tables["level0"] > 200 and not tables["level1"]
+
+
 def test_sketch_estimates_similarity():
     rnd = np.random.default_rng(1)
     common = rnd.integers(0, 2**63, 900, dtype=np.uint64)
