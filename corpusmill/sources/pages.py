@@ -126,7 +126,8 @@ def payload_frame(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([payload_of(h) for h in html], columns=["json", "error"], dtype=object)
 
 
-_payload = F.pandas_udf(payload_frame, T.StructType([T.StructField("json", T.StringType()), T.StructField("error", T.StringType())]))
+#: Called not deterministic, so that a filter on what follows from it doesn't evaluate it once more.
+_payload = F.pandas_udf(payload_frame, T.StructType([T.StructField("json", T.StringType()), T.StructField("error", T.StringType())])).asNondeterministic()
 
 
 def _media(q: Column) -> Column:
@@ -181,12 +182,13 @@ def question_rows(parsed: DataFrame, patterns: text.Patterns = text.DEFAULT) ->
         *[c for c in parsed.columns if c not in ("package", "questions", "page_hash", "parse_error", "id")],
         F.posexplode("questions").alias("position", "q"),
     )
-    q = F.col("q")
-    raw = text.clean_text(q["text"])
-    shown = F.when(raw == "", text.MEDIA_PLACEHOLDER).otherwise(raw)
+    q, raw = F.col("q"), F.col("raw_text")
+    each = each.withColumn("raw_text", text.clean_text(q["text"]))  # columns of their own, or else each use cleans the text again
+    each = each.withColumn("shown", F.when(raw == "", text.MEDIA_PLACEHOLDER).otherwise(raw))
+    shown = F.col("shown")
     author_ids, author_names = _people(q["authors"])
     rows = each.select(
-        *[c for c in each.columns if c != "q"],
+        *[c for c in each.columns if c not in ("q", "raw_text", "shown")],
         q["id"].cast("bigint").alias("id"),
         q["number"].alias("question_number"),
         text.without_host_notes(shown, patterns).alias("question"),
