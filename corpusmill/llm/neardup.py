@@ -44,6 +44,8 @@ TASK = 1 << 22
 ROUNDS = 4
 #: Edges up to which a graph of links is finished by one task (16 bytes each).
 SMALL = 1 << 18
+#: Shingles in a bucket of the table of full sets, about (8 bytes each), and parts in which its texts are exchanged.
+BUCKET, PARTS = 1 << 20, 2
 #: Standard deviations that a sketch may fall short of the threshold.
 SLACK = 4.5
 
@@ -127,10 +129,16 @@ def features(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc long, text_key long, n long, k1 long, k2 long, roots array<long>")
 
 
-def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, n, shingles, paths (minwise tokens), b0.. (sketch) of the representatives in ``wanted`` (rep, doc, text_key).
+def _place() -> Column:
+    """The number of a representative: a hash of its id and text, so that rows of documents are dealt like it."""
+    return F.xxhash64("doc", "text_key")
 
-    Rows that repeat an id and text give a row for each task that they lie in; see ``unique_points``.
+
+def points(documents: DataFrame, wanted: DataFrame, buckets: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """rep, n, shingles, paths (minwise tokens), b0.. (sketch) of the representatives in ``wanted`` (rep, doc, text_key), or of one of ``parts`` parts of them.
+
+    Rows are dealt by ``_place`` to ``buckets`` tasks. Those that repeat an id and text give a row for each task that
+    they lie in, if Spark splits a task; see ``unique_points``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,14 +165,23 @@ def points(documents: DataFrame, wanted: DataFrame) -> DataFrame:
         documents["doc_id"].cast("long").alias("doc"), text_key(documents).alias("text_key"),
         text_of(documents).alias("text"),
     )
-    rows = rows.join(wanted, ["doc", "text_key"]).select("rep", "text")
+    of_part = lambda df: df.withColumn("place", _place()).filter(F.pmod("place", F.lit(parts)) == part).repartition(buckets, "place")
+    asked = of_part(wanted.select("rep", "doc", "text_key")).withColumnsRenamed({"doc": "own_doc", "text_key": "own_key"})
+    rows = of_part(rows).join(asked.hint("shuffle_hash"), "place").filter("(doc ^ own_doc) = 0 and (text_key ^ own_key) = 0").select("rep", "text")  # no keys, by which Spark would deal
     return rows.mapInArrow(run, "rep long, n long, shingles array<long>, paths array<int>, " + ", ".join(f"{b} long" for b in _BITS))
 
 
-def unique_points(documents: DataFrame, wanted: DataFrame, stage: Scratch) -> DataFrame:
-    """``points``, a row for each representative, however many rows repeat it and wherever they lie."""
-    found = stage(points(documents, wanted), "points")
-    return found if found.count() == wanted.select("rep").count() else stage(found.dropDuplicates(["rep"]), "unique-points")
+def unique_points(documents: DataFrame, wanted: DataFrame, stage: Scratch, buckets: int = 4) -> DataFrame:
+    """``points`` in buckets of rep, a row for each representative, however many rows repeat it and wherever they lie.
+
+    Texts are exchanged in PARTS parts, so that one of them only is on disk beside the sets. Where rep is ``_place``, a
+    task's rows are one bucket.
+    """
+    with settings(documents.sparkSession, {"spark.sql.shuffle.partitions": str(buckets)}):  # else a join may deal to more tasks
+        found = stage.by([points(documents, wanted, buckets, k, PARTS) for k in range(PARTS)], "points", "rep", buckets)
+    if found.count() == wanted.select("rep").count():
+        return found
+    return stage.by([found.dropDuplicates(["rep"])], "unique-points", "rep", buckets)
 
 
 def most_distance(percent: int, slack: float = SLACK) -> int:
@@ -376,12 +393,14 @@ def judged_rows(documents: DataFrame, percent: int) -> DataFrame:
         whole = every.filter("n > 0 and doc is not null")
         own = F.min(F.struct("doc", "text_key")).alias("own")
         classes = whole.groupBy("k1", "k2", "n").agg(own, F.first("roots").alias("roots"))  # equal sets, equal roots
-        reps = stage(classes.select(F.monotonically_increasing_id().alias("rep"), "k1", "k2", "n", "own.*", "roots"), "classes")
+        reps = stage(classes.select("k1", "k2", "n", "own.*", "roots").withColumn("rep", _place()), "classes")
         tokens = reps.select("rep", F.posexplode("roots").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "rep")
         several = tokens.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node")
         nodes = stage(tokens.join(several, "node"), "nodes")
-        wanted = reps.select("rep", "doc", "text_key").join(nodes.select("rep").distinct(), "rep", "left_semi")
-        sketches = unique_points(documents, wanted, stage)
+        wanted = reps.select("rep", "doc", "text_key", "n").join(nodes.select("rep").distinct(), "rep", "left_semi")
+        wanted = stage(wanted, "wanted")
+        sizes = wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        sketches = unique_points(documents, wanted, stage, max(4, math.ceil(sizes / BUCKET)))
         joined = linked(nodes, sketches, percent, stage)
         known = reps.select("k1", "k2", "n", "doc", "rep").join(joined, "rep", "left").withColumn(
             "component", F.coalesce("component", "rep"),

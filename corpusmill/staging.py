@@ -93,11 +93,35 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def staged_by(parts: list[DataFrame], label: str, key: str, buckets: int) -> DataFrame:
+    """Write tables of one schema, one after the other, as a single one in ``buckets`` hash buckets of ``key``, and read it back.
+
+    Joins on the key read the table where it lies: they exchange the other side only.
+    """
+    spark, name = parts[0].sparkSession, f"{label}-{uuid.uuid4().hex}"
+    path, table = f"{shared_folder(spark)}/corpusmill/{name}", name.replace("-", "_")
+    discard_later(path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts[0].schema.fields)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    try:
+        for part in parts:
+            with _tidy(spark):
+                part.write.insertInto(table)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
+    out = spark.table(table)
+    out._staged_path, out._staged_table = path, table
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete staged tables that no later plan reads; others are left alone."""
     for table in tables:
         path = getattr(table, "_staged_path", None)
         if path:
+            if name := getattr(table, "_staged_table", None):
+                table.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
             _delete(table.sparkSession._jvm, path)
             _left.discard(path)
 
@@ -135,6 +159,11 @@ class Scratch:
         self.tables.append(staged(df, f"{self.label}-{label}"))
         return self.tables[-1]
 
+    def by(self, parts: list[DataFrame], label: str, key: str, buckets: int) -> DataFrame:
+        """``staged_by``."""
+        self.tables.append(staged_by(parts, f"{self.label}-{label}", key, buckets))
+        return self.tables[-1]
+
     def keep(self, table: DataFrame) -> DataFrame:
         self.kept.add(id(table))
         return table

@@ -163,3 +163,17 @@ def test_repeated_rows_over_many_partitions_make_one_point_and_one_link(spark):
             assert [tuple(r) for r in pairs.collect()] == [(100, 101)]
         got = {tuple(r) for r in neardup.near_duplicates(docs, 85).collect()}
         assert got == {(0, 196, 0, True), (1, 196, 0, False), (7, 1, 7, True)}
+
+
+def test_joins_read_full_sets_where_they_lie(spark):
+    """Full sets are in buckets of their representatives, a file of each part in each bucket; confirming exchanges the pairs only."""
+    docs = spark.createDataFrame([(k, " ".join(f"w{k % 50 * 100 + i}" for i in range(40))) for k in range(300)], "doc_id long, text string").repartition(7)
+    wanted = docs.select(F.col("doc_id").alias("doc"), neardup.text_key(docs).alias("text_key")).withColumn("rep", neardup._place())
+    with neardup.Scratch("test") as stage, neardup.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        sets = neardup.unique_points(docs, stage(wanted, "wanted"), stage, 5)
+        assert sets.count() == 300 and len(sets.inputFiles()) <= 5 * neardup.PARTS
+        reps = sets.select("rep", F.element_at("shingles", 1).alias("least"))
+        a, b = (reps.withColumnRenamed("rep", x) for x in "ab")
+        links = neardup.confirm(stage(a.join(b, "least").filter("a < b").select("a", "b"), "pairs"), sets, 85)
+        assert links._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert links.count() == 50 * 15  # six equal sets of each kind
