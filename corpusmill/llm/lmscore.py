@@ -240,7 +240,7 @@ def _own_scores(texts: DataFrame, order: int, passes: int, part_rows: int, stage
 
 
 def _slices(documents: DataFrame, stage: Scratch, label: str) -> DataFrame:
-    """slice, docs, sizes, words: the hashed words of some documents in a row, staged, with the documents' ids and numbers of words."""
+    """slice, docs, sizes, words: the hashed words of some documents in a row (eight bytes each), staged, with the documents' ids and numbers of words."""
     ids = documents["doc_id"] if "doc_id" in documents.columns else F.lit(None).cast("long")
     texts = documents.select(ids.alias("doc_id"), text_of(documents).alias("text"))
 
@@ -248,11 +248,11 @@ def _slices(documents: DataFrame, stage: Scratch, label: str) -> DataFrame:
         for batch in batches:
             for a, b, own in sliced(batch.column(1)):
                 words = Words(own, SPACED)
-                columns = (batch.column(0).slice(a, b - a), pa.array(np.diff(words.first), pa.int32()), _signed(words.hashes))
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], ["docs", "sizes", "words"])
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in (batch.column(0).slice(a, b - a), pa.array(np.diff(words.first), pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*lists, _packed(np.array([len(words.hashes)]), words.hashes)], ["docs", "sizes", "words"])
 
-    kinds = {"docs": texts.schema["doc_id"].dataType, "sizes": T.IntegerType(), "words": T.LongType()}
-    found = texts.mapInArrow(run, T.StructType([T.StructField(name, T.ArrayType(kind)) for name, kind in kinds.items()]))
+    kinds = {"docs": T.ArrayType(texts.schema["doc_id"].dataType), "sizes": T.ArrayType(T.IntegerType()), "words": T.BinaryType()}
+    found = texts.mapInArrow(run, T.StructType([T.StructField(name, kind) for name, kind in kinds.items()]))
     return stage(found.select(F.monotonically_increasing_id().alias("slice"), "*"), label)
 
 
@@ -275,26 +275,47 @@ def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
 
 
+def _packed(sizes: np.ndarray, values: np.ndarray) -> pa.Array:
+    """``values`` as rows of so many each, in bytes: what the JVM copies at once, where it takes the elements of a list one by one."""
+    ends = (np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    """The values of all rows of a column of ``_packed``, one after the other."""
+    parts = [np.empty(0, kind)]
+    for rows in table.column(name).cast(pa.large_binary()).chunks:
+        if len(rows):
+            _, ends, data = rows.buffers()
+            first, last = np.frombuffer(ends, np.int64)[[rows.offset, rows.offset + len(rows)]]
+            parts += [np.frombuffer(data, np.uint8)[first:last].view(kind)] if last > first else []
+    return np.concatenate(parts)
+
+
 def _blocks(slices: DataFrame, order: int, buckets: int, some: range, counted: bool) -> DataFrame:
-    """bucket, slice, grams, own: the different n-grams of all lengths up to ``order`` of each slice, in ascending order of their hashes, with their numbers in the slice (``counted``, else none); a row for each slice and bucket of ``some``."""
+    """bucket, slice, grams, own: the different n-grams of all lengths up to ``order`` of each slice, in ascending order of their hashes (eight bytes each), with their numbers in the slice (four; ``counted``, else none); a row for each slice and bucket of ``some``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                sizes, words = (batch.column(c)[k].values.to_numpy() for c in (1, 2))
-                grams = [g for g, _ in _grams(sizes, words.view(np.uint64), order)]
-                every = np.concatenate([g[(b >= some.start) & (b < some.stop)] for g in grams for b in [_bucket(g, buckets)]])
-                every, own = np.unique(every, return_counts=True) if counted else (np.unique(every), None)
-                found, sizes = np.unique(_bucket(every, buckets), return_counts=True)
+                sizes, words = batch.column(1)[k].values.to_numpy(), np.frombuffer(batch.column(2)[k].as_buffer(), np.uint64)
+                grams = [g for g, _ in _grams(sizes, words, order)]
+                every = np.sort(np.concatenate([g[(b >= some.start) & (b < some.stop)] for g in grams for b in [_bucket(g, buckets)]]))
+                first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])[: len(every)])
+                own = np.diff(first, append=len(every)).astype(np.uint32)
+                every = every[first]
+                sizes = np.bincount(_bucket(every, buckets) - some.start, minlength=len(some))
+                found = np.flatnonzero(sizes)
+                sizes = sizes[found]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found, pa.int32()), pa.array(np.full(len(found), batch.column(0)[k].as_py()), pa.int64()), _lists(sizes, _signed(every)),
-                        _lists(sizes, pa.array(own, pa.int64())) if counted else pa.nulls(len(found), pa.list_(pa.int64())),
+                        pa.array(found + some.start, pa.int32()), pa.array(np.full(len(found), batch.column(0)[k].as_py()), pa.int64()), _packed(sizes, every),
+                        _packed(sizes, own) if counted else pa.nulls(len(found), pa.binary()),
                     ],
                     ["bucket", "slice", "grams", "own"],
                 )
 
-    return slices.select("slice", "sizes", "words").mapInArrow(run, "bucket int, slice long, grams array<long>, own array<long>")
+    return slices.select("slice", "sizes", "words").mapInArrow(run, "bucket int, slice long, grams binary, own binary")
 
 
 def _flat(table: pa.Table, name: str) -> np.ndarray:
@@ -303,9 +324,14 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
 
 def count_table(corpus: DataFrame, order: int, least: int, buckets: int, some: range) -> DataFrame:
     """bucket, grams, own: the n-grams of all lengths that the slices have ``least`` times or twice, and their counts, by ranges of their hash values: a row for each bucket of ``some``."""
+    return _counts(_blocks(corpus, order, buckets, some, True), least)
+
+
+def _counts(blocks: DataFrame, least: int) -> DataFrame:
+    """``count_table`` of blocks with numbers."""
 
     def summed(table: pa.Table) -> pa.Table:
-        grams, own = _flat(table, "grams").view(np.uint64), _flat(table, "own")
+        grams, own = _unpacked(table, "grams", np.uint64), _unpacked(table, "own", np.uint32).astype(np.int64)
         by = np.argsort(grams)
         grams = grams[by]
         first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
@@ -313,31 +339,33 @@ def count_table(corpus: DataFrame, order: int, least: int, buckets: int, some: r
         kept = own >= min(least, 2)
         return pa.Table.from_arrays([table.column("bucket")[:1], *(_lists(np.array([kept.sum()]), x) for x in (_signed(grams[first][kept]), pa.array(own[kept])))], ["bucket", "grams", "own"])
 
-    return _blocks(corpus, order, buckets, some, True).groupBy("bucket").applyInArrow(summed, "bucket int, grams array<long>, own array<long>")
+    return blocks.groupBy("bucket").applyInArrow(summed, "bucket int, grams array<long>, own array<long>")
 
 
 def _answers(blocks: DataFrame, table: DataFrame) -> DataFrame:
-    """slice, bucket, own: the counts of the n-grams of each block, 0 for those that the count table lacks, by a join on the bucket."""
+    """slice, bucket, known, own: whether the count table has each n-gram of a block (a byte each), and the counts of those that it has, by a join on the bucket."""
 
     def joined(asked: pa.Table, table: pa.Table) -> pa.Table:
-        grams, known, own = _flat(asked, "grams").view(np.uint64), _flat(table, "grams").view(np.uint64), _flat(table, "own")
+        grams, known, own = _unpacked(asked, "grams", np.uint64), _flat(table, "grams").view(np.uint64), _flat(table, "own")
         place = np.searchsorted(known, grams)
-        found = np.zeros(len(grams), np.int64)
-        there = np.flatnonzero(place < len(known))
-        there = there[known[place[there]] == grams[there]]
-        found[there] = own[place[there]]
-        sizes = pc.list_value_length(asked.column("grams")).to_numpy()
-        return pa.Table.from_arrays([asked.column("slice"), asked.column("bucket"), _lists(sizes, pa.array(found))], ["slice", "bucket", "own"])
+        there = place < len(known)
+        there[there] = known[place[there]] == grams[there]
+        sizes = pc.binary_length(asked.column("grams")).to_numpy() // 8
+        ends = np.concatenate([[0], np.cumsum(there)])[np.cumsum(sizes)]
+        return pa.Table.from_arrays([asked.column("slice"), asked.column("bucket"), _packed(sizes, there), _lists(np.diff(ends, prepend=0), pa.array(own[place[there]], pa.int64()))], ["slice", "bucket", "known", "own"])
 
-    return blocks.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(joined, "slice long, bucket int, own array<long>")
+    return blocks.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(joined, "slice long, bucket int, known binary, own array<long>")
 
 
 def _slice_scores(slices: DataFrame, answers: DataFrame, words: int, order: int, alpha: float, least: int) -> DataFrame:
     """doc_id, n_words, n_backoff, n_shared, log_score of the documents of each slice, from the counts of its n-grams."""
 
     def scored(own: pa.Table, answers: pa.Table) -> pa.Table:
-        sizes, hashes = _flat(own, "sizes"), _flat(own, "words").view(np.uint64)
-        counts = _flat(answers.sort_by("bucket"), "own")
+        sizes, hashes = _flat(own, "sizes"), _unpacked(own, "words", np.uint64)
+        answers = answers.sort_by("bucket")
+        known = _unpacked(answers, "known", np.bool_)
+        counts = np.zeros(len(known), np.int64)
+        counts[known] = _flat(answers, "own")
         grams = list(_grams(sizes, hashes, order))
         _, place = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)
         by_start, done = [np.full(len(hashes), words)], 0  # counts of n words from each one on, of none: all words
@@ -377,13 +405,17 @@ def _backing_off(documents: DataFrame, corpus: DataFrame | None, order: int, alp
     with settings(documents.sparkSession, _LONG_ROWS):
         slices = _slices(documents, stage, "slices")
         counted = slices if corpus is None else _slices(corpus, stage, "corpus")
-        total = F.coalesce(F.sum(F.size("words")), F.lit(0))
+        total = F.coalesce(F.sum(F.expr("length(words) div 8")), F.lit(0))
         words = counted.agg(total).first()[0]
         most = max(words, words if corpus is None else slices.agg(total).first()[0])
         buckets = min(1 << 24, max(BUCKETS, math.ceil(order * most / BUCKET_GRAMS)))
         answers = []
         for k in range(passes):
             some = range(k * buckets // passes, (k + 1) * buckets // passes)
+            if corpus is None:  # one exchange of the blocks serves the count table and the join to it
+                blocks = _blocks(slices, order, buckets, some, True)
+                answers.append(stage(_answers(blocks, _counts(blocks, least)), f"answers{k}"))
+                continue
             table = stage(count_table(counted, order, least, buckets, some), f"counts{k}")
             answers.append(stage(_answers(_blocks(slices, order, buckets, some, False).drop("own"), table), f"answers{k}"))
             stage.drop(table)

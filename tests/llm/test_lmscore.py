@@ -104,3 +104,16 @@ def test_empty_table(spark):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
     assert lmscore.score(df.limit(0)).count() == 0
     assert lmscore.score(df.limit(0), least=1).count() == 0
+
+
+def test_own_corpus_exchanges_its_blocks_once_a_pass(spark):
+    """The count table and the join to it read the same exchange; no n-gram's row is a list that the JVM copies one by one."""
+    df = spark.createDataFrame(DOCS, "doc_id long, text string").repartition(3)
+    with lmscore.Scratch("test") as stage:
+        blocks = lmscore._blocks(lmscore._slices(df, stage, "slices"), 3, 16, range(16), True)
+        assert {"grams": "binary", "own": "binary"}.items() <= dict(blocks.dtypes).items()
+        answers = lmscore._answers(blocks, lmscore._counts(blocks, 2))
+        plan = answers._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        shown = plan.toString().split("Initial Plan")[0]
+        assert "ReusedExchange" in shown and shown.count("MapInArrow run") == 1
