@@ -42,7 +42,9 @@ def in_order(key: Column, c: Column) -> Column:
 
 
 def with_key(rows: DataFrame, native: bool = False, column: str = "question") -> DataFrame:
-    """Add ``nhash``, the key that reprints share."""
+    """Add ``nhash``, the key that reprints share, unless the rows have it."""
+    if "nhash" in rows.columns:
+        return rows
     return rows.withColumn("nhash", (text.native_key if native else text.normalized_key)(F.col(column)))
 
 
@@ -65,7 +67,7 @@ def merge_printings(rows: DataFrame, native: bool = False, hot: int = HOT, width
         own, usual = (keyed.join(F.broadcast(crowded), "nhash", how) for how in ("left_semi", "left_anti"))
         merged = _merged(usual, _one_list(usual)).unionByName(_merged(own, None).join(_segments(own, width), "nhash"))
     merged = merged.select("first.*", *LONGEST, *_POOLED, "printings")
-    return with_statistics(merged).select(*rows.columns, "printings", "playings", "total_teams", "solve_rate")
+    return with_statistics(merged).select(*[c for c in rows.columns if c != "nhash"], "printings", "playings", "total_teams", "solve_rate")
 
 
 _POOLED = ("tournament_ids", "solve_percentages", "correct_answers")

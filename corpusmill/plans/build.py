@@ -104,9 +104,11 @@ def rebuild(house: Warehouse, patterns: text.Patterns = text.DEFAULT) -> DataFra
     questions, stored = house.read("questions"), house.read("translations")
     folders = {"question_exclusions": house.write("question_exclusions", curate.exclusions(questions, patterns))}
     kept = curate.clean(questions, house.at("question_exclusions", folders["question_exclusions"]))
-    folders["questions_canonical"] = house.write("questions_canonical", curate.merge_printings(kept))
-    folders["question_printings"] = house.write("question_printings", curate.printing_map(kept))
-    folders["question_groups"] = house.write("question_groups", delta.groups(curate.with_key(kept)))
+    with Scratch("rebuild") as stage:
+        kept = stage(curate.with_key(kept), "keyed")  # texts are folded once for all that follows
+        folders["questions_canonical"] = house.write("questions_canonical", curate.merge_printings(kept))
+        folders["question_printings"] = house.write("question_printings", curate.printing_map(kept))
+        folders["question_groups"] = house.write("question_groups", delta.groups(kept))
     folders["question_changes"] = house.write("question_changes", house.spark.createDataFrame([], CHANGES))
     fresh, gone = merge.prune(stored, house.at("questions_canonical", folders["questions_canonical"]))
     dropped = gone.count()

@@ -16,7 +16,7 @@ from ..operators import funnel, merge, review
 from ..schemas import ENGLISH, PACKAGES, USAGE
 from ..sources import pages
 from ..sources.warehouse import Warehouse
-from ..staging import shared_folder
+from ..staging import Scratch, shared_folder
 from . import build
 
 #: Spellings of the site's markers, as rows get them.
@@ -232,11 +232,12 @@ def media_links(spark: SparkSession, sf: str) -> DataFrame:
 def build_run(spark: SparkSession, sf: str) -> DataFrame:
     """The funnel of a warehouse after the pages are stored twice (the second time all are unchanged) and everything is rebuilt, and what was counted on the way."""
     house = Warehouse(spark, f"{shared_folder(spark)}/corpusmill/house-{uuid.uuid4().hex}")
-    found = _pages(spark, sf).select("id", F.col("id").alias("position"), "html", F.when(F.col("id") % 10 == 5, "refused").alias("error"))
     counts: dict[str, int] = {}
-    for turn in ("first", "again"):
-        for r in build.store_pages(house, found).collect():
-            counts[f"{turn}_{r.outcome}"] = r.n
+    with Scratch("site") as stage:
+        found = stage(_pages(spark, sf).select("id", F.col("id").alias("position"), "html", F.when(F.col("id") % 10 == 5, "refused").alias("error")), "pages")
+        for turn in ("first", "again"):
+            for r in build.store_pages(house, found).collect():
+                counts[f"{turn}_{r.outcome}"] = r.n
     summary = build.rebuild(house).first()
     names = ["first_new", "first_parse_error", "first_fetch_error", "again_unchanged", "again_parse_error", "again_fetch_error"]
     more = [F.lit(counts.get(n, 0)).cast("long").alias(n) for n in names] + [

@@ -3,7 +3,7 @@ from datetime import date, timedelta
 
 import pytest
 from corpusmill import schemas
-from corpusmill.operators import funnel
+from corpusmill.operators import curate, funnel
 from corpusmill.plans import build
 from corpusmill.sources import fetch, pages
 from corpusmill.sources.warehouse import MissingWarehouse, Warehouse
@@ -276,3 +276,19 @@ def test_no_local_folder_is_used_on_a_cluster():
             shared_folder(session(master))
         assert shared_folder(session(master, "hdfs://x/y/")) == "hdfs://x/y" and shared_folder(session(master, checkpoint="hdfs://z")) == "hdfs://z"
     assert shared_folder(session("local[2]")) == shared_folder(session("local")) != ""
+
+
+def test_rebuild_folds_each_text_once(spark, tmp_path, monkeypatch):
+    """Canonical records, printings and groups read one staged table with the key; no step makes it again."""
+    made = []
+    real = curate.with_key
+
+    def counted(rows, *more, **options):
+        out = real(rows, *more, **options)
+        if "nhash" not in rows.columns:
+            made.append(out)
+        return out
+
+    monkeypatch.setattr(curate, "with_key", counted)
+    build.rebuild(Warehouse(spark, str(tmp_path / "house")))
+    assert len(made) == 1
