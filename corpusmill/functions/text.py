@@ -12,13 +12,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The patterns and limits of the Russian quiz corpus. Possessive quantifiers, starting at the first of
-# several blanks or of a word, and looking for a stem only where a word has it first change no match; they keep Java's
-# matcher from recursing or going over long texts again.
+# several blanks or of a word, looking for a stem only where a word has it first, and for a blank before anything behind
+# it, change no match; they keep Java's matcher from recursing or going over long texts again.
 NOTE_OPENER = r"(?U)\[\s*+(?:Ведущему|ведущему|Чтецу|чтецу|Комментарий\s++для\s++ведущего)\b"
 MULTIPART = r"(?U)(?:^\s*+|(?<!\s)[\s&&[^\n]]*+\n\s*+)(?:\[[^\]]*+\]\s*+)*+(Блиц|Дуплет|БЛИЦ|ДУПЛЕТ)\b"
 BLITZ = "блиц"
@@ -27,6 +27,8 @@ HANDOUT_LOST = (
     r"(?iU)(?<![\p{L}\p{N}_])(?>[\p{L}\p{N}_]*?раздаточн)"
     r"(?:[\p{L}\p{N}_]*?(?:утерян|утрачен|потерян|не сохран)|[\p{L}\p{N}_]*+[^.\]]{0,60}?(?:утерян|утрачен|потерян|не сохран))"
 )
+#: White space that ``clean_text`` could change: other than a space or a line end, beside more, or at an end.
+UNTIDY = r"(?U)\A\s|\s(?:(?<![ \n])|(?=\s|\z))"
 MIN_QUESTION_LENGTH = 40
 MEDIA_PLACEHOLDER = "[Media question; see media URLs]"
 # End of the fixed values.
@@ -62,25 +64,34 @@ def present(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space (of any script) at the ends. A run of it is looked at once, wherever it stands."""
-    return F.regexp_replace(c, r"(?U)^\s++|(?<!\s)\s++$", "")
+    return F.regexp_replace(c, r"(?U)(?=\s)(?:^\s++|(?<!\s)\s++$)", "")
 
 
 def _tidy_lines(c: Column) -> Column:
     """Runs of spaces and tabs as one space; lines without white space at their ends."""
-    one = F.regexp_replace(c, r"[ \t]+", " ")
-    return F.regexp_replace(one, r"(?Um)^[\s&&[^\n]]++|(?<![\s&&[^\n]])[\s&&[^\n]]++$", "")
+    return F.regexp_replace(_one_blank(c), r"(?Um)(?=\s)(?:^[\s&&[^\n]]++|(?<![\s&&[^\n]])[\s&&[^\n]]++$)", "")
+
+
+def _one_blank(c: Column) -> Column:
+    """Runs of spaces and tabs as one space; a single space is no match."""
+    return F.regexp_replace(c, r" [ \t]++|\t[ \t]*+", " ")
 
 
 def clean_text(c: Column) -> Column:
     """Source text with LF line ends, tidy lines, at most one blank line in a row, and no white space around; '' for null.
 
-    Takes time in proportion to the text, whatever its blanks.
+    Takes time in proportion to the text, whatever its blanks; a text that is clean is only looked at.
     """
-    unix = F.regexp_replace(present(c), r"\r\n?", "\n")
-    return strip(F.regexp_replace(_tidy_lines(unix), r"\n{3,}", "\n\n"))
+    c = c.cast("string")
+    unix = F.regexp_replace(c, r"\r\n?", "\n")
+    tidy = strip(F.regexp_replace(_tidy_lines(unix), r"\n{3,}", "\n\n"))
+    return F.coalesce(F.when(c.rlike(UNTIDY), tidy).otherwise(c), F.lit(""))
+
+
+Piece = tuple[Column, str | None]
 
 
-def _note_parts(c: Column, patterns: Patterns) -> list[tuple[Column, str | None]]:
+def _note_parts(c: Column, patterns: Patterns) -> list[Piece]:
     """The text in pieces, each with the pattern of the notes in it.
 
     Up to the last ``]`` every note is closed; after it none is, and those on the last line are no notes. So whether a
@@ -88,25 +99,46 @@ def _note_parts(c: Column, patterns: Patterns) -> list[tuple[Column, str | None]
     """
     if patterns.host_note:
         return [(c, patterns.host_note)]
-    closed = F.regexp_extract(c, r"(?s)^.*\]", 0)
-    rest = F.substring(c, F.length(closed) + 1, F.length(c))
-    lines = F.regexp_extract(rest, r"(?s)^.*\n", 0)
-    last = F.substring(rest, F.length(lines) + 1, F.length(rest))
+    rest = F.substring_index(c, "]", -1)
+    last = F.substring_index(rest, "\n", -1)
+    closed, lines = (F.substring(x, F.lit(1), F.length(x) - F.length(y)) for x, y in ((c, rest), (rest, last)))
     return [(closed, patterns.note_opener + r"[^\]]*+\]"), (lines, patterns.note_opener + r"[^\n]*+(?=\n)"), (last, None)]
 
 
+def _found(parts: list[Piece]) -> Column:
+    return F.array_join(F.concat(*[F.regexp_extract_all(part, F.lit(note), F.lit(0)) for part, note in parts if note]), "\n")
+
+
+def _left(parts: list[Piece]) -> Column:
+    left = F.concat(*[F.regexp_replace(part, note, "") if note else part for part, note in parts])
+    return strip(_tidy_lines(F.regexp_replace(_one_blank(left), r"\n{3,}", "\n\n")))
+
+
+def _noted(parts: list[Piece]) -> Column:
+    return reduce(Column.__or__, [part.rlike(note) for part, note in parts if note])
+
+
 def host_notes(c: Column, patterns: Patterns = DEFAULT) -> Column:
     """The presenter's notes in the text, one to a line; '' if none."""
-    return F.array_join(F.concat(*[F.regexp_extract_all(part, F.lit(note), F.lit(0)) for part, note in _note_parts(c, patterns) if note]), "\n")
+    return _found(_note_parts(c, patterns))
 
 
 def without_host_notes(c: Column, patterns: Patterns = DEFAULT) -> Column:
     """The text a player hears: untouched if it has no note, else tidied after their removal."""
     parts = _note_parts(c, patterns)
-    left = F.concat(*[F.regexp_replace(part, note, "") if note else part for part, note in parts])
-    bare = F.regexp_replace(F.regexp_replace(left, r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    noted = reduce(Column.__or__, [part.rlike(note) for part, note in parts if note])
-    return F.when(noted, strip(_tidy_lines(bare))).otherwise(c)
+    return F.when(_noted(parts), _left(parts)).otherwise(c)
+
+
+def with_notes(rows: DataFrame, name: str, heard: str, notes: str, patterns: Patterns = DEFAULT) -> DataFrame:
+    """``rows`` with ``without_host_notes`` and ``host_notes`` of the text (no null) in column ``name``, whose pieces are made once."""
+    parts = _note_parts(F.col(name), patterns)
+    pieces = [(F.col(f"_piece{i}"), note) for i, (_, note) in enumerate(parts)]
+    each = rows.select("*", *[part.alias(f"_piece{i}") for i, (part, _) in enumerate(parts)])
+    each = each.withColumn("_noted", _noted(pieces))
+    return each.select(
+        *rows.columns, F.when(F.col("_noted"), _left(pieces)).otherwise(F.col(name)).alias(heard),
+        F.when(F.col("_noted"), _found(pieces)).otherwise("").alias(notes),
+    )
 
 
 def question_kind(c: Column, patterns: Patterns = DEFAULT) -> Column:

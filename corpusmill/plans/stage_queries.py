@@ -61,12 +61,16 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("2020-01-02").alias("startDate"), F.lit("").alias("endDate"), declared.alias("questions"),
         F.array(F.struct("questions")).alias("tours"),
     )
-    stream = F.concat(F.lit("1:"), F.to_json(F.struct(pack.alias("pack"))))
+    # columns of their own, or else each use spells the page again
+    packs = packs.select("l_orderkey", F.concat(F.lit("1:"), F.to_json(F.struct(pack.alias("pack")))).alias("stream"))
+    packs = packs.select(
+        "l_orderkey", _json_string(F.substring("stream", 1, 40)).alias("head"),
+        F.to_json(F.array(F.substring("stream", 41, (1 << 31) - 1))).alias("rest"),
+    )
     html = F.when(c("l_orderkey") % 10 == 4, "<html>nothing</html>").otherwise(
         F.concat(
-            F.lit("<script>self.__next_f.push([1,"), _json_string(F.substring(stream, 1, 40)),
-            F.lit("])</script><p><script>self.__next_f.push([1,"),
-            _json_string(F.substring(stream, F.lit(41), F.length(stream))), F.lit("])</script>"),
+            F.lit("<script>self.__next_f.push([1,"), c("head"), F.lit("])</script><p><script>self.__next_f.push([1,"),
+            F.substring("rest", 2, (1 << 31) - 1), F.lit(")</script>"),
         )
     )
     return packs.select(c("l_orderkey").alias("id"), html.alias("html"))

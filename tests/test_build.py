@@ -128,6 +128,18 @@ def test_typed_question(spark):
     assert pages.question_rows(pages.parse(long)).first().explanation == "я" * 300_000
 
 
+def test_numbers_that_are_none(spark, monkeypatch):
+    """Odd numbers and lists are null or empty; half a surrogate pair is an error of its page alone, whatever it is read with."""
+    monkeypatch.setattr(pages, "PAGES_AT_ONCE", 2)
+    odd = [question(1, number=2**31, complexity=[1, None, "NaN"], correct_answers=[1.5]), question(2, number=" 7 ", complexity=["x", 1.0], correct_answers=[2**63]), question(3, complexity=[True], correct_answers=[None, 2])]
+    df = spark.createDataFrame([(1, page(1, odd)), (2, page(2, [question(4, text="cut \ud83d")])), (3, "none"), (4, None)], "id long, html string").coalesce(1)
+    errors = {r.id: r.parse_error for r in pages.parse(df).collect()}
+    assert errors == {1: None, 2: "the payload has half a surrogate pair", 3: "no embedded chunks", 4: "no embedded chunks"}
+    a, b, c = pages.question_rows(pages.parse(df).filter("parse_error is null")).orderBy("id").collect()
+    assert a.question_number is None and a.solve_percentages[:2] == [1.0, None] and a.solve_percentages[2] != a.solve_percentages[2] and a.correct_answers == []
+    assert (b.question_number, b.solve_percentages, b.correct_answers) == (7, [], []) and (c.solve_percentages, c.correct_answers) == ([], [None, 2])
+
+
 def test_index_walk(tmp_path):
     def walk(served, **more):
         (tmp_path / "log").write_text("")

@@ -134,3 +134,25 @@ def test_notes_and_reasons_equal_the_plain_patterns(spark):
     expected = ["refers_to_other_question" if refers.search(t) else "handout_lost" if lost.search(t) else None for t in long]
     assert column(spark, lambda c: text.exclusion_reason(c, F.lit("a")), long) == expected
     assert {"refers_to_other_question", "handout_lost", None} == set(expected)
+
+
+def test_clean_texts_are_only_looked_at():
+    """What ``UNTIDY`` does not match, cleaning leaves alone; ordinary texts are among it."""
+    blanks = "  \n\t\r\xa0 \x85\v\x1cab"
+    untidy = re.compile(text.UNTIDY.replace("(?U)", "").replace(r"\z", r"\Z").replace(r"\s", "[\t-\r \x85\xa0 ]"))
+    texts = ["".join(Random(i).choices(blanks, k=i % 9)) for i in range(4000)]
+    kept = [t for t in texts if not untidy.search(t)]
+    assert len(kept) > 400 and all(model_clean(t) == t for t in kept if "\x1c" not in t)
+    assert not untidy.search("Назовите город.\nИ реку") and untidy.search("a  b") and untidy.search(" a") and untidy.search("a\n")
+
+
+def test_notes_in_columns_of_their_own(spark):
+    rng = Random(5)
+    bits = ["[Ведущему: тихо]", "[Чтецу: а\nб]", "[Ведущему: не закрыто", "\n", " ", "]", "[x]", "Вопрос  про", "\n\n\n"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(8))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for patterns in (text.DEFAULT, text.Patterns(host_note=r"\[x\]|про")):
+        got = text.with_notes(df, "t", "heard", "notes", patterns).select("t", "heard", "notes").collect()
+        want = df.select("t", text.without_host_notes(F.col("t"), patterns), text.host_notes(F.col("t"), patterns)).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert column(spark, text.host_notes, ["a [Ведущему: б\nв] г", "a] [Ведущему: б\nв", "[Ведущему: б"]) == ["[Ведущему: б\nв]", "[Ведущему: б", ""]
